@@ -1,0 +1,24 @@
+"""Joins against dimension tables with a checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension (in rows, after column pruning) that is broadcast to
+# every executor.  Instruments ever listed on an exchange are in the tens
+# of thousands; the check keeps a pathological input on the shuffle path.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows (stops counting early)."""
+    return dim.limit(max_rows + 1).count() <= max_rows
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
+                   max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``fact JOIN dim``: broadcast when the dimension is proven small,
+    otherwise a shuffle join (AQE splits skewed partitions)."""
+    side = F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
+    return fact.join(side, on, how)
