@@ -12,13 +12,26 @@ MAX_BROADCAST_ROWS = 2_000_000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (stops counting early)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """True when ``dim`` has at most ``max_rows`` rows (stops counting early).
+
+    The answer is remembered on the DataFrame object, so a dimension
+    reused by several joins is checked once.
+    """
+    known = getattr(dim, "_tf_fits_broadcast", None)
+    if known is None or known[0] != max_rows:
+        known = (max_rows, dim.limit(max_rows + 1).count() <= max_rows)
+        dim._tf_fits_broadcast = known
+    return known[1]
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_rows: int = MAX_BROADCAST_ROWS,
+                   size_of: DataFrame | None = None) -> DataFrame:
     """``fact JOIN dim``: broadcast when the dimension is proven small,
-    otherwise a shuffle join (AQE splits skewed partitions)."""
-    side = F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
+    otherwise a shuffle join (AQE splits skewed partitions).
+
+    ``size_of`` is the table whose row count bounds ``dim`` (e.g. the
+    stored dimension that ``dim`` projects), checked once and remembered.
+    """
+    side = F.broadcast(dim) if fits_broadcast(size_of or dim, max_rows) else dim
     return fact.join(side, on, how)

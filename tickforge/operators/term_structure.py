@@ -50,7 +50,7 @@ def futures_term_structure(future_trades: DataFrame, instruments: DataFrame,
     if since is not None:
         t = t.where(F.col("timestamp") >= F.lit(since))
     t = t.select("timestamp", "instrument_name", "currency", "price", "index_price", "amount")
-    t = join_dimension(t, _expirations(instruments), "instrument_name")
+    t = join_dimension(t, _expirations(instruments), "instrument_name", size_of=instruments)
     T = year_fraction(F.col("timestamp"), F.col("_expiry"))
     apr = ieee_div(ieee_div(F.col("price"), F.col("index_price")) - F.lit(1.0), F.col("T"))
     t = t.select(truncate(F.col("timestamp"), "hour", dtype).alias("ts_hour"),
@@ -111,7 +111,7 @@ def options_term_structure(option_trades: DataFrame, instruments: DataFrame,
         F.get(parts, 2).cast("double").alias("strike"),
         F.get(parts, 3).alias("call_put"),
         "index_price")
-    t = join_dimension(t, _expirations(instruments), "instrument_name")
+    t = join_dimension(t, _expirations(instruments), "instrument_name", size_of=instruments)
     T = year_fraction(F.col("ts_hour"), F.col("_expiry"))
     t = with_option_delta(t.withColumn("T", T))
     t = t.withColumn("abs_delta", F.abs(F.col("delta")))

@@ -187,8 +187,21 @@ LOADERS = {
 }
 
 
+_PLANS: dict = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return LOADERS[name](spark, sf_dir)
+    """The lazy DataFrame of a fixture table (plans are reused per session).
+
+    Only the logical plan is memoized - no data is cached - so repeated
+    queries skip rebuilding the same expressions on the driver.
+    """
+    ensure_utc(spark)
+    key = (id(spark._jsparkSession), sf_dir, name)
+    df = _PLANS.get(key)
+    if df is None:
+        df = _PLANS[key] = LOADERS[name](spark, sf_dir)
+    return df
 
 
 # ---------------------------------------------------------------------------
