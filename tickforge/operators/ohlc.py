@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import ieee_div, ieee_ln, null_div, weighted_mean
 from ..functions.ordering import first_by, last_by
 from ..functions.time import bucket, plus
-from .bounds import closed_by_own_max, keep_closed
+from .bounds import closed_by_own_max
 
 FUTURES_OHLC_COLUMNS = ["instrument_name", "currency", "bucket", "open", "high", "low",
                         "close", "volume", "n_orders", "pct_buys_count",
@@ -40,23 +40,14 @@ def _since(df: DataFrame, since) -> DataFrame:
     return df.where(F.col("timestamp") >= F.lit(since))
 
 
-def futures_ohlc_1min(future_trades: DataFrame, since=None, closed_only: bool = True,
-                      tie_break: str = "trade_id", unit: str = "minute") -> DataFrame:
-    """A1: per (instrument, currency, minute) bar with flow statistics.
-
-    ``closed_only`` drops each currency's newest (still open) minute.
-    Open/close use (timestamp, tie_break) as a total order.
-    """
-    t = _since(future_trades, since)
-    t = t.select("instrument_name", "currency", "timestamp", "price", "amount",
-                 "index_price", "direction", tie_break,
-                 bucket(t, "timestamp", unit).alias("bucket"))
+def futures_bar_aggs(tie_break: str = "trade_id") -> list[Column]:
+    """Aggregate expressions of a futures bar (shared by batch and stream)."""
     price, amount = F.col("price"), F.col("amount")
     buy, sell = F.col("direction") == "buy", F.col("direction") == "sell"
     buy_amount = F.sum(F.when(buy, amount).otherwise(F.lit(0)))
     sell_amount = F.sum(F.when(sell, amount).otherwise(F.lit(0)))
     n = F.count(F.lit(1))
-    bars = t.groupBy("instrument_name", "currency", "bucket").agg(
+    return [
         first_by("price", "timestamp", tie_break).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
@@ -73,7 +64,33 @@ def futures_ohlc_1min(future_trades: DataFrame, since=None, closed_only: bool =
         ieee_div(F.sum(amount * (ieee_div(price, F.col("index_price")) - F.lit(1.0))),
                  F.sum(amount)).alias("vw_diff_index"),
         F.median(price).alias("median_price"),
-    )
+    ]
+
+
+def index_bar_aggs(tie_break: str = "trade_id") -> list[Column]:
+    return [
+        first_by("index_price", "timestamp", tie_break).alias("open"),
+        F.max("index_price").alias("high"),
+        F.min("index_price").alias("low"),
+        last_by("index_price", "timestamp", tie_break).alias("close"),
+        F.count(F.lit(1)).alias("obs"),
+    ]
+
+
+FUTURES_TICK_COLUMNS = ["instrument_name", "currency", "timestamp", "price", "amount",
+                        "index_price", "direction"]
+
+
+def futures_ohlc_1min(future_trades: DataFrame, since=None, closed_only: bool = True,
+                      tie_break: str = "trade_id", unit: str = "minute") -> DataFrame:
+    """A1: per (instrument, currency, minute) bar with flow statistics.
+
+    ``closed_only`` drops each currency's newest (still open) minute.
+    Open/close use (timestamp, tie_break) as a total order.
+    """
+    t = _since(future_trades, since)
+    t = t.select(*FUTURES_TICK_COLUMNS, tie_break, bucket(t, "timestamp", unit).alias("bucket"))
+    bars = t.groupBy("instrument_name", "currency", "bucket").agg(*futures_bar_aggs(tie_break))
     if closed_only:
         bars = closed_by_own_max(bars, "bucket")
     return bars.select(*FUTURES_OHLC_COLUMNS)
@@ -91,13 +108,7 @@ def index_ohlc_1min(future_trades: DataFrame, option_trades: DataFrame, since=No
     """A2: index price bars from the union of futures and options ticks."""
     t = _since(index_ticks(future_trades, option_trades, tie_break), since)
     t = t.withColumn("bucket", bucket(t, "timestamp", unit))
-    bars = t.groupBy("currency", "bucket").agg(
-        first_by("index_price", "timestamp", tie_break).alias("open"),
-        F.max("index_price").alias("high"),
-        F.min("index_price").alias("low"),
-        last_by("index_price", "timestamp", tie_break).alias("close"),
-        F.count(F.lit(1)).alias("obs"),
-    )
+    bars = t.groupBy("currency", "bucket").agg(*index_bar_aggs(tie_break))
     if closed_only:
         bars = closed_by_own_max(bars, "bucket")
     return bars.select(*INDEX_OHLC_COLUMNS)

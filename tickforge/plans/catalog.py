@@ -151,6 +151,86 @@ def q_normalize_instruments(spark, sf_dir):
     return pages.normalize_instruments(pages.render_instrument_pages(ins))
 
 
+def _events_stream(spark, sf_dir):
+    from ..streaming.ohlc_stream import read_stream_like
+    batch = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return fx.map_events(read_stream_like(spark, batch, sf_dir, "event[s].parquet"))
+
+
+def _run_streams(spark, name, make_bars):
+    """One streaming query per currency (each with its own watermark), run
+    to completion with an availableNow trigger; the result is read back."""
+    from ..session import scratch_path
+    from ..streaming.ohlc_stream import start_to_parquet
+    root = scratch_path(spark, name)
+    out = None
+    for ccy in CURRENCIES:
+        q = start_to_parquet(make_bars(ccy), f"{root}/{ccy}/data", f"{root}/{ccy}/checkpoint")
+        q.awaitTermination()
+        part = spark.read.parquet(f"{root}/{ccy}/data")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_stream_futures_ohlc(spark, sf_dir):
+    from ..streaming.ohlc_stream import futures_bars_stream
+    ft = fx.future_trades_from(_events_stream(spark, sf_dir))
+    return _run_streams(spark, "stream_futures_ohlc", lambda c: futures_bars_stream(ft, c))
+
+
+def q_stream_index_ohlc(spark, sf_dir):
+    from ..streaming.ohlc_stream import index_bars_stream
+    ev = _events_stream(spark, sf_dir)
+    ft, ot = fx.future_trades_from(ev), fx.option_trades_from(ev)
+    return _run_streams(spark, "stream_index_ohlc", lambda c: index_bars_stream(ft, ot, c))
+
+
+def _midpoint(df):
+    from pyspark.sql import functions as F
+    lo, hi = df.agg(F.min("timestamp"), F.max("timestamp")).first()
+    return lo + (hi - lo) / 2
+
+
+def _incremental(spark, sf_dir, name, run):
+    """Run an update job on the ticks before the midpoint, then on all ticks."""
+    from pyspark.sql import functions as F
+    from ..session import scratch_path
+    path = scratch_path(spark, name)
+    ft, ot = _t(spark, sf_dir, "future_trades"), _t(spark, sf_dir, "option_trades")
+    mid = _midpoint(ft)
+    run(ft.where(F.col("timestamp") < F.lit(mid)), ot.where(F.col("timestamp") < F.lit(mid)), path)
+    run(ft, ot, path)
+    return spark.read.parquet(path)
+
+
+def q_incremental_futures_ohlc(spark, sf_dir):
+    from . import incremental as inc
+    return _incremental(spark, sf_dir, "incremental_futures_ohlc",
+                        lambda ft, ot, p: inc.update_futures_ohlc(spark, ft, p))
+
+
+def q_incremental_index_ohlc(spark, sf_dir):
+    from . import incremental as inc
+    return _incremental(spark, sf_dir, "incremental_index_ohlc",
+                        lambda ft, ot, p: inc.update_index_ohlc(spark, ft, ot, p))
+
+
+def q_incremental_futures_term_structure(spark, sf_dir):
+    from . import incremental as inc
+    ins = _t(spark, sf_dir, "instruments")
+    return _incremental(spark, sf_dir, "incremental_futures_term_structure",
+                        lambda ft, ot, p: inc.update_futures_term_structure(
+                            spark, ft, ins, p, exact=False))
+
+
+def q_incremental_options_term_structure(spark, sf_dir):
+    from . import incremental as inc
+    ins = _t(spark, sf_dir, "instruments")
+    return _incremental(spark, sf_dir, "incremental_options_term_structure",
+                        lambda ft, ot, p: inc.update_options_term_structure(
+                            spark, ot, ins, p, exact=True))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "futures_ohlc_1min": q_futures_ohlc_1min,
     "index_ohlc_1min": q_index_ohlc_1min,
@@ -171,6 +251,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_trades": q_normalize_trades,
     "normalize_option_trades": q_normalize_option_trades,
     "normalize_instruments": q_normalize_instruments,
+    "stream_futures_ohlc": q_stream_futures_ohlc,
+    "stream_index_ohlc": q_stream_index_ohlc,
+    "incremental_futures_ohlc": q_incremental_futures_ohlc,
+    "incremental_index_ohlc": q_incremental_index_ohlc,
+    "incremental_futures_term_structure": q_incremental_futures_term_structure,
+    "incremental_options_term_structure": q_incremental_options_term_structure,
 }
 
 
@@ -382,7 +468,7 @@ def oracle_sql() -> dict[str, str]:
     idx_bars = _with(["future_trades", "option_trades"], _INDEX_BARS)
     fund = _with(["future_trades", "option_trades"], _FUT_BARS, _INDEX_BARS, _FUNDING_VIEW)
     li_cols = ", ".join(_LI_COLS)
-    return {
+    out = {
         "futures_ohlc_1min": fut_bars + "SELECT * FROM fbars",
         "index_ohlc_1min": idx_bars + "SELECT * FROM ibars",
         "spot_ohlc_1min": _spot_sql(False),
@@ -470,3 +556,13 @@ SELECT trade_id, make_timestamp((epoch_us(timestamp) // 1000) * 1000) AS timesta
 FROM option_trades""",
         "normalize_instruments": _with(["instruments"]) + "SELECT * FROM instruments",
     }
+    # Streams and incremental runs must equal the batch operators on the
+    # same closed buckets.
+    for a, b in [("stream_futures_ohlc", "futures_ohlc_1min"),
+                 ("stream_index_ohlc", "index_ohlc_1min"),
+                 ("incremental_futures_ohlc", "futures_ohlc_1min"),
+                 ("incremental_index_ohlc", "index_ohlc_1min"),
+                 ("incremental_futures_term_structure", "futures_term_structure"),
+                 ("incremental_options_term_structure", "options_term_structure")]:
+        out[a] = out[b]
+    return out

@@ -54,7 +54,11 @@ def _ntz(text: str) -> Column:
 def events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the shared derived columns (lazy; pruned by Catalyst)."""
     ensure_utc(spark)
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return map_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def map_events(ev: DataFrame) -> DataFrame:
+    """The shared derived columns; works on a batch or a streaming ``events``."""
     ts = F.timestamp_micros(F.expr(
         f"(unix_micros(cast(ts AS timestamp)) - {ORIGIN_US}) div {TIME_COMPRESSION} + {ORIGIN_US}"
     )).cast("timestamp_ntz")
@@ -85,7 +89,11 @@ def _option_name() -> Column:
 
 
 def future_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events_base(spark, sf_dir).where(F.col("is_future"))
+    return future_trades_from(events_base(spark, sf_dir))
+
+
+def future_trades_from(ev: DataFrame) -> DataFrame:
+    ev = ev.where(F.col("is_future"))
     price = F.col("value") + F.lit(1000.0)
     return ev.select(
         F.col("event_id").cast("string").alias("trade_id"),
@@ -101,7 +109,11 @@ def future_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def option_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events_base(spark, sf_dir).where(~F.col("is_future"))
+    return option_trades_from(events_base(spark, sf_dir))
+
+
+def option_trades_from(ev: DataFrame) -> DataFrame:
+    ev = ev.where(~F.col("is_future"))
     price = F.col("value") / F.lit(1000.0)
     return ev.select(
         F.col("event_id").cast("string").alias("trade_id"),
@@ -118,7 +130,10 @@ def option_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spot_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events_base(spark, sf_dir)
+    return spot_trades_from(events_base(spark, sf_dir))
+
+
+def spot_trades_from(ev: DataFrame) -> DataFrame:
     price = F.col("value") + F.lit(1000.0)
     return ev.select(
         F.col("event_id").cast("string").alias("trade_id"),
