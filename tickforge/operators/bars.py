@@ -66,13 +66,14 @@ def _candle_id(cum: str, volume_bin) -> F.Column:
 
 
 def volume_bars(future_trades: DataFrame, volume_bin, instruments=None, start=None,
-                end=None, chunk_unit: str = "hour") -> DataFrame:
+                end=None, chunk_unit: str = "hour", ordered: bool = False) -> DataFrame:
     """Candles of ``volume_bin`` traded amount per instrument.
 
     ``start``/``end`` (inclusive) restrict the ticks *before* the running
     sum, so candle ids depend on the requested range, as in the reference.
     A tick that lands exactly on a multiple of ``volume_bin`` opens the
-    next candle; ids may skip.
+    next candle; ids may skip.  ``ordered`` sorts by (instrument,
+    candle_id) - a range-partitioned sort of the (small) bar output.
     """
     t = future_trades.select("instrument_name", "timestamp", "price", "amount")
     t = _window_filter(t, "timestamp", instruments, start, end)
@@ -83,12 +84,12 @@ def volume_bars(future_trades: DataFrame, volume_bin, instruments=None, start=No
         F.max("timestamp").alias("ts_end"),
         weighted_mean(F.col("price"), F.col("amount")).alias("vwap"),
         F.count(F.lit(1)).alias("n_trades"),
-    )
-    return bars.select(*VOLUME_BAR_COLUMNS)
+    ).select(*VOLUME_BAR_COLUMNS)
+    return bars.orderBy("instrument_name", "candle_id") if ordered else bars
 
 
 def ohlc_volume_bars(minute_bars: DataFrame, volume_bin, instruments=None, start=None,
-                     end=None, chunk_unit: str = "day") -> DataFrame:
+                     end=None, chunk_unit: str = "day", ordered: bool = False) -> DataFrame:
     """Volume bars assembled from one-minute futures bars.
 
     vwap here is ``sum(close*volume)/sum(volume)`` over the minutes, and
@@ -108,5 +109,5 @@ def ohlc_volume_bars(minute_bars: DataFrame, volume_bin, instruments=None, start
         weighted_mean(F.col("close"), F.col("volume")).alias("vwap"),
         F.sum("volume").alias("volume"),
         F.sum("n_orders").alias("n_orders"),
-    )
-    return bars.select(*OHLC_VOLUME_BAR_COLUMNS)
+    ).select(*OHLC_VOLUME_BAR_COLUMNS)
+    return bars.orderBy("instrument_name", "ts_start") if ordered else bars

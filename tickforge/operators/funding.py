@@ -44,6 +44,13 @@ def realized_funding(futures_bars: DataFrame, index_bars: DataFrame,
             .select(*FUNDING_COLUMNS))
 
 
+def _minutes_covered(start: str, end: str, dtype) -> F.Column:
+    """Minute boundaries m with ``start <= m < end`` (NULL when none)."""
+    first = ceil_minute(F.col(start), dtype)
+    last = last_minute_before(F.col(end), dtype)
+    return F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MINUTE")))
+
+
 def interval_sums(intervals: DataFrame, minutes: DataFrame, keys: list[str],
                   match: list[str], values: list[str], start: str = "ts_start",
                   end: str = "ts_end") -> DataFrame:
@@ -53,13 +60,12 @@ def interval_sums(intervals: DataFrame, minutes: DataFrame, keys: list[str],
     Spark; here each interval is expanded to the minute boundaries it
     covers and equi-joined on (match..., bucket).  Per instrument the
     intervals are disjoint, so the expansion is at most one row per
-    instrument-minute - bounded, never a cross product.
+    instrument-minute - bounded, never a cross product.  Intervals that
+    cover no minute are absent from the result.
     """
     dtype = ts_type(intervals, start)
-    first = ceil_minute(F.col(start), dtype)
-    last = last_minute_before(F.col(end), dtype)
-    mins = F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MINUTE")))
-    ex = intervals.select(*keys, *match, F.explode(mins).alias("bucket"))
+    ex = intervals.select(*keys, *match, F.explode(_minutes_covered(start, end, dtype))
+                          .alias("bucket"))
     m = minutes.select(*match, "bucket", *values)
     return (ex.join(m, match + ["bucket"], "inner")
             .groupBy(*keys)
@@ -68,12 +74,18 @@ def interval_sums(intervals: DataFrame, minutes: DataFrame, keys: list[str],
 
 def funding_volume_bars(future_trades: DataFrame, funding: DataFrame, volume_bin,
                         instruments=None, start=None, end=None,
-                        chunk_unit: str = "hour") -> DataFrame:
+                        chunk_unit: str = "hour", ordered: bool = False) -> DataFrame:
     """Volume bars with the premium and funding of the minutes they span.
 
     Minutes in the gap between one candle's last tick and the next
     candle's first tick, and the minute equal to ``ts_end``, belong to no
     candle (the reference's semantics).  Times are returned as text.
+
+    One pass over the candles: each candle row is expanded to its minutes
+    (``explode_outer`` keeps candles that cover none), left-joined with the
+    funding minutes on (currency, minute) and summed back per candle; the
+    candle's own columns ride along as grouping keys (they are constant
+    per candle), so the tick pipeline is not evaluated twice.
     """
     candles = volume_bars(future_trades, volume_bin, instruments, start, end, chunk_unit)
     candles = candles.withColumn("currency", currency_of())
@@ -82,9 +94,15 @@ def funding_volume_bars(future_trades: DataFrame, funding: DataFrame, volume_bin
         fund = fund.where(F.col("bucket") >= F.lit(start))
     if end is not None:
         fund = fund.where(F.col("bucket") <= F.lit(end))
-    keys = ["instrument_name", "candle_id"]
-    sums = interval_sums(candles, fund, keys, ["currency"], ["diff", "funding"])
-    out = candles.join(sums, keys, "left")
+    dtype = ts_type(candles, "ts_start")
+    cols = ["instrument_name", "candle_id", "ts_start", "ts_end", "vwap", "n_trades", "currency"]
+    ex = candles.select(*cols, F.explode_outer(_minutes_covered("ts_start", "ts_end", dtype))
+                        .alias("bucket"))
+    out = (ex.join(fund, ["currency", "bucket"], "left")
+           .groupBy(*cols)
+           .agg(F.sum("diff").alias("diff"), F.sum("funding").alias("funding")))
+    if ordered:   # by start time, before the times become text
+        out = out.orderBy("instrument_name", "ts_start")
     return out.select(
         "instrument_name",
         format_ts_text(F.col("ts_start")).alias("ts_start"),

@@ -134,7 +134,9 @@ def spot_ohlc_1min(spot_trades: DataFrame, fanout: bool = False,
     ret = ieee_ln(ieee_div(F.col("price"), F.lag("price").over(w)))
     t = t.withColumn("ret2", F.pow(ret, F.lit(2.0)))
     price, amount = F.col("price"), F.col("amount")
-    bars = t.groupBy("bucket", "instrument_name").agg(
+    # Same key order as the window's partitioning: the aggregation then
+    # reuses both its hash partitioning and its sort order.
+    bars = t.groupBy("instrument_name", "bucket").agg(
         F.min("timestamp").alias("first_trade"),
         F.max("timestamp").alias("last_trade"),
         first_by("price", "timestamp", tie_break).alias("open"),

@@ -1,5 +1,5 @@
 """Table-level operations: append (S8), insert-if-absent (S9), resume
-points (S10) and replace (S14)."""
+points (S10), ingest slice (S11) and replace (S14)."""
 
 from __future__ import annotations
 
@@ -103,6 +103,30 @@ def resume_points(trades: DataFrame, currencies: list[str] | None = None,
     return seen.select(by, F.coalesce(F.col("_next"), start).alias("resume_ts"))
 
 
+def ingest_slice(landed: DataFrame, resume: DataFrame, end=None, by: str | None = "currency",
+                 ts: str = "timestamp") -> DataFrame:
+    """The landed rows still to ingest: ``resume <= ts <= end``.
+
+    ``resume`` is the output of `resume_points`: one row per currency (or
+    one global row when ``by`` is None).  It is collected - its size is the
+    number of currencies - and turned into a literal predicate, which the
+    Parquet scan can push down and a date/currency-partitioned table can
+    prune on.  ``end`` is the inclusive upper bound (the reference stops at
+    last midnight UTC).  Rows of currencies absent from ``resume`` are not
+    ingested.
+    """
+    rows = resume.collect()
+    if by is None:
+        pred = F.col(ts) >= F.lit(rows[0]["resume_ts"])
+    else:
+        pred = F.lit(False)
+        for r in rows:
+            pred = pred | ((F.col(by) == F.lit(r[by])) & (F.col(ts) >= F.lit(r["resume_ts"])))
+    if end is not None:
+        pred = pred & (F.col(ts) <= F.lit(end))
+    return landed.where(pred)
+
+
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """``CREATE OR REPLACE TABLE t AS <query over t>``.
 

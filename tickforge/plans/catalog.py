@@ -146,6 +146,20 @@ def q_normalize_option_trades(spark, sf_dir):
     return pages.normalize_trades(page_text, kind="option", currency_col="_currency")
 
 
+def q_normalize_funding(spark, sf_dir):
+    fr = _t(spark, sf_dir, "funding_rates")
+    return pages.normalize_funding(pages.render_funding_pages(fr))
+
+
+def q_ingest_slice(spark, sf_dir):
+    """Landed futures ticks still to ingest, given a store holding the first half."""
+    from pyspark.sql import functions as F
+    ft = _t(spark, sf_dir, "future_trades")
+    stored = ft.where(F.col("timestamp") < F.lit(_midpoint(ft)))
+    resume = tables.resume_points(stored, CURRENCIES)
+    return tables.ingest_slice(ft, resume)
+
+
 def q_normalize_instruments(spark, sf_dir):
     ins = _t(spark, sf_dir, "instruments")
     return pages.normalize_instruments(pages.render_instrument_pages(ins))
@@ -251,6 +265,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_trades": q_normalize_trades,
     "normalize_option_trades": q_normalize_option_trades,
     "normalize_instruments": q_normalize_instruments,
+    "normalize_funding": q_normalize_funding,
+    "ingest_slice": q_ingest_slice,
     "stream_futures_ohlc": q_stream_futures_ohlc,
     "stream_index_ohlc": q_stream_index_ohlc,
     "incremental_futures_ohlc": q_incremental_futures_ohlc,
@@ -555,6 +571,16 @@ SELECT trade_id, make_timestamp((epoch_us(timestamp) // 1000) * 1000) AS timesta
   price, iv, mark_price, amount, index_price, direction, currency
 FROM option_trades""",
         "normalize_instruments": _with(["instruments"]) + "SELECT * FROM instruments",
+        "normalize_funding": _with(["funding_rates"]) + """
+SELECT make_timestamp((epoch_us(timestamp) // 1000) * 1000) AS timestamp, index_price,
+  prev_index_price, interest_8h, interest_1h, instrument_name, currency
+FROM funding_rates""",
+        "ingest_slice": _with(["future_trades"]) + """,
+mid AS (SELECT min(timestamp) + (max(timestamp) - min(timestamp)) / 2 AS m FROM future_trades),
+resume AS (
+  SELECT currency, max(timestamp) + INTERVAL 1 MILLISECOND AS r
+  FROM future_trades, mid WHERE timestamp < mid.m GROUP BY currency)
+SELECT t.* FROM future_trades t JOIN resume USING (currency) WHERE t.timestamp >= resume.r""",
     }
     # Streams and incremental runs must equal the batch operators on the
     # same closed buckets.

@@ -179,3 +179,15 @@ def render_instrument_pages(instruments: DataFrame) -> DataFrame:
            .agg(F.to_json(F.struct(F.collect_list("rec").alias("result"))).alias("page")))
     return (one.select(F.lit(0).alias("source_rank"), "page")
             .unionByName(one.select(F.lit(1).alias("source_rank"), "page")))
+
+
+def render_funding_pages(funding: DataFrame) -> DataFrame:
+    """Funding rows of one perpetual per page, one page per hour."""
+    rec = F.struct(*[(_epoch_ms(F.col(f)) if f == "timestamp" else F.col(f)).alias(f)
+                     for f in FUNDING_FIELDS])
+    keyed = funding.select("instrument_name",
+                           F.date_trunc("hour", F.col("timestamp")).alias("_hour"),
+                           rec.alias("rec"))
+    return (keyed.groupBy("instrument_name", "_hour")
+            .agg(F.to_json(F.struct(F.collect_list("rec").alias("result"))).alias("page"))
+            .select("instrument_name", "page"))
