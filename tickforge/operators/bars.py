@@ -1,28 +1,29 @@
 """Volume ("dollar") bars: tick based (A6) and minute-bar based.
 
-The running volume is a cumulative sum per instrument ordered by time.
-A literal ``sum().over(partitionBy(instrument).orderBy(ts))`` puts a
-whole instrument into one task - a hot perpetual can be a third of all
-ticks.  `running_sum` computes the same numbers in two levels instead:
-
-1. totals per (instrument, chunk), chunk = hour (or day/minute) - an
-   aggregate with map-side combine, tiny output;
-2. running offset over the chunk totals of each instrument (a window
-   over a few rows per hour of history);
-3. a window inside each (instrument, chunk) plus the chunk's offset.
-
-Equal timestamps always share a chunk, so the default RANGE frame
-(peers share the running value) is preserved exactly.
+The running volume is a cumulative sum per instrument ordered by time
+(default RANGE frame: ticks with equal timestamps share one value).  A
+literal ``sum().over(partitionBy(instrument).orderBy(ts))`` puts a whole
+instrument into one task - a hot perpetual can be a third of all ticks.
+Here:
+
+1. ticks with equal (instrument, timestamp) are pre-aggregated (they share
+   the running value and therefore the candle), which also collapses a hot
+   timestamp map-side;
+2. the running sum over these unique points is a segmented scan
+   (`scan.running_sum_points`): range partitions of equal size, a window
+   inside each, and per-segment offsets - no task sees more than one
+   segment, whatever the skew;
+3. candles are an aggregation over the points.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import weighted_mean
+from ..functions.numeric import ieee_div, weighted_mean
 from ..functions.ordering import last_by
-from ..functions.time import truncate, ts_type
+from .scan import running_sum_points
 
 VOLUME_BAR_COLUMNS = ["instrument_name", "ts_start", "ts_end", "candle_id", "vwap", "n_trades"]
 OHLC_VOLUME_BAR_COLUMNS = ["instrument_name", "ts_start", "ts_end", "high", "low", "close",
@@ -30,22 +31,17 @@ OHLC_VOLUME_BAR_COLUMNS = ["instrument_name", "ts_start", "ts_end", "high", "low
 
 
 def running_sum(df: DataFrame, partition_by: list[str], order_col: str, value_col: str,
-                out: str, chunk_unit: str = "hour") -> DataFrame:
-    """``sum(value) OVER (PARTITION BY p ORDER BY order_col)`` without a hot task."""
-    dtype = ts_type(df, order_col)
-    keys = list(partition_by) + ["_chunk"]
-    d = df.withColumn("_chunk", truncate(F.col(order_col), chunk_unit, dtype))
-    totals = d.groupBy(*keys).agg(F.sum(value_col).alias("_chunk_total"))
-    before = (Window.partitionBy(*partition_by).orderBy("_chunk")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*keys, F.sum("_chunk_total").over(before).alias("_offset"))
-    inside = Window.partitionBy(*keys).orderBy(order_col)
-    d = d.join(offsets, keys, "inner").withColumn("_inside", F.sum(value_col).over(inside))
-    s, o = F.col("_inside"), F.col("_offset")
-    # NULL only while no non-NULL value has been seen yet, as in SQL.
-    total = F.when(s.isNull() & o.isNull(), F.lit(None)).otherwise(
-        F.coalesce(o, F.lit(0)) + F.coalesce(s, F.lit(0)))
-    return d.withColumn(out, total).drop("_chunk", "_offset", "_inside")
+                out: str, n_segments: int | None = None) -> DataFrame:
+    """Row-level ``sum(value) OVER (PARTITION BY p ORDER BY order_col)``.
+
+    Peers (equal ``order_col``) are summed first, the running sum runs over
+    the unique points, and every row gets its point's value back by an
+    equi-join on (p, order_col) (AQE splits a hot point's partition).
+    """
+    keys = list(partition_by) + [order_col]
+    points = df.groupBy(*keys).agg(F.sum(value_col).alias("_v"))
+    cum = running_sum_points(points, partition_by, order_col, "_v", out, n_segments)
+    return df.join(cum.drop("_v"), keys, "left")
 
 
 def _window_filter(df: DataFrame, col: str, instruments, start, end) -> DataFrame:
@@ -66,7 +62,7 @@ def _candle_id(cum: str, volume_bin) -> F.Column:
 
 
 def volume_bars(future_trades: DataFrame, volume_bin, instruments=None, start=None,
-                end=None, chunk_unit: str = "hour", ordered: bool = False) -> DataFrame:
+                end=None, ordered: bool = False, n_segments: int | None = None) -> DataFrame:
     """Candles of ``volume_bin`` traded amount per instrument.
 
     ``start``/``end`` (inclusive) restrict the ticks *before* the running
@@ -77,28 +73,34 @@ def volume_bars(future_trades: DataFrame, volume_bin, instruments=None, start=No
     """
     t = future_trades.select("instrument_name", "timestamp", "price", "amount")
     t = _window_filter(t, "timestamp", instruments, start, end)
-    t = running_sum(t, ["instrument_name"], "timestamp", "amount", "cum_volume", chunk_unit)
-    t = t.withColumn("candle_id", _candle_id("cum_volume", volume_bin))
-    bars = t.groupBy("instrument_name", "candle_id").agg(
+    points = t.groupBy("instrument_name", "timestamp").agg(
+        F.sum("amount").alias("amount"),
+        F.sum(F.col("price") * F.col("amount")).alias("pa"),
+        F.count(F.lit(1)).alias("n"))
+    points = running_sum_points(points, ["instrument_name"], "timestamp", "amount",
+                                "cum_volume", n_segments)
+    points = points.withColumn("candle_id", _candle_id("cum_volume", volume_bin))
+    bars = points.groupBy("instrument_name", "candle_id").agg(
         F.min("timestamp").alias("ts_start"),
         F.max("timestamp").alias("ts_end"),
-        weighted_mean(F.col("price"), F.col("amount")).alias("vwap"),
-        F.count(F.lit(1)).alias("n_trades"),
+        ieee_div(F.sum("pa"), F.sum("amount")).alias("vwap"),
+        F.sum("n").alias("n_trades"),
     ).select(*VOLUME_BAR_COLUMNS)
     return bars.orderBy("instrument_name", "candle_id") if ordered else bars
 
 
 def ohlc_volume_bars(minute_bars: DataFrame, volume_bin, instruments=None, start=None,
-                     end=None, chunk_unit: str = "day", ordered: bool = False) -> DataFrame:
+                     end=None, ordered: bool = False, n_segments: int | None = None) -> DataFrame:
     """Volume bars assembled from one-minute futures bars.
 
     vwap here is ``sum(close*volume)/sum(volume)`` over the minutes, and
-    the bar has no ``open`` (as in the reference).
+    the bar has no ``open`` (as in the reference).  Minute bars are unique
+    per (instrument, bucket), so they are the points of the running sum.
     """
     b = minute_bars.select("instrument_name", "bucket", "high", "low", "close", "volume",
                            "n_orders")
     b = _window_filter(b, "bucket", instruments, start, end)
-    b = running_sum(b, ["instrument_name"], "bucket", "volume", "cum_volume", chunk_unit)
+    b = running_sum_points(b, ["instrument_name"], "bucket", "volume", "cum_volume", n_segments)
     b = b.withColumn("candle_id", _candle_id("cum_volume", volume_bin))
     bars = b.groupBy("instrument_name", "candle_id").agg(
         F.min("bucket").alias("ts_start"),

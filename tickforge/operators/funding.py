@@ -74,7 +74,7 @@ def interval_sums(intervals: DataFrame, minutes: DataFrame, keys: list[str],
 
 def funding_volume_bars(future_trades: DataFrame, funding: DataFrame, volume_bin,
                         instruments=None, start=None, end=None,
-                        chunk_unit: str = "hour", ordered: bool = False) -> DataFrame:
+                        ordered: bool = False, n_segments: int | None = None) -> DataFrame:
     """Volume bars with the premium and funding of the minutes they span.
 
     Minutes in the gap between one candle's last tick and the next
@@ -87,7 +87,8 @@ def funding_volume_bars(future_trades: DataFrame, funding: DataFrame, volume_bin
     candle's own columns ride along as grouping keys (they are constant
     per candle), so the tick pipeline is not evaluated twice.
     """
-    candles = volume_bars(future_trades, volume_bin, instruments, start, end, chunk_unit)
+    candles = volume_bars(future_trades, volume_bin, instruments, start, end,
+                          n_segments=n_segments)
     candles = candles.withColumn("currency", currency_of())
     fund = funding.select("bucket", "currency", "diff", "funding")
     if start is not None:
