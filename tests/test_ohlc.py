@@ -110,3 +110,32 @@ def test_spot_single_tick_has_null_variance(spark):
     st = conform(spark.createDataFrame(data, schemas.SPOT_TRADES), schemas.SPOT_TRADES)
     r = ohlc.spot_ohlc_1min(st).first()
     assert r.realized_sq_vol is None and r.realized_sq_vol_vw is None and r.n_orders == 1
+
+
+@pytest.mark.parametrize("n_segments", [1, 5, 13])
+def test_spot_hot_minute_split_across_segments(spark, n_segments):
+    import random
+    rnd = random.Random(11)
+    data = []
+    for i in range(2000):                       # one hot minute, plus a quiet one
+        ms = rnd.randint(0, 59999) // 3 * 3     # equal timestamps, ordered by trade_id
+        price = None if i == 77 else 100.0 + rnd.random() * 10
+        data.append((f"{i:05d}", T0 + timedelta(milliseconds=ms), "BTC_USDT", price, price,
+                     rnd.choice([0.5, 1.0, 2.0]), 0.0, "buy"))
+    data.append(("99999", T0 + timedelta(minutes=1, seconds=5), "BTC_USDT", 101.0, 101.0, 1.0, 0.0, "buy"))
+    st = spark.createDataFrame(data, schemas.SPOT_TRADES)
+    st = st.withColumn("timestamp", st["timestamp"].cast("timestamp_ntz"))
+    got = {r.bucket: r for r in ohlc.spot_ohlc_1min(st, n_segments=n_segments).collect()}
+    hot = sorted((r for r in data if r[1] < T0 + timedelta(minutes=1)), key=lambda r: (r[1], r[0]))
+    rv, rva, tot = 0.0, 0.0, sum(r[5] for r in hot)
+    for prev, cur in zip(hot, hot[1:]):
+        if prev[3] is not None and cur[3] is not None:
+            r2 = math.log(cur[3] / prev[3]) ** 2
+            rv, rva = rv + r2, rva + r2 * cur[5]
+    b = got[T0]
+    assert b.n_orders == 2000 and b.volume == pytest.approx(tot)
+    assert b.realized_sq_vol == pytest.approx(rv, rel=1e-12)
+    assert b.realized_sq_vol_vw == pytest.approx(rva / tot, rel=1e-12)
+    assert b.open == next(r[3] for r in hot if r[3] is not None)
+    assert b.close == hot[-1][3]
+    assert got[T0 + timedelta(minutes=1)].realized_sq_vol is None

@@ -115,7 +115,8 @@ def index_ohlc_1min(future_trades: DataFrame, option_trades: DataFrame, since=No
 
 
 def spot_ohlc_1min(spot_trades: DataFrame, fanout: bool = False,
-                   tie_break: str = "trade_id", unit: str = "minute") -> DataFrame:
+                   tie_break: str = "trade_id", unit: str = "minute",
+                   n_segments: int | None = None) -> DataFrame:
     """A5: spot bars with realized variance of 1-tick log returns.
 
     ``fanout=False`` gives the true per-minute values.  ``fanout=True``
@@ -123,49 +124,82 @@ def spot_ohlc_1min(spot_trades: DataFrame, fanout: bool = False,
     every tick n times in a minute of n ticks: volume = n*sum(amount),
     n_orders = n*n and both variance sums are multiplied by n; OHLC, vwap
     and first/last trade are unchanged.  Both are computed in closed form
-    from one window pass - no self join, no n*n rows.
-
-    One shuffle: the window's partitioning (instrument, minute) is reused
-    by the aggregation that follows.
+    - no self join, no n*n rows.
+
+    The previous-tick return needs the ticks of a minute in order.  So that
+    a hot (instrument, minute) cannot land in one task, the ordered ticks
+    are range-partitioned into segments of about equal size: returns are
+    computed inside each (segment, instrument, minute), every segment is
+    summarised (partial sums, first and last tick), and the one return
+    that crosses each segment boundary is added from a window over the
+    summaries (a few rows per minute).
     """
     t = spot_trades.select("instrument_name", "timestamp", "price", "amount", tie_break)
     t = t.withColumn("bucket", bucket(t, "timestamp", unit))
-    w = Window.partitionBy("instrument_name", "bucket").orderBy("timestamp", tie_break)
-    ret = ieee_ln(ieee_div(F.col("price"), F.lag("price").over(w)))
-    t = t.withColumn("ret2", F.pow(ret, F.lit(2.0)))
-    price, amount = F.col("price"), F.col("amount")
-    # Same key order as the window's partitioning: the aggregation then
-    # reuses both its hash partitioning and its sort order.
-    bars = t.groupBy("instrument_name", "bucket").agg(
+    n_seg = n_segments or int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    t = (t.repartitionByRange(n_seg, "instrument_name", "bucket", "timestamp", tie_break)
+         .withColumn("_seg", F.spark_partition_id()))
+    g = ["_seg", "instrument_name", "bucket"]
+    order = F.struct("timestamp", tie_break)
+    w = Window.partitionBy(*g).orderBy("timestamp", tie_break)
+    t = t.withColumn("ret2", F.pow(ieee_ln(ieee_div(F.col("price"), F.lag("price").over(w))),
+                                   F.lit(2.0)))
+    price, amount, ret2 = F.col("price"), F.col("amount"), F.col("ret2")
+    seg = t.groupBy(*g).agg(
         F.min("timestamp").alias("first_trade"),
         F.max("timestamp").alias("last_trade"),
         first_by("price", "timestamp", tie_break).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
         last_by("price", "timestamp", tie_break).alias("close"),
-        weighted_mean(price, amount).alias("vwap"),
+        F.sum(price * amount).alias("_pa"),
         F.sum(amount).cast("double").alias("_volume"),
         F.count(F.lit(1)).alias("_n"),
-        F.sum("ret2").alias("_rv"),
-        F.sum(F.col("ret2") * amount).alias("_rv_amount"),
-        F.sum(F.when(F.col("ret2").isNotNull(), F.lit(1))).alias("_n_ret"),
+        F.sum(ret2).alias("_rv"),
+        F.sum(ret2 * amount).alias("_rv_amount"),
+        F.count(ret2).alias("_n_ret"),
+        F.min_by(price, order).alias("_first_px"),      # NULL prices included, like LAG
+        F.min_by(amount, order).alias("_first_amount"),
+        F.max_by(price, order).alias("_last_px"),
+    )
+    across = Window.partitionBy("instrument_name", "bucket").orderBy("_seg")
+    seg = seg.withColumn("_b_ret2", F.pow(ieee_ln(ieee_div(
+        F.col("_first_px"), F.lag("_last_px").over(across))), F.lit(2.0)))
+    b = F.col("_b_ret2")
+    bars = seg.groupBy("instrument_name", "bucket").agg(
+        F.min("first_trade").alias("first_trade"),
+        F.max("last_trade").alias("last_trade"),
+        first_by("open", "_seg").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        last_by("close", "_seg").alias("close"),
+        ieee_div(F.sum("_pa"), F.sum("_volume")).alias("vwap"),
+        F.sum("_volume").alias("_volume"),
+        F.sum("_n").alias("_n"),
+        F.sum(F.coalesce(F.col("_rv"), F.lit(0.0)) + F.coalesce(b, F.lit(0.0))).alias("_rv"),
+        F.sum(F.coalesce(F.col("_rv_amount"), F.lit(0.0))
+              + F.coalesce(b * F.col("_first_amount"), F.lit(0.0))).alias("_rv_amount"),
+        F.sum(F.col("_n_ret") + F.when(b.isNotNull(), F.lit(1)).otherwise(F.lit(0)))
+        .alias("_n_ret"),
     )
     n = F.col("_n")
+    has_ret = F.col("_n_ret") > 0
+    rv = F.when(has_ret, F.col("_rv"))
     # Sum of ret2*amount/total over the ticks, with total = sum(amount).
-    rv_vw = F.when(F.col("_n_ret").isNotNull(), ieee_div(F.col("_rv_amount"), F.col("_volume")))
+    rv_vw = F.when(has_ret, ieee_div(F.col("_rv_amount"), F.col("_volume")))
     if fanout:
         bars = bars.select(
             "*",
             (F.col("_volume") * n).alias("volume"),
             (n * n).alias("n_orders"),
-            (F.col("_rv") * n).alias("realized_sq_vol"),
+            (rv * n).alias("realized_sq_vol"),
             (rv_vw * n).alias("realized_sq_vol_vw"))
     else:
         bars = bars.select(
             "*",
             F.col("_volume").alias("volume"),
             n.alias("n_orders"),
-            F.col("_rv").alias("realized_sq_vol"),
+            rv.alias("realized_sq_vol"),
             rv_vw.alias("realized_sq_vol_vw"))
     return bars.select(*SPOT_OHLC_COLUMNS)
 
