@@ -144,26 +144,43 @@ def normalize_instruments(pages: DataFrame, page_col: str = "page",
 
 # ---------------------------------------------------------------------------
 # Rendering tables back into pages (used to exercise the normalisers on
-# data derived from the driver tables; one page per currency and minute,
-# so no page grows with the table).
+# data derived from the driver tables).  Rows are spread over
+# ceil(rows / PAGE_ROWS) pages by a hash of a per-row id, so no page grows
+# with the table or with a hot key, and exact copies of a row still land
+# on different pages.
+
+PAGE_ROWS = 500   # the exchange's page size for trades
 
 
 def _epoch_ms(c: Column) -> Column:
     return F.unix_millis(c.cast("timestamp"))
 
 
+def _paged(df: DataFrame, rec: Column, keys: list[str], wrap) -> DataFrame:
+    n_pages = max(1, -(-df.count() // PAGE_ROWS))
+    page = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_pages))
+    keyed = df.select(*keys, page.alias("_page_no"), rec.alias("rec"))
+    return (keyed.groupBy(*keys, "_page_no")
+            .agg(F.to_json(wrap(F.collect_list("rec"))).alias("page"))
+            .select(*keys, "page"))
+
+
 def render_trade_pages(trades: DataFrame, kind: str) -> DataFrame:
+    """``(_currency, page)`` rows; ``_currency`` is the requested currency."""
     fields = _TRADE_FIELDS[kind]
     rec = F.struct(*[(_epoch_ms(F.col(f)) if f == "timestamp" else F.col(f)).alias(f)
                      for f in fields])
     ccy = F.col("currency") if "currency" in trades.columns else F.lit(None).cast("string")
-    keyed = trades.select(ccy.alias("_currency"),
-                          F.date_trunc("minute", F.col("timestamp")).alias("_page_minute"),
-                          rec.alias("rec"))
-    return (keyed.groupBy("_currency", "_page_minute")
-            .agg(F.to_json(F.struct(F.struct(F.collect_list("rec").alias("trades"))
-                                    .alias("result"))).alias("page"))
-            .select("_currency", "page"))
+    return _paged(trades.withColumn("_currency", ccy), rec, ["_currency"],
+                  lambda lst: F.struct(F.struct(lst.alias("trades")).alias("result")))
+
+
+def render_funding_pages(funding: DataFrame) -> DataFrame:
+    """``(instrument_name, page)`` rows, one perpetual per page."""
+    rec = F.struct(*[(_epoch_ms(F.col(f)) if f == "timestamp" else F.col(f)).alias(f)
+                     for f in FUNDING_FIELDS])
+    return _paged(funding, rec, ["instrument_name"],
+                  lambda lst: F.struct(lst.alias("result")))
 
 
 def render_instrument_pages(instruments: DataFrame) -> DataFrame:
@@ -174,20 +191,6 @@ def render_instrument_pages(instruments: DataFrame) -> DataFrame:
             instruments.schema[name].dataType), F.lit(PERPETUAL_SENT_MS)).otherwise(v)
     rec = F.struct(*[(ms(f) if f.endswith("_timestamp") else F.col(f)).alias(f)
                      for f in schemas.INSTRUMENTS.names])
-    keyed = instruments.select("base_currency", "kind", rec.alias("rec"))
-    one = (keyed.groupBy("base_currency", "kind")
-           .agg(F.to_json(F.struct(F.collect_list("rec").alias("result"))).alias("page")))
+    one = _paged(instruments, rec, ["base_currency"], lambda lst: F.struct(lst.alias("result")))
     return (one.select(F.lit(0).alias("source_rank"), "page")
             .unionByName(one.select(F.lit(1).alias("source_rank"), "page")))
-
-
-def render_funding_pages(funding: DataFrame) -> DataFrame:
-    """Funding rows of one perpetual per page, one page per hour."""
-    rec = F.struct(*[(_epoch_ms(F.col(f)) if f == "timestamp" else F.col(f)).alias(f)
-                     for f in FUNDING_FIELDS])
-    keyed = funding.select("instrument_name",
-                           F.date_trunc("hour", F.col("timestamp")).alias("_hour"),
-                           rec.alias("rec"))
-    return (keyed.groupBy("instrument_name", "_hour")
-            .agg(F.to_json(F.struct(F.collect_list("rec").alias("result"))).alias("page"))
-            .select("instrument_name", "page"))
