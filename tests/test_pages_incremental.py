@@ -84,3 +84,19 @@ def test_incremental_split_equals_one_shot(spark, tmp_path, cut_minutes):
     want = ohlc.futures_ohlc_1min(ft)
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_register_views_sql(spark):
+    from tickforge.plans.sql_views import register_views
+    d = "/root/testdata/sf0.001"
+    ft = fixtures.load(spark, d, "future_trades")
+    ot = fixtures.load(spark, d, "option_trades")
+    names = register_views(spark, {
+        "future_trades": ft,
+        "ohlc_1min_futures": ohlc.futures_ohlc_1min(ft),
+        "ohlc_1min_index": ohlc.index_ohlc_1min(ft, ot),
+        "spot_trades": fixtures.load(spark, d, "spot_trades")})
+    assert {"funding_view", "spot_1min_ohlc"} <= set(names)
+    assert spark.sql("SELECT * FROM ohlc_1min_index WHERE currency = 'BTC' LIMIT 100").count() > 0
+    assert spark.sql("SELECT currency, count(*) FROM funding_view GROUP BY currency").count() == 2
+    assert spark.sql("SELECT max(n_orders) FROM spot_1min_ohlc").first()[0] > 1
