@@ -278,12 +278,12 @@ spot_trades AS (
 )""",
     "instruments": f"""
 instruments AS (
-  SELECT instrument_name, 0.5 AS tick_size, 0.0005 AS taker_commission,
+  SELECT instrument_name, 0.5::DOUBLE AS tick_size, 0.0005::DOUBLE AS taker_commission,
     CASE WHEN perp THEN 'perpetual' ELSE 'month' END AS settlement_period,
-    ccy AS settlement_currency, 'USD' AS quote_currency, 0.0 AS maker_commission,
+    ccy AS settlement_currency, 'USD' AS quote_currency, 0.0::DOUBLE AS maker_commission,
     kind, expiration_timestamp, TIMESTAMP '{CREATION_TIME}' AS creation_timestamp,
     'USD' AS counter_currency,
-    CASE WHEN kind = 'future' THEN 10.0 ELSE 1.0 END AS contract_size,
+    CASE WHEN kind = 'future' THEN 10.0::DOUBLE ELSE 1.0::DOUBLE END AS contract_size,
     ccy AS base_currency
   FROM (
     SELECT DISTINCT
