@@ -139,3 +139,12 @@ def test_spot_hot_minute_split_across_segments(spark, n_segments):
     assert b.open == next(r[3] for r in hot if r[3] is not None)
     assert b.close == hot[-1][3]
     assert got[T0 + timedelta(minutes=1)].realized_sq_vol is None
+
+
+def test_approx_median_option(spark):
+    rows = [(str(i), 1 + i, "BTC-X", float(p), 1, 1.0, "buy", "BTC")
+            for i, p in enumerate([5, 1, 3, 9, 7])] + [("9", 90, "BTC-X", 1.0, 1, 1.0, "buy", "BTC")]
+    b = ohlc.futures_ohlc_1min(_ft(spark, rows), median="approx").first()
+    assert b.median_price == 5.0
+    with pytest.raises(ValueError):
+        ohlc.futures_ohlc_1min(_ft(spark, rows), median="mean")

@@ -40,8 +40,17 @@ def _since(df: DataFrame, since) -> DataFrame:
     return df.where(F.col("timestamp") >= F.lit(since))
 
 
-def futures_bar_aggs(tie_break: str = "trade_id") -> list[Column]:
-    """Aggregate expressions of a futures bar (shared by batch and stream)."""
+def futures_bar_aggs(tie_break: str = "trade_id", median: str = "exact",
+                     median_accuracy: int = 10000) -> list[Column]:
+    """Aggregate expressions of a futures bar (shared by batch and stream).
+
+    ``median="exact"`` is the interpolated median of the reference (its
+    buffer holds one entry per distinct price of the minute);
+    ``median="approx"`` uses ``percentile_approx`` (a fixed-size sketch;
+    returns an observed price, no interpolation).
+    """
+    if median not in ("exact", "approx"):
+        raise ValueError("median must be 'exact' or 'approx'")
     price, amount = F.col("price"), F.col("amount")
     buy, sell = F.col("direction") == "buy", F.col("direction") == "sell"
     buy_amount = F.sum(F.when(buy, amount).otherwise(F.lit(0)))
@@ -63,7 +72,8 @@ def futures_bar_aggs(tie_break: str = "trade_id") -> list[Column]:
         weighted_mean(price, amount).alias("vwap"),
         ieee_div(F.sum(amount * (ieee_div(price, F.col("index_price")) - F.lit(1.0))),
                  F.sum(amount)).alias("vw_diff_index"),
-        F.median(price).alias("median_price"),
+        (F.median(price) if median == "exact"
+         else F.percentile_approx(price, 0.5, median_accuracy)).alias("median_price"),
     ]
 
 
@@ -82,7 +92,8 @@ FUTURES_TICK_COLUMNS = ["instrument_name", "currency", "timestamp", "price", "am
 
 
 def futures_ohlc_1min(future_trades: DataFrame, since=None, closed_only: bool = True,
-                      tie_break: str = "trade_id", unit: str = "minute") -> DataFrame:
+                      tie_break: str = "trade_id", unit: str = "minute",
+                      median: str = "exact") -> DataFrame:
     """A1: per (instrument, currency, minute) bar with flow statistics.
 
     ``closed_only`` drops each currency's newest (still open) minute.
@@ -90,7 +101,8 @@ def futures_ohlc_1min(future_trades: DataFrame, since=None, closed_only: bool =
     """
     t = _since(future_trades, since)
     t = t.select(*FUTURES_TICK_COLUMNS, tie_break, bucket(t, "timestamp", unit).alias("bucket"))
-    bars = t.groupBy("instrument_name", "currency", "bucket").agg(*futures_bar_aggs(tie_break))
+    bars = t.groupBy("instrument_name", "currency", "bucket").agg(
+        *futures_bar_aggs(tie_break, median))
     if closed_only:
         bars = closed_by_own_max(bars, "bucket")
     return bars.select(*FUTURES_OHLC_COLUMNS)

@@ -31,7 +31,7 @@ from ..session import ensure_checkpoint_dir
 
 
 def _read_table(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    ensure_checkpoint_dir(spark)      # new rows are checkpointed before writing
+    ensure_checkpoint_dir(spark)      # insert-if-absent checkpoints before writing
     try:
         df = spark.read.schema(schema).parquet(path)
         df.limit(1).count()
@@ -60,32 +60,29 @@ def resume_filter(stored: DataFrame | None, step: timedelta, ts: str = "timestam
     return pred
 
 
-def update_futures_ohlc(spark: SparkSession, future_trades: DataFrame, path: str) -> int:
-    """Append the new closed one-minute futures bars; returns rows written."""
+def update_futures_ohlc(spark: SparkSession, future_trades: DataFrame, path: str) -> None:
+    """Append the new closed one-minute futures bars.
+
+    The resume bounds are collected literals, so the write plan does not
+    read the table it appends to (no lineage cut needed); Spark's commit
+    protocol makes the append all-or-nothing.
+    """
     dtype = future_trades.schema["timestamp"].dataType
     schema = _with_ts(schemas.OHLC_1MIN_FUTURES, dtype)
     pred = resume_filter(_read_table(spark, path, schema), timedelta(minutes=1))
     ticks = future_trades if pred is None else future_trades.where(pred)
-    new = ohlc.futures_ohlc_1min(ticks).checkpoint(eager=True)
-    n = new.count()
-    if n:
-        append(new, path, schema)
-    return n
+    append(ohlc.futures_ohlc_1min(ticks), path, schema)
 
 
 def update_index_ohlc(spark: SparkSession, future_trades: DataFrame, option_trades: DataFrame,
-                      path: str) -> int:
+                      path: str) -> None:
     """Append the new closed one-minute index bars (futures + options ticks)."""
     dtype = future_trades.schema["timestamp"].dataType
     schema = _with_ts(schemas.OHLC_1MIN_INDEX, dtype)
     pred = resume_filter(_read_table(spark, path, schema), timedelta(minutes=1))
     ft = future_trades if pred is None else future_trades.where(pred)
     ot = option_trades if pred is None else option_trades.where(pred)
-    new = ohlc.index_ohlc_1min(ft, ot).checkpoint(eager=True)
-    n = new.count()
-    if n:
-        append(new, path, schema)
-    return n
+    append(ohlc.index_ohlc_1min(ft, ot), path, schema)
 
 
 def _since_hour(stored: DataFrame | None):
