@@ -99,3 +99,24 @@ def test_ohlc_volume_bars(spark):
     out = sorted(bars.ohlc_volume_bars(mb, 8.0).collect(), key=lambda r: r.ts_start)
     assert [r.volume for r in out] == [4.0, 8.0, 8.0]
     assert out[1].close == 9.0 and out[1].high == 12.0 and out[1].n_orders == 4
+
+
+def test_bars_partition_ticks_and_conserve_volume(spark, small_dir):
+    from tickforge.operators import ohlc
+    from tickforge.sources import fixtures
+    ft = fixtures.load(spark, small_dir, "future_trades")
+    vb = bars.volume_bars(ft, 700, n_segments=5)
+    per_instr = {r.instrument_name: (r.n, r.a) for r in
+                 ft.groupBy("instrument_name").agg(F.count("*").alias("n"),
+                                                   F.sum("amount").alias("a")).collect()}
+    got = {r.instrument_name: r.n for r in
+           vb.groupBy("instrument_name").agg(F.sum("n_trades").alias("n")).collect()}
+    assert got == {k: v[0] for k, v in per_instr.items()}            # every tick in one candle
+    # candles of one instrument are disjoint and ordered like their ids
+    w = Window.partitionBy("instrument_name").orderBy("candle_id")
+    overlap = vb.withColumn("prev_end", F.lag("ts_end").over(w)).where(F.col("ts_start") <= F.col("prev_end"))
+    assert overlap.count() == 0
+    minute = ohlc.futures_ohlc_1min(ft)
+    ob = bars.ohlc_volume_bars(minute, 5000.0, n_segments=3)
+    assert ob.agg(F.sum("volume")).first()[0] == minute.agg(F.sum("volume")).first()[0]
+    assert ob.agg(F.sum("n_orders")).first()[0] == minute.agg(F.sum("n_orders")).first()[0]

@@ -85,7 +85,7 @@ def funding_volume_bars(future_trades: DataFrame, funding: DataFrame, volume_bin
     (``explode_outer`` keeps candles that cover none), left-joined with the
     funding minutes on (currency, minute) and summed back per candle; the
     candle's own columns ride along as grouping keys (they are constant
-    per candle), so the tick pipeline is not evaluated twice.
+    per candle), so the tick-level plan is not evaluated twice.
     """
     candles = volume_bars(future_trades, volume_bin, instruments, start, end,
                           n_segments=n_segments)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import ieee_div, ieee_ln, null_div, weighted_mean
 from ..functions.ordering import first_by, last_by
-from ..functions.time import bucket, plus
+from ..functions.time import bucket
 from .bounds import closed_by_own_max
 
 FUTURES_OHLC_COLUMNS = ["instrument_name", "currency", "bucket", "open", "high", "low",
@@ -214,8 +214,3 @@ def spot_ohlc_1min(spot_trades: DataFrame, fanout: bool = False,
             rv.alias("realized_sq_vol"),
             rv_vw.alias("realized_sq_vol_vw"))
     return bars.select(*SPOT_OHLC_COLUMNS)
-
-
-def next_start(bars: DataFrame, unit: str = "1 MINUTE", by: str = "currency") -> DataFrame:
-    """Resume point of an incremental bar table: ``max(bucket) + 1 unit`` per currency."""
-    return bars.groupBy(by).agg(plus(F.max("bucket"), unit).alias("since"))

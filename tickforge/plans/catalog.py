@@ -279,8 +279,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # ----------------------------------------------------------------------------
 # Oracle side (DuckDB SQL over the driver's views)
 
-_TIE = "row(timestamp, trade_id)"
-
 _FUT_BARS = f"""
 fbounds AS (
   SELECT currency, date_trunc('minute', max(timestamp)) AS bound
