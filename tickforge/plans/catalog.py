@@ -172,15 +172,18 @@ def _events_stream(spark, sf_dir):
 
 
 def _run_streams(spark, name, make_bars):
-    """One streaming query per currency (each with its own watermark), run
-    to completion with an availableNow trigger; the result is read back."""
+    """One streaming query per currency (each with its own watermark), all
+    running concurrently to completion with an availableNow trigger; the
+    result is read back from their sinks."""
     from ..session import scratch_path
     from ..streaming.ohlc_stream import start_to_parquet
     root = scratch_path(spark, name)
+    started = [start_to_parquet(make_bars(ccy), f"{root}/{ccy}/data", f"{root}/{ccy}/checkpoint")
+               for ccy in CURRENCIES]
+    for q in started:
+        q.awaitTermination()
     out = None
     for ccy in CURRENCIES:
-        q = start_to_parquet(make_bars(ccy), f"{root}/{ccy}/data", f"{root}/{ccy}/checkpoint")
-        q.awaitTermination()
         part = spark.read.parquet(f"{root}/{ccy}/data")
         out = part if out is None else out.unionByName(part)
     return out
