@@ -148,3 +148,14 @@ def test_approx_median_option(spark):
     assert b.median_price == 5.0
     with pytest.raises(ValueError):
         ohlc.futures_ohlc_1min(_ft(spark, rows), median="mean")
+
+
+def test_spot_block_of_copies_is_split(spark):
+    data = [("1", T0 + timedelta(seconds=1), "BTC_USDT", 100.0, 100.0, 1.0, 0.0, "buy")]
+    data += [("2", T0 + timedelta(seconds=2), "BTC_USDT", 110.0, 110.0, 1.0, 0.0, "buy")] * 3000
+    data += [("3", T0 + timedelta(seconds=3), "BTC_USDT", 99.0, 99.0, 1.0, 0.0, "buy")]
+    st = spark.createDataFrame(data, schemas.SPOT_TRADES).repartition(6)
+    st = st.withColumn("timestamp", st["timestamp"].cast("timestamp_ntz"))
+    r = ohlc.spot_ohlc_1min(st, n_segments=7).first()
+    assert r.n_orders == 3002
+    assert r.realized_sq_vol == pytest.approx(math.log(1.1) ** 2 + math.log(99 / 110) ** 2)

@@ -146,14 +146,22 @@ def spot_ohlc_1min(spot_trades: DataFrame, fanout: bool = False,
     that crosses each segment boundary is added from a window over the
     summaries (a few rows per minute).
     """
-    t = spot_trades.select("instrument_name", "timestamp", "price", "amount", tie_break)
-    t = t.withColumn("bucket", bucket(t, "timestamp", unit))
+    cols = ["instrument_name", "timestamp", "price", "amount", tie_break]
+    t = spot_trades.select(*cols)
+    # Total order of the ticks: (timestamp, tie_break), then a hash of the
+    # whole row (deterministic among rows that differ), then a row id - so
+    # that even a block of identical copies can be split by range
+    # partitioning (any order of identical copies gives the same returns).
+    t = t.select(*cols, bucket(t, "timestamp", unit).alias("bucket"),
+                 F.xxhash64(*cols).alias("_row_hash"),
+                 F.monotonically_increasing_id().alias("_row_id"))
+    seq = ["timestamp", tie_break, "_row_hash", "_row_id"]
     n_seg = n_segments or int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    t = (t.repartitionByRange(n_seg, "instrument_name", "bucket", "timestamp", tie_break)
+    t = (t.repartitionByRange(n_seg, "instrument_name", "bucket", *seq)
          .withColumn("_seg", F.spark_partition_id()))
     g = ["_seg", "instrument_name", "bucket"]
-    order = F.struct("timestamp", tie_break)
-    w = Window.partitionBy(*g).orderBy("timestamp", tie_break)
+    order = F.struct(*seq)
+    w = Window.partitionBy(*g).orderBy(*seq)
     t = t.withColumn("ret2", F.pow(ieee_ln(ieee_div(F.col("price"), F.lag("price").over(w))),
                                    F.lit(2.0)))
     price, amount, ret2 = F.col("price"), F.col("amount"), F.col("ret2")
