@@ -159,3 +159,12 @@ def test_spot_block_of_copies_is_split(spark):
     r = ohlc.spot_ohlc_1min(st, n_segments=7).first()
     assert r.n_orders == 3002
     assert r.realized_sq_vol == pytest.approx(math.log(1.1) ** 2 + math.log(99 / 110) ** 2)
+
+
+def test_zoned_timestamps_stay_zoned(spark):
+    rows = [("1", T0 + timedelta(seconds=1), "BTC-X", 1.0, 1.0, 1, 1.0, "buy", "BTC"),
+            ("2", T0 + timedelta(seconds=90), "BTC-X", 2.0, 2.0, 1, 1.0, "buy", "BTC")]
+    ft = spark.createDataFrame(rows, schemas.FUTURE_TRADES)           # TIMESTAMP (UTC session)
+    out = ohlc.futures_ohlc_1min(ft)
+    assert out.schema["bucket"].dataType.typeName() == "timestamp"
+    assert out.first().bucket == T0

@@ -146,6 +146,12 @@ def q_normalize_option_trades(spark, sf_dir):
     return pages.normalize_trades(page_text, kind="option", currency_col="_currency")
 
 
+def q_normalize_spot_trades(spark, sf_dir):
+    st = _t(spark, sf_dir, "spot_trades")
+    return pages.normalize_trades(pages.render_trade_pages(st, kind="spot"), kind="spot",
+                                  currency_col=None)
+
+
 def q_normalize_funding(spark, sf_dir):
     fr = _t(spark, sf_dir, "funding_rates")
     return pages.normalize_funding(pages.render_funding_pages(fr))
@@ -268,6 +274,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_trades": q_normalize_trades,
     "normalize_option_trades": q_normalize_option_trades,
     "normalize_instruments": q_normalize_instruments,
+    "normalize_spot_trades": q_normalize_spot_trades,
     "normalize_funding": q_normalize_funding,
     "ingest_slice": q_ingest_slice,
     "stream_futures_ohlc": q_stream_futures_ohlc,
@@ -572,6 +579,10 @@ SELECT trade_id, make_timestamp((epoch_us(timestamp) // 1000) * 1000) AS timesta
   price, iv, mark_price, amount, index_price, direction, currency
 FROM option_trades""",
         "normalize_instruments": _with(["instruments"]) + "SELECT * FROM instruments",
+        "normalize_spot_trades": _with(["spot_trades"]) + """
+SELECT trade_id, make_timestamp((epoch_us(timestamp) // 1000) * 1000) AS timestamp, instrument_name,
+  price, mark_price, amount, index_price, direction
+FROM spot_trades""",
         "normalize_funding": _with(["funding_rates"]) + """
 SELECT make_timestamp((epoch_us(timestamp) // 1000) * 1000) AS timestamp, index_price,
   prev_index_price, interest_8h, interest_1h, instrument_name, currency
