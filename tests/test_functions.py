@@ -16,12 +16,13 @@ def _one(spark, col, data=None, schema="x double"):
 
 def test_ieee_div(spark):
     rows = [(1.0, 0.0), (-2.0, 0.0), (0.0, 0.0), (float("nan"), 0.0), (None, 0.0),
-            (6.0, 3.0), (1.0, None)]
+            (6.0, 3.0), (1.0, None), (1.0, -0.0), (-1.0, -0.0)]
     df = spark.createDataFrame(rows, "a double, b double")
     got = [r[0] for r in df.select(numeric.ieee_div(F.col("a"), F.col("b"))).collect()]
     assert got[0] == math.inf and got[1] == -math.inf
     assert math.isnan(got[2]) and math.isnan(got[3])
     assert got[4] is None and got[5] == 2.0 and got[6] is None
+    assert got[7] == -math.inf and got[8] == math.inf          # signed zero divisor
 
 
 def test_null_div(spark):

@@ -32,13 +32,16 @@ def ieee_div(a, b) -> Column:
     """``a / b`` as double with IEEE results for a zero divisor.
 
     NULL in either operand gives NULL; ``x/0`` is ``+inf``/``-inf`` by the
-    sign of x and ``NaN`` for ``0/0`` and ``NaN/0``.
+    signs of x and of the zero, and ``NaN`` for ``0/0`` and ``NaN/0``.
     """
     a, b = _c(a).cast("double"), _c(b).cast("double")
+    # The sign of a zero divisor (-0.0 == 0.0 in comparisons; its text keeps
+    # the sign).  Only evaluated in the zero-divisor branch.
+    negative_zero = b.cast("string").startswith("-")
     return (F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
             .when(b != 0, a / b)
             .when(F.isnan(a) | (a == 0), _nan())
-            .when(a > 0, _inf())
+            .when((a > 0) != negative_zero, _inf())
             .otherwise(_neg_inf()))
 
 
