@@ -43,14 +43,17 @@ def assert_keys_not_null(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def rows_to_insert(existing: DataFrame, batch: DataFrame, keys: list[str],
-                   order_by: list[str] | None = None) -> DataFrame:
+                   order_by: list[str] | None = None,
+                   assume_unique: bool = False) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet; first row per key wins.
 
     The batch is first reduced to one row per key (an aggregation, so a
     hot key is combined map-side), then anti-joined with the stored keys.
+    ``assume_unique`` skips the reduction for batches whose keys are unique
+    by construction (e.g. the output of a ``groupBy`` on those keys).
     """
     batch = assert_keys_not_null(batch, keys)
-    first = dedup_by_key(batch, keys, order_by)
+    first = batch if assume_unique else dedup_by_key(batch, keys, order_by)
     return first.join(existing.select(*keys), keys, "left_anti").select(*batch.columns)
 
 
@@ -63,7 +66,8 @@ def insert_if_absent(existing: DataFrame, batch: DataFrame, keys: list[str],
 
 def write_if_absent(spark: SparkSession, batch: DataFrame, path: str, keys: list[str],
                     schema: StructType, order_by: list[str] | None = None,
-                    partition_by: list[str] | None = None) -> int:
+                    partition_by: list[str] | None = None,
+                    assume_unique: bool = False) -> int:
     """Append the absent rows of ``batch`` to the Parquet table at ``path``.
 
     The rows to insert are checkpointed (reliable, in ``spark.checkpoint.dir``)
@@ -75,7 +79,8 @@ def write_if_absent(spark: SparkSession, batch: DataFrame, path: str, keys: list
         existing.limit(1).count()
     except Exception:  # no table yet
         existing = spark.createDataFrame([], schema)
-    new = rows_to_insert(existing, conform(batch, schema), keys, order_by).checkpoint(eager=True)
+    new = rows_to_insert(existing, conform(batch, schema), keys, order_by,
+                         assume_unique).checkpoint(eager=True)
     n = new.count()
     if n:
         append(new, path, schema, partition_by)

@@ -99,7 +99,9 @@ def update_futures_term_structure(spark: SparkSession, future_trades: DataFrame,
     schema = _with_ts(schemas.FUTURES_TERM_STRUCTURE, dtype, "ts_hour")
     since = None if exact else _since_hour(_read_table(spark, path, schema))
     new = term_structure.futures_term_structure(future_trades, instruments, since=since)
-    return write_if_absent(spark, new, path, schemas.KEYS["futures_term_structure"], schema)
+    # (hour, currency, bucket, metric) is unique: the rows come from a groupBy + unpivot.
+    return write_if_absent(spark, new, path, schemas.KEYS["futures_term_structure"], schema,
+                           assume_unique=True)
 
 
 def update_options_term_structure(spark: SparkSession, option_trades: DataFrame,
@@ -108,7 +110,8 @@ def update_options_term_structure(spark: SparkSession, option_trades: DataFrame,
     schema = _with_ts(schemas.OPTIONS_TERM_STRUCTURE, dtype, "ts_hour")
     since = None if exact else _since_hour(_read_table(spark, path, schema))
     new = term_structure.options_term_structure(option_trades, instruments, since=since)
-    return write_if_absent(spark, new, path, schemas.KEYS["options_term_structure"], schema)
+    return write_if_absent(spark, new, path, schemas.KEYS["options_term_structure"], schema,
+                           assume_unique=True)
 
 
 def make_aggregates(spark: SparkSession, future_trades: DataFrame, option_trades: DataFrame,
