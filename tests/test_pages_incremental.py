@@ -100,3 +100,31 @@ def test_register_views_sql(spark):
     assert spark.sql("SELECT * FROM ohlc_1min_index WHERE currency = 'BTC' LIMIT 100").count() > 0
     assert spark.sql("SELECT currency, count(*) FROM funding_view GROUP BY currency").count() == 2
     assert spark.sql("SELECT max(n_orders) FROM spot_1min_ohlc").first()[0] > 1
+
+
+@pytest.mark.parametrize("mode", ["resume", "by_trade_id"])
+def test_update_from_landed_pages(spark, tmp_path, mode):
+    """Landed pages (text files) -> ingest -> aggregation phase; re-landing adds nothing."""
+    from tickforge.plans import ingest
+    d = "/root/testdata/sf0.001"
+    ft = fixtures.load(spark, d, "future_trades")
+    ot = fixtures.load(spark, d, "option_trades")
+    ins = fixtures.load(spark, d, "instruments")
+    land = {}
+    for kind, df in [("future", ft), ("option", ot)]:
+        p = str(tmp_path / f"landed_{kind}")
+        pages.render_trade_pages(df, kind).select(F.to_json(F.struct(
+            F.col("_currency").alias("currency"), "page")).alias("v")).write.text(p)
+        raw = spark.read.text(p).select(F.from_json("value", "currency string, page string").alias("r"))
+        land[kind] = raw.select("r.currency", "r.page")
+    land["instruments"] = pages.render_instrument_pages(ins)
+    paths = {t: str(tmp_path / t) for t in schemas.TABLES}
+    ingest.update(spark, land, paths, mode=mode)
+    ingest.update(spark, land, paths, mode=mode)          # same pages again: nothing new
+    stored = spark.read.parquet(paths["future_trades"])
+    assert stored.count() == ft.count()
+    assert spark.read.parquet(paths["instruments"]).count() == ins.count()
+    bars = spark.read.parquet(paths["ohlc_1min_futures"])
+    assert bars.count() == ohlc.futures_ohlc_1min(stored).count()
+    ts = spark.read.parquet(paths["options_term_structure"])
+    assert ts.count() > 0 and ts.select(*schemas.KEYS["options_term_structure"]).distinct().count() == ts.count()
