@@ -105,3 +105,50 @@ def test_options_term_structure_edge_cases_match_duckdb(spark):
                  "instruments": (ins, schemas.INSTRUMENTS)})
     o = con.execute(catalog._options_ts_sql(views=None)).df()
     assert compare(s, o) is None
+
+
+def test_realized_funding_edge_cases_match_duckdb(spark):
+    from tickforge.operators import funding
+    ft_rows = [
+        _trade("1", 1, "BTC-PERPETUAL", 100.01, 1, 100.0, "buy"),     # inside the dead band
+        _trade("2", 61, "BTC-PERPETUAL", 103.0, 1, 100.0, "buy"),     # outside
+        _trade("3", 121, "BTC-PERPETUAL", None, 1, 100.0, "buy"),     # NULL close -> NULL diff
+        _trade("4", 181, "BTC-PERPETUAL", 97.0, 1, 100.0, "buy"),
+        _trade("9", 400, "BTC-29MAR24", 1.0, 1, 100.0, "buy")]
+    opt_rows = [("o1", T0 + timedelta(seconds=400), "BTC-X-1-C", 0.1, 50.0, 0.1, 1.0, 100.0, "buy", "BTC")]
+    ft = _spark_df(spark, ft_rows, schemas.FUTURE_TRADES)
+    ot = _spark_df(spark, opt_rows, schemas.OPTION_TRADES)
+    s = funding.realized_funding(ohlc.futures_ohlc_1min(ft), ohlc.index_ohlc_1min(ft, ot)).toPandas()
+    con = _duck({"future_trades": (ft_rows, schemas.FUTURE_TRADES),
+                 "option_trades": (opt_rows, schemas.OPTION_TRADES)})
+    sql = catalog._with(None, catalog._FUT_BARS, catalog._INDEX_BARS, catalog._FUNDING_VIEW)
+    o = con.execute(sql + "SELECT * FROM fview").df()
+    assert compare(s, o) is None
+    null_minute = s[s.bucket == T0 + timedelta(minutes=2)].iloc[0]
+    assert pd.isna(null_minute["diff"]) and null_minute.funding == 0.0
+
+
+@pytest.mark.parametrize("fanout", [False, True])
+def test_spot_edge_cases_match_duckdb(spark, fanout):
+    rows = [("1", T0 + timedelta(seconds=1), "BTC_USDT", 100.0, 100.0, 0.0, 0.0, "buy"),
+            ("2", T0 + timedelta(seconds=2), "BTC_USDT", 101.0, 101.0, 0.0, 0.0, "buy"),   # zero volume
+            ("3", T0 + timedelta(seconds=70), "BTC_USDT", 101.0, 101.0, 1.0, 0.0, "buy"),  # one tick
+            ("5", T0 + timedelta(seconds=130), "ETH_USDT", 10.0, 10.0, 1.0, 0.0, "buy"),
+            ("4", T0 + timedelta(seconds=130), "ETH_USDT", 11.0, 11.0, 2.0, 0.0, "sell"),  # equal time
+            ("6", T0 + timedelta(seconds=140), "ETH_USDT", 12.0, 12.0, 1.0, 0.0, "sell")]
+    s = ohlc.spot_ohlc_1min(_spark_df(spark, rows, schemas.SPOT_TRADES), fanout=fanout,
+                            n_segments=3).toPandas()
+    con = _duck({"spot_trades": (rows, schemas.SPOT_TRADES)})
+    o = con.execute(catalog._spot_sql(fanout, views=None)).df()
+    assert compare(s, o) is None
+
+
+def test_volume_bars_ties_at_boundary_match_duckdb(spark):
+    rows = [_trade(str(i), sec, "BTC-PERPETUAL", 100.0 + i, amt, 100.0, "buy")
+            for i, (sec, amt) in enumerate([(1, 4), (2, 3), (2, 3), (3, 10), (4, 1), (4, 9), (5, 2)])]
+    from tickforge.operators import bars
+    s = bars.volume_bars(_spark_df(spark, rows, schemas.FUTURE_TRADES), 10, n_segments=4).toPandas()
+    con = _duck({"future_trades": (rows, schemas.FUTURE_TRADES)})
+    o = con.execute(catalog._with(None, catalog._volume_bars_cte(10))
+                    + "SELECT instrument_name, ts_start, ts_end, candle_id, vwap, n_trades FROM candles").df()
+    assert compare(s, o) is None
