@@ -74,10 +74,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint dir for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A fresh folder below the shared checkpoint dir for written tables.
+
+    The checkpoint dir comes back from Spark as a URI (``file:/...``,
+    ``hdfs://...``); a local one is created on disk, a remote one is
+    left to the writer.
+    """
     import uuid
+    from urllib.parse import urlparse
+    base = ensure_checkpoint_dir(spark)
+    u = urlparse(base)
+    if u.scheme in ("", "file"):
+        local = u.path if u.scheme == "file" else base
+        os.makedirs(local, exist_ok=True)
+        return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
