@@ -37,3 +37,24 @@ def test_stream_emits_closed_minutes_and_resumes(spark, tmp_path):
     assert m1.n_orders == 1 and m1.high == 11.0                # late tick ignored
     m3 = second[T0 + timedelta(minutes=3)]
     assert (m3.open, m3.close, m3.n_orders) == (13.0, 14.0, 2)   # tick at 250 s: minute 4, still open
+
+
+def test_one_query_for_all_currencies_closes_on_any_currency(spark, tmp_path):
+    src = str(tmp_path / "src")
+    rows = [("b1", T0 + timedelta(seconds=5), "BTC-PERPETUAL", 1.0, 1.0, 1, 1.0, "buy", "BTC"),
+            ("b2", T0 + timedelta(seconds=300), "BTC-PERPETUAL", 2.0, 2.0, 1, 1.0, "buy", "BTC"),
+            ("e1", T0 + timedelta(seconds=70), "ETH-PERPETUAL", 3.0, 3.0, 1, 1.0, "buy", "ETH")]
+    df = spark.createDataFrame(rows, schemas.FUTURE_TRADES)
+    df.withColumn("timestamp", df["timestamp"].cast("timestamp_ntz")).coalesce(1).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+
+    def run(currency, name):
+        out, ckpt = str(tmp_path / f"{name}_out"), str(tmp_path / f"{name}_ckpt")
+        stream = spark.readStream.schema(schema).parquet(src)
+        start_to_parquet(futures_bars_stream(stream, currency), out, ckpt).awaitTermination()
+        return sorted((r.currency, r.bucket) for r in spark.read.parquet(out).collect())
+
+    # ETH's only minute is its newest: withheld by its own watermark ...
+    assert run("ETH", "eth") == []
+    # ... but closed by BTC's later tick when one query serves all currencies.
+    assert run(None, "all") == [("BTC", T0), ("ETH", T0 + timedelta(minutes=1))]

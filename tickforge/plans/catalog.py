@@ -201,6 +201,18 @@ def q_stream_futures_ohlc(spark, sf_dir):
     return _run_streams(spark, "stream_futures_ohlc", lambda c: futures_bars_stream(ft, c))
 
 
+def q_stream_futures_ohlc_all(spark, sf_dir):
+    """One streaming query for all currencies: a minute closes once a tick of
+    any currency at/after its end is seen (one read of the source)."""
+    from ..session import scratch_path
+    from ..streaming.ohlc_stream import futures_bars_stream, start_to_parquet
+    ft = fx.future_trades_from(_events_stream(spark, sf_dir))
+    root = scratch_path(spark, "stream_futures_ohlc_all")
+    start_to_parquet(futures_bars_stream(ft), f"{root}/data", f"{root}/checkpoint") \
+        .awaitTermination()
+    return spark.read.parquet(f"{root}/data")
+
+
 def q_stream_index_ohlc(spark, sf_dir):
     from ..streaming.ohlc_stream import index_bars_stream
     ev = _events_stream(spark, sf_dir)
@@ -278,6 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_funding": q_normalize_funding,
     "ingest_slice": q_ingest_slice,
     "stream_futures_ohlc": q_stream_futures_ohlc,
+    "stream_futures_ohlc_all": q_stream_futures_ohlc_all,
     "stream_index_ohlc": q_stream_index_ohlc,
     "incremental_futures_ohlc": q_incremental_futures_ohlc,
     "incremental_index_ohlc": q_incremental_index_ohlc,
@@ -598,6 +611,13 @@ resume AS (
   FROM future_trades, mid WHERE timestamp < mid.m GROUP BY currency)
 SELECT t.* FROM future_trades t JOIN resume USING (currency) WHERE t.timestamp >= resume.r""",
     }
+    # One stream for all currencies: the bound is the newest tick of any currency.
+    out["stream_futures_ohlc_all"] = fut_bars.replace(
+        "SELECT currency, date_trunc('minute', max(timestamp)) AS bound\n  FROM future_trades GROUP BY currency",
+        "SELECT currency, (SELECT date_trunc('minute', max(timestamp)) FROM future_trades)"
+        " AS bound\n  FROM future_trades GROUP BY currency"
+    ) + "SELECT * FROM fbars"
+    assert out["stream_futures_ohlc_all"] != out["futures_ohlc_1min"]
     # Streams and incremental runs must equal the batch operators on the
     # same closed buckets.
     for a, b in [("stream_futures_ohlc", "futures_ohlc_1min"),
