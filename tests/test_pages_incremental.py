@@ -58,7 +58,10 @@ def test_ingest_slice(spark):
     resume = spark.createDataFrame([("BTC", T0 + timedelta(minutes=1)), ("ETH", T0)],
                                    "currency string, resume_ts timestamp_ntz")
     got = sorted(tables.ingest_slice(df, resume, end=T0 + timedelta(hours=2)).collect())
-    assert got == [("BTC", T0 + timedelta(hours=1)), ("ETH", T0)]
+    # SOL has nothing stored yet: all of its rows are new
+    assert got == [("BTC", T0 + timedelta(hours=1)), ("ETH", T0), ("SOL", T0)]
+    later = tables.ingest_slice(df, resume, default_start=T0 + timedelta(minutes=5)).collect()
+    assert ("SOL", T0) not in later and ("ETH", T0) in later
 
 
 def test_dedup_table_job(spark, tmp_path):
@@ -128,3 +131,23 @@ def test_update_from_landed_pages(spark, tmp_path, mode):
     assert bars.count() == ohlc.futures_ohlc_1min(stored).count()
     ts = spark.read.parquet(paths["options_term_structure"])
     assert ts.count() > 0 and ts.select(*schemas.KEYS["options_term_structure"]).distinct().count() == ts.count()
+
+
+def test_cli_setup_and_update(spark, tmp_path):
+    from tickforge import __main__ as cli
+    d = "/root/testdata/sf0.001"
+    landed, tbl = tmp_path / "landed", str(tmp_path / "tables")
+    cli.setup(spark, tbl)
+    assert spark.read.parquet(f"{tbl}/ohlc_1min_futures").count() == 0
+    ft = fixtures.load(spark, d, "future_trades")
+    pages.render_trade_pages(ft, "future").select(
+        F.to_json(F.struct(F.col("_currency").alias("currency"), "page")).alias("v")
+    ).write.text(str(landed / "future"))
+    pages.render_trade_pages(fixtures.load(spark, d, "option_trades"), "option").select(
+        F.to_json(F.struct(F.col("_currency").alias("currency"), "page")).alias("v")
+    ).write.text(str(landed / "option"))
+    pages.render_instrument_pages(fixtures.load(spark, d, "instruments")).select(
+        F.to_json(F.struct("source_rank", "page")).alias("v")).write.text(str(landed / "instruments"))
+    cli.update(spark, str(landed), tbl, "resume")
+    assert spark.read.parquet(f"{tbl}/future_trades").count() == ft.count()
+    assert spark.read.parquet(f"{tbl}/ohlc_1min_futures").count() == ohlc.futures_ohlc_1min(ft).count()

@@ -109,22 +109,27 @@ def resume_points(trades: DataFrame, currencies: list[str] | None = None,
 
 
 def ingest_slice(landed: DataFrame, resume: DataFrame, end=None, by: str | None = "currency",
-                 ts: str = "timestamp") -> DataFrame:
+                 ts: str = "timestamp", default_start=None) -> DataFrame:
     """The landed rows still to ingest: ``resume <= ts <= end``.
 
     ``resume`` is the output of `resume_points`: one row per currency (or
     one global row when ``by`` is None).  It is collected - its size is the
     number of currencies - and turned into a literal predicate, which the
     Parquet scan can push down and a date/currency-partitioned table can
-    prune on.  ``end`` is the inclusive upper bound (the reference stops at
-    last midnight UTC).  Rows of currencies absent from ``resume`` are not
-    ingested.
+    prune on.  A currency with no resume row has nothing stored yet: its
+    rows are kept from ``default_start`` on (all of them when None), as the
+    reference starts a new currency from its configured start.  ``end`` is
+    the inclusive upper bound (the reference stops at last midnight UTC).
     """
     rows = resume.collect()
     if by is None:
-        pred = F.col(ts) >= F.lit(rows[0]["resume_ts"])
+        pred = F.col(ts) >= F.lit(rows[0]["resume_ts"]) if rows else F.lit(True)
     else:
-        pred = F.lit(False)
+        known = [r[by] for r in rows]
+        new = F.col(by).isNull() | ~F.col(by).isin(*known) if known else F.lit(True)
+        if default_start is not None:
+            new = new & (F.col(ts) >= F.lit(default_start))
+        pred = new
         for r in rows:
             pred = pred | ((F.col(by) == F.lit(r[by])) & (F.col(ts) >= F.lit(r["resume_ts"])))
     if end is not None:
