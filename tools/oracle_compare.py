@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import os
-from collections import Counter
 
 import duckdb
 
