@@ -212,11 +212,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     queries skip rebuilding the same expressions on the driver.
     """
     ensure_utc(spark)
-    key = (id(spark._jsparkSession), sf_dir, name)
-    df = _PLANS.get(key)
-    if df is None:
-        df = _PLANS[key] = LOADERS[name](spark, sf_dir)
-    return df
+    jss = spark._jsparkSession
+    key = (id(jss), sf_dir, name)
+    hit = _PLANS.get(key)
+    if hit is None or hit[0] is not jss:     # the entry holds its session: ids cannot be reused
+        hit = _PLANS[key] = (jss, LOADERS[name](spark, sf_dir))
+    return hit[1]
 
 
 # ---------------------------------------------------------------------------
