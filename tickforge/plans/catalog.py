@@ -184,7 +184,9 @@ def _run_streams(spark, name, make_bars):
     from ..session import scratch_path
     from ..streaming.ohlc_stream import start_to_parquet
     root = scratch_path(spark, name)
-    started = [start_to_parquet(make_bars(ccy), f"{root}/{ccy}/data", f"{root}/{ccy}/checkpoint")
+    parts = spark.sparkContext.defaultParallelism
+    started = [start_to_parquet(make_bars(ccy), f"{root}/{ccy}/data", f"{root}/{ccy}/checkpoint",
+                                state_partitions=parts)
                for ccy in CURRENCIES]
     for q in started:
         q.awaitTermination()
@@ -208,8 +210,8 @@ def q_stream_futures_ohlc_all(spark, sf_dir):
     from ..streaming.ohlc_stream import futures_bars_stream, start_to_parquet
     ft = fx.future_trades_from(_events_stream(spark, sf_dir))
     root = scratch_path(spark, "stream_futures_ohlc_all")
-    start_to_parquet(futures_bars_stream(ft), f"{root}/data", f"{root}/checkpoint") \
-        .awaitTermination()
+    start_to_parquet(futures_bars_stream(ft), f"{root}/data", f"{root}/checkpoint",
+                     state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return spark.read.parquet(f"{root}/data")
 
 

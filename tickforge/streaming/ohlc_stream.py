@@ -59,11 +59,15 @@ def index_bars_stream(future_trades: DataFrame, option_trades: DataFrame,
 
 def start_to_parquet(bars: DataFrame, path: str, checkpoint: str,
                      available_now: bool = True, processing_time: str | None = None,
-                     query_name: str | None = None) -> StreamingQuery:
+                     query_name: str | None = None,
+                     state_partitions: int | None = None) -> StreamingQuery:
     """Append closed bars to a Parquet table; restartable from ``checkpoint``.
 
     ``checkpoint`` must be on shared storage (e.g. below the cluster's
     ``spark.checkpoint.dir``) so a restarted driver resumes exactly.
+    ``state_partitions`` fixes the number of state-store partitions of a
+    new query (it cannot change later; a restart keeps the stored value);
+    None uses the session's ``spark.sql.shuffle.partitions``.
     """
     w = (bars.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint))
@@ -71,7 +75,15 @@ def start_to_parquet(bars: DataFrame, path: str, checkpoint: str,
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=processing_time or "1 minute")
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    conf = bars.sparkSession.conf
+    previous = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return w.start()     # the query copies the session conf when it starts
+    finally:
+        conf.set("spark.sql.shuffle.partitions", previous)
 
 
 def read_stream_like(spark: SparkSession, batch: DataFrame, folder: str, pattern: str) -> DataFrame:
