@@ -151,3 +151,14 @@ def test_cli_setup_and_update(spark, tmp_path):
     cli.update(spark, str(landed), tbl, "resume")
     assert spark.read.parquet(f"{tbl}/future_trades").count() == ft.count()
     assert spark.read.parquet(f"{tbl}/ohlc_1min_futures").count() == ohlc.futures_ohlc_1min(ft).count()
+
+
+def test_ingest_funding_twice_adds_nothing(spark, tmp_path):
+    from tickforge.plans import ingest
+    fr = fixtures.load(spark, "/root/testdata/sf0.001", "funding_rates")
+    landed = pages.render_funding_pages(fr)
+    path = str(tmp_path / "funding_rates")
+    ingest.ingest_funding(spark, landed, path)
+    first = spark.read.parquet(path).count()
+    ingest.ingest_funding(spark, landed, path)
+    assert first == fr.count() and spark.read.parquet(path).count() == first
