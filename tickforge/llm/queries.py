@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import common as C
-from . import cotraining, quality_rules, token_counts
+from . import cotraining, packing, quality_rules, sharding, token_counts, topk
 
 PIECES = "piece_bpe_32k.model"
+WORDS = "word_bpe_49k.json"
+N_SHARDS = 40
+QUERY_STEP = 50          # rows whose id it divides are the search's queries
 
 
 def vocabulary(name: str) -> str:
@@ -16,6 +20,38 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(C.table(spark, sf_dir, "documents"), N_SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"),
+                         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
+def op5_multi_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(C.table(spark, sf_dir, "documents"), vocabulary(WORDS))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", "tier", "step_group")
+
+
+def op6_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = C.table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors["vec_id"] % QUERY_STEP == 0)
+
+
+OP6_SQL = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % {QUERY_STEP} = 0 AND q.vec_id <> c.vec_id),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
     rules = quality_rules.learn_from(docs, C.table(spark, sf_dir, "labels"))
@@ -33,5 +69,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(C.table(spark, sf_dir, "documents"), vocabulary(PIECES))
 
 
-QUERIES = {f.__name__: f for f in (op8_quality_rules, op9_co_training, op10_token_counts)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op2_virtual_slots, op5_multi_length_packing, op6_norm_buckets,
+    op8_quality_rules, op9_co_training, op10_token_counts)}
+ORACLES: dict[str, str] = {"op6_norm_buckets": OP6_SQL}
