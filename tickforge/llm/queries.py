@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import cotraining, packing, quality_rules, sharding, token_counts, topk
+from . import cotraining, neardup, packing, quality_rules, sharding, token_counts, topk
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
@@ -52,6 +52,36 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op7_minhash_inverted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(C.table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+OP7_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id
+"""
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
     rules = quality_rules.learn_from(docs, C.table(spark, sf_dir, "labels"))
@@ -70,6 +100,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_virtual_slots, op5_multi_length_packing, op6_norm_buckets,
+    op2_virtual_slots, op5_multi_length_packing, op6_norm_buckets, op7_minhash_inverted_join,
     op8_quality_rules, op9_co_training, op10_token_counts)}
-ORACLES: dict[str, str] = {"op6_norm_buckets": OP6_SQL}
+ORACLES: dict[str, str] = {"op6_norm_buckets": OP6_SQL, "op7_minhash_inverted_join": OP7_SQL}
