@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import cotraining, neardup, packing, quality_rules, sharding, token_counts, topk
+from . import cotraining, maxent_lm, neardup, packing, quality_rules, sharding, token_counts, topk
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
@@ -20,6 +20,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents")
+    fold = F.crc32(F.coalesce(docs["doc_id"].cast("string"), F.lit("")).cast("binary")) % 7
+    return maxent_lm.score(docs, fold != 2)
+
+
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(C.table(spark, sf_dir, "documents"), N_SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"),
@@ -100,6 +106,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_virtual_slots, op5_multi_length_packing, op6_norm_buckets, op7_minhash_inverted_join,
+    op1_maxent_lm, op2_virtual_slots, op5_multi_length_packing, op6_norm_buckets, op7_minhash_inverted_join,
     op8_quality_rules, op9_co_training, op10_token_counts)}
 ORACLES: dict[str, str] = {"op6_norm_buckets": OP6_SQL, "op7_minhash_inverted_join": OP7_SQL}
