@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import cotraining, maxent_lm, neardup, packing, quality_rules, sharding, token_counts, topk
+from . import cotraining, maxent_lm, mixing, neardup, packing, quality_rules, sharding, token_counts, toolcalls, topk
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
@@ -32,6 +32,91 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+TOOL_SCHEMAS = """
+SELECT * FROM VALUES
+  ('reply', 'text', 'string', true, 1D, 200D), ('reply', 'turn', 'integer', true, 0D, 1000D), ('reply', 'role', 'string', true, NULL, NULL),
+  ('answer', 'text', 'string', true, 1D, NULL), ('answer', 'turn', 'integer', true, 0D, NULL), ('answer', 'role', 'string', false, NULL, NULL)
+AS schemas(tool, argument, kind, required, least, most)
+"""
+
+
+def op3_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = toolcalls.exchanges(C.table(spark, sf_dir, "conversations"))
+    return toolcalls.link(calls, results, spark.sql(TOOL_SCHEMAS))
+
+
+OP3_SQL = """
+WITH m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+u AS (SELECT DISTINCT conv_id, turn, text FROM m WHERE role = 'user'),
+a AS (SELECT DISTINCT conv_id, turn, text FROM m WHERE role = 'assistant'),
+linked AS (
+  SELECT 'call-' || u.conv_id || '-' || u.turn AS call_id, u.conv_id, u.turn AS seq, u.text,
+         CASE WHEN contains(u.text, '?') THEN 'answer' ELSE 'reply' END AS tool,
+         a.turn AS result_seq, a.text AS output,
+         CASE WHEN a.turn IS NULL THEN 'no_result' ELSE 'ok' END AS status
+  FROM u LEFT JOIN a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1)
+SELECT conv_id, call_id, 0 AS level, seq, status, (result_seq IS NOT NULL)::BIGINT AS n_results,
+       CASE WHEN length(text) < 1 OR (tool = 'reply' AND length(text) > 200) THEN 'range:text' ELSE '' END AS errors,
+       '{"arguments":{"role":"user","text":' || to_json(text)::VARCHAR || ',"turn":' || seq || '},"id":"' || call_id || '"'
+         || CASE WHEN result_seq IS NULL THEN '' ELSE ',"output":' || to_json(output)::VARCHAR || ',"result_seq":' || result_seq END
+         || ',"seq":' || seq || ',"status":"' || status || '","tool":"' || tool || '"}' AS json
+FROM linked
+UNION ALL
+SELECT a.conv_id, 'call-' || a.conv_id || '-' || (a.turn - 1), NULL, a.turn, 'orphan_result', 0, '',
+       '{"id":"call-' || a.conv_id || '-' || (a.turn - 1) || '","output":' || to_json(a.text)::VARCHAR || ',"seq":' || a.turn
+         || ',"status":"orphan_result"}'
+FROM a ANTI JOIN u ON u.conv_id = a.conv_id AND u.turn = a.turn - 1
+"""
+
+
+def op4_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.table(spark, sf_dir, "documents")
+    rows = C.written(docs.select("doc_id", "source", "lang", mixing.topic(docs["text"]).alias("topic"),
+                                 mixing.tokens(docs["text"]).alias("tokens")), "mixing")
+    rates = mixing.calibrated(mixing.cells_of(rows, {d: rows[d] for d in mixing.DIMS}, rows["tokens"]))
+    same = [rows[d].eqNullSafe(rates[d]) for d in mixing.DIMS]
+    p = rates["probability"]
+    return rows.join(rates, same).select(rows["doc_id"], rows["source"], rows["lang"], rows["topic"], rows["tokens"],
+                                         F.round(p, 6).alias("probability"), (mixing.place(rows["doc_id"]) < p).alias("kept"))
+
+
+def _op4_sql() -> str:
+    """The raking unrolled: one step per sweep and dimension, one per round of the scale."""
+    steps = ["""docs AS (
+  SELECT doc_id, source, lang,
+    CASE WHEN contains(coalesce(text, ''), '|') THEN 'table' WHEN contains(coalesce(text, ''), '@') THEN 'contact'
+         WHEN contains(coalesce(text, ''), chr(10)) THEN 'article' ELSE 'note' END AS topic,
+    CASE WHEN coalesce(text, '') = '' THEN 0
+         ELSE length(text) - length(replace(replace(text, ' ', ''), chr(10), '')) + 1 END AS tokens
+  FROM documents)""", "cells AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL)"]
+    for d in mixing.DIMS:
+        steps.append(f"t_{d} AS (SELECT {d} AS v, pow(sum(tokens), {mixing.TEMPER}) AS share FROM cells GROUP BY {d})")
+        steps.append(f"s_{d} AS (SELECT v, share / (SELECT sum(share) FROM t_{d} WHERE share > 0) AS share FROM t_{d})")
+    last, n = "(SELECT *, tokens AS weight FROM cells)", 0
+    for _ in range(mixing.SWEEPS):
+        for d in mixing.DIMS:
+            n += 1
+            steps.append(f"r{n} AS MATERIALIZED (SELECT c.source, c.lang, c.topic, c.tokens, CASE WHEN sum(weight) OVER (PARTITION BY c.{d}) > 0 "
+                         f"THEN weight * s.share / sum(weight) OVER (PARTITION BY c.{d}) ELSE 0 END AS weight "
+                         f"FROM {last} c JOIN s_{d} s ON s.v IS NOT DISTINCT FROM c.{d})")
+            last = f"r{n}"
+    steps.append(f"total AS (SELECT {mixing.BUDGET} * sum(tokens) AS budget FROM cells)")
+    scale = "(SELECT budget FROM total)"
+    for k in range(mixing.CAP_ROUNDS):
+        steps.append(f"k{k} AS MATERIALIZED (SELECT ((SELECT budget FROM total) - coalesce(sum(CASE WHEN weight * {scale} >= tokens THEN tokens END), 0))"
+                     f" / sum(CASE WHEN weight * {scale} < tokens THEN weight END) AS scale FROM {last} WHERE tokens > 0)")
+        scale = f"(SELECT scale FROM k{k})"
+    steps.append(f"p AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(1.0, weight * {scale} / tokens) "
+                 f"ELSE {mixing.BUDGET} END AS probability FROM {last})")
+    place = "('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0"
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, round(p.probability, 6) AS probability, {place} < p.probability AS kept
+FROM docs d JOIN p ON p.source IS NOT DISTINCT FROM d.source AND p.lang IS NOT DISTINCT FROM d.lang AND p.topic = d.topic"""
+
+
+OP4_SQL = _op4_sql()
+
+
 def op5_multi_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(C.table(spark, sf_dir, "documents"), vocabulary(WORDS))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
@@ -106,6 +191,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_maxent_lm, op2_virtual_slots, op5_multi_length_packing, op6_norm_buckets, op7_minhash_inverted_join,
+    op1_maxent_lm, op2_virtual_slots, op3_tool_call_linking, op4_raked_mixing, op5_multi_length_packing, op6_norm_buckets, op7_minhash_inverted_join,
     op8_quality_rules, op9_co_training, op10_token_counts)}
-ORACLES: dict[str, str] = {"op6_norm_buckets": OP6_SQL, "op7_minhash_inverted_join": OP7_SQL}
+ORACLES: dict[str, str] = {"op3_tool_call_linking": OP3_SQL, "op4_raked_mixing": OP4_SQL,
+                           "op6_norm_buckets": OP6_SQL, "op7_minhash_inverted_join": OP7_SQL}
