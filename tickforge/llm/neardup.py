@@ -4,12 +4,12 @@
    a signature of ``COORDINATES`` minima.  Texts with one fingerprint are one
    class; copies never meet in pairs.
 2. A class is posted under its (coordinate, value) pairs.  Two sets at the
-   threshold agree in at least ``MATCHES`` coordinates but for a chance of
-   about one in 10**5, so they share one of the ``COORDINATES - MATCHES + 1``
+   threshold agree in at least ``matches`` coordinates but for a chance of
+   ``MISS``, so they share one of the ``COORDINATES - matches + 1``
    pairs that are rarest in either: only this prefix is joined, and pairs
    that a passage spreads over the corpus stay out of it.
 3. Within a posting list, collisions are counted over the whole signatures;
-   classes with ``MATCHES`` or more are linked, by a spanning forest rather
+   classes with ``matches`` or more are linked, by a spanning forest rather
    than by all pairs.  A list beyond ``BLOCK_ROWS`` is dealt in blocks, and
    every two blocks meet in a task of their own.
 4. The forests' components hold all pairs above the match threshold.  In
@@ -29,6 +29,7 @@ text are read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-COORDINATES, MATCHES = 40, 24
+COORDINATES, MISS = 40, 2e-5   # signature length; chance that a pair at the threshold is not met
 BLOCK_ROWS = 1024            # classes of a posting list or group in one block
 BLOCK_SHINGLES = 400_000     # shingles of a group in one block
 SMALL = 48                   # lists up to this size are compared many at a time
@@ -50,6 +51,16 @@ _FLIP = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64)
 _TIMES = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 
 
+def matches(percent: int) -> int:
+    """The most equal coordinates that a pair at the threshold has but for a chance of MISS."""
+    p, tail = percent / 100, 0.0
+    for t in range(COORDINATES + 1):
+        tail += math.comb(COORDINATES, t) * p ** t * (1 - p) ** (COORDINATES - t)
+        if tail > MISS:
+            return max(t, 1)
+    return COORDINATES
+
+
 class WordHashes(dict):
     def __missing__(self, word):
         n = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -175,52 +186,54 @@ def _edges(rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
-def _collisions(batches):
-    """Spanning forests of the classes of a list that agree in MATCHES coordinates."""
-    pairs_of = {m: np.triu_indices(m, 1) for m in range(2, SMALL + 1)}
-    for table, bounds in _groups(batches, 3):
-        fps = table.column("fp").to_pylist()
-        sig = _rows_of(table.column("sig"), COORDINATES, np.uint32)
-        sizes = np.diff(bounds)
-        seen: dict[bytes, bytes] = {}     # a forest over the whole batch of lists
-        rows: list[tuple[bytes, bytes]] = []
-
-        def root(x):
-            while (up := seen.get(x, x)) != x:
-                seen[x] = x = seen.get(up, up)
-            return x
-
-        def link(x, y):
-            x, y = root(x), root(y)
-            if x != y:
-                x, y = min(x, y), max(x, y)
-                seen[y] = x
-                rows.append((x, y))
-
-        for m in np.unique(sizes[(sizes > 1) & (sizes <= SMALL)]):
-            left, right = pairs_of[int(m)]
-            first = bounds[:-1][sizes == m]
-            step = max(1, 50_000 // len(left))
-            for at in range(0, len(first), step):
-                i = (first[at:at + step, None] + left).ravel()
-                j = (first[at:at + step, None] + right).ravel()
-                agree = np.zeros(len(i), np.int8)
-                for c in range(COORDINATES):   # skip what can no longer reach the threshold
-                    agree += sig[i, c] == sig[j, c]
-                    if c == COORDINATES // 2:
-                        alive = agree + (COORDINATES - 1 - c) >= MATCHES
-                        i, j, agree = i[alive], j[alive], agree[alive]
-                for x, y in zip(i[agree >= MATCHES], j[agree >= MATCHES], strict=True):
-                    link(fps[x], fps[y])
-        for k in np.flatnonzero(sizes > SMALL):
-            a, b = bounds[k], bounds[k + 1]
-            s = np.ascontiguousarray(sig[a:b].T)
-            agree = np.zeros((b - a, b - a), np.int8)
-            for c in range(COORDINATES):
-                agree += s[c][:, None] == s[c][None, :]
-            for x, y in enumerate(components_of(agree >= MATCHES)):
-                link(fps[a + x], fps[a + y])
-        yield _edges(rows)
+def _collisions(needed: int):
+    def run(batches):
+        """Spanning forests of the classes of a list that agree in as many coordinates as needed."""
+        pairs_of = {m: np.triu_indices(m, 1) for m in range(2, SMALL + 1)}
+        for table, bounds in _groups(batches, 3):
+            fps = table.column("fp").to_pylist()
+            sig = _rows_of(table.column("sig"), COORDINATES, np.uint32)
+            sizes = np.diff(bounds)
+            seen: dict[bytes, bytes] = {}     # a forest over the whole batch of lists
+            rows: list[tuple[bytes, bytes]] = []
+
+            def root(x):
+                while (up := seen.get(x, x)) != x:
+                    seen[x] = x = seen.get(up, up)
+                return x
+
+            def link(x, y):
+                x, y = root(x), root(y)
+                if x != y:
+                    x, y = min(x, y), max(x, y)
+                    seen[y] = x
+                    rows.append((x, y))
+
+            for m in np.unique(sizes[(sizes > 1) & (sizes <= SMALL)]):
+                left, right = pairs_of[int(m)]
+                first = bounds[:-1][sizes == m]
+                step = max(1, 50_000 // len(left))
+                for at in range(0, len(first), step):
+                    i = (first[at:at + step, None] + left).ravel()
+                    j = (first[at:at + step, None] + right).ravel()
+                    agree = np.zeros(len(i), np.int8)
+                    for c in range(COORDINATES):   # skip what can no longer reach the threshold
+                        agree += sig[i, c] == sig[j, c]
+                        if c == COORDINATES // 2:
+                            alive = agree + (COORDINATES - 1 - c) >= needed
+                            i, j, agree = i[alive], j[alive], agree[alive]
+                    for x, y in zip(i[agree >= needed], j[agree >= needed], strict=True):
+                        link(fps[x], fps[y])
+            for k in np.flatnonzero(sizes > SMALL):
+                a, b = bounds[k], bounds[k + 1]
+                s = np.ascontiguousarray(sig[a:b].T)
+                agree = np.zeros((b - a, b - a), np.int8)
+                for c in range(COORDINATES):
+                    agree += s[c][:, None] == s[c][None, :]
+                for x, y in enumerate(components_of(agree >= needed)):
+                    link(fps[a + x], fps[a + y])
+            yield _edges(rows)
+    return run
 
 
 def _confirm(percent: int):
@@ -309,7 +322,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     """id, n_shingles, component_id (the smallest id of the group) and kept of every row.
 
     Rows are linked when 100 * intersection >= percent * union of their sets
-    of ``width``-word shingles; ``MATCHES`` is made for 80 percent and more.
+    of ``width``-word shingles.
     """
     rows = C.written(sketch(docs, width, id_col, text_col), "sketch")
     classes = C.written(rows.where("fp is not null").groupBy("fp").agg(
@@ -328,18 +341,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 def _confirmed(docs, classes, width, percent, id_col, text_col) -> DataFrame:
     """Edges (a, b) between class fingerprints whose sets are linked, enough to connect each group."""
     spark = docs.sparkSession
+    needed = matches(percent)
     postings = _postings(classes)
     common = postings.groupBy("pair").agg(F.count("*").alias("df")).where("df > 1")
     mine = Window.partitionBy("fp")
     # pairs that no other class has come first in the prefix and join nothing
     prefix = (postings.join(common, "pair")
               .withColumns({"__n": F.count("*").over(mine), "__k": F.row_number().over(mine.orderBy("df", "pair"))})
-              .where(F.col("__k") + (COORDINATES - F.col("__n")) <= COORDINATES - MATCHES + 1).select("pair", "fp"))
+              .where(F.col("__k") + (COORDINATES - F.col("__n")) <= COORDINATES - needed + 1).select("pair", "fp"))
     prefix = C.written(prefix, "prefix")
     lists = prefix.groupBy("pair").agg(F.count("*").alias("size")).where("size > 1")
     met = prefix.join(lists, "pair").join(classes.select("fp", "sig"), "fp")
     met = _block_pairs(met, F.ceil(F.col("size") / BLOCK_ROWS)).select("pair", "low", "high", "fp", "sig")
-    alike = C.written(components(_in_groups(met, _collisions, ["pair", "low", "high"])), "alike")
+    alike = C.written(components(_in_groups(met, _collisions(needed), ["pair", "low", "high"])), "alike")
 
     # the full sets of the classes that have a candidate
     wanted = alike.select(F.col("node").alias("fp"), "label").join(classes.select("fp", "rep"), "fp")
@@ -362,3 +376,23 @@ def _confirmed(docs, classes, width, percent, id_col, text_col) -> DataFrame:
     sizes = sets.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
     groups = _block_pairs(sets.join(sizes, "label"), F.col("blocks")).select("label", "low", "high", "fp", "set")
     return _in_groups(groups, _confirm(percent), ["label", "low", "high"])
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, one for each id, columns unchanged.
+
+    Rows with a null id cannot be named and stay.  Of rows that share a kept
+    id the greatest stays.
+    """
+    found = near_duplicates(docs, width, percent, id_col, text_col).groupBy(F.col(id_col).alias("__id")).agg(
+        F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    found = C.written(found.where("__id is not null and (not kept or rows > 1)"), "dropped")
+    n, again = found.agg(F.count("*"), F.coalesce(F.sum((F.col("kept")).cast("int")), F.lit(0))).first()
+    away = found.select("__id")
+    rest = docs.join(F.broadcast(away) if n <= BROADCAST_ROWS else away, docs[id_col] == F.col("__id"), "left_anti")
+    if not again:
+        return rest
+    repeated = found.where("kept").select("__id")
+    row = F.struct(*(docs[c] for c in docs.columns))
+    one = docs.join(repeated, docs[id_col] == F.col("__id")).groupBy("__id").agg(F.max(row).alias("__row")).select("__row.*")
+    return rest.unionByName(one)
