@@ -42,14 +42,18 @@ def rebalance(shard_of: np.ndarray, load: np.ndarray, n_shards: int, tolerance:
     """A copy of the map with slots moved (or exchanged) from full to empty shards.
 
     Each step takes the fullest and the emptiest shard and makes the move or
-    exchange that brings both closest to their mean; it ends when they are
-    near equal or no step helps.
+    exchange that brings both closest to their mean.  A shard that no step
+    helps (its smallest slot may be above the mean) is left as it is; it ends
+    when the others are near equal.
     """
     shard_of, load = shard_of.copy(), load.astype(np.int64)
     total = np.bincount(shard_of, load, n_shards).astype(np.int64)
     allowed = tolerance * load.sum() / n_shards
+    open_ = np.ones(n_shards, bool)
     for _ in range(4 * len(load)):
-        high, low = int(np.argmax(total)), int(np.argmin(total))
+        if not open_.any():
+            break
+        high, low = int(np.argmax(np.where(open_, total, -1))), int(np.argmin(total))
         gap = int(total[high] - total[low])
         if gap <= max(allowed, 1):
             break
@@ -69,7 +73,8 @@ def rebalance(shard_of: np.ndarray, load: np.ndarray, n_shards: int, tolerance:
             if np.isfinite(off[i]) and (best is None or off[i] < best[0]):
                 best = float(off[i]), int(mine[i]), int(back_order[k[i]]), int(moved[i])
         if best is None:
-            break
+            open_[high] = False
+            continue
         _, slot, other, moved = best
         shard_of[slot] = low
         if other:
