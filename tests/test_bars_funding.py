@@ -1,4 +1,4 @@
-"""Volume bars, the segmented running sum and the interval join."""
+"""Volume bars, the segmented running sum and funding bars."""
 
 import random
 from datetime import datetime, timedelta
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickforge import schemas
 from tickforge.operators import bars, funding
+from tickforge.operators.scan import running_sum_points
 
 T0 = datetime(2024, 1, 1, 0, 0)
 
@@ -29,11 +30,29 @@ def test_running_sum_equals_global_window(spark):
         rows.append((s, ins, 100.0, rnd.choice([None, 1, 5, 10, 50])))
     df = _ticks(spark, rows).select("trade_id", "instrument_name", "timestamp", "amount")
     for n_segments in (1, 3, 16):
-        got = bars.running_sum(df, ["instrument_name"], "timestamp", "amount", "cum", n_segments)
+        got = running_sum_points(df, ["instrument_name"], "timestamp", "amount", "cum", None, n_segments)
         w = Window.partitionBy("instrument_name").orderBy("timestamp")
-        ref = df.withColumn("ref", F.sum("amount").over(w))
-        bad = got.join(ref, "trade_id").where(~F.col("cum").eqNullSafe(F.col("ref")))
-        assert bad.count() == 0
+        ref = df.withColumn("ref", F.sum("amount").over(w)).select("instrument_name", "timestamp", "ref").distinct()
+        joined = got.join(ref, ["instrument_name", "timestamp"])
+        assert joined.count() == got.count() == ref.count()
+        assert joined.where(~F.col("cum").eqNullSafe(F.col("ref"))).count() == 0
+
+
+def test_running_sum_leaves_no_files_and_shuffles_ticks_once(spark, small_dir, tmp_path):
+    import os
+    from urllib.parse import urlparse
+
+    from tickforge.session import ensure_checkpoint_dir
+    from tickforge.sources import fixtures
+    root = urlparse(ensure_checkpoint_dir(spark)).path
+    before = sorted(os.walk(root))
+    out = bars.volume_bars(fixtures.load(spark, small_dir, "future_trades"), 700, n_segments=5)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    out.collect()
+    assert sorted(os.walk(root)) == before
+    assert plan.count("REPARTITION_BY_NUM") == 1             # the ticks, by (segment, instrument)
+    # what else is shuffled has been summed by segment or candle before
+    assert plan.count("Exchange hashpartitioning") <= 5
 
 
 def test_volume_bar_boundaries(spark):
@@ -57,31 +76,6 @@ def test_volume_bars_range_restarts_sum(spark):
     assert [r.candle_id for r in part] == [0]
 
 
-def test_interval_sums_against_brute_force(spark):
-    rnd = random.Random(3)
-    cands = []
-    t = 0
-    for cid in range(40):
-        start = t + rnd.randint(0, 300)
-        end = start + rnd.randint(0, 900)
-        cands.append(("BTC-PERPETUAL", cid, "BTC", T0 + timedelta(seconds=start),
-                      T0 + timedelta(seconds=end)))
-        t = end
-    minutes = [("BTC", T0 + timedelta(minutes=m), float(m), 1.0) for m in range(0, t // 60 + 2)]
-    cdf = spark.createDataFrame(cands, "instrument_name string, candle_id long, currency string, "
-                                       "ts_start timestamp_ntz, ts_end timestamp_ntz")
-    mdf = spark.createDataFrame(minutes, "currency string, bucket timestamp_ntz, diff double, funding double")
-    got = {(r.candle_id): (r.diff, r.funding) for r in
-           funding.interval_sums(cdf, mdf, ["instrument_name", "candle_id"], ["currency"],
-                                 ["diff", "funding"]).collect()}
-    for _, cid, _, s, e in cands:
-        inside = [m for m in minutes if s <= m[1] < e]
-        if not inside:
-            assert cid not in got
-        else:
-            assert got[cid] == (sum(m[2] for m in inside), float(len(inside)))
-
-
 def test_one_trade_candle_has_zero_funding(spark):
     rows = [(1, "BTC-PERPETUAL", 10.0, 20), (200, "BTC-PERPETUAL", 10.0, 20)]
     fund = spark.createDataFrame([(T0 + timedelta(minutes=m), "BTC", 0.01, 0.001) for m in range(5)],

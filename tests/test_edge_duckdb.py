@@ -15,7 +15,7 @@ import pytest
 from oracle_compare import compare
 from tickforge import schemas
 from tickforge.operators import ohlc, term_structure
-from tickforge.plans import catalog
+from tickforge.plans import oracles
 
 T0 = datetime(2024, 1, 1)
 
@@ -61,7 +61,7 @@ FUT_ROWS = [
 def test_futures_bars_edge_cases_match_duckdb(spark):
     s = ohlc.futures_ohlc_1min(_spark_df(spark, FUT_ROWS, schemas.FUTURE_TRADES)).toPandas()
     con = _duck({"future_trades": (FUT_ROWS, schemas.FUTURE_TRADES)})
-    o = con.execute(catalog._with(None, catalog._FUT_BARS) + "SELECT * FROM fbars").df()
+    o = con.execute(oracles.with_views(None, oracles.futures_minutes()) + "SELECT * FROM future_minutes").df()
     assert compare(s, o) is None
     zero = s[s.bucket == T0].iloc[0]
     assert math.isnan(zero.vwap) and math.isnan(zero.pct_buys_volume)
@@ -85,7 +85,7 @@ def test_futures_term_structure_edge_T_matches_duckdb(spark):
         _spark_df(spark, ins, schemas.INSTRUMENTS)).toPandas()
     con = _duck({"future_trades": (rows, schemas.FUTURE_TRADES),
                  "instruments": (ins, schemas.INSTRUMENTS)})
-    o = con.execute(catalog._futures_ts_sql(views=None)).df()
+    o = con.execute(oracles.futures_hours(views=None)).df()
     assert compare(s, o) is None
 
 
@@ -103,7 +103,7 @@ def test_options_term_structure_edge_cases_match_duckdb(spark):
         _spark_df(spark, ins, schemas.INSTRUMENTS)).toPandas()
     con = _duck({"option_trades": (rows, schemas.OPTION_TRADES),
                  "instruments": (ins, schemas.INSTRUMENTS)})
-    o = con.execute(catalog._options_ts_sql(views=None)).df()
+    o = con.execute(oracles.options_hours(views=None)).df()
     assert compare(s, o) is None
 
 
@@ -121,8 +121,8 @@ def test_realized_funding_edge_cases_match_duckdb(spark):
     s = funding.realized_funding(ohlc.futures_ohlc_1min(ft), ohlc.index_ohlc_1min(ft, ot)).toPandas()
     con = _duck({"future_trades": (ft_rows, schemas.FUTURE_TRADES),
                  "option_trades": (opt_rows, schemas.OPTION_TRADES)})
-    sql = catalog._with(None, catalog._FUT_BARS, catalog._INDEX_BARS, catalog._FUNDING_VIEW)
-    o = con.execute(sql + "SELECT * FROM fview").df()
+    sql = oracles.with_views(None, oracles.futures_minutes(), oracles.index_minutes(), oracles.funding_minutes())
+    o = con.execute(sql + "SELECT * FROM funding_minutes").df()
     assert compare(s, o) is None
     null_minute = s[s.bucket == T0 + timedelta(minutes=2)].iloc[0]
     assert pd.isna(null_minute["diff"]) and null_minute.funding == 0.0
@@ -139,7 +139,7 @@ def test_spot_edge_cases_match_duckdb(spark, fanout):
     s = ohlc.spot_ohlc_1min(_spark_df(spark, rows, schemas.SPOT_TRADES), fanout=fanout,
                             n_segments=3).toPandas()
     con = _duck({"spot_trades": (rows, schemas.SPOT_TRADES)})
-    o = con.execute(catalog._spot_sql(fanout, views=None)).df()
+    o = con.execute(oracles.spot_sql(fanout, views=None)).df()
     assert compare(s, o) is None
 
 
@@ -149,6 +149,6 @@ def test_volume_bars_ties_at_boundary_match_duckdb(spark):
     from tickforge.operators import bars
     s = bars.volume_bars(_spark_df(spark, rows, schemas.FUTURE_TRADES), 10, n_segments=4).toPandas()
     con = _duck({"future_trades": (rows, schemas.FUTURE_TRADES)})
-    o = con.execute(catalog._with(None, catalog._volume_bars_cte(10))
+    o = con.execute(oracles.with_views(None, oracles.candles(10))
                     + "SELECT instrument_name, ts_start, ts_end, candle_id, vwap, n_trades FROM candles").df()
     assert compare(s, o) is None

@@ -4,16 +4,16 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from tickforge.plans import catalog
 
 # Streaming and incremental queries run their writes while building the
 # DataFrame; their operators are the batch ones checked here.
-BATCH = sorted(n for n in entry.queries() if not n.startswith(("stream_", "incremental_")))
+BATCH = sorted(n for n in catalog.QUERIES if not n.startswith(("stream_", "incremental_")))
 
 
 @pytest.mark.parametrize("name", BATCH)
 def test_plan_has_no_nested_loop_cross_or_global_window(spark, small_dir, name):
-    df = entry.queries()[name](spark, small_dir)
+    df = catalog.QUERIES[name](spark, small_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan
     assert "CartesianProduct" not in plan
@@ -23,7 +23,7 @@ def test_plan_has_no_nested_loop_cross_or_global_window(spark, small_dir, name):
 
 
 def test_scans_are_pruned(spark, small_dir):
-    df = entry.queries()["futures_term_structure"](spark, small_dir)
+    df = catalog.QUERIES["futures_term_structure"](spark, small_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert schemas

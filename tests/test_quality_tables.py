@@ -102,20 +102,3 @@ def test_options_unknown_flag_and_delta(spark):
     got = {r.delta_bucket: r.metric_value for r in out.collect()}
     # ATM call delta ~0.52, put ~-0.48 -> both 0.4-0.6; unknown flag -> NULL delta -> 0.8-1
     assert got == {"0.4-0.6": 2.0, "0.8-1": 1.0}
-
-
-def test_join_dimension_falls_back_beyond_bound(spark):
-    from tickforge.operators.joins import fits_broadcast, join_dimension
-    fact = spark.createDataFrame([(i % 3, i) for i in range(30)], "k int, v int")
-    dim = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k int, name string")
-    assert fits_broadcast(dim, 3) and not fits_broadcast(dim, 2)
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hint may broadcast
-    try:
-        small = join_dimension(fact, dim, "k", max_rows=3)
-        big = join_dimension(fact, dim, "k", max_rows=2)
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in big._jdf.queryExecution().executedPlan().toString()
-        assert sorted(small.collect()) == sorted(big.collect()) and big.count() == 30
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)

@@ -18,6 +18,8 @@ import os
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from . import schemas
+from .operators.tables import append, table_exists
+from .plans.ingest import partitions_of
 from .session import build_session
 
 FEEDS = {"future": "currency string, page string", "future_combo": "currency string, page string",
@@ -38,17 +40,22 @@ def _ntz(schema):
 
 def setup(spark, tables: str) -> None:
     for name, path in _paths(tables).items():
-        spark.createDataFrame([], _ntz(schemas.TABLES[name])).write.mode("ignore").parquet(path)
+        empty = spark.createDataFrame([], _ntz(schemas.TABLES[name]))
+        if name.endswith("_trades"):     # the folder; partitions come with the rows
+            if not table_exists(spark, path):
+                append(empty, path, partition_by=partitions_of(name))
+        else:
+            empty.write.mode("ignore").parquet(path)
 
 
-def update(spark, landed: str, tables: str, mode: str) -> None:
+def update(spark, landed: str, tables: str, mode: str, exact: bool = False) -> None:
     from .plans.ingest import update as run
     feeds = {}
     for feed, ddl in FEEDS.items():
         folder = f"{landed.rstrip('/')}/{feed}"
         if "://" in folder or os.path.isdir(folder):
             feeds[feed] = spark.read.schema(ddl).json(folder)
-    run(spark, feeds, _paths(tables), mode=mode)
+    run(spark, feeds, _paths(tables), mode=mode, exact=exact)
 
 
 def main(argv=None) -> None:
@@ -60,12 +67,13 @@ def main(argv=None) -> None:
     u.add_argument("--landed", required=True)
     u.add_argument("--tables", required=True)
     u.add_argument("--mode", choices=["resume", "by_trade_id"], default="resume")
+    u.add_argument("--exact", action="store_true", help="recompute all hours of the term structures")
     args = ap.parse_args(argv)
     spark = build_session()
     if args.command == "setup":
         setup(spark, args.tables)
     else:
-        update(spark, args.landed, args.tables, args.mode)
+        update(spark, args.landed, args.tables, args.mode, args.exact)
 
 
 if __name__ == "__main__":

@@ -2,8 +2,10 @@
 
 The reference's ``arg_min(price, timestamp)`` is insertion-order
 dependent on equal timestamps; here the order is always a total order
-(timestamp first, then a tie-break column such as ``trade_id``).  Rows
-whose value is NULL are skipped, as in the reference engine.
+(timestamp first, then a tie-break column such as ``trade_id`` or a
+stored ``ingest_seq``).  Ids are numbers in text: a shorter one comes
+first, so that "9" is before "10".  Rows whose value is NULL are skipped,
+as in the reference engine.
 """
 
 from __future__ import annotations
@@ -12,6 +14,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def sequence(tie_break: str) -> list[Column]:
+    """Order of ids (text or number): by length, then by value."""
+    return [F.length(F.col(tie_break).cast("string")), F.col(tie_break)]
+
+
 def _key(value: Column, order) -> Column:
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     return F.when(value.isNotNull() & order[0].isNotNull(), F.struct(*order))

@@ -8,6 +8,8 @@ Bucket helpers keep the input's timestamp flavour: zoneless
 
 from __future__ import annotations
 
+from datetime import date, datetime, timezone
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType
@@ -20,6 +22,29 @@ def ts_type(df: DataFrame, name: str) -> DataType:
     return df.schema[name].dataType
 
 
+def ts_literal(value, dtype: DataType) -> Column:
+    """A point in time as a literal of the column's own type.
+
+    ``value`` is UTC text, a datetime (without a zone: UTC) or a Column.  It
+    goes through text, so the driver's own time zone never shifts it, and it
+    is folded to a constant that scans can use.
+    """
+    if isinstance(value, Column):
+        return value.cast(dtype)
+    if isinstance(value, datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(timezone.utc).replace(tzinfo=None)
+        value = value.isoformat(sep=" ")
+    elif isinstance(value, date):
+        value = f"{value.isoformat()} 00:00:00"
+    return F.lit(str(value)).cast(dtype)
+
+
+def as_text(col: Column) -> Column:
+    """The time as UTC text, to be collected: `ts_literal` reads it back."""
+    return col.cast("string")
+
+
 def truncate(col: Column, unit: str, dtype: DataType) -> Column:
     """Start of the ``unit`` ('minute', 'hour', ...) containing ``col``.
 

@@ -6,14 +6,11 @@ literal ``sum().over(partitionBy(instrument).orderBy(ts))`` puts a whole
 instrument into one task - a hot perpetual can be a third of all ticks.
 Here:
 
-1. ticks with equal (instrument, timestamp) are pre-aggregated (they share
-   the running value and therefore the candle), which also collapses a hot
-   timestamp map-side;
-2. the running sum over these unique points is a segmented scan
-   (`scan.running_sum_points`): range partitions of equal size, a window
-   inside each, and per-segment offsets - no task sees more than one
-   segment, whatever the skew;
-3. candles are an aggregation over the points.
+1. the running sum is a segmented scan (`scan.running_sum_points`): time
+   segments of about equal size, one shuffle by (segment, instrument), ticks
+   of equal time summed, a window inside each segment, and per-segment
+   offsets - no task sees more than one segment, whatever the skew;
+2. candles are an aggregation over its points.
 """
 
 from __future__ import annotations
@@ -23,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import ieee_div, weighted_mean
 from ..functions.ordering import last_by
+from ..functions.time import ts_literal, ts_type
 from .scan import running_sum_points
 
 VOLUME_BAR_COLUMNS = ["instrument_name", "ts_start", "ts_end", "candle_id", "vwap", "n_trades"]
@@ -30,28 +28,15 @@ OHLC_VOLUME_BAR_COLUMNS = ["instrument_name", "ts_start", "ts_end", "high", "low
                            "vwap", "volume", "n_orders"]
 
 
-def running_sum(df: DataFrame, partition_by: list[str], order_col: str, value_col: str,
-                out: str, n_segments: int | None = None) -> DataFrame:
-    """Row-level ``sum(value) OVER (PARTITION BY p ORDER BY order_col)``.
-
-    Peers (equal ``order_col``) are summed first, the running sum runs over
-    the unique points, and every row gets its point's value back by an
-    equi-join on (p, order_col) (AQE splits a hot point's partition).
-    """
-    keys = list(partition_by) + [order_col]
-    points = df.groupBy(*keys).agg(F.sum(value_col).alias("_v"))
-    cum = running_sum_points(points, partition_by, order_col, "_v", out, n_segments)
-    return df.join(cum.drop("_v"), keys, "left")
-
-
 def _window_filter(df: DataFrame, col: str, instruments, start, end) -> DataFrame:
     if instruments is not None:
         names = [instruments] if isinstance(instruments, str) else list(instruments)
         df = df.where(F.col("instrument_name").isin(*names))
+    dtype = ts_type(df, col)
     if start is not None:
-        df = df.where(F.col(col) >= F.lit(start))
+        df = df.where(F.col(col) >= ts_literal(start, dtype))
     if end is not None:
-        df = df.where(F.col(col) <= F.lit(end))
+        df = df.where(F.col(col) <= ts_literal(end, dtype))
     return df
 
 
@@ -73,12 +58,9 @@ def volume_bars(future_trades: DataFrame, volume_bin, instruments=None, start=No
     """
     t = future_trades.select("instrument_name", "timestamp", "price", "amount")
     t = _window_filter(t, "timestamp", instruments, start, end)
-    points = t.groupBy("instrument_name", "timestamp").agg(
-        F.sum("amount").alias("amount"),
-        F.sum(F.col("price") * F.col("amount")).alias("pa"),
-        F.count(F.lit(1)).alias("n"))
-    points = running_sum_points(points, ["instrument_name"], "timestamp", "amount",
-                                "cum_volume", n_segments)
+    points = running_sum_points(
+        t, ["instrument_name"], "timestamp", "amount", "cum_volume",
+        [F.sum(F.col("price") * F.col("amount")).alias("pa"), F.count(F.lit(1)).alias("n")], n_segments)
     points = points.withColumn("candle_id", _candle_id("cum_volume", volume_bin))
     bars = points.groupBy("instrument_name", "candle_id").agg(
         F.min("timestamp").alias("ts_start"),
@@ -100,7 +82,9 @@ def ohlc_volume_bars(minute_bars: DataFrame, volume_bin, instruments=None, start
     b = minute_bars.select("instrument_name", "bucket", "high", "low", "close", "volume",
                            "n_orders")
     b = _window_filter(b, "bucket", instruments, start, end)
-    b = running_sum_points(b, ["instrument_name"], "bucket", "volume", "cum_volume", n_segments)
+    # one bar per (instrument, bucket): any row's values are the point's
+    b = running_sum_points(b, ["instrument_name"], "bucket", "volume", "cum_volume",
+                           [F.max(c).alias(c) for c in ("high", "low", "close", "n_orders")], n_segments)
     b = b.withColumn("candle_id", _candle_id("cum_volume", volume_bin))
     bars = b.groupBy("instrument_name", "candle_id").agg(
         F.min("bucket").alias("ts_start"),

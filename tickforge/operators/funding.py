@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dead_band_funding, ieee_div, ieee_ln
-from ..functions.time import ceil_minute, format_ts_text, last_minute_before, ts_type
+from ..functions.time import ceil_minute, format_ts_text, last_minute_before, ts_literal, ts_type
 from .bars import volume_bars
 
 # The perpetuals the reference's funding view covers by
@@ -45,33 +45,18 @@ def realized_funding(futures_bars: DataFrame, index_bars: DataFrame,
 
 
 def _minutes_covered(start: str, end: str, dtype) -> F.Column:
-    """Minute boundaries m with ``start <= m < end`` (NULL when none)."""
+    """Minute boundaries m with ``start <= m < end`` (NULL when none).
+
+    A range join (``m >= start AND m < end``) plans as a nested loop; each
+    candle is expanded to the minutes it covers and equi-joined instead.  Per
+    instrument the candles are disjoint, so this is at most one row per
+    instrument and minute.
+    """
     first = ceil_minute(F.col(start), dtype)
     last = last_minute_before(F.col(end), dtype)
     return F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MINUTE")))
 
 
-def interval_sums(intervals: DataFrame, minutes: DataFrame, keys: list[str],
-                  match: list[str], values: list[str], start: str = "ts_start",
-                  end: str = "ts_end") -> DataFrame:
-    """Sum minute rows falling in ``[start, end)`` of each interval.
-
-    A range join (``m >= start AND m < end``) plans as a nested loop in
-    Spark; here each interval is expanded to the minute boundaries it
-    covers and equi-joined on (match..., bucket).  Per instrument the
-    intervals are disjoint, so the expansion is at most one row per
-    instrument-minute - bounded, never a cross product.  Intervals that
-    cover no minute are absent from the result.
-    """
-    dtype = ts_type(intervals, start)
-    ex = intervals.select(*keys, *match, F.explode(_minutes_covered(start, end, dtype))
-                          .alias("bucket"))
-    m = minutes.select(*match, "bucket", *values)
-    return (ex.join(m, match + ["bucket"], "inner")
-            .groupBy(*keys)
-            .agg(*[F.sum(v).alias(v) for v in values]))
-
-
 def funding_volume_bars(future_trades: DataFrame, funding: DataFrame, volume_bin,
                         instruments=None, start=None, end=None,
                         ordered: bool = False, n_segments: int | None = None) -> DataFrame:
@@ -91,10 +76,11 @@ def funding_volume_bars(future_trades: DataFrame, funding: DataFrame, volume_bin
                           n_segments=n_segments)
     candles = candles.withColumn("currency", currency_of())
     fund = funding.select("bucket", "currency", "diff", "funding")
+    dtype = ts_type(fund, "bucket")
     if start is not None:
-        fund = fund.where(F.col("bucket") >= F.lit(start))
+        fund = fund.where(F.col("bucket") >= ts_literal(start, dtype))
     if end is not None:
-        fund = fund.where(F.col("bucket") <= F.lit(end))
+        fund = fund.where(F.col("bucket") <= ts_literal(end, dtype))
     dtype = ts_type(candles, "ts_start")
     cols = ["instrument_name", "candle_id", "ts_start", "ts_end", "vwap", "n_trades", "currency"]
     ex = candles.select(*cols, F.explode_outer(_minutes_covered("ts_start", "ts_end", dtype))

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ieee_div, ieee_ln, null_div, weighted_mean
-from ..functions.ordering import first_by, last_by
-from ..functions.time import bucket
+from ..functions.ordering import first_by, last_by, sequence
+from ..functions.time import bucket, ts_literal, ts_type
 from .bounds import closed_by_own_max
 
 FUTURES_OHLC_COLUMNS = ["instrument_name", "currency", "bucket", "open", "high", "low",
@@ -28,16 +28,15 @@ SPOT_OHLC_COLUMNS = ["bucket", "instrument_name", "first_trade", "last_trade", "
 def _since(df: DataFrame, since) -> DataFrame:
     """Keep ticks at/after a start bound.
 
-    ``since`` is None, a literal timestamp (pushed down to the Parquet
+    ``since`` is None, a literal timestamp (UTC; pushed down to the Parquet
     scan), or a DataFrame ``(currency, since)`` of per-currency bounds.
     """
     if since is None:
         return df
     if isinstance(since, DataFrame):
-        return (df.join(F.broadcast(since.select("currency", F.col("since").alias("_since"))),
-                        "currency")
+        return (df.join(since.select("currency", F.col("since").alias("_since")), "currency")
                 .where(F.col("timestamp") >= F.col("_since")).drop("_since"))
-    return df.where(F.col("timestamp") >= F.lit(since))
+    return df.where(F.col("timestamp") >= ts_literal(since, ts_type(df, "timestamp")))
 
 
 def futures_bar_aggs(tie_break: str = "trade_id", median: str = "exact",
@@ -57,10 +56,10 @@ def futures_bar_aggs(tie_break: str = "trade_id", median: str = "exact",
     sell_amount = F.sum(F.when(sell, amount).otherwise(F.lit(0)))
     n = F.count(F.lit(1))
     return [
-        first_by("price", "timestamp", tie_break).alias("open"),
+        first_by("price", "timestamp", *sequence(tie_break)).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
-        last_by("price", "timestamp", tie_break).alias("close"),
+        last_by("price", "timestamp", *sequence(tie_break)).alias("close"),
         F.sum(amount).cast("double").alias("volume"),
         n.alias("n_orders"),
         ieee_div(F.count(F.when(buy, F.lit(1))) * F.lit(100.0), n).alias("pct_buys_count"),
@@ -79,10 +78,10 @@ def futures_bar_aggs(tie_break: str = "trade_id", median: str = "exact",
 
 def index_bar_aggs(tie_break: str = "trade_id") -> list[Column]:
     return [
-        first_by("index_price", "timestamp", tie_break).alias("open"),
+        first_by("index_price", "timestamp", *sequence(tie_break)).alias("open"),
         F.max("index_price").alias("high"),
         F.min("index_price").alias("low"),
-        last_by("index_price", "timestamp", tie_break).alias("close"),
+        last_by("index_price", "timestamp", *sequence(tie_break)).alias("close"),
         F.count(F.lit(1)).alias("obs"),
     ]
 
@@ -148,14 +147,14 @@ def spot_ohlc_1min(spot_trades: DataFrame, fanout: bool = False,
     """
     cols = ["instrument_name", "timestamp", "price", "amount", tie_break]
     t = spot_trades.select(*cols)
-    # Total order of the ticks: (timestamp, tie_break), then a hash of the
+    # Total order of the ticks: (timestamp, tie_break by length and value), then a hash of the
     # whole row (deterministic among rows that differ), then a row id - so
     # that even a block of identical copies can be split by range
     # partitioning (any order of identical copies gives the same returns).
-    t = t.select(*cols, bucket(t, "timestamp", unit).alias("bucket"),
+    t = t.select(*cols, bucket(t, "timestamp", unit).alias("bucket"), sequence(tie_break)[0].alias("_tie_length"),
                  F.xxhash64(*cols).alias("_row_hash"),
                  F.monotonically_increasing_id().alias("_row_id"))
-    seq = ["timestamp", tie_break, "_row_hash", "_row_id"]
+    seq = ["timestamp", "_tie_length", tie_break, "_row_hash", "_row_id"]
     n_seg = n_segments or int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     t = (t.repartitionByRange(n_seg, "instrument_name", "bucket", *seq)
          .withColumn("_seg", F.spark_partition_id()))
@@ -168,10 +167,10 @@ def spot_ohlc_1min(spot_trades: DataFrame, fanout: bool = False,
     seg = t.groupBy(*g).agg(
         F.min("timestamp").alias("first_trade"),
         F.max("timestamp").alias("last_trade"),
-        first_by("price", "timestamp", tie_break).alias("open"),
+        first_by("price", "timestamp", *sequence(tie_break)).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
-        last_by("price", "timestamp", tie_break).alias("close"),
+        last_by("price", "timestamp", *sequence(tie_break)).alias("close"),
         F.sum(price * amount).alias("_pa"),
         F.sum(amount).cast("double").alias("_volume"),
         F.count(F.lit(1)).alias("_n"),

@@ -1,63 +1,78 @@
-"""Ordered scans (running sums, previous value) that no hot group can skew.
-
-A window ``PARTITION BY instrument ORDER BY ts`` - or by (instrument,
-hour), or (instrument, minute) - sends every row of one window partition
-to one task.  If one instrument or one time bucket holds a third of all
-rows, that task gets a third of the data.  Here the ordered rows are cut
-into *segments* by row count instead of by key:
-
-1. ``repartitionByRange`` samples the (key, order) distribution and
-   assigns contiguous key ranges to partitions of about equal size; a hot
-   key range is split over many partitions.
-2. The partition id becomes the segment id ``_seg`` and is fixed by a
-   reliable ``checkpoint()`` (in ``spark.checkpoint.dir``), so every later
-   use sees the same segments even after a lost executor.
-3. Within each (segment, key) - bounded by the segment size - an ordinary
-   window computes the local result.
-4. Segment boundaries are stitched with a table of one row per (segment,
-   key): its size is bounded by the number of segments plus the number of
-   keys, not by the row count.
+"""Running sums that no hot group can skew.
+
+A window ``PARTITION BY instrument ORDER BY ts`` sends every row of one
+instrument to one task; a hot perpetual can hold a third of all rows.  Here
+time is cut into *segments*:
+
+1. approximate quantiles of the order column (one scan of that column, at
+   most ``n_segments - 1`` values collected) are the split points;
+2. the segment ``_seg`` of a row is an expression over its time and these
+   constants, so it is the same whenever it is computed again;
+3. the rows are shuffled once, by (segment, key); peers are summed and an
+   ordinary window runs inside each - at most a segment's rows in one task;
+4. the sums of the segments before are added from a table of one row per
+   (segment, key).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from .joins import join_dimension
+QUANTILE_ACCURACY = 2000     # of the split points: segments differ by 1/2000 of the rows
 
 
-def segment(df: DataFrame, order_keys: list[str], n_segments: int | None = None) -> DataFrame:
-    """Range-partition by ``order_keys`` and pin the partition id as ``_seg``.
+def _micros(col: Column) -> Column:
+    return F.unix_micros(col.cast("timestamp"))
 
-    Segment i holds keys strictly before those of segment j > i.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = n_segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_keys).withColumn("_seg", F.spark_partition_id())
-    return ranged.checkpoint(eager=True)
+
+def split_points(df: DataFrame, order_col: str, n_segments: int) -> list[int]:
+    """Approximate quantiles of a time column, in microseconds; a bounded list."""
+    if n_segments < 2:
+        return []
+    shares = [i / n_segments for i in range(1, n_segments)]
+    points = df.agg(F.percentile_approx(_micros(F.col(order_col)), shares, QUANTILE_ACCURACY)).first()[0]
+    return sorted(set(points or []))
+
+
+def segment_of(order_col: str, points: list[int]) -> Column:
+    """Number of split points before the row's time (a balanced tree of comparisons)."""
+    value = _micros(F.col(order_col))
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(value <= F.lit(points[mid]), between(low, mid)).otherwise(between(mid + 1, high))
+
+    return between(0, len(points))
 
 
-def running_sum_points(points: DataFrame, partition_by: list[str], order_col: str,
-                       value_col: str, out: str, n_segments: int | None = None) -> DataFrame:
-    """``sum(value) OVER (PARTITION BY p ORDER BY order_col)`` on rows whose
-    (p, order_col) is unique (pre-aggregate peers first: in the default
-    RANGE frame equal order values share one running value anyway).
+def running_sum_points(rows: DataFrame, partition_by: list[str], order_col: str, value_col: str,
+                       out: str, aggs: list[Column] | None = None,
+                       n_segments: int | None = None) -> DataFrame:
+    """``sum(value) OVER (PARTITION BY p ORDER BY order_col)`` per point.
 
-    NULL while no non-NULL value has been seen yet, as in SQL.
+    A point is a distinct (p, order_col): in the default RANGE frame equal
+    order values share one running value.  ``aggs`` are the point's other
+    aggregates; ``value_col`` becomes the point's sum.  NULL while no
+    non-NULL value has been seen yet, as in SQL.
     """
-    seg = segment(points, list(partition_by) + [order_col], n_segments)
-    keys = ["_seg"] + list(partition_by)
-    local = seg.withColumn("_local", F.sum(value_col).over(
-        Window.partitionBy(*keys).orderBy(order_col)))
+    n = n_segments or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["_seg", *partition_by]
+    seg = rows.withColumn("_seg", segment_of(order_col, split_points(rows, order_col, n)))
+    points = seg.repartition(n, *keys).groupBy(*keys, order_col).agg(F.sum(value_col).alias(value_col), *(aggs or []))
+    local = points.withColumn("_local", F.sum(value_col).over(Window.partitionBy(*keys).orderBy(order_col)))
     totals = seg.groupBy(*keys).agg(F.sum(value_col).alias("_seg_total"))
     before = (Window.partitionBy(*partition_by).orderBy("_seg")
               .rowsBetween(Window.unboundedPreceding, -1))
+    # one row per (segment, key)
     offsets = totals.select(*keys, F.sum("_seg_total").over(before).alias("_offset"))
-    # One row per (segment, key): at most segments + keys rows (checked).
-    joined = join_dimension(local, offsets, keys, "inner")
+    same = None
+    for k in keys:
+        one = F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}"))
+        same = one if same is None else same & one
+    joined = local.alias("l").join(offsets.alias("o"), same).select("l.*", "o._offset")
     s, o = F.col("_local"), F.col("_offset")
     total = F.when(s.isNull() & o.isNull(), F.lit(None)).otherwise(
         F.coalesce(o, F.lit(0)) + F.coalesce(s, F.lit(0)))

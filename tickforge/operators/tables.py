@@ -3,17 +3,46 @@ points (S10), ingest slice (S11) and replace (S14)."""
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.time import plus
+from ..functions.time import as_text, plus, ts_literal
+from ..session import ensure_utc
 from .quality import dedup_by_key
 
 # Fixed value: history start used when a table holds nothing yet.
 DEFAULT_START = datetime(2022, 10, 1, 0, 0, 0)
+# Derived partition column of the tick tables.
+DATE = "trade_date"
+TICK_PARTITIONS = ["currency", DATE]
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder is there; every other failure is an error."""
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The stored table, empty if it was never written.
+
+    The schema is given, not inferred.  A folder that exists but cannot be
+    read stops the job: taking it for empty would store its rows again.
+    """
+    ensure_utc(spark)
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -22,13 +51,19 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def append(df: DataFrame, path: str, schema: StructType | None = None,
-           partition_by: list[str] | None = None) -> None:
-    """Append rows (no key check)."""
+           partition_by: list[str] | None = None, ts: str = "timestamp") -> None:
+    """Append rows (no key check).
+
+    ``partition_by`` may name ``trade_date``, the day of ``ts``.  Whether a
+    failed append leaves rows behind depends on the output committer.
+    """
     out = conform(df, schema) if schema is not None else df
-    w = out.write.mode("append")
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        if DATE in partition_by and DATE not in out.columns:
+            out = out.withColumn(DATE, F.to_date(F.col(ts)))
+        out.write.mode("append").partitionBy(*partition_by).parquet(path)
+    else:
+        out.write.mode("append").parquet(path)
 
 
 def assert_keys_not_null(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -74,15 +109,10 @@ def write_if_absent(spark: SparkSession, batch: DataFrame, path: str, keys: list
     before the append, because the plan reads the table it writes to.
     Single writer per table.  Returns the number of rows appended.
     """
-    try:
-        existing = spark.read.schema(schema).parquet(path)
-        existing.limit(1).count()
-    except Exception:  # no table yet
-        existing = spark.createDataFrame([], schema)
-    new = rows_to_insert(existing, conform(batch, schema), keys, order_by,
+    new = rows_to_insert(read_table(spark, path, schema), conform(batch, schema), keys, order_by,
                          assume_unique).checkpoint(eager=True)
     n = new.count()
-    if n:
+    if n or not table_exists(spark, path):
         append(new, path, schema, partition_by)
     return n
 
@@ -90,14 +120,13 @@ def write_if_absent(spark: SparkSession, batch: DataFrame, path: str, keys: list
 def resume_points(trades: DataFrame, currencies: list[str] | None = None,
                   default_start: datetime = DEFAULT_START, by: str | None = "currency",
                   ts: str = "timestamp") -> DataFrame:
-    """Per currency ``max(ts) + 1 ms``, else the configured start.
+    """Per currency ``max(ts) + 1 ms``, else the configured start (UTC).
 
     ``by=None`` gives one global row (the spot table has no currency).
     ``currencies`` lists the currencies expected even when they have no
     rows yet (they get ``default_start``).
     """
-    dtype = trades.schema[ts].dataType
-    start = F.lit(default_start).cast(dtype)
+    start = ts_literal(default_start, trades.schema[ts].dataType)
     if by is None:
         return trades.agg(F.coalesce(plus(F.max(ts), "1 MILLISECOND"), start).alias("resume_ts"))
     seen = trades.groupBy(by).agg(plus(F.max(ts), "1 MILLISECOND").alias("_next"))
@@ -108,6 +137,33 @@ def resume_points(trades: DataFrame, currencies: list[str] | None = None,
     return seen.select(by, F.coalesce(F.col("_next"), start).alias("resume_ts"))
 
 
+MAX_BOUNDS = 10_000    # values of ``by`` that become a literal predicate
+
+
+def bounds_predicate(bounds: DataFrame, by: str, bound: str, ts: str, dtype,
+                     new: Column | None = None, dates: bool = False) -> Column | None:
+    """``ts >= bound`` of the row's own ``by`` value, as literals.
+
+    ``bounds`` has one row per value (checked: ``MAX_BOUNDS``).  Values
+    without a bound are kept where ``new`` holds (everywhere when None).
+    ``dates`` adds the day, which prunes a table partitioned by it.  None
+    when there are no bounds.
+    """
+    rows = bounds.where(F.col(bound).isNotNull()).select(by, as_text(F.col(bound)).alias("b")).limit(MAX_BOUNDS + 1).collect()
+    if len(rows) > MAX_BOUNDS:
+        raise ValueError(f"more than {MAX_BOUNDS} values of {by}: not a currency-like column")
+    if not rows:
+        return None
+    unknown = F.col(by).isNull() | ~F.col(by).isin(*[r[by] for r in rows if r[by] is not None])
+    pred = unknown if new is None else unknown & new
+    for r in rows:
+        one = F.col(by).eqNullSafe(F.lit(r[by])) & (F.col(ts) >= ts_literal(r["b"], dtype))
+        if dates:
+            one = one & (F.col(DATE) >= F.lit(r["b"][:10]).cast("date"))
+        pred = pred | one
+    return pred
+
+
 def ingest_slice(landed: DataFrame, resume: DataFrame, end=None, by: str | None = "currency",
                  ts: str = "timestamp", default_start=None) -> DataFrame:
     """The landed rows still to ingest: ``resume <= ts <= end``.
@@ -120,31 +176,45 @@ def ingest_slice(landed: DataFrame, resume: DataFrame, end=None, by: str | None
     rows are kept from ``default_start`` on (all of them when None), as the
     reference starts a new currency from its configured start.  ``end`` is
     the inclusive upper bound (the reference stops at last midnight UTC).
+    Times without a zone are UTC, whatever the driver's own zone.
     """
-    rows = resume.collect()
+    dtype = landed.schema[ts].dataType
+    new = None if default_start is None else F.col(ts) >= ts_literal(default_start, dtype)
     if by is None:
-        pred = F.col(ts) >= F.lit(rows[0]["resume_ts"]) if rows else F.lit(True)
+        rows = resume.select(as_text(F.col("resume_ts")).alias("b")).limit(1).collect()
+        pred = F.col(ts) >= ts_literal(rows[0]["b"], dtype) if rows else F.lit(True)
     else:
-        known = [r[by] for r in rows]
-        new = F.col(by).isNull() | ~F.col(by).isin(*known) if known else F.lit(True)
-        if default_start is not None:
-            new = new & (F.col(ts) >= F.lit(default_start))
-        pred = new
-        for r in rows:
-            pred = pred | ((F.col(by) == F.lit(r[by])) & (F.col(ts) >= F.lit(r["resume_ts"])))
+        pred = bounds_predicate(resume, by, "resume_ts", ts, dtype, new)
+        if pred is None:
+            pred = F.lit(True) if new is None else new
     if end is not None:
-        pred = pred & (F.col(ts) <= F.lit(end))
+        pred = pred & (F.col(ts) <= ts_literal(end, dtype))
     return landed.where(pred)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """``CREATE OR REPLACE TABLE t AS <query over t>``.
 
-    Spark cannot overwrite a path it is reading, so the lineage is cut
-    first with a reliable checkpoint in the shared checkpoint folder.
+    The result is written next to the table first, then the two folders
+    change names; the old one goes last.  A crash before the change leaves
+    the table as it was, a crash within it leaves it under ``<path>.old-*``.
     """
-    data = df.checkpoint(eager=True)
-    w = data.write.mode("overwrite")
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex
+    fresh, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
+    w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    target, fs = _file_system(spark, path)
+    new, aside = (_file_system(spark, p)[0] for p in (fresh, old))
+    try:
+        w.parquet(fresh)
+    except Exception:
+        fs.delete(new, True)     # our own half-written folder
+        raise
+    if fs.exists(target) and not fs.rename(target, aside):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(new, target):
+        raise OSError(f"{fresh} is complete but could not take the place of {path}")
+    fs.delete(aside, True)
+    spark.catalog.refreshByPath(path)

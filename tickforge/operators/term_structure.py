@@ -8,14 +8,13 @@ scan or shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import delta_bucket, futures_expiry_bucket, options_expiry_bucket
 from ..functions.numeric import ieee_div, ieee_ln, norm_cdf, null_div
-from ..functions.time import truncate, ts_type, year_fraction
+from ..functions.time import truncate, ts_literal, ts_type, year_fraction
 from .bounds import currency_bounds, keep_closed
-from .joins import join_dimension
 
 FUTURES_TS_COLUMNS = ["ts_hour", "currency", "expiry_bucket", "metric_type", "metric_value"]
 OPTIONS_TS_COLUMNS = ["ts_hour", "currency", "delta_bucket", "expiry_bucket", "metric_type",
@@ -31,6 +30,10 @@ def _to_long(wide: DataFrame, ids: list[str], metrics: list[str]) -> DataFrame:
     return wide.unpivot(ids, metrics, "metric_type", "metric_value")
 
 
+def _bound(since, dtype) -> Column:
+    return since if isinstance(since, Column) else F.col("timestamp") >= ts_literal(since, dtype)
+
+
 def _expirations(instruments: DataFrame) -> DataFrame:
     return instruments.select("instrument_name", F.col("expiration_timestamp").alias("_expiry"))
 
@@ -42,15 +45,16 @@ def futures_term_structure(future_trades: DataFrame, instruments: DataFrame,
     ``T = (expiry - trade time) / 365d`` in whole seconds,
     ``apr = (price/index - 1) / T``.  The newest hour of each currency
     (by all its futures ticks, perpetuals included) is left out.
-    ``since`` optionally keeps only hours >= a literal bound (incremental
-    runs); hours already stored are then skipped by insert-if-absent.
+    ``since`` optionally keeps only the ticks at/after a bound, or those
+    where a Column holds (incremental runs; whole hours); hours already
+    stored are then skipped by insert-if-absent.
     """
     dtype = ts_type(future_trades, "timestamp")
     t = future_trades.where(~F.col("instrument_name").contains("PERPETUAL"))
     if since is not None:
-        t = t.where(F.col("timestamp") >= F.lit(since))
+        t = t.where(_bound(since, dtype))
     t = t.select("timestamp", "instrument_name", "currency", "price", "index_price", "amount")
-    t = join_dimension(t, _expirations(instruments), "instrument_name", size_of=instruments)
+    t = t.join(_expirations(instruments), "instrument_name")
     T = year_fraction(F.col("timestamp"), F.col("_expiry"))
     apr = ieee_div(ieee_div(F.col("price"), F.col("index_price")) - F.lit(1.0), F.col("T"))
     t = t.select(truncate(F.col("timestamp"), "hour", dtype).alias("ts_hour"),
@@ -101,7 +105,7 @@ def options_term_structure(option_trades: DataFrame, instruments: DataFrame,
     dtype = ts_type(option_trades, "timestamp")
     t = option_trades
     if since is not None:
-        t = t.where(F.col("timestamp") >= F.lit(since))
+        t = t.where(_bound(since, dtype))
     parts = F.split(F.col("instrument_name"), "-")
     t = t.select(
         truncate(F.col("timestamp"), "hour", dtype).alias("ts_hour"),
@@ -111,7 +115,7 @@ def options_term_structure(option_trades: DataFrame, instruments: DataFrame,
         F.get(parts, 2).cast("double").alias("strike"),
         F.get(parts, 3).alias("call_put"),
         "index_price")
-    t = join_dimension(t, _expirations(instruments), "instrument_name", size_of=instruments)
+    t = t.join(_expirations(instruments), "instrument_name")
     T = year_fraction(F.col("ts_hour"), F.col("_expiry"))
     t = with_option_delta(t.withColumn("T", T))
     t = t.withColumn("abs_delta", F.abs(F.col("delta")))

@@ -1,10 +1,5 @@
 """Query catalog: every operator as a (spark, sf_dir) -> DataFrame job over
-the driver tables, with the equivalent DuckDB SQL as its oracle.
-
-The oracle SQL restates the reference's *literal* semantics (global
-running windows, range joins, many-to-many joins, per-metric UNION
-branches); the Spark side is the scalable rewrite.  Ties on equal
-timestamps are broken by ``trade_id`` on both sides.
+the driver tables; the equivalent DuckDB SQL is in `oracles`.
 """
 
 from __future__ import annotations
@@ -13,14 +8,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.labels import (DELTA_EDGES, DELTA_ELSE, FUTURES_EXPIRY_EDGES,
-                                FUTURES_EXPIRY_ELSE, OPTIONS_EXPIRY_EDGES,
-                                OPTIONS_EXPIRY_ELSE, right_closed_sql)
-from ..functions.numeric import norm_cdf_sql
+from pyspark.sql import functions as F
+
+from ..functions.time import as_text, ts_literal
 from ..operators import bars, funding, ohlc, quality, tables, term_structure
 from ..sources import fixtures as fx
 from ..sources import pages
 from ..session import ensure_utc
+from . import oracles
 
 # Parameters of the registered queries (the reference's macros take them
 # as arguments; these are the values the catalog runs with).
@@ -29,7 +24,9 @@ VOLUME_BIN_MINUTES = 25000.0     # futures volume per minute-bar volume bar
 FUNDING_VOLUME_BIN = 1500        # futures amount per funding volume bar
 LINEITEM_KEY = ["l_orderkey", "l_linenumber"]
 LINEITEM_EXISTING_BEFORE = "1995-06-17"   # rows shipped before form the stored table
-CURRENCIES = ["ETH", "BTC"]
+CURRENCIES = ["ETH", "BTC"]              # expected even before they have a row
+RANGE_INSTRUMENTS = ["BTC-PERPETUAL", "ETH-PERPETUAL", "SOL-PERPETUAL", "BTC-29MAR24"]
+RANGE_START, RANGE_END = "2024-01-01 02:30:00", "2024-01-01 09:15:05"     # inclusive, UTC
 
 
 def _t(spark, sf_dir, name):
@@ -81,6 +78,21 @@ def q_funding_volume_bars(spark, sf_dir):
                                        _funding_minutes(spark, sf_dir), FUNDING_VOLUME_BIN)
 
 
+def q_volume_bars_ranged(spark, sf_dir):
+    return bars.volume_bars(_t(spark, sf_dir, "future_trades"), VOLUME_BIN_TICKS, RANGE_INSTRUMENTS,
+                            RANGE_START, RANGE_END)
+
+
+def q_ohlc_volume_bars_ranged(spark, sf_dir):
+    minute = ohlc.futures_ohlc_1min(_t(spark, sf_dir, "future_trades"))
+    return bars.ohlc_volume_bars(minute, VOLUME_BIN_MINUTES, RANGE_INSTRUMENTS, RANGE_START, RANGE_END)
+
+
+def q_funding_volume_bars_ranged(spark, sf_dir):
+    return funding.funding_volume_bars(_t(spark, sf_dir, "future_trades"), _funding_minutes(spark, sf_dir),
+                                       FUNDING_VOLUME_BIN, RANGE_INSTRUMENTS, RANGE_START, RANGE_END)
+
+
 def q_futures_term_structure(spark, sf_dir):
     return term_structure.futures_term_structure(_t(spark, sf_dir, "future_trades"),
                                                  _t(spark, sf_dir, "instruments"))
@@ -96,7 +108,8 @@ def q_dedup_by_key(spark, sf_dir):
 
 
 def q_dedup_funding(spark, sf_dir):
-    return quality.dedup_by_key(_t(spark, sf_dir, "funding_rates"), ["timestamp", "currency"])
+    """The first stored row of a key: the feed carries its ingest sequence."""
+    return quality.dedup_by_key(_t(spark, sf_dir, "funding_feed"), ["timestamp", "currency"], ["ingest_seq"])
 
 
 def q_duplicate_groups(spark, sf_dir):
@@ -108,7 +121,6 @@ def q_duplicate_rows(spark, sf_dir):
 
 
 def _lineitem_existing(spark, sf_dir):
-    from pyspark.sql import functions as F
     li = _t(spark, sf_dir, "lineitem")
     stored = li.where(F.col("l_shipdate") < F.to_timestamp_ntz(F.lit(LINEITEM_EXISTING_BEFORE)))
     return quality.dedup_by_key(stored, LINEITEM_KEY), li
@@ -120,7 +132,6 @@ def q_insert_if_absent(spark, sf_dir):
 
 
 def q_resume_points(spark, sf_dir):
-    from pyspark.sql import functions as F
     ensure_utc(spark)
     out = None
     for name in ("future_trades", "option_trades"):
@@ -140,6 +151,11 @@ def q_normalize_trades(spark, sf_dir):
     return pages.normalize_trades(page_text, kind="future", currency_col="_currency")
 
 
+def q_normalize_combo_trades(spark, sf_dir):
+    page_text = pages.render_trade_pages(_t(spark, sf_dir, "future_trades"), kind="future_combo")
+    return pages.normalize_trades(page_text, kind="future_combo", currency_col="_currency")
+
+
 def q_normalize_option_trades(spark, sf_dir):
     ot = _t(spark, sf_dir, "option_trades")
     page_text = pages.render_trade_pages(ot, kind="option")
@@ -159,9 +175,8 @@ def q_normalize_funding(spark, sf_dir):
 
 def q_ingest_slice(spark, sf_dir):
     """Landed futures ticks still to ingest, given a store holding the first half."""
-    from pyspark.sql import functions as F
     ft = _t(spark, sf_dir, "future_trades")
-    stored = ft.where(F.col("timestamp") < F.lit(_midpoint(ft)))
+    stored = ft.where(F.col("timestamp") < _midpoint(ft))
     resume = tables.resume_points(stored, CURRENCIES)
     return tables.ingest_slice(ft, resume)
 
@@ -177,21 +192,22 @@ def _events_stream(spark, sf_dir):
     return fx.map_events(read_stream_like(spark, batch, sf_dir, "event[s].parquet"))
 
 
-def _run_streams(spark, name, make_bars):
-    """One streaming query per currency (each with its own watermark), all
-    running concurrently to completion with an availableNow trigger; the
-    result is read back from their sinks."""
+def _run_streams(spark, sf_dir, name, make_bars):
+    """One streaming query per currency found in the data (each with its own
+    watermark), all running concurrently to completion with an availableNow
+    trigger; the result is read back from their sinks."""
     from ..session import scratch_path
     from ..streaming.ohlc_stream import start_to_parquet
     root = scratch_path(spark, name)
     parts = spark.sparkContext.defaultParallelism
+    currencies = [r[0] for r in fx.events_base(spark, sf_dir).select("ccy").distinct().limit(tables.MAX_BOUNDS).collect()]
     started = [start_to_parquet(make_bars(ccy), f"{root}/{ccy}/data", f"{root}/{ccy}/checkpoint",
                                 state_partitions=parts)
-               for ccy in CURRENCIES]
+               for ccy in currencies]
     for q in started:
         q.awaitTermination()
     out = None
-    for ccy in CURRENCIES:
+    for ccy in currencies:
         part = spark.read.parquet(f"{root}/{ccy}/data")
         out = part if out is None else out.unionByName(part)
     return out
@@ -200,7 +216,7 @@ def _run_streams(spark, name, make_bars):
 def q_stream_futures_ohlc(spark, sf_dir):
     from ..streaming.ohlc_stream import futures_bars_stream
     ft = fx.future_trades_from(_events_stream(spark, sf_dir))
-    return _run_streams(spark, "stream_futures_ohlc", lambda c: futures_bars_stream(ft, c))
+    return _run_streams(spark, sf_dir, "stream_futures_ohlc", lambda c: futures_bars_stream(ft, c))
 
 
 def q_stream_futures_ohlc_all(spark, sf_dir):
@@ -219,27 +235,57 @@ def q_stream_index_ohlc(spark, sf_dir):
     from ..streaming.ohlc_stream import index_bars_stream
     ev = _events_stream(spark, sf_dir)
     ft, ot = fx.future_trades_from(ev), fx.option_trades_from(ev)
-    return _run_streams(spark, "stream_index_ohlc", lambda c: index_bars_stream(ft, ot, c))
+    return _run_streams(spark, sf_dir, "stream_index_ohlc", lambda c: index_bars_stream(ft, ot, c))
+
+
+def q_stream_term_structure(spark, sf_dir):
+    """Ticks streamed into a stored table, its hours inserted if absent batch by batch."""
+    from ..session import scratch_path
+    from ..streaming.ohlc_stream import start_term_structure
+    root = scratch_path(spark, "stream_term_structure")
+    ticks = fx.future_trades_from(_events_stream(spark, sf_dir))
+    start_term_structure(ticks, _t(spark, sf_dir, "instruments"), f"{root}/ticks", f"{root}/hours",
+                         f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/hours")
 
 
 def _midpoint(df):
-    from pyspark.sql import functions as F
-    lo, hi = df.agg(F.min("timestamp"), F.max("timestamp")).first()
-    return lo + (hi - lo) / 2
+    """The middle of the ticks' time span, as a literal of their type."""
+    middle = df.agg((F.min("timestamp") + (F.max("timestamp") - F.min("timestamp")) / 2).alias("m"))
+    return ts_literal(middle.select(as_text(F.col("m"))).first()[0], df.schema["timestamp"].dataType)
 
 
-def _incremental(spark, sf_dir, name, run):
-    """Run an update job on the ticks before the midpoint, then on all ticks."""
-    from pyspark.sql import functions as F
+def _incremental(spark, sf_dir, name, run, first=None):
+    """Run an update job on some of the ticks (those before the midpoint), then on all."""
     from ..session import scratch_path
     path = scratch_path(spark, name)
     ft, ot = _t(spark, sf_dir, "future_trades"), _t(spark, sf_dir, "option_trades")
-    mid = _midpoint(ft)
-    run(ft.where(F.col("timestamp") < F.lit(mid)), ot.where(F.col("timestamp") < F.lit(mid)), path)
+    early = F.col("timestamp") < _midpoint(ft)
+    early = early if first is None else early & first
+    run(ft.where(early), ot.where(early), path)
     run(ft, ot, path)
     return spark.read.parquet(path)
 
 
+def q_incremental_new_currency(spark, sf_dir):
+    """A currency that the first run has not seen keeps all its earlier hours."""
+    from . import incremental as inc
+    ins = _t(spark, sf_dir, "instruments")
+    return _incremental(spark, sf_dir, "incremental_new_currency",
+                        lambda ft, ot, p: inc.update_futures_term_structure(spark, ft, ins, p, exact=False),
+                        F.col("currency") != "ETH")
+
+
+def q_incremental_rerun_idempotent(spark, sf_dir):
+    """A run over ticks already processed adds nothing."""
+    from . import incremental as inc
+
+    def twice(ft, ot, path):
+        inc.update_futures_ohlc(spark, ft, path)
+        inc.update_futures_ohlc(spark, ft, path)
+    return _incremental(spark, sf_dir, "incremental_rerun_idempotent", twice)
+
+
 def q_incremental_futures_ohlc(spark, sf_dir):
     from . import incremental as inc
     return _incremental(spark, sf_dir, "incremental_futures_ohlc",
@@ -275,8 +321,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spot_ohlc_1min_fanout": q_spot_ohlc_1min_fanout,
     "realized_funding": q_realized_funding,
     "volume_bars": q_volume_bars,
+    "volume_bars_ranged": q_volume_bars_ranged,
     "ohlc_volume_bars": q_ohlc_volume_bars,
+    "ohlc_volume_bars_ranged": q_ohlc_volume_bars_ranged,
     "funding_volume_bars": q_funding_volume_bars,
+    "funding_volume_bars_ranged": q_funding_volume_bars_ranged,
     "futures_term_structure": q_futures_term_structure,
     "options_term_structure": q_options_term_structure,
     "dedup_by_key": q_dedup_by_key,
@@ -286,6 +335,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_if_absent": q_insert_if_absent,
     "resume_points": q_resume_points,
     "normalize_trades": q_normalize_trades,
+    "normalize_combo_trades": q_normalize_combo_trades,
     "normalize_option_trades": q_normalize_option_trades,
     "normalize_instruments": q_normalize_instruments,
     "normalize_spot_trades": q_normalize_spot_trades,
@@ -294,6 +344,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_futures_ohlc": q_stream_futures_ohlc,
     "stream_futures_ohlc_all": q_stream_futures_ohlc_all,
     "stream_index_ohlc": q_stream_index_ohlc,
+    "stream_term_structure": q_stream_term_structure,
+    "incremental_new_currency": q_incremental_new_currency,
+    "incremental_rerun_idempotent": q_incremental_rerun_idempotent,
     "incremental_futures_ohlc": q_incremental_futures_ohlc,
     "incremental_index_ohlc": q_incremental_index_ohlc,
     "incremental_futures_term_structure": q_incremental_futures_term_structure,
@@ -301,332 +354,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-# ----------------------------------------------------------------------------
-# Oracle side (DuckDB SQL over the driver's views)
-
-_FUT_BARS = f"""
-fbounds AS (
-  SELECT currency, date_trunc('minute', max(timestamp)) AS bound
-  FROM future_trades GROUP BY currency),
-fbars AS (
-  SELECT t.instrument_name, t.currency, date_trunc('minute', t.timestamp) AS bucket,
-    arg_min(t.price, row(t.timestamp, t.trade_id)) AS open,
-    max(t.price) AS high,
-    min(t.price) AS low,
-    arg_max(t.price, row(t.timestamp, t.trade_id)) AS close,
-    CAST(sum(t.amount) AS DOUBLE) AS volume,
-    count(*) AS n_orders,
-    count(CASE WHEN t.direction = 'buy' THEN 1 END) * 100.0::DOUBLE / count(*) AS pct_buys_count,
-    sum(CASE WHEN t.direction = 'buy' THEN t.amount ELSE 0 END) * 100.0::DOUBLE / sum(t.amount) AS pct_buys_volume,
-    sum(CASE WHEN t.direction = 'buy' THEN t.price * t.amount ELSE 0 END) /
-      NULLIF(sum(CASE WHEN t.direction = 'buy' THEN t.amount ELSE 0 END), 0) AS vw_buy_price,
-    sum(CASE WHEN t.direction = 'sell' THEN t.price * t.amount ELSE 0 END) /
-      NULLIF(sum(CASE WHEN t.direction = 'sell' THEN t.amount ELSE 0 END), 0) AS vw_sell_price,
-    sum(t.price * t.amount) / sum(t.amount) AS vwap,
-    sum(t.amount * (t.price / t.index_price - 1)) / sum(t.amount) AS vw_diff_index,
-    median(t.price) AS median_price
-  FROM future_trades t JOIN fbounds b ON t.currency = b.currency
-  WHERE t.timestamp < b.bound
-  GROUP BY 1, 2, 3)"""
-
-_INDEX_BARS = """
-iticks AS (
-  SELECT currency, timestamp, trade_id, index_price FROM future_trades
-  UNION ALL
-  SELECT currency, timestamp, trade_id, index_price FROM option_trades),
-ibounds AS (
-  SELECT currency, date_trunc('minute', max(timestamp)) AS bound FROM iticks GROUP BY currency),
-ibars AS (
-  SELECT t.currency, date_trunc('minute', t.timestamp) AS bucket,
-    min_by(t.index_price, row(t.timestamp, t.trade_id)) AS open,
-    max(t.index_price) AS high,
-    min(t.index_price) AS low,
-    max_by(t.index_price, row(t.timestamp, t.trade_id)) AS close,
-    count(*) AS obs
-  FROM iticks t JOIN ibounds b ON t.currency = b.currency
-  WHERE date_trunc('minute', t.timestamp) < b.bound
-  GROUP BY 1, 2)"""
-
-_FUNDING_VIEW = """
-fview AS (
-  SELECT f.bucket,
-    CASE WHEN f.instrument_name = 'BTC-PERPETUAL' THEN 'BTC'
-         WHEN f.instrument_name = 'ETH-PERPETUAL' THEN 'ETH' ELSE NULL END AS currency,
-    ln(f.close / j.close) AS diff,
-    (greatest(0.00025, ln(f.close / j.close)) + least(-0.00025, ln(f.close / j.close))) / 480 AS funding
-  FROM fbars AS f
-  INNER JOIN ibars AS j
-    ON f.bucket = j.bucket
-   AND ((f.instrument_name = 'BTC-PERPETUAL' AND j.currency = 'BTC')
-     OR (f.instrument_name = 'ETH-PERPETUAL' AND j.currency = 'ETH'))
-  WHERE f.instrument_name IN ('BTC-PERPETUAL', 'ETH-PERPETUAL'))"""
-
-
-def _with(views, *blocks):
-    """WITH clause: the fixture views (derived from ``events``) then ``blocks``;
-    ``views=None`` leaves the tick tables to the caller (edge-case tests)."""
-    if views is None:
-        return "WITH " + ",".join(b.strip() for b in blocks) + "\n"
-    return "WITH " + fx.duckdb_views(*views) + "".join("," + b for b in blocks) + "\n"
-
-
-def _spot_sql(fanout: bool, views=("spot_trades",)) -> str:
-    ticks = """
-ticks AS (
-  SELECT date_trunc('minute', timestamp) AS bucket, instrument_name, timestamp, trade_id,
-         price, amount
-  FROM spot_trades),
-returns AS (
-  SELECT bucket, instrument_name, timestamp,
-    pow(ln(price / lag(price) OVER (PARTITION BY instrument_name, bucket
-                                    ORDER BY timestamp, trade_id)), 2) AS ret2,
-    amount
-  FROM ticks),
-agg AS (
-  SELECT bucket, instrument_name, sum(amount) AS total_volume FROM ticks GROUP BY 1, 2)"""
-    head = _with(list(views) if views else None, ticks)
-    if fanout:
-        return head + """
-SELECT t.bucket, t.instrument_name,
-  min(t.timestamp) AS first_trade, max(t.timestamp) AS last_trade,
-  arg_min(t.price, row(t.timestamp, t.trade_id)) AS open,
-  max(t.price) AS high, min(t.price) AS low,
-  arg_max(t.price, row(t.timestamp, t.trade_id)) AS close,
-  sum(t.price * t.amount) / sum(t.amount) AS vwap,
-  sum(t.amount) AS volume,
-  count(*) AS n_orders,
-  sum(r.ret2) AS realized_sq_vol,
-  sum(r.ret2 * r.amount / a.total_volume) AS realized_sq_vol_vw
-FROM ticks t
-LEFT JOIN returns r ON t.bucket = r.bucket AND t.instrument_name = r.instrument_name
-LEFT JOIN agg a ON t.bucket = a.bucket AND t.instrument_name = a.instrument_name
-GROUP BY 1, 2"""
-    return head + """,
-rets AS (
-  SELECT r.bucket, r.instrument_name,
-    sum(r.ret2) AS realized_sq_vol,
-    sum(r.ret2 * r.amount / a.total_volume) AS realized_sq_vol_vw
-  FROM returns r JOIN agg a ON r.bucket = a.bucket AND r.instrument_name = a.instrument_name
-  GROUP BY 1, 2),
-bars AS (
-  SELECT bucket, instrument_name,
-    min(timestamp) AS first_trade, max(timestamp) AS last_trade,
-    arg_min(price, row(timestamp, trade_id)) AS open,
-    max(price) AS high, min(price) AS low,
-    arg_max(price, row(timestamp, trade_id)) AS close,
-    sum(price * amount) / sum(amount) AS vwap,
-    sum(amount) AS volume,
-    count(*) AS n_orders
-  FROM ticks GROUP BY 1, 2)
-SELECT b.*, r.realized_sq_vol, r.realized_sq_vol_vw
-FROM bars b LEFT JOIN rets r USING (bucket, instrument_name)"""
-
-
-def _volume_bars_cte(bin_, name="candles"):
-    return f"""
-vticks AS (
-  SELECT instrument_name, timestamp, price, amount,
-    sum(amount) OVER (PARTITION BY instrument_name ORDER BY timestamp) AS cum_volume
-  FROM future_trades),
-{name} AS (
-  SELECT instrument_name,
-    min(timestamp) AS ts_start, max(timestamp) AS ts_end,
-    CAST(floor(cum_volume / {bin_}) AS BIGINT) AS candle_id,
-    sum(price * amount) / sum(amount) AS vwap,
-    count(*) AS n_trades
-  FROM vticks GROUP BY instrument_name, floor(cum_volume / {bin_}))"""
-
-
-_FUT_EXPIRY_CASE = right_closed_sql("T", FUTURES_EXPIRY_EDGES, FUTURES_EXPIRY_ELSE)
-_OPT_EXPIRY_CASE = right_closed_sql("T", OPTIONS_EXPIRY_EDGES, OPTIONS_EXPIRY_ELSE)
-_DELTA_CASE = right_closed_sql("abs_delta", DELTA_EDGES, DELTA_ELSE)
-
-
-def _futures_ts_sql(views=("future_trades", "instruments")) -> str:
-    prep = f"""
-prep AS (
-  SELECT date_trunc('hour', ft.timestamp) AS ts_hour, ft.currency, ft.amount,
-    date_diff('second', ft.timestamp, i.expiration_timestamp) / 31536000.0::DOUBLE AS T,
-    ft.price, ft.index_price
-  FROM future_trades ft JOIN instruments i ON ft.instrument_name = i.instrument_name
-  WHERE ft.instrument_name NOT LIKE '%PERPETUAL%'
-    AND ft.timestamp < (SELECT date_trunc('hour', max(f2.timestamp)) FROM future_trades f2
-                        WHERE f2.currency = ft.currency)),
-prep2 AS (
-  SELECT ts_hour, currency, amount, {_FUT_EXPIRY_CASE} AS expiry_bucket,
-    ((price / index_price) - 1) / T AS apr
-  FROM prep)"""
-    body = "\nUNION ALL\n".join(
-        f"SELECT ts_hour, currency, expiry_bucket, '{m}' AS metric_type, "
-        f"CAST({agg} AS DOUBLE) AS metric_value FROM prep2 GROUP BY 1, 2, 3"
-        for m, agg in [("vw_APR", "SUM(apr * amount) / SUM(amount)"), ("avg_APR", "AVG(apr)"),
-                       ("count", "COUNT(*)"), ("volume", "SUM(amount)")])
-    return _with(list(views) if views else None, prep) + body
-
-
-def _options_ts_sql(views=("option_trades", "instruments")) -> str:
-    d1 = "((ln(index_price / strike) + (0.5 * pow(iv, 2)) * T) / (iv * sqrt(T)))"
-    prep = f"""
-prel AS (
-  SELECT date_trunc('hour', o.timestamp) AS ts_hour, o.instrument_name, o.currency,
-    o.iv / 100 AS iv, o.amount,
-    CAST(split_part(o.instrument_name, '-', 3) AS DOUBLE) AS strike,
-    split_part(o.instrument_name, '-', 4) AS call_put,
-    o.index_price
-  FROM option_trades o
-  WHERE o.timestamp < (SELECT date_trunc('hour', max(o2.timestamp)) FROM option_trades o2
-                       WHERE o2.currency = o.currency)),
-add_expir AS (
-  SELECT pr.*, date_diff('second', pr.ts_hour, i.expiration_timestamp) / 31536000.0::DOUBLE AS T
-  FROM prel pr JOIN instruments i ON pr.instrument_name = i.instrument_name),
-calc AS (
-  SELECT *, {norm_cdf_sql(d1)} AS phi_d1 FROM add_expir),
-calc2 AS (
-  SELECT *, abs(CASE WHEN call_put = 'C' THEN phi_d1 WHEN call_put = 'P' THEN phi_d1 - 1 END)
-    AS abs_delta FROM calc),
-bucket_data AS (
-  SELECT ts_hour, currency, iv, amount, {_DELTA_CASE} AS delta_bucket,
-    {_OPT_EXPIRY_CASE} AS expiry_bucket
-  FROM calc2)"""
-    body = "\nUNION ALL\n".join(
-        f"SELECT ts_hour, currency, delta_bucket, expiry_bucket, '{m}' AS metric_type, "
-        f"CAST({agg} AS DOUBLE) AS metric_value FROM bucket_data GROUP BY 1, 2, 3, 4"
-        for m, agg in [("vw_iv", "SUM(iv * amount) / NULLIF(SUM(amount), 0)"),
-                       ("avg_iv", "AVG(iv)"), ("count", "COUNT(*)"),
-                       ("volume", "SUM(amount)")])
-    return _with(list(views) if views else None, prep) + body
-
-
-_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-            "l_shipdate"]
-_LI_ORDER = ", ".join(f"{c} NULLS FIRST" for c in _LI_COLS if c not in LINEITEM_KEY)
-_FR_COLS = ["timestamp", "index_price", "prev_index_price", "interest_8h", "interest_1h",
-            "instrument_name", "currency"]
-_FR_ORDER = ", ".join(f"{c} NULLS FIRST" for c in _FR_COLS if c not in ("timestamp", "currency"))
-
-
 def oracle_sql() -> dict[str, str]:
-    fut_bars = _with(["future_trades"], _FUT_BARS)
-    idx_bars = _with(["future_trades", "option_trades"], _INDEX_BARS)
-    fund = _with(["future_trades", "option_trades"], _FUT_BARS, _INDEX_BARS, _FUNDING_VIEW)
-    li_cols = ", ".join(_LI_COLS)
-    out = {
-        "futures_ohlc_1min": fut_bars + "SELECT * FROM fbars",
-        "index_ohlc_1min": idx_bars + "SELECT * FROM ibars",
-        "spot_ohlc_1min": _spot_sql(False),
-        "spot_ohlc_1min_fanout": _spot_sql(True),
-        "realized_funding": fund + "SELECT * FROM fview",
-        "volume_bars": _with(["future_trades"], _volume_bars_cte(VOLUME_BIN_TICKS))
-        + "SELECT instrument_name, ts_start, ts_end, candle_id, vwap, n_trades FROM candles",
-        "ohlc_volume_bars": _with(["future_trades"], _FUT_BARS, f"""
-prep AS (
-  SELECT instrument_name, bucket, high, low, close, volume, n_orders,
-    sum(volume) OVER (PARTITION BY instrument_name ORDER BY bucket) AS cum_volume
-  FROM fbars)""") + f"""
-SELECT instrument_name, min(bucket) AS ts_start, max(bucket) AS ts_end,
-  max(high) AS high, min(low) AS low, arg_max(close, bucket) AS close,
-  sum(close * volume) / sum(volume) AS vwap, sum(volume) AS volume,
-  CAST(sum(n_orders) AS BIGINT) AS n_orders
-FROM prep GROUP BY instrument_name, floor(cum_volume / {VOLUME_BIN_MINUTES})""",
-        "funding_volume_bars": _with(["future_trades", "option_trades"], _FUT_BARS, _INDEX_BARS,
-                                     _FUNDING_VIEW, _volume_bars_cte(FUNDING_VOLUME_BIN), """
-joined AS (
-  SELECT c.instrument_name, c.candle_id, SUM(f.diff) AS premium, SUM(f.funding) AS funding
-  FROM candles c LEFT JOIN fview f
-    ON f.currency = split_part(c.instrument_name, '-', 1)
-   AND f.bucket >= c.ts_start AND f.bucket < c.ts_end
-  GROUP BY c.instrument_name, c.candle_id)""") + """
-SELECT c.instrument_name,
-  strftime(c.ts_start, '%Y-%m-%d %H:%M:%S.%f') || '+00' AS ts_start,
-  strftime(c.ts_end, '%Y-%m-%d %H:%M:%S.%f') || '+00' AS ts_end,
-  c.vwap, c.n_trades,
-  COALESCE(j.premium, 0) AS premium, COALESCE(j.funding, 0) AS funding
-FROM candles c LEFT JOIN joined j
-  ON c.instrument_name = j.instrument_name AND c.candle_id = j.candle_id""",
-        "futures_term_structure": _futures_ts_sql(),
-        "options_term_structure": _options_ts_sql(),
-        "dedup_by_key": f"""
-SELECT {li_cols} FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_LI_ORDER}) AS rn
-  FROM lineitem) WHERE rn = 1""",
-        "dedup_funding": _with(["funding_rates"]) + f"""
-SELECT {", ".join(_FR_COLS)} FROM (
-  SELECT *, row_number() OVER (PARTITION BY timestamp, currency ORDER BY {_FR_ORDER}) AS rn
-  FROM funding_rates) WHERE rn = 1""",
-        "duplicate_groups": _with(["funding_rates"]) + """
-SELECT timestamp, currency, COUNT(*) AS dups FROM funding_rates
-GROUP BY timestamp, currency HAVING COUNT(*) > 1""",
-        "duplicate_rows": """
-SELECT * FROM lineitem
-WHERE (l_orderkey, l_linenumber) IN (
-  SELECT (l_orderkey, l_linenumber) FROM lineitem
-  GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)""",
-        "insert_if_absent": f"""
-WITH stored AS (
-  SELECT {li_cols} FROM (
-    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_LI_ORDER}) AS rn
-    FROM lineitem WHERE l_shipdate < TIMESTAMP '{LINEITEM_EXISTING_BEFORE}') WHERE rn = 1),
-batch AS (
-  SELECT {li_cols} FROM (
-    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_LI_ORDER}) AS rn
-    FROM lineitem) WHERE rn = 1)
-SELECT * FROM stored
-UNION ALL
-SELECT * FROM batch b WHERE NOT EXISTS (
-  SELECT 1 FROM stored s WHERE s.l_orderkey = b.l_orderkey AND s.l_linenumber = b.l_linenumber)""",
-        "resume_points": _with(["future_trades", "option_trades", "spot_trades"]) + """
-SELECT 'future_trades' AS table_name, c.currency,
-  COALESCE(max(t.timestamp) + INTERVAL 1 MILLISECOND, TIMESTAMP '2022-10-01 00:00:00') AS resume_ts
-FROM (VALUES ('ETH'), ('BTC')) c(currency) LEFT JOIN future_trades t ON t.currency = c.currency
-GROUP BY c.currency
-UNION ALL
-SELECT 'option_trades', c.currency,
-  COALESCE(max(t.timestamp) + INTERVAL 1 MILLISECOND, TIMESTAMP '2022-10-01 00:00:00')
-FROM (VALUES ('ETH'), ('BTC')) c(currency) LEFT JOIN option_trades t ON t.currency = c.currency
-GROUP BY c.currency
-UNION ALL
-SELECT 'spot_trades', NULL,
-  COALESCE(max(timestamp) + INTERVAL 1 MILLISECOND, TIMESTAMP '2022-10-01 00:00:00')
-FROM spot_trades""",
-        "normalize_trades": _with(["future_trades"]) + """
-SELECT trade_id, make_timestamp((epoch_us(timestamp) // 1000) * 1000) AS timestamp, instrument_name,
-  price, mark_price, amount, index_price, direction, currency
-FROM future_trades""",
-        "normalize_option_trades": _with(["option_trades"]) + """
-SELECT trade_id, make_timestamp((epoch_us(timestamp) // 1000) * 1000) AS timestamp, instrument_name,
-  price, iv, mark_price, amount, index_price, direction, currency
-FROM option_trades""",
-        "normalize_instruments": _with(["instruments"]) + "SELECT * FROM instruments",
-        "normalize_spot_trades": _with(["spot_trades"]) + """
-SELECT trade_id, make_timestamp((epoch_us(timestamp) // 1000) * 1000) AS timestamp, instrument_name,
-  price, mark_price, amount, index_price, direction
-FROM spot_trades""",
-        "normalize_funding": _with(["funding_rates"]) + """
-SELECT make_timestamp((epoch_us(timestamp) // 1000) * 1000) AS timestamp, index_price,
-  prev_index_price, interest_8h, interest_1h, instrument_name, currency
-FROM funding_rates""",
-        "ingest_slice": _with(["future_trades"]) + """,
-mid AS (SELECT min(timestamp) + (max(timestamp) - min(timestamp)) / 2 AS m FROM future_trades),
-resume AS (
-  SELECT currency, max(timestamp) + INTERVAL 1 MILLISECOND AS r
-  FROM future_trades, mid WHERE timestamp < mid.m GROUP BY currency)
-SELECT t.* FROM future_trades t JOIN resume USING (currency) WHERE t.timestamp >= resume.r""",
-    }
-    # One stream for all currencies: the bound is the newest tick of any currency.
-    out["stream_futures_ohlc_all"] = fut_bars.replace(
-        "SELECT currency, date_trunc('minute', max(timestamp)) AS bound\n  FROM future_trades GROUP BY currency",
-        "SELECT currency, (SELECT date_trunc('minute', max(timestamp)) FROM future_trades)"
-        " AS bound\n  FROM future_trades GROUP BY currency"
-    ) + "SELECT * FROM fbars"
-    assert out["stream_futures_ohlc_all"] != out["futures_ohlc_1min"]
-    # Streams and incremental runs must equal the batch operators on the
-    # same closed buckets.
-    for a, b in [("stream_futures_ohlc", "futures_ohlc_1min"),
-                 ("stream_index_ohlc", "index_ohlc_1min"),
-                 ("incremental_futures_ohlc", "futures_ohlc_1min"),
-                 ("incremental_index_ohlc", "index_ohlc_1min"),
-                 ("incremental_futures_term_structure", "futures_term_structure"),
-                 ("incremental_options_term_structure", "options_term_structure")]:
-        out[a] = out[b]
-    return out
+    import sys
+    return oracles.oracle_sql(sys.modules[__name__])

@@ -7,6 +7,10 @@ each table's resume point (so re-landed pages do not duplicate rows) and
 appends, or inserts by key for the instruments dimension.  ``update``
 chains the ingest with the aggregation phase, like the reference's
 ``main.py update``.
+
+Tick tables are partitioned by currency and day (``trade_date``, derived
+from the timestamp), so resuming jobs prune to the days they need.  Times
+given without a zone are UTC.
 """
 
 from __future__ import annotations
@@ -17,28 +21,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.tables import (append, conform, ingest_slice, resume_points, rows_to_insert,
-                                write_if_absent)
+from ..functions.time import as_text, ts_literal
+from ..operators.tables import (DATE, TICK_PARTITIONS, append, conform, ingest_slice, read_table,
+                                resume_points, rows_to_insert, write_if_absent)
+from ..session import ensure_checkpoint_dir
 from ..sources import pages
-from .incremental import _read_table, make_aggregates
+from .incremental import make_aggregates
 
 _KIND_TABLE = {"future": "future_trades", "future_combo": "fut_combo_trades",
                "option": "option_trades", "spot": "spot_trades"}
 
 
-def _stored(spark: SparkSession, path: str, schema, ntz: bool):
-    if ntz:
-        from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
-        schema = StructType([StructField(f.name, TimestampNTZType() if isinstance(
-            f.dataType, TimestampType) else f.dataType, True) for f in schema.fields])
-    return _read_table(spark, path, schema), schema
+def table_schema(name: str, ntz: bool = True, dated: bool = False):
+    """The stored schema: zoneless times with ``ntz``; ``dated`` adds the partition column."""
+    from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZType, TimestampType
+    found = StructType([StructField(f.name, TimestampNTZType() if ntz and isinstance(
+        f.dataType, TimestampType) else f.dataType, True) for f in schemas.TABLES[name].fields])
+    return found.add(DATE, DateType()) if dated else found
+
+
+def partitions_of(name: str) -> list[str]:
+    """Partition columns of a tick table (spot trades have no currency)."""
+    return [c for c in TICK_PARTITIONS if c == DATE or c in schemas.TABLES[name].names]
 
 
 def ingest_trades(spark: SparkSession, landed: DataFrame, kind: str, path: str,
                   currencies: list[str] | None = None, end: datetime | None = None,
                   currency_col: str | None = "currency", ntz: bool = True,
-                  mode: str = "resume") -> None:
-    """Normalise trade pages of ``kind`` and append the rows not stored yet.
+                  mode: str = "resume") -> DataFrame:
+    """Normalise trade pages of ``kind``, append the rows not stored yet and return them.
 
     ``landed`` has a ``page`` column (and, except for spot, the currency the
     page was requested for).
@@ -48,27 +59,37 @@ def ingest_trades(spark: SparkSession, landed: DataFrame, kind: str, path: str,
       the reference's cursor; a trade in the same millisecond as the last
       stored one is skipped, as there.
     * ``mode="by_trade_id"``: insert-if-absent on ``trade_id``; exact for
-      overlapping pages.  The stored side of the anti join is limited to
+      overlapping pages, in the first batch too.  The stored side of the anti join is limited to
       the batch's time range (a collected literal bound, pushed down).
     """
     if mode not in ("resume", "by_trade_id"):
         raise ValueError("mode must be 'resume' or 'by_trade_id'")
+    ensure_checkpoint_dir(spark)
+    name = _KIND_TABLE[kind]
+    schema = table_schema(name, ntz)
     rows = pages.normalize_trades(landed, kind, currency_col=None if kind == "spot" else currency_col,
                                   ntz=ntz)
+    dtype = rows.schema["timestamp"].dataType
     if end is not None:
-        rows = rows.where(F.col("timestamp") <= F.lit(end))
-    stored, schema = _stored(spark, path, schemas.TABLES[_KIND_TABLE[kind]], ntz)
-    if stored is not None and mode == "resume":
+        rows = rows.where(F.col("timestamp") <= ts_literal(end, dtype))
+    stored = read_table(spark, path, table_schema(name, ntz, dated=True))
+    if mode == "resume":
         by = None if kind == "spot" else "currency"
-        rows = ingest_slice(rows, resume_points(stored, currencies, by=by), end, by=by)
-    elif stored is not None:
-        lo = rows.agg(F.min("timestamp")).first()[0]
-        if lo is None:
-            return
-        recent = stored.where(F.col("timestamp") >= F.lit(lo))   # a re-landed trade keeps its time
-        # The plan reads the table it appends to: cut the lineage first.
-        rows = rows_to_insert(recent, conform(rows, schema), ["trade_id"]).checkpoint(eager=True)
-    append(rows, path, schema)
+        seen = resume_points(stored, by=by) if by else stored.groupBy().agg(
+            F.max("timestamp").alias("_mx")).where("_mx is not null").select(
+            (F.col("_mx") + F.expr("INTERVAL 1 MILLISECOND")).alias("resume_ts"))
+        rows = ingest_slice(rows, seen, end, by=by)
+    else:
+        low = rows.agg(as_text(F.min("timestamp"))).first()[0]
+        if low is not None:      # a re-landed trade keeps its time
+            stored = stored.where((F.col("timestamp") >= ts_literal(low, dtype))
+                                  & (F.col(DATE) >= F.lit(low[:10]).cast("date")))
+        rows = rows_to_insert(stored, conform(rows, schema), ["trade_id"])
+    # What is stored now is also what the aggregation phase recomputes from;
+    # the lineage is cut because the plan may read the table it appends to.
+    rows = conform(rows, schema).checkpoint(eager=True)
+    append(rows, path, schema, partitions_of(name))
+    return rows
 
 
 def ingest_funding(spark: SparkSession, landed: DataFrame, path: str,
@@ -76,11 +97,8 @@ def ingest_funding(spark: SparkSession, landed: DataFrame, path: str,
                    ntz: bool = True) -> None:
     """Funding pages (``instrument_name``, ``page``) appended after the resume point."""
     rows = pages.normalize_funding(landed, ntz=ntz)
-    stored, schema = _stored(spark, path, schemas.FUNDING_RATES, ntz)
-    if stored is not None:
-        rows = ingest_slice(rows, resume_points(stored, currencies), end)
-    elif end is not None:
-        rows = rows.where(F.col("timestamp") <= F.lit(end))
+    schema = table_schema("funding_rates", ntz)
+    rows = ingest_slice(rows, resume_points(read_table(spark, path, schema)), end)
     append(rows, path, schema)
 
 
@@ -88,29 +106,34 @@ def ingest_instruments(spark: SparkSession, landed: DataFrame, path: str,
                        ntz: bool = True) -> int:
     """Instrument pages (``source_rank``, ``page``) inserted if absent by name."""
     rows = pages.normalize_instruments(landed, ntz=ntz)
-    _, schema = _stored(spark, path, schemas.INSTRUMENTS, ntz)
+    ensure_checkpoint_dir(spark)
+    schema = table_schema("instruments", ntz)
     return write_if_absent(spark, rows, path, schemas.KEYS["instruments"], schema,
                            assume_unique=True)
 
 
 def update(spark: SparkSession, landed: dict[str, DataFrame], paths: dict[str, str],
            currencies: list[str] | None = None, end: datetime | None = None,
-           exact: bool = True, mode: str = "resume") -> None:
+           exact: bool = False, mode: str = "resume", ntz: bool = True) -> None:
     """Ingest every landed feed, then run the aggregation phase.
 
     ``landed`` keys: ``future``, ``future_combo``, ``option``, ``spot``
-    (trade pages), ``funding`` and ``instruments``; any may be missing.
-    ``paths`` names the table folders (schemas.TABLES keys).
+    (trade pages), ``funding`` and ``instruments``; any may be missing, also
+    from the first run on.  ``paths`` names the table folders (schemas.TABLES
+    keys).  ``exact=True`` recomputes all hours of the term structures, else
+    only those that the new ticks touch.
     """
+    batches = {}
     for kind in ("future", "future_combo", "option", "spot"):
         if kind in landed:
-            ingest_trades(spark, landed[kind], kind, paths[_KIND_TABLE[kind]], currencies, end,
-                          mode=mode)
+            name = _KIND_TABLE[kind]
+            batches[name] = ingest_trades(spark, landed[kind], kind, paths[name], currencies, end,
+                                          ntz=ntz, mode=mode)
     if "funding" in landed:
-        ingest_funding(spark, landed["funding"], paths["funding_rates"], currencies, end)
+        ingest_funding(spark, landed["funding"], paths["funding_rates"], currencies, end, ntz)
     if "instruments" in landed:
-        ingest_instruments(spark, landed["instruments"], paths["instruments"])
-    ft = spark.read.parquet(paths["future_trades"])
-    ot = spark.read.parquet(paths["option_trades"])
-    ins = spark.read.parquet(paths["instruments"])
-    make_aggregates(spark, ft, ot, ins, paths, exact)
+        ingest_instruments(spark, landed["instruments"], paths["instruments"], ntz)
+    ft, ot = (read_table(spark, paths[n], table_schema(n, ntz, dated=True)) for n in ("future_trades", "option_trades"))
+    none = {n: t.limit(0) for n, t in (("future_trades", ft), ("option_trades", ot))}
+    make_aggregates(spark, ft, ot, read_table(spark, paths["instruments"], table_schema("instruments", ntz)),
+                    paths, exact, None if exact else none | batches)

@@ -7,7 +7,6 @@ from pyspark.sql import SparkSession
 from .. import schemas
 from ..operators.quality import dedup_by_key, duplicate_groups
 from ..operators.tables import replace_table
-from ..session import ensure_checkpoint_dir
 
 
 def dedup_table(spark: SparkSession, path: str, keys: list[str],
@@ -15,10 +14,8 @@ def dedup_table(spark: SparkSession, path: str, keys: list[str],
                 partition_by: list[str] | None = None) -> None:
     """Rewrite the Parquet table at ``path`` keeping the first row per key.
 
-    The result is checkpointed (reliably, in ``spark.checkpoint.dir``)
-    before the overwrite, so the job can read and replace the same table.
+    The result is written beside the table, which it then replaces.
     """
-    ensure_checkpoint_dir(spark)
     replace_table(dedup_by_key(spark.read.parquet(path), keys, order_by), path, partition_by)
 
 

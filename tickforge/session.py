@@ -7,7 +7,6 @@ public entry point that turns timestamps into numbers.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -22,6 +21,9 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
+    # Streaming state on disk, not on the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -60,7 +62,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this must be a shared file system path set by the
     deployment; it is only invented here (under the system temp folder)
-    when nothing is configured, which is the local-test case.
+    in local mode, and missing it on a cluster is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -68,24 +70,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current.isDefined():
         return current.get()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tickforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint dir for written tables.
-
-    The checkpoint dir comes back from Spark as a URI (``file:/...``,
-    ``hdfs://...``); a local one is created on disk, a remote one is
-    left to the writer.
-    """
+    """A fresh folder below the shared checkpoint dir, left to its writer."""
     import uuid
-    from urllib.parse import urlparse
-    base = ensure_checkpoint_dir(spark)
-    u = urlparse(base)
-    if u.scheme in ("", "file"):
-        local = u.path if u.scheme == "file" else base
-        os.makedirs(local, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -8,9 +8,11 @@ once as DuckDB SQL text (the oracle side), and the two are kept side by
 side here so they cannot drift apart.
 
 Mapping (per event):
-  * currency ``BTC`` for even ``user_id``, else ``ETH``
-  * event time compressed 60x around 2024-01-01 (30 days -> 12 hours),
-    so a minute holds several ticks
+  * currency ``SOL`` for every eleventh ``user_id``, else ``BTC`` for an
+    even one and ``ETH`` for an odd one
+  * event time compressed 60x around 2024-01-01 (30 days -> 12 hours), so a
+    minute holds several ticks, and cut to 5 seconds, so ticks share a time
+    while their ids differ in value and length
   * ``event_id % 3 < 2`` -> futures trade, else options trade
   * futures name ``CCY-PERPETUAL`` when ``user_id % 5 >= 3``, else
     ``CCY-<expiry>``; options name ``CCY-<expiry>-<strike>-<C|P>``
@@ -29,6 +31,7 @@ from ..session import ensure_utc
 
 # Fixed values of the fixture mapping.
 ORIGIN_US = 1704067200000000          # 2024-01-01 00:00:00 UTC in microseconds
+STEP_US = 5000000                     # ticks' times are whole steps
 TIME_COMPRESSION = 60
 EXPIRY_CODES = ["02JAN24", "05JAN24", "12JAN24", "26JAN24", "29MAR24", "28JUN24", "27DEC24"]
 EXPIRY_TIMES = ["2024-01-02 08:00:00", "2024-01-05 08:00:00", "2024-01-12 08:00:00",
@@ -60,7 +63,7 @@ def events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def map_events(ev: DataFrame) -> DataFrame:
     """The shared derived columns; works on a batch or a streaming ``events``."""
     ts = F.timestamp_micros(F.expr(
-        f"(unix_micros(cast(ts AS timestamp)) - {ORIGIN_US}) div {TIME_COMPRESSION} + {ORIGIN_US}"
+        f"(unix_micros(cast(ts AS timestamp)) - {ORIGIN_US}) div {TIME_COMPRESSION} div {STEP_US} * {STEP_US} + {ORIGIN_US}"
     )).cast("timestamp_ntz")
     eid = F.col("event_id")
     return ev.select(
@@ -68,7 +71,7 @@ def map_events(ev: DataFrame) -> DataFrame:
         F.col("user_id"),
         F.col("value"),
         ts.alias("ts2"),
-        F.when(F.col("user_id") % 2 == 0, "BTC").otherwise("ETH").alias("ccy"),
+        F.when(F.col("user_id") % 11 == 0, "SOL").when(F.col("user_id") % 2 == 0, "BTC").otherwise("ETH").alias("ccy"),
         _case(eid % 7, EXPIRY_CODES).alias("exp_code"),
         _case(eid % 7, EXPIRY_TIMES).alias("exp_text"),
         F.when(F.col("event_type").isin(*BUY_EVENT_TYPES), "buy").otherwise("sell").alias("dir"),
@@ -174,7 +177,8 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def funding_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def funding_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funding feed as stored: ``ingest_seq`` is the order of arrival."""
     ev = events_base(spark, sf_dir)
     minute = F.date_trunc("minute", F.col("ts2")).cast("timestamp_ntz")
     return ev.select(
@@ -185,9 +189,14 @@ def funding_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") / F.lit(80000.0)).alias("interest_1h"),
         F.concat(F.col("ccy"), F.lit("-PERPETUAL")).alias("instrument_name"),
         F.col("ccy").alias("currency"),
+        F.col("event_id").alias("ingest_seq"),
     )
 
 
+def funding_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return funding_feed(spark, sf_dir).drop("ingest_seq")
+
+
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
@@ -198,6 +207,7 @@ LOADERS = {
     "spot_trades": spot_trades,
     "instruments": instruments,
     "funding_rates": funding_rates,
+    "funding_feed": funding_feed,
     "lineitem": lineitem,
 }
 
@@ -232,8 +242,8 @@ def _sql_case(key: str, values) -> str:
 _SQL_EV = f"""
 ev AS (
   SELECT event_id, user_id, value,
-    make_timestamp((epoch_us(ts) - {ORIGIN_US}) // {TIME_COMPRESSION} + {ORIGIN_US}) AS ts2,
-    CASE WHEN user_id % 2 = 0 THEN 'BTC' ELSE 'ETH' END AS ccy,
+    make_timestamp((epoch_us(ts) - {ORIGIN_US}) // {TIME_COMPRESSION} // {STEP_US} * {STEP_US} + {ORIGIN_US}) AS ts2,
+    CASE WHEN user_id % 11 = 0 THEN 'SOL' WHEN user_id % 2 = 0 THEN 'BTC' ELSE 'ETH' END AS ccy,
     {_sql_case('event_id % 7', EXPIRY_CODES)} AS exp_code,
     {_sql_case('event_id % 7', EXPIRY_TIMES)} AS exp_text,
     CASE WHEN event_type IN ({", ".join(repr(t) for t in BUY_EVENT_TYPES)}) THEN 'buy' ELSE 'sell' END AS dir,
@@ -308,6 +318,10 @@ funding_rates AS (
 }
 
 
+_SQL_VIEWS["funding_feed"] = _SQL_VIEWS["funding_rates"].replace(
+    "funding_rates AS", "funding_feed AS").replace("ccy AS currency", "ccy AS currency, event_id AS ingest_seq")
+
+
 def duckdb_views(*names: str) -> str:
     """``ev AS (...), future_trades AS (...), ...`` for a WITH clause."""
     parts = [_SQL_EV] + [_SQL_VIEWS[n] for n in names]

@@ -5,6 +5,9 @@ in pandas.  Here the pages are *landed* files (or any DataFrame holding
 the page text), parsed with an explicit schema, exploded and projected
 by Spark - the download loop itself is not part of the library.
 
+A page that is not valid JSON of its shape, or lacks its list, stops the job;
+`bad_pages` lists such pages, so that they can be set aside on purpose.
+
 Page shapes (only the fields the reference reads are declared; others
 are ignored by the explicit schema):
   trades:      {"result": {"trades": [ {...trade...}, ... ]}}
@@ -76,6 +79,30 @@ def expiry_ms_to_ts(ms: Column, ntz: bool = False) -> Column:
                     .otherwise(ms), ntz)
 
 
+def _records(page_col: str, schema: StructType, path: list[str]) -> Column:
+    """The page's list of records; a malformed page is an error, not an empty list."""
+    found = F.from_json(F.col(page_col), schema, {"mode": "FAILFAST"})
+    for name in path:
+        found = found[name]
+    return F.when(found.isNotNull(), found).otherwise(
+        F.raise_error(F.concat(F.lit("malformed page: "), F.coalesce(F.substring(F.col(page_col), 1, 200), F.lit("null")))))
+
+
+def bad_pages(pages: DataFrame, kind: str, page_col: str = "page") -> DataFrame:
+    """The rows whose page the normaliser of ``kind`` would stop at.
+
+    ``kind``: a trade kind, ``funding`` or ``instruments``.
+    """
+    schema, path = {"funding": (FUNDING_PAGE, ["result"]), "instruments": (INSTRUMENT_PAGE, ["result"])}.get(
+        kind, (TRADE_PAGE, ["result", "trades"]))
+    marked = StructType([*schema.fields, StructField("_corrupt", StringType(), True)])
+    parsed = F.from_json(F.col(page_col), marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    found = parsed
+    for name in path:
+        found = found[name]
+    return pages.where(F.col(page_col).isNull() | parsed["_corrupt"].isNotNull() | found.isNull())
+
+
 def read_pages(spark: SparkSession, path: str, column: str = "page") -> DataFrame:
     """Landed page files, one JSON document per line, as a text column."""
     return spark.read.text(path).withColumnRenamed("value", column)
@@ -93,7 +120,7 @@ def normalize_trades(pages: DataFrame, kind: str, page_col: str = "page",
     target = _TARGET[kind]
     parsed = pages.select(
         *([F.col(currency_col).alias("_ccy")] if currency_col and kind != "spot" else []),
-        F.explode(F.from_json(F.col(page_col), TRADE_PAGE)["result"]["trades"]).alias("t"))
+        F.explode(_records(page_col, TRADE_PAGE, ["result", "trades"])).alias("t"))
     cols = []
     for f in target.fields:
         if f.name == "currency":
@@ -111,7 +138,7 @@ def normalize_funding(pages: DataFrame, page_col: str = "page",
                       instrument_col: str = "instrument_name", ntz: bool = True) -> DataFrame:
     """Funding pages of one perpetual each to ``funding_rates`` rows."""
     parsed = pages.select(F.col(instrument_col).alias("_instr"),
-                          F.explode(F.from_json(F.col(page_col), FUNDING_PAGE)["result"]).alias("r"))
+                          F.explode(_records(page_col, FUNDING_PAGE, ["result"])).alias("r"))
     return parsed.select(
         ms_to_ts(F.col("r.timestamp"), ntz).alias("timestamp"),
         F.col("r.index_price").alias("index_price"),
@@ -127,70 +154,60 @@ def normalize_instruments(pages: DataFrame, page_col: str = "page",
     """S3: instrument pages (expired listing rank 0, live listing rank 1).
 
     Pages are applied in rank order and the first row per instrument wins
-    (insert-if-absent semantics), decided by (rank, page, position).
+    (insert-if-absent semantics), decided by (rank, page number, position).
+    ``page_no`` is the order in which pages were landed; without such a
+    column the page's text decides.
     """
-    parsed = pages.select(F.col(rank_col).alias("_rank"), F.col(page_col).alias("_page"),
-                          F.posexplode(F.from_json(F.col(page_col), INSTRUMENT_PAGE)["result"])
+    number = F.col("page_no") if "page_no" in pages.columns else F.col(page_col)
+    parsed = pages.select(F.col(rank_col).alias("_rank"), number.alias("_pg"),
+                          F.posexplode(_records(page_col, INSTRUMENT_PAGE, ["result"]))
                           .alias("_pos", "r"))
     cols = []
     for f in schemas.INSTRUMENTS.fields:
         c = F.col(f"r.{f.name}")
         cols.append((expiry_ms_to_ts(c, ntz) if f.name.endswith("_timestamp") else c)
                     .alias(f.name))
-    rows = parsed.select(*cols, "_rank", F.xxhash64("_page").alias("_pg"), "_pos")
+    rows = parsed.select(*cols, "_rank", "_pg", "_pos")
     first = dedup_by_key(rows, ["instrument_name"], ["_rank", "_pg", "_pos"])
     return first.select(*schemas.INSTRUMENTS.names)
 
 
 # ---------------------------------------------------------------------------
-# Rendering tables back into pages (used to exercise the normalisers on
-# data derived from the driver tables).  Rows are spread over
-# ceil(rows / PAGE_ROWS) pages by a hash of a per-row id, so no page grows
-# with the table or with a hot key, and exact copies of a row still land
-# on different pages.
-
-PAGE_ROWS = 500   # the exchange's page size for trades
+# Tables as landed pages, one record a page, to give the normalisers input
+# that grows with the driver tables: no grouping, no count.
 
 
 def _epoch_ms(c: Column) -> Column:
     return F.unix_millis(c.cast("timestamp"))
 
 
-def _paged(df: DataFrame, rec: Column, keys: list[str], wrap) -> DataFrame:
-    n_pages = max(1, -(-df.count() // PAGE_ROWS))
-    page = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_pages))
-    keyed = df.select(*keys, page.alias("_page_no"), rec.alias("rec"))
-    return (keyed.groupBy(*keys, "_page_no")
-            .agg(F.to_json(wrap(F.collect_list("rec"))).alias("page"))
-            .select(*keys, "page"))
+def _record(fields) -> Column:
+    return F.struct(*[(_epoch_ms(F.col(f)) if f == "timestamp" else F.col(f)).alias(f) for f in fields])
 
 
 def render_trade_pages(trades: DataFrame, kind: str) -> DataFrame:
     """``(_currency, page)`` rows; ``_currency`` is the requested currency."""
-    fields = _TRADE_FIELDS[kind]
-    rec = F.struct(*[(_epoch_ms(F.col(f)) if f == "timestamp" else F.col(f)).alias(f)
-                     for f in fields])
+    page = F.struct(F.struct(F.array(_record(_TRADE_FIELDS[kind])).alias("trades")).alias("result"))
     ccy = F.col("currency") if "currency" in trades.columns else F.lit(None).cast("string")
-    return _paged(trades.withColumn("_currency", ccy), rec, ["_currency"],
-                  lambda lst: F.struct(F.struct(lst.alias("trades")).alias("result")))
+    return trades.select(ccy.alias("_currency"), F.to_json(page).alias("page"))
 
 
 def render_funding_pages(funding: DataFrame) -> DataFrame:
     """``(instrument_name, page)`` rows, one perpetual per page."""
-    rec = F.struct(*[(_epoch_ms(F.col(f)) if f == "timestamp" else F.col(f)).alias(f)
-                     for f in FUNDING_FIELDS])
-    return _paged(funding, rec, ["instrument_name"],
-                  lambda lst: F.struct(lst.alias("result")))
+    return funding.select("instrument_name", F.to_json(F.struct(F.array(_record(FUNDING_FIELDS)).alias("result"))).alias("page"))
 
 
 def render_instrument_pages(instruments: DataFrame) -> DataFrame:
-    """Expired listing (rank 0) and live listing (rank 1) of the same names."""
+    """Expired listing (rank 0: options, of no taker commission) and live
+    listing (rank 1: all names), so that the rank decides for the options."""
     def ms(name):
         v = _epoch_ms(F.col(name))
         return F.when(F.col(name) == F.lit("1970-01-01 00:00:01").cast(
             instruments.schema[name].dataType), F.lit(PERPETUAL_SENT_MS)).otherwise(v)
-    rec = F.struct(*[(ms(f) if f.endswith("_timestamp") else F.col(f)).alias(f)
-                     for f in schemas.INSTRUMENTS.names])
-    one = _paged(instruments, rec, ["base_currency"], lambda lst: F.struct(lst.alias("result")))
-    return (one.select(F.lit(0).alias("source_rank"), "page")
-            .unionByName(one.select(F.lit(1).alias("source_rank"), "page")))
+
+    def listing(rows, rank):
+        rec = F.struct(*[(ms(f) if f.endswith("_timestamp") else F.col(f)).alias(f) for f in schemas.INSTRUMENTS.names])
+        return rows.select(F.lit(rank).alias("source_rank"), F.to_json(F.struct(F.array(rec).alias("result"))).alias("page"))
+
+    expired = instruments.where(F.col("kind") == "option").withColumn("taker_commission", F.lit(0.0))
+    return listing(expired, 0).unionByName(listing(instruments, 1))

@@ -16,6 +16,8 @@ input is cast under the (UTC) session zone and buckets are cast back.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,6 +28,9 @@ from ..operators.ohlc import (FUTURES_OHLC_COLUMNS, FUTURES_TICK_COLUMNS, INDEX_
 from ..session import ensure_utc
 
 
+_STARTING = threading.Lock()
+
+
 def _event_time(df: DataFrame) -> tuple[DataFrame, object]:
     dtype = df.schema["timestamp"].dataType
     if isinstance(dtype, TimestampNTZType):
@@ -78,16 +83,47 @@ def start_to_parquet(bars: DataFrame, path: str, checkpoint: str,
     if state_partitions is None:
         return w.start()
     conf = bars.sparkSession.conf
-    previous = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        return w.start()     # the query copies the session conf when it starts
-    finally:
-        conf.set("spark.sql.shuffle.partitions", previous)
-
-
-def read_stream_like(spark: SparkSession, batch: DataFrame, folder: str, pattern: str) -> DataFrame:
-    """A file stream over ``folder/pattern`` with the schema of ``batch``."""
+    with _STARTING:          # the conf is the session's: one query starts at a time
+        previous = conf.get("spark.sql.shuffle.partitions")
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        try:
+            return w.start()     # the query copies the session conf when it starts
+        finally:
+            conf.set("spark.sql.shuffle.partitions", previous)
+
+
+def start_term_structure(ticks: DataFrame, instruments: DataFrame, tick_path: str, path: str,
+                         checkpoint: str, available_now: bool = True,
+                         processing_time: str = "1 hour") -> StreamingQuery:
+    """A3 as a stream: each micro-batch of futures ticks is stored (by trade
+    id, so a repeated batch adds nothing) and the hours it touches are
+    inserted if absent.  Restartable from ``checkpoint``.
+    """
+    from ..operators.tables import read_table, write_if_absent
+    from ..plans.incremental import update_futures_term_structure
+    schema = ticks.schema
+
+    def store(batch: DataFrame, _number: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            write_if_absent(spark, batch, tick_path, ["trade_id"], schema)
+            update_futures_term_structure(spark, read_table(spark, tick_path, schema), instruments, path, batch=batch)
+        finally:
+            batch.unpersist()
+
+    w = ticks.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def read_stream_like(spark: SparkSession, batch: DataFrame, folder: str, pattern: str,
+                     max_files: int = 1000) -> DataFrame:
+    """A file stream over ``folder/pattern`` with the schema of ``batch``.
+
+    A micro-batch takes at most ``max_files`` files, so a backlog is worked
+    off in bounded steps.
+    """
     ensure_utc(spark)
     return (spark.readStream.schema(batch.schema).option("basePath", folder)
-            .parquet(f"{folder}/{pattern}"))
+            .option("maxFilesPerTrigger", max_files).parquet(f"{folder}/{pattern}"))
