@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from tickforge.plans import catalog  # noqa: E402
 from tickforge.session import build_session  # noqa: E402
 
 KEEP = ("Exchange", "Join", "Aggregate", "Window", "Expand", "Generate", "Scan", "Union",
@@ -37,9 +37,9 @@ def main():
     spark = build_session("local[8]", shuffle_partitions=8)
     lines = ["# Physical plan shapes", "",
              f"Generated by `tools/dump_plans.py` on `{sf_dir}` (initial plans, before AQE "
-             "re-optimisation; a broadcast here is Spark's size estimate or our checked "
-             "broadcast). Streaming and incremental queries reuse these operators.", ""]
-    for name, fn in entry.queries().items():
+             "re-optimisation; a broadcast here is Spark's size estimate). "
+             "Streaming and incremental queries reuse these operators.", ""]
+    for name, fn in catalog.QUERIES.items():
         if name.startswith(("stream_", "incremental_")):
             continue
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
