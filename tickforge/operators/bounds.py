@@ -2,9 +2,8 @@
 
 A bar is only final once a later tick of the same currency exists, so
 each aggregate keeps buckets strictly before the bucket of the newest
-tick of its currency.  The bound table has one row per currency, so it
-is broadcast (its size is fixed by the exchange's currency list, not by
-the data volume).
+tick of its currency.  The bound table has one row per currency; Spark
+broadcasts it by its size.
 """
 
 from __future__ import annotations
@@ -33,7 +32,7 @@ def keep_closed(rows: DataFrame, bounds: DataFrame, bucket_col: str,
     (much smaller) aggregated rows.  Rows with a NULL currency drop out,
     like the reference's ``currency = ?`` filter.
     """
-    return (rows.join(F.broadcast(bounds), by, "inner")
+    return (rows.join(bounds, by, "inner")
             .where(F.col(bucket_col) < F.col(name))
             .drop(name))
 
@@ -42,8 +41,10 @@ def closed_by_own_max(rows: DataFrame, bucket_col: str, by: str = "currency") ->
     """Drop each currency's newest bucket, using the aggregated rows themselves.
 
     Valid when every tick of the currency lands in some row of ``rows``
-    (then ``max(bucket) = bucket(max ts)``); saves a second scan of the
-    ticks.  The per-currency maxima are one row per currency (broadcast).
+    (then ``max(bucket) = bucket(max ts)``).  Only the bucket column is
+    needed for the maxima, one row per currency, but the plan reads the
+    ticks once more for it; a caller that knows the newest tick from stored
+    statistics uses `keep_closed`.
     """
     mx = rows.groupBy(by).agg(F.max(bucket_col).alias("_bound"))
     return keep_closed(rows, mx, bucket_col, by)
