@@ -7,6 +7,7 @@ Text columns are therefore handed to Python as binary.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -26,9 +27,23 @@ DIGITS = b"0123456789"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Workers find this package where the driver found it.
+
+    Where the folder is not there (a cluster), the package is installed or
+    shipped with the job as usual.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; one of our own only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
