@@ -7,18 +7,22 @@ Text columns are therefore handed to Python as binary.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Distinct words remembered by one Python worker; the memory is emptied (not
 # evicted one by one) when it is full, which changes no result.
-WORD_MEMORY = 400_000
+WORD_MEMORY = 100_000
+ROWS_AT_ONCE = 256       # texts of an Arrow batch that are taken apart together
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 UPPER = bytes(range(65, 91))
@@ -32,12 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def importable(spark: SparkSession) -> None:
-    """Workers find this package where the driver found it.
+    """Workers find this package where the driver found it, and get texts in batches of 1,000 rows.
 
     Where the folder is not there (a cluster), the package is installed or
     shipped with the job as usual.
     """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    if spark.conf.get(BATCH_ROWS) == "10000":      # Spark's default; a setting of the user's stays
+        spark.conf.set(BATCH_ROWS, "1000")
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
@@ -85,6 +91,24 @@ def fields(first: str, kind: T.DataType, ddl: str) -> T.StructType:
     return T.StructType([T.StructField(first, kind), *T._parse_datatype_string(ddl).fields])
 
 
+def tidy(run):
+    """The task's function; at its end the worker, which Spark keeps for other tasks, gives free memory back."""
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+    return task
+
+
+def slices(batches):
+    """The batches in parts of ROWS_AT_ONCE rows, which bounds the words held at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 class WordNumbers(dict):
     """word -> small number in order of first sight; exact, no hashing."""
 

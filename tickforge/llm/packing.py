@@ -30,7 +30,9 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
@@ -47,6 +49,15 @@ STEP_TOKENS = 16 * WINDOW
 BUFFER_TOKENS = 1 << 20
 END_ID = 1
 LONG_WORD = 256
+KNOWN_WORDS, KNOWN_PARTS = 300_000, 300_000    # remembered by a worker
+
+
+# Fixed value: the tokenizer's own word pattern, for which ALL_PLAIN and PARTS hold.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Words of printable ASCII and Latin-1 letters: lower-casing and composing them is plain.
+ALL_PLAIN = re.compile(r"[\n!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*\Z")
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+PARTS_AT_ONCE = 400
 
 
 class WordIds:
@@ -54,7 +65,10 @@ class WordIds:
 
     The tokenizer's pattern never crosses white space and drops it, so a
     text's ids are its words' ids in order; a worker remembers words' ids as
-    little-endian bytes.
+    little-endian bytes.  A plain word is put together from its parts (runs
+    of letters, single digits, runs of other characters), which repeat more
+    often than words; parts are encoded many at a time and told apart by the
+    vocabulary's word ends.  All other words are encoded one by one.
     """
 
     def __init__(self, path: str):
@@ -62,20 +76,60 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        end = spec["model"].get("end_of_word_suffix")
+        self.plain = bool(end) and WORD_PATTERN in json.dumps(spec["pre_tokenizer"]).encode().decode("unicode_escape").replace("\\\\", "\\")
+        if self.plain:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(end)]] = True
+
+    def _one_by_one(self, words: list[str]):
+        for at in range(0, len(words), 4096):
+            for e in self.tokenizer.encode_batch(words[at:at + 4096], add_special_tokens=False):
+                yield np.array(e.ids, "<u4").tobytes()
+
+    def _learn_parts(self, new: list[str]) -> None:
+        for at in range(0, len(new), PARTS_AT_ONCE):
+            some = new[at:at + PARTS_AT_ONCE]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(ends) == len(some):
+                raw = ids.tobytes()
+                ends = ends.tolist()
+                self.parts.update((w, raw[a:b]) for w, a, b in zip(some, [0, *ends], ends))
+            else:
+                self.parts.update(zip(some, self._one_by_one(some), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
-        if len(self.known) > C.WORD_MEMORY:
+        if len(self.known) > KNOWN_WORDS:
             self.known.clear()
+        if len(self.parts) > KNOWN_PARTS:
+            self.parts.clear()
         known = self.known
         new = list(set().union(*split).difference(known))
         now, rare = known, [w for w in new if len(w) > LONG_WORD]
         if rare:
             now = dict(known)
-        for at in range(0, len(new), 8192):
-            part = new[at:at + 8192]
-            got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            now.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, got, strict=True))
+        together = b"\n".join(new).decode("utf-8", "replace")
+        if self.plain and not rare and ALL_PLAIN.match(together) and "<|" not in together:
+            plain, other, lowered = new, [], together.lower().split("\n") if new else []
+        else:
+            plain, other, lowered = [], [], []
+            for w in new:
+                text = w.decode("utf-8", "replace")
+                if self.plain and len(w) <= LONG_WORD and ALL_PLAIN.match(text) and "<|" not in text:
+                    plain.append(w)
+                    lowered.append(text.lower())
+                else:
+                    other.append(w)
+        found = list(map(PARTS.findall, lowered))
+        self._learn_parts(list(set().union(*found).difference(self.parts)))
+        part, join = self.parts.__getitem__, b"".join
+        now.update(zip(plain, [part(p[0]) if len(p) == 1 else join(map(part, p)) for p in found], strict=True))
+        now.update(zip(other, self._one_by_one([w.decode("utf-8", "replace") for w in other]), strict=True))
         if rare:
             known.update((w, now[w]) for w in new if len(w) <= LONG_WORD)
         get = now.__getitem__
@@ -252,6 +306,6 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             yield out
 
     source = docs.select(docs[id_col].alias("__id"), C.as_binary(text_col).alias("text"))
-    return source.mapInArrow(run, C.fields(
+    return source.mapInArrow(C.tidy(run), C.fields(
         "__id", kind, "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, "
         "tier int, step_group long")).withColumnRenamed("__id", id_col)
