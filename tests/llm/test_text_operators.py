@@ -1,6 +1,7 @@
 """Quality rules, co-training, token counts, packing and the language model."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -207,6 +208,23 @@ def test_packing_round_trip(odd_docs, odd_rows, no_docs):
     assert packing.pack(no_docs, path).count() == 0
 
 
+def test_ids_by_words_are_those_of_whole_texts(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 500)
+    monkeypatch.setattr(packing, "KNOWN_PARTS", 300)
+    encoder = packing.WordIds(queries.vocabulary(queries.WORDS))
+    assert encoder.plain
+    rng = random.Random(3)
+    odd = "aAzZéÉßÿŸÀÖ×÷0123456789'’!!&%$<|>|\t\n\r\x0b.,-_ıİΣσς漢字🙂e\u0301²ªº\x1c\x85\xa0 'sST're'LL''"
+    for k in range(60):
+        texts = []
+        for _ in range(20):
+            letters = odd if k % 2 else "abcdeThe!&'s019éÜ \n"
+            t = "".join(rng.choice(letters) for _ in range(rng.randrange(80)))
+            texts.append(t + rng.choice(["", "<|endoftext|>x", "'s 't 'RE!!'s", "x" * 300]) * (k % 3 == 0))
+        want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert encoder.encode([t.encode() for t in texts]) == want
+
+
 def test_packer_cuts_little_and_fills_tiers():
     rng = np.random.default_rng(3)
     p, pieces = packing.Packer(), []
