@@ -213,7 +213,7 @@ def co_train(text_rows, meta_rows, y, metadata) -> CoTrained:
 def _features(batches: Iterator[pa.RecordBatch], metadata: tuple[str, ...]):
     """(batch, text slots, metadata slots) of batches with __text and __meta."""
     slots, memory = WordSlots(), C.WordNumbers()
-    for batch in batches:
+    for batch in C.slices(batches):
         texts = batch.column("__text").to_pylist()
         metas = batch.column("__meta").to_pylist()
         yield (batch, [text_features(t, slots, memory) for t in texts],
@@ -257,7 +257,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = (rows.join(F.broadcast(chosen.select("__id", "__good")), "__id")
               .groupBy("__id", "__good").agg(F.max(F.struct(C.as_binary("__text").alias("t"), F.col("__meta").alias("m"))).alias("r"))
               .select("__id", "__good", F.col("r.t").alias("__text"), F.col("r.m").alias("__meta"))
-              .mapInArrow(extract, C.fields("id", rows.schema["__id"].dataType, "good int, t binary, m binary")))
+              .mapInArrow(C.tidy(extract), C.fields("id", rows.schema["__id"].dataType, "good int, t binary, m binary")))
     got = sample.orderBy(F.xxhash64("id"), "id").collect()
     return co_train([np.frombuffer(r.t, np.int32) for r in got], [np.frombuffer(r.m, np.int32) for r in got],
                     np.array([r.good for r in got], np.int64), metadata)
@@ -271,7 +271,7 @@ def score(docs: DataFrame, model: CoTrained, carry, text_col: str = "text") -> D
         m = shared.value
         weights = None if m.text is None else m.text.weights
         slots, memory = WordSlots(), C.WordNumbers()
-        for batch in batches:
+        for batch in C.slices(batches):
             n = batch.num_rows
             lt, lm = np.zeros(n), np.zeros(n)
             if weights is not None:
@@ -287,7 +287,7 @@ def score(docs: DataFrame, model: CoTrained, carry, text_col: str = "text") -> D
 
     source = docs.select(carry.alias("__carry"), C.as_binary(text_col).alias("__text"),
                          _meta_struct(docs, model.metadata).alias("__meta"))
-    return source.mapInArrow(run, C.fields("__carry", source.schema["__carry"].dataType,
+    return source.mapInArrow(C.tidy(run), C.fields("__carry", source.schema["__carry"].dataType,
                                            "p_text double, p_meta double, p_good double, kept boolean"))
 
 

@@ -109,7 +109,7 @@ def sketch(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
     """id, n_shingles, fingerprint (16 bytes; null if empty) and signature of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordHashes()
-        for batch in batches:
+        for batch in C.slices(batches):
             sets = [shingle_set(t, width, memory) for t in batch.column(1).to_pylist()]
             full = [i for i, s in enumerate(sets) if len(s)]
             prints, sigs = [None] * len(sets), [None] * len(sets)
@@ -121,7 +121,7 @@ def sketch(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
                  pa.array(sigs, pa.binary())], names=["id", "n", "fp", "sig"])
 
     source = docs.select(docs[id_col].alias("id"), C.as_binary(text_col).alias("text"))
-    return source.mapInArrow(run, C.fields("id", docs.schema[id_col].dataType, "n long, fp binary, sig binary"))
+    return source.mapInArrow(C.tidy(run), C.fields("id", docs.schema[id_col].dataType, "n long, fp binary, sig binary"))
 
 
 def _rows_of(column, width: int, kind) -> np.ndarray:
@@ -140,7 +140,7 @@ def _postings(classes: DataFrame) -> DataFrame:
                     [pa.array((coordinate | values.astype(np.int64)).ravel()), batch.column(0).take(pa.array(which))],
                     names=["pair", "fp"])
 
-    return classes.select("fp", "sig").mapInArrow(run, "pair long, fp binary")
+    return classes.select("fp", "sig").mapInArrow(C.tidy(run), "pair long, fp binary")
 
 
 def components_of(linked: np.ndarray) -> np.ndarray:
@@ -286,7 +286,7 @@ def _block_pairs(rows: DataFrame, blocks) -> DataFrame:
 
 def _in_groups(rows: DataFrame, run, keys: list[str]) -> DataFrame:
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, "a binary, b binary")
+    return rows.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(C.tidy(run), "a binary, b binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -364,14 +364,14 @@ def _confirmed(docs, classes, width, percent, id_col, text_col) -> DataFrame:
 
     def full_sets(batches):
         memory = WordHashes()
-        for batch in batches:
+        for batch in C.slices(batches):
             own = [shingle_set(t, width, memory) for t in batch.column("text").to_pylist()]
             same = [xxhash.xxh3_128_digest(s.tobytes()) == w for s, w in zip(own, batch.column("want").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), batch.column("want"), pa.array([len(s) for s in own], pa.int64()),
                  pa.array([s.tobytes() for s in own], pa.binary())], names=["label", "fp", "n", "set"]).filter(pa.array(same))
 
-    sets = sets.select("label", "want", "text").mapInArrow(full_sets, "label binary, fp binary, n long, set binary")
+    sets = sets.select("label", "want", "text").mapInArrow(C.tidy(full_sets), "label binary, fp binary, n long, set binary")
     sets = C.written(sets, "sets")
     sizes = sets.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
     groups = _block_pairs(sets.join(sizes, "label"), F.col("blocks")).select("label", "low", "high", "fp", "set")

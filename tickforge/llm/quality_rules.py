@@ -78,14 +78,14 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """id and STAT_NAMES of every row, over the whole text."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = C.WordNumbers()
-        for batch in batches:
+        for batch in C.slices(batches):
             rows = [C.text_stats(t, memory) for t in batch.column(1).to_pylist()]
             columns = zip(*rows, strict=True) if rows else [()] * len(C.STAT_NAMES)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns)],
                                              names=[id_col, *C.STAT_NAMES])
 
     return docs.select(docs[id_col], C.as_binary(text_col).alias("text")).mapInArrow(
-        count, C.fields(id_col, docs.schema[id_col].dataType, ", ".join(f"{n} long" for n in C.STAT_NAMES)))
+        C.tidy(count), C.fields(id_col, docs.schema[id_col].dataType, ", ".join(f"{n} long" for n in C.STAT_NAMES)))
 
 
 def _feature_arrays(stats: dict[str, np.ndarray]) -> dict[str, np.ndarray]:

@@ -31,6 +31,7 @@ from . import common as C
 
 MARK = "▁"
 LONG_WORD = 4096
+KNOWN_WORDS = 400_000       # counts remembered by a worker
 ZIPF_SHIFT = 2.7            # Zipf-Mandelbrot shift of the rank
 BYTE_PENALTY = 4_000_000    # micro-nats below the rarest piece, for each fallback byte
 
@@ -107,9 +108,9 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, known = _loaded(model_path)
-        for batch in batches:
+        for batch in C.slices(batches):
             split = [t.split() for t in batch.column(1).to_pylist()]
-            if len(known) > C.WORD_MEMORY:
+            if len(known) > KNOWN_WORDS:
                 known.clear()
             new = {w for words in split for w in words if w not in known}
             by_text = {(MARK + w.decode("utf-8", "replace")): w for w in new}
@@ -128,4 +129,4 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
                  pa.array([sum(map(get, w)) for w in split], pa.int64())], names=[id_col, "n_pretokens", "n_tokens"])
 
     source = docs.select(docs[id_col], C.as_binary(text_col).alias("text"))
-    return source.mapInArrow(count, C.fields(id_col, docs.schema[id_col].dataType, "n_pretokens long, n_tokens long"))
+    return source.mapInArrow(C.tidy(count), C.fields(id_col, docs.schema[id_col].dataType, "n_pretokens long, n_tokens long"))
