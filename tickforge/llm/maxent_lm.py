@@ -50,6 +50,8 @@ CLASSES, SINGLE, SUFFIX = 40, 18, 16     # classes; words, and endings, with a c
 BUCKETS = 1 << 15
 HEAD, HEAD_BYTES = 1 << 18, 48
 ENDINGS = 1 << 10                        # hash values of a rare word's ending, as a context
+COUNTED_WORDS = 400_000                  # distinct words that a task holds before it hands on their counts
+PACK = 1 << 8                            # more than there are classes
 ROUNDS, RATE, BATCH = 1, 1.0, 16384
 BLOCK = 128                              # buckets sent together
 SALTS = 16
@@ -82,14 +84,12 @@ class Vocabulary:
         return self.rest + xxhash.xxh3_64_intdigest(ending) % (self.classes - self.rest) if found is None else found
 
     def prepare(self) -> Vocabulary:
-        """Builds the lookups (on the worker: they are not sent)."""
+        """Builds the lookup (on the worker: it is not sent)."""
         if not self.ready:
             n = len(self.words)
-            self.number = {w: i for i, w in enumerate(self.words)}
-            self.class_of = np.zeros(n, np.int32)
-            for i, w in enumerate(self.words):
-                self.class_of[i] = i if i < self.single else self.ending_class(w[-2:])
-            self.rare: dict[bytes, tuple[int, int]] = {}
+            classes = [i if i < self.single else self.ending_class(w[-2:]) for i, w in enumerate(self.words)]
+            self.packed = _Packed(self, n)
+            self.packed.update(zip(self.words, (np.arange(n) * PACK + np.array(classes, np.int64)).tolist(), strict=True))
             self.ready = True
         return self
 
@@ -98,18 +98,24 @@ class Vocabulary:
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(context number, class) of each token and the places of tokens outside the head."""
-        get = self.number.get
-        ids = np.fromiter([get(w, -1) for w in words], np.int64, len(words))
-        away = np.flatnonzero(ids < 0)
-        cls = self.class_of[ids] if len(self.class_of) else np.zeros(len(ids), np.int32)
-        n = len(self.words)
-        for at in away.tolist():
-            ending = words[at][-2:]
-            known = self.rare.get(ending)
-            if known is None:
-                known = self.rare[ending] = (n + xxhash.xxh3_64_intdigest(ending) % ENDINGS, self.ending_class(ending))
-            ids[at], cls[at] = known
-        return ids, cls, away
+        packed = np.fromiter(map(self.packed.__getitem__, words), np.int64, len(words))
+        ids = packed // PACK
+        return ids, (packed & (PACK - 1)).astype(np.int32), np.flatnonzero(ids >= len(self.words))
+
+
+class _Packed(dict):
+    """head word -> number * PACK + class; other words by their ending, not remembered."""
+
+    def __init__(self, vocabulary: Vocabulary, first: int):
+        self.vocabulary, self.first, self.endings = vocabulary, first, {}
+
+    def __missing__(self, word: bytes) -> int:
+        ending = word[-2:]
+        found = self.endings.get(ending)
+        if found is None:
+            found = self.endings[ending] = ((self.first + xxhash.xxh3_64_intdigest(ending) % ENDINGS) * PACK
+                                            + self.vocabulary.ending_class(ending))
+        return found
 
 
 def features(ids: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -173,10 +179,17 @@ class Trainer:
         ordered = flat[order]
         starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         touched, times = ordered[starts], np.diff(np.r_[starts, len(flat)])
-        # expected less seen classes, summed by bucket; sums run along memory, class by class
-        by_class = np.take(np.ascontiguousarray(p.T), (order % n).astype(np.int32), axis=1)
-        gradient = np.ascontiguousarray(np.add.reduceat(by_class, starts, axis=1).T)
-        seen = np.bincount(np.repeat(np.arange(len(starts)), times) * classes + cls[order % n], minlength=gradient.size)
+        # expected less seen classes, summed by bucket: a row used once is the token's own;
+        # the other sums run along memory, class by class
+        token = order % n
+        gradient = np.empty((len(starts), classes), np.float32)
+        once = times == 1
+        gradient[once] = np.take(p, token[starts[once]], axis=0)
+        many = ~once
+        if many.any():
+            by_class = np.take(np.ascontiguousarray(p.T), token[np.repeat(many, times)].astype(np.int32), axis=1)
+            gradient[many] = np.add.reduceat(by_class, np.cumsum(times[many]) - times[many], axis=1).T
+        seen = np.bincount(np.repeat(np.arange(len(starts)), times) * classes + cls[token], minlength=gradient.size)
         gradient -= seen.reshape(gradient.shape).astype(np.float32)
         self.scale[touched] += np.einsum("ij,ij->i", gradient, gradient)
         gradient *= (self.rate / np.sqrt(self.scale[touched]))[:, None]
@@ -196,7 +209,7 @@ def _vocabulary(key: str, shared) -> Vocabulary:
 
 def _texts(batches: Iterator[pa.RecordBatch], column: str):
     """Arrow batches in parts of some 100,000 tokens: (batch part, tokens per text)."""
-    for batch in batches:
+    for batch in C.slices(batches):
         at, part, n = 0, [], 0
         for i, text in enumerate(batch.column(column).to_pylist()):
             part.append(tokens_of(text))
@@ -223,15 +236,15 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 [pa.array([key_of(w) for w in words], pa.binary()), pa.array([w[-2:] for w in words], pa.binary()),
                  pa.array(list(found.values()), pa.int64())], names=["word", "ending", "c"])
 
-        for batch in batches:
+        for batch in C.slices(batches):
             for text in batch.column(0).to_pylist():
                 found.update(tokens_of(text))
-                if len(found) > C.WORD_MEMORY:
+                if len(found) > COUNTED_WORDS:
                     yield out()
                     found.clear()
         yield out()
 
-    return (texts.mapInArrow(run, "word binary, ending binary, c long")
+    return (texts.mapInArrow(C.tidy(run), "word binary, ending binary, c long")
             .groupBy("word").agg(F.max("ending").alias("ending"), F.sum("c").alias("c")))
 
 
@@ -280,7 +293,7 @@ def train(texts: DataFrame, vocabulary, key: str, bias: np.ndarray, rounds: int
                         [pa.array([block], pa.int32()), pa.array([salt], pa.int32()), pa.array([data.tobytes()], pa.binary())],
                         names=["block", "salt", "data"])
 
-        partial = texts.mapInArrow(walk, "block int, salt int, data binary").repartition(parts, "block", "salt")
+        partial = texts.mapInArrow(C.tidy(walk), "block int, salt int, data binary").repartition(parts, "block", "salt")
         total = partial.mapInArrow(_sum_blocks, "block int, data binary").repartition(parts, "block").mapInArrow(
             _sum_blocks, "block int, data binary")
         weights = weights.copy()
@@ -373,7 +386,7 @@ def score(docs: DataFrame, is_training, id_col: str = "doc_id", text_col: str =
     kinds = C.T.StructType([C.T.StructField("rid", C.T.LongType()), C.T.StructField("id", docs.schema[id_col].dataType),
                             *C.T._parse_datatype_string("held_out boolean, n_tokens long, known long, own double, part double, "
                                                         "rare array<binary>, times array<long>").fields])
-    scored = C.written(source.mapInArrow(run, kinds), "lm-scored")
+    scored = C.written(source.mapInArrow(C.tidy(run), kinds), "lm-scored")
     # words outside the head: their counts come by a join, summed per text
     pairs = scored.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("p")).select(
         "rid", F.col("p.rare").alias("word"), F.col("p.times").alias("times"))
