@@ -284,3 +284,31 @@ def test_training_lowers_the_loss():
     for at in range(0, 20000, 1000):
         t.step(rows[:, at:at + 1000], cls[at:at + 1000])
     assert maxent_lm.class_log_probability(t.weights, t.bias, rows, cls).mean() > before + 1
+
+
+def test_choices_of_a_class_add_up_to_one():
+    classes, counts, rest = np.array([0, 1, 2, 2, 3, 2, 2, 2]), np.array([9, 8, 7, 6, 5, 4, 3, 3]), np.array([1, 1, 2, 5, 3.])
+    trees = maxent_lm.Trees(classes, counts, 2, rest)
+    hashes = np.random.default_rng(0).integers(0, 1 << 32, (3, 1), np.uint32)
+    for weights in (np.zeros(4096, np.float32), np.random.default_rng(1).normal(size=4096).astype(np.float32)):
+        for c, words in {2: [2, 3, 5, 6, 7], 3: [4], 4: []}.items():
+            leaves = np.array([*words, 8 + c])
+            p = np.exp(maxent_lm.choice_log_probability(weights, trees, np.repeat(hashes, len(leaves), 1), leaves))
+            assert p.sum() == pytest.approx(1, abs=1e-5)
+            if not weights.any():       # without history: the smoothed relative frequency
+                mass = np.r_[counts[words] + 1, rest[c]]
+                assert p == pytest.approx(mass / mass.sum(), abs=1e-5)
+        assert maxent_lm.choice_log_probability(weights, trees, hashes, np.array([1])) == 0
+
+
+def test_history_tells_words_of_one_class_apart(spark):
+    """Each word of a cycle follows from the one before it; all but the commonest share an ending, so a class."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(400):
+        at = int(rng.integers(60))
+        rows.append((i, " ".join(f"w{(at + k) % 60}ly" for k in range(100))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = maxent_lm.score(docs, docs["doc_id"] % 5 != 2).where("held_out").toPandas()
+    by_class_and_frequency = -math.log10(42) * 42 / 60
+    assert (got.score / got.n_tokens).mean() > by_class_and_frequency / 2

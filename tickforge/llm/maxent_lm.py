@@ -5,12 +5,15 @@ P(word | history) = P(class | history) * P(word | class).
 The first factor is a softmax over ``CLASSES`` classes.  Its features are the
 previous word, the two previous words as a pair, and the word before the
 previous one alone (skip); each is hashed to one of ``BUCKETS`` rows of weights.
-The second factor is a maximum-entropy model whose only features are the
-words themselves; its optimum has a closed form, the smoothed relative
-frequency, with one place in each class for all words not seen in training.
-Frequent words are classes of their own; the others are classed by their
-last two bytes, so a word never seen has a class too.  All probabilities of
-a history add up to one.
+The second factor is a product of two-way choices down a Huffman tree of the
+class's head words and one leaf for all its other words.  Each choice is a
+maximum-entropy model of the same three features, hashed together with the
+node to one of at most ``SLOTS`` weights (fewer for few tokens), and of a
+prior: the closed form without history, the smoothed relative frequency.  In
+the leaf of other words that closed form is all, with one place for the words
+not seen in training.  Frequent words are classes of their own; the others
+are classed by their last two bytes, so a word never seen has a class too.
+All probabilities of a history add up to one.
 
 Training: every task walks its documents once, with mini-batches of gradient
 steps on the sparse rows that a batch touches, starting from the shared
@@ -54,7 +57,10 @@ COUNTED_WORDS = 400_000                  # distinct words that a task holds befo
 PACK = 1 << 8                            # more than there are classes
 ROUNDS, RATE, BATCH = 1, 1.0, 16384
 BLOCK = 128                              # buckets sent together
+SLOTS, SLOT_BLOCK = 1 << 21, 1 << 13     # weights of the choices at most; slots sent together
+CHOICE_RATE, CHOICE_BATCH = 0.2, 1 << 16  # step size; tokens of a step with SLOTS weights, fewer with fewer
 SALTS = 16
+TASK_TOKENS = 2_000_000                  # of a training task, where the input is dealt finer: each sends its weights
 END = b""                                # the end token; no word is empty
 
 
@@ -118,8 +124,135 @@ class _Packed(dict):
         return found
 
 
-def features(ids: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """The three feature rows of each token (``place``: the token's number in its text)."""
+class Trees:
+    """The Huffman tree of each class of many words: leaves are its head words and, numbered after all
+    head words, one for the class's other words."""
+
+    def __init__(self, classes: np.ndarray, counts: np.ndarray, single: int, rest: np.ndarray):
+        """``classes`` and ``counts`` of the head words; ``rest``: by class, the mass of its other words."""
+        n = len(classes)
+        self.n, self.single = n, single
+        members = np.argsort(classes[single:], kind="stable") + single
+        starts = np.searchsorted(classes[members], np.arange(len(rest) + 1))
+        up = np.full(n + len(rest), -1, np.int64)      # code of the choice above a leaf: node * 2 + side
+        above, odds = [], []                           # the same of a node; log of side 1's mass over side 0's
+        for c in range(single, len(rest)):
+            own = np.r_[members[starts[c]:starts[c + 1]], n + c]
+            mass = np.r_[counts[own[:-1]] + 1.0, rest[c]]
+            order = np.argsort(mass, kind="stable")
+            own, mass = own[order].tolist(), mass[order].tolist()
+            first, merged, i, k = len(above), [], 0, 0
+            for m in range(len(own) - 1):
+                two = []
+                for side in (0, 1):
+                    if k >= len(merged) or (i < len(own) and mass[i] <= merged[k]):
+                        up[own[i]] = (first + m) * 2 + side
+                        two.append(mass[i])
+                        i += 1
+                    else:
+                        above[first + k] = (first + m) * 2 + side
+                        two.append(merged[k])
+                        k += 1
+                merged.append(two[0] + two[1])
+                above.append(-1)
+                odds.append(two[1] / two[0])
+        above = np.array(above, np.int64)
+        self.odds = np.log(np.array(odds)).astype(np.float32)
+        leaves, codes, at = [], [], np.flatnonzero(up >= 0)
+        now = up[at]
+        while len(at):
+            leaves.append(at)
+            codes.append(now)
+            now = above[now >> 1]
+            at, now = at[now >= 0], now[now >= 0]
+        leaves = np.concatenate([np.empty(0, np.int64), *leaves])
+        codes = np.concatenate([np.empty(0, np.int64), *codes])
+        order = np.argsort(leaves, kind="stable")
+        self.codes = codes[order].astype(np.int32)
+        self.at = np.searchsorted(leaves[order], np.arange(n + len(rest) + 1))
+
+    def leaves(self, ids: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        return np.where(ids < self.n, ids, self.n + cls)
+
+    def choices(self, leaves: np.ndarray):
+        """(token, node, side) of all choices on the ways to the tokens' leaves, token by token."""
+        depth = self.at[leaves + 1] - self.at[leaves]
+        token = np.repeat(np.arange(len(leaves), dtype=np.int32), depth)
+        place = np.arange(len(token)) + np.repeat(self.at[leaves] - (np.cumsum(depth) - depth), depth)
+        codes = self.codes[place]
+        return token, codes >> 1, codes & 1
+
+
+def slots_for(tokens: int) -> int:
+    """Weights of the choices: one for two tokens, a power of two, from 2**12 to ``SLOTS``."""
+    return min(SLOTS, 1 << max(12, (tokens // 2).bit_length()))
+
+
+def batch_for(slots: int) -> int:
+    """Tokens of a training step: few tokens in all take small steps, so as to take several."""
+    return max(1 << 10, CHOICE_BATCH * slots // SLOTS)
+
+
+def slots_of(hashes: np.ndarray, token: np.ndarray, node: np.ndarray, slots: int):
+    """For each feature, the slot of each choice."""
+    salt = node.astype(np.uint32) * np.uint32(0x9E3779B1)
+    salt ^= salt >> np.uint32(15)
+    for h in hashes:
+        out = np.take(h, token)
+        out ^= salt
+        out *= np.uint32(0x85EBCA6B)
+        out >>= np.uint32(32 - slots.bit_length() + 1)
+        yield out.view(np.int32)
+
+
+def chosen(weights: np.ndarray, odds: np.ndarray, slots, node: np.ndarray, side: np.ndarray):
+    """Log odds of the side taken at each choice."""
+    z = np.take(odds, node)
+    for s in slots:
+        z += np.take(weights, s)
+    np.negative(z, out=z, where=side == 0)
+    return z
+
+
+class ChoiceTrainer:
+    """Gradient steps on one task's choices, from the shared weights."""
+
+    def __init__(self, weights: np.ndarray, trees: Trees, rate: float = CHOICE_RATE):
+        self.weights, self.trees, self.rate = weights.copy(), trees, rate
+        self.scale = np.ones(len(weights), np.float32)     # one and the sums of squared gradients
+
+    def step(self, hashes: np.ndarray, leaves: np.ndarray) -> None:
+        token, node, side = self.trees.choices(leaves)
+        slots = list(slots_of(hashes, token, node, len(self.weights)))
+        z = chosen(self.weights, self.trees.odds, slots, node, side)
+        np.clip(z, -30, 30, out=z)
+        pull = 1 / (1 + np.exp(z))
+        np.negative(pull, out=pull, where=side == 0)
+        total = np.bincount(slots[0], pull, len(self.weights))
+        for s in slots[1:]:
+            total += np.bincount(s, pull, len(self.weights))
+        total = total.astype(np.float32)
+        self.scale += total * total
+        total *= self.rate
+        total /= np.sqrt(self.scale)
+        self.weights += total
+
+
+def choice_log_probability(weights: np.ndarray, trees: Trees, hashes: np.ndarray, leaves: np.ndarray) -> np.ndarray:
+    """Natural log of P(leaf | class, history) of each token."""
+    out = np.empty(len(leaves))
+    for at in range(0, len(leaves), CHOICE_BATCH):
+        part = leaves[at:at + CHOICE_BATCH]
+        token, node, side = trees.choices(part)
+        z = chosen(weights, trees.odds, slots_of(hashes[:, at:at + CHOICE_BATCH], token, node, len(weights)), node, side)
+        # log of 1 / (1 + exp(-z))
+        logs = np.minimum(z, 0) - np.log1p(np.exp(-np.abs(z)))
+        out[at:at + CHOICE_BATCH] = np.bincount(token, logs, len(part))
+    return out
+
+
+def features(ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The three feature rows of each token (``place``: the token's number in its text), and the features' 32-bit hashes."""
     def back(k):
         out = np.zeros(len(ids), np.uint64)
         out[k:] = ids[:-k] + 1
@@ -130,12 +263,13 @@ def features(ids: np.ndarray, place: np.ndarray) -> np.ndarray:
     rows = (one * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1),
             (one * np.uint64(0x9E3779B97F4A7C15) ^ (two + np.uint64(7)) * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(2),
             two * np.uint64(0x94D049BB133111EB) + np.uint64(3))
-    out = np.empty((len(rows), len(ids)), np.int32)
+    out, hashes = np.empty((len(rows), len(ids)), np.int32), np.empty((len(rows), len(ids)), np.uint32)
     for k, r in enumerate(rows):
         r ^= r >> np.uint64(32)
         r *= np.uint64(0xD6E8FEB86659FD93)
         out[k] = r >> np.uint64(64 - BUCKETS.bit_length() + 1)
-    return out
+        hashes[k] = r >> np.uint64(8) & np.uint64(0xFFFFFFFF)
+    return out, hashes
 
 
 def exponentials(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, buffer: np.ndarray):
@@ -248,60 +382,86 @@ def word_counts(texts: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.max("ending").alias("ending"), F.sum("c").alias("c")))
 
 
-def _sum_blocks(batches):
-    """Sums of the partial weights by block; at most BUCKETS / BLOCK blocks."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist(), strict=True):
-            got = np.frombuffer(data, np.float32)
-            if block in sums:
-                sums[block] += got
-            else:
-                sums[block] = got.astype(np.float64)
-    for block, total in sums.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["block", "data"])
+def _sum_blocks(size: int):
+    """Sums of the partial weights by block; rows with places have only those of a block's ``size`` slots."""
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            sent = batch.column("places").to_pylist() if "places" in batch.schema.names else [None] * batch.num_rows
+            for block, places, data in zip(batch.column("block").to_pylist(), sent, batch.column("data").to_pylist(), strict=True):
+                got = np.frombuffer(data, np.float32)
+                if places is not None:
+                    if block not in sums:
+                        sums[block] = np.zeros(2 * size)
+                    sums[block].reshape(size, 2)[np.frombuffer(places, np.uint16)] += got.reshape(-1, 2)
+                elif block in sums:
+                    sums[block] += got
+                else:
+                    sums[block] = got.astype(np.float64)
+        for block, total in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["block", "data"])
+    return run
 
 
-def train(texts: DataFrame, vocabulary, key: str, bias: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
-    """Weights after ``rounds`` passes over all of ``texts`` (one binary column)."""
+def train(texts: DataFrame, vocabulary, key: str, bias: np.ndarray, trees, slots: int, rounds: int = ROUNDS,
+          rate: float = RATE) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the classes and of the choices after ``rounds`` passes over all of ``texts`` (one binary column)."""
     spark = texts.sparkSession
-    weights = np.zeros((BUCKETS, len(bias)), np.float32)
-    width = len(bias)
+    weights, choices = np.zeros((BUCKETS, len(bias)), np.float32), np.zeros(slots, np.float32)
+    width, size, batch = len(bias), min(slots, SLOT_BLOCK), batch_for(slots)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast((weights, bias))
+        shared = spark.sparkContext.broadcast((weights, bias, choices))
 
         def walk(batches, shared=shared):
             trainer, vocab = None, _vocabulary(key, vocabulary)
             for _, words in _texts(batches, "text"):
                 if trainer is None:
-                    trainer = Trainer(*shared.value, rate)
+                    now, bias, then = shared.value
+                    trainer, chooser = Trainer(now, bias, rate), ChoiceTrainer(then, trees.value)
                 ids, cls, _ = vocab.encode([w for t in words for w in t])
-                rows = features(ids, _places(np.array([len(t) for t in words])))
+                rows, hashes = features(ids, _places(np.array([len(t) for t in words])))
                 for at in range(0, len(cls), BATCH):
                     trainer.step(rows[:, at:at + BATCH], cls[at:at + BATCH])
+                leaves = chooser.trees.leaves(ids, cls)
+                for at in range(0, len(cls), batch):
+                    chooser.step(hashes[:, at:at + batch], leaves[at:at + batch])
             if trainer is None:
                 return
             salt = TaskContext.get().partitionId() % SALTS
-            for block in range(BUCKETS // BLOCK):
-                part = slice(block * BLOCK, (block + 1) * BLOCK)
-                used = trainer.used[part]
+
+            def sent(block, used, values, places=None):
                 if used.any():
-                    data = np.column_stack([used, trainer.weights[part] * used[:, None]]).astype(np.float32)
+                    data = np.column_stack([used, values * used[:, None]]).astype(np.float32)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([block], pa.int32()), pa.array([salt], pa.int32()), pa.array([data.tobytes()], pa.binary())],
-                        names=["block", "salt", "data"])
-
-        partial = texts.mapInArrow(C.tidy(walk), "block int, salt int, data binary").repartition(parts, "block", "salt")
-        total = partial.mapInArrow(_sum_blocks, "block int, data binary").repartition(parts, "block").mapInArrow(
-            _sum_blocks, "block int, data binary")
-        weights = weights.copy()
-        for r in total.collect():       # the model: BUCKETS rows of bounded width
-            data = np.frombuffer(r.data, np.float32).reshape(BLOCK, width + 1)
+                        [pa.array([block], pa.int32()), pa.array([salt], pa.int32()), pa.array([places], pa.binary()),
+                         pa.array([data.tobytes()], pa.binary())], names=["block", "salt", "places", "data"])
+
+            for block in range(BUCKETS // BLOCK):
+                part = slice(block * BLOCK, (block + 1) * BLOCK)
+                yield from sent(block, trainer.used[part], trainer.weights[part])
+            for block in range(slots // size):       # numbered below 0
+                part = slice(block * size, (block + 1) * size)
+                used = chooser.scale[part] - 1
+                some = np.flatnonzero(used)
+                if 5 * len(some) < 4 * size:         # only those touched, of 10 bytes instead of 8
+                    yield from sent(-1 - block, used[some], chooser.weights[part][some, None], some.astype(np.uint16).tobytes())
+                else:
+                    yield from sent(-1 - block, used, chooser.weights[part, None])
+
+        partial = texts.mapInArrow(C.tidy(walk), "block int, salt int, places binary, data binary").repartition(parts, "block", "salt")
+        total = partial.mapInArrow(_sum_blocks(size), "block int, data binary").repartition(parts, "block").mapInArrow(
+            _sum_blocks(size), "block int, data binary")
+        weights, choices = weights.copy(), choices.copy()
+        for r in total.collect():       # the model: BUCKETS rows of bounded width, and the slots
+            if r.block >= 0:
+                into, data = weights[r.block * BLOCK:(r.block + 1) * BLOCK], np.frombuffer(r.data, np.float32).reshape(BLOCK, width + 1)
+            else:
+                into, data = choices[(-1 - r.block) * size:-r.block * size, None], np.frombuffer(r.data, np.float32).reshape(size, 2)
             some = data[:, 0] > 0
-            weights[r.block * BLOCK:(r.block + 1) * BLOCK][some] = data[some, 1:] / data[some, :1]
-    return weights
+            into[some] = data[some, 1:] / data[some, :1]
+    return weights, choices
 
 
 def score(docs: DataFrame, is_training, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
@@ -346,29 +506,38 @@ def score(docs: DataFrame, is_training, id_col: str = "doc_id", text_col: str =
     for e, (c, k) in endings.items():
         tokens[vocab.ending_class(e)] += c
         types[vocab.ending_class(e)] += k
-    room = np.log10(tokens + types + 1)     # of P(word | class) in the classes of many words
-    room[:single] = 0
+    classes = np.array([i if i < single else vocab.ending_class(w[-2:]) for i, w in enumerate(words)], np.int64)
+    in_head = np.bincount(classes, np.asarray(seen, float) + 1, CLASSES)
+    rest = tokens + types + 1 - in_head     # mass of a class's words outside the head
+    rest[:single] = 1
+    room = np.log10(rest)                   # of P(word | class, not in the head)
     bias = np.log(tokens + 1).astype(np.float32)
     shared_vocab, key = spark.sparkContext.broadcast(vocab), uuid.uuid4().hex
-    weights = train(training, shared_vocab, key, bias, rounds) if n else np.zeros((BUCKETS, CLASSES), np.float32)
-    model = spark.sparkContext.broadcast((weights, bias, room))
+    trees, slots = spark.sparkContext.broadcast(Trees(classes, np.asarray(seen), single, rest)), slots_for(n)
+    training = training.coalesce(max(spark.sparkContext.defaultParallelism, n // TASK_TOKENS))
+    weights, choices = (train(training, shared_vocab, key, bias, trees, slots, rounds) if n else
+                        (np.zeros((BUCKETS, CLASSES), np.float32), np.zeros(slots, np.float32)))
+    model = spark.sparkContext.broadcast((weights, bias, room, choices))
     log_all = float(np.log10(n + v + 1))
 
     def run(batches):
         vocab = _vocabulary(key, shared_vocab)
-        weights, bias, room = model.value
+        weights, bias, room, choices = model.value
         log_count = np.log10(vocab.counts + 1.0)
         rid = (TaskContext.get().partitionId()) << 33
         for batch, words in _texts(batches, "text"):
             sizes = np.array([len(t) for t in words])
             flat = [w for t in words for w in t]
             ids, cls, away = vocab.encode(flat)
-            in_class = class_log_probability(weights, bias, features(ids, _places(sizes)), cls) / np.log(10)
+            rows, hashes = features(ids, _places(sizes))
+            in_class = class_log_probability(weights, bias, rows, cls)
+            in_class += choice_log_probability(choices, trees.value, hashes, trees.value.leaves(ids, cls))
+            in_class /= np.log(10)
             known = np.ones(len(ids), bool)
             known[away] = False
             own = np.zeros(len(ids))
             own[known] = log_count[ids[known]]
-            word_part = np.where(cls < vocab.single, 0, own) - room[cls]
+            word_part = np.where(known, 0, -room[cls])
             starts = np.cumsum(sizes) - sizes
             sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), own, in_class + word_part)]
             text_of = np.searchsorted(starts, away, side="right") - 1
