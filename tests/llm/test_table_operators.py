@@ -244,7 +244,7 @@ def test_components_of_a_long_chain(spark):
 def test_query_equals_sql(spark, small_dir, name):
     got = queries.QUERIES[name](spark, small_dir).toPandas()
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{small_dir}/{t}.parquet'")
     want = con.execute(queries.ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
@@ -258,8 +258,9 @@ def test_query_equals_sql(spark, small_dir, name):
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
 def test_query_covers_its_table(spark, small_dir, name):
     out = queries.QUERIES[name](spark, small_dir)
-    n = C.table(spark, small_dir, "documents").count()
-    assert out.select("doc_id").distinct().count() == n
+    table, key = ("embeddings", "vec_id") if "vec_id" in out.columns else ("documents", "doc_id")
+    n = C.table(spark, small_dir, table).count()
+    assert out.select(key).distinct().count() == n
 
 
 def test_pipeline_stages(spark, odd_docs, odd_labels, no_docs, monkeypatch, small_dir):

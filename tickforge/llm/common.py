@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 import tempfile
 import uuid
 
@@ -102,6 +103,22 @@ def tidy(run):
     return task
 
 
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+BLOCK_BYTES = 1 << 20    # of a very long text that are taken apart together
+
+
+def blocks(text: bytes):
+    """The text in parts of about BLOCK_BYTES that end before white space, so that no word is cut."""
+    at = 0
+    while len(text) - at > BLOCK_BYTES:
+        space = SPACE.search(text, at + BLOCK_BYTES)
+        if not space:
+            break
+        yield text[at:space.start()]
+        at = space.start()
+    yield text[at:] if at else text
+
+
 def slices(batches):
     """The batches in parts of ROWS_AT_ONCE rows, which bounds the words held at a time."""
     for batch in batches:

@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import cotraining, maxent_lm, mixing, neardup, packing, quality_rules, sharding, token_counts, toolcalls, topk
+from . import (
+    cotraining,
+    maxent_lm,
+    mixing,
+    neardup,
+    packing,
+    quality_rules,
+    resampling,
+    sharding,
+    simhash,
+    token_counts,
+    toolcalls,
+    topk,
+    whitening,
+)
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
@@ -190,8 +204,63 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(C.table(spark, sf_dir, "documents"), vocabulary(PIECES))
 
 
+def op11_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(C.table(spark, sf_dir, "documents"), width=4, bits=4)
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op12_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(C.table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# The table of CRC-32 is built by its rule: eight steps of the reversed polynomial.
+OP13_SQL = rf"""
+WITH crc AS (
+  SELECT list(list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+dw AS (SELECT row, unnest(w) AS word FROM d),
+bw AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+bytes AS (
+  SELECT word, list_transform(range(octet_length(encode(word))), lambda k: ('0x' || substr(hex(encode(word)), 2 * k + 1, 2))::BIGINT) AS b
+  FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+bucket AS (
+  SELECT word, xor(list_reduce([4294967295] || b, lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % {resampling.BUCKETS} AS k
+  FROM bytes, crc),
+s AS (SELECT k, count(*) AS n FROM dw JOIN bucket USING (word) GROUP BY k),
+t AS (SELECT k, count(*) AS n FROM bw JOIN bucket USING (word) GROUP BY k),
+totals AS (SELECT (SELECT coalesce(sum(n), 0) FROM s)::DOUBLE AS s_all, (SELECT coalesce(sum(n), 0) FROM t)::DOUBLE AS t_all),
+gain AS (
+  SELECT k, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (s_all + {resampling.BUCKETS})
+                            / ((coalesce(s.n, 0) + 1)::DOUBLE * (t_all + {resampling.BUCKETS}))))::BIGINT AS gain
+  FROM s FULL JOIN t USING (k), totals),
+weights AS (SELECT row, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight FROM dw JOIN bucket USING (word) JOIN gain USING (k) GROUP BY row),
+scored AS (
+  SELECT row, doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+           (('0x' || substr(sha256('{resampling.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (row)),
+ranked AS (
+  SELECT row, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE n_features >= {resampling.LEAST_WORDS}),
+drawn AS (SELECT {resampling.SHARE} * count(*) // 100 AS n FROM ranked)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= drawn.n THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (row), drawn
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_maxent_lm, op2_virtual_slots, op3_tool_call_linking, op4_raked_mixing, op5_multi_length_packing, op6_norm_buckets, op7_minhash_inverted_join,
-    op8_quality_rules, op9_co_training, op10_token_counts)}
-ORACLES: dict[str, str] = {"op3_tool_call_linking": OP3_SQL, "op4_raked_mixing": OP4_SQL,
-                           "op6_norm_buckets": OP6_SQL, "op7_minhash_inverted_join": OP7_SQL}
+    op8_quality_rules, op9_co_training, op10_token_counts, op11_simhash_pigeonring, op12_qdwh_whitening, op13_target_resampling)}
+ORACLES: dict[str, str] = {"op3_tool_call_linking": OP3_SQL, "op4_raked_mixing": OP4_SQL, "op6_norm_buckets": OP6_SQL,
+                           "op7_minhash_inverted_join": OP7_SQL, "op13_target_resampling": OP13_SQL}
