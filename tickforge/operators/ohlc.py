@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions.numeric import ieee_div, ieee_ln, null_div, weighted_mean
 from ..functions.ordering import first_by, last_by, sequence
 from ..functions.time import bucket, ts_literal, ts_type
 from .bounds import closed_by_own_max
+from .segments import Order, equal_segments, micros, ordered_to_the_end, text_keys
 
 FUTURES_OHLC_COLUMNS = ["instrument_name", "currency", "bucket", "open", "high", "low",
                         "close", "volume", "n_orders", "pct_buys_count",
@@ -125,6 +127,20 @@ def index_ohlc_1min(future_trades: DataFrame, option_trades: DataFrame, since=No
     return bars.select(*INDEX_OHLC_COLUMNS)
 
 
+def _tick_order(ticks: DataFrame, tie_break: str) -> Order:
+    """(timestamp, length and value of the id, hash of the row, copies) as whole numbers."""
+    hashed = F.shiftrightunsigned("_row_hash", 1)
+    if isinstance(ticks.schema[tie_break].dataType, IntegralType):
+        value, whole = [F.coalesce(F.col(tie_break).cast("long"), F.lit(-1).cast("long"))], F.lit(True)
+    else:
+        value, whole = text_keys(tie_break), ordered_to_the_end(tie_break)
+    # ids that their keys do not tell apart stay together
+    tail = F.when(whole, hashed).otherwise(F.lit(0).cast("long"))
+    length = F.coalesce(F.col("_tie_length").cast("long"), F.lit(-1).cast("long"))
+    return Order([micros(F.col("timestamp")), length, *value, tail],
+                 F.when(whole, F.col("_row_id")).otherwise(F.lit(-1).cast("long")))
+
+
 def spot_ohlc_1min(spot_trades: DataFrame, fanout: bool = False,
                    tie_break: str = "trade_id", unit: str = "minute",
                    n_segments: int | None = None) -> DataFrame:
@@ -138,8 +154,9 @@ def spot_ohlc_1min(spot_trades: DataFrame, fanout: bool = False,
     - no self join, no n*n rows.
 
     The previous-tick return needs the ticks of a minute in order.  So that
-    a hot (instrument, minute) cannot land in one task, the ordered ticks
-    are range-partitioned into segments of about equal size: returns are
+    a hot (instrument, minute) cannot land in one task, time is cut into
+    segments of equal row counts (`segments`; a hot instant by trade id, and
+    copies of a tick in any order): the ticks are shuffled once, returns are
     computed inside each (segment, instrument, minute), every segment is
     summarised (partial sums, first and last tick), and the one return
     that crosses each segment boundary is added from a window over the
@@ -149,15 +166,14 @@ def spot_ohlc_1min(spot_trades: DataFrame, fanout: bool = False,
     t = spot_trades.select(*cols)
     # Total order of the ticks: (timestamp, tie_break by length and value), then a hash of the
     # whole row (deterministic among rows that differ), then a row id - so
-    # that even a block of identical copies can be split by range
-    # partitioning (any order of identical copies gives the same returns).
+    # that even a block of identical copies can be split (any order of
+    # identical copies gives the same returns).
     t = t.select(*cols, bucket(t, "timestamp", unit).alias("bucket"), sequence(tie_break)[0].alias("_tie_length"),
                  F.xxhash64(*cols).alias("_row_hash"),
                  F.monotonically_increasing_id().alias("_row_id"))
     seq = ["timestamp", "_tie_length", tie_break, "_row_hash", "_row_id"]
     n_seg = n_segments or int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    t = (t.repartitionByRange(n_seg, "instrument_name", "bucket", *seq)
-         .withColumn("_seg", F.spark_partition_id()))
+    t = equal_segments(t, _tick_order(t, tie_break), n_seg).attach(t)
     g = ["_seg", "instrument_name", "bucket"]
     order = F.struct(*seq)
     w = Window.partitionBy(*g).orderBy(*seq)

@@ -4,14 +4,13 @@ A window ``PARTITION BY instrument ORDER BY ts`` sends every row of one
 instrument to one task; a hot perpetual can hold a third of all rows.  Here
 time is cut into *segments*:
 
-1. approximate quantiles of the order column (one scan of that column, at
-   most ``n_segments - 1`` values collected) are the split points;
-2. the segment ``_seg`` of a row is an expression over its time and these
-   constants, so it is the same whenever it is computed again;
-3. the rows are shuffled once, by (segment, key); peers are summed and an
+1. a histogram of the order column gives segments of equal row counts
+   (`segments.equal_segments`); a row finds its segment ``_seg`` by a join
+   with the small table of cells;
+2. the rows are shuffled once, by (segment, key); peers are summed and an
    ordinary window runs inside each - at most a segment's rows in one task;
-4. the sums of the segments before are added from a table of one row per
-   (segment, key).
+3. the sums of the segments before are added from a table of one row per
+   (segment, key), so a key's own window has at most ``n_segments`` rows.
 """
 
 from __future__ import annotations
@@ -19,33 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-QUANTILE_ACCURACY = 2000     # of the split points: segments differ by 1/2000 of the rows
-
-
-def _micros(col: Column) -> Column:
-    return F.unix_micros(col.cast("timestamp"))
-
-
-def split_points(df: DataFrame, order_col: str, n_segments: int) -> list[int]:
-    """Approximate quantiles of a time column, in microseconds; a bounded list."""
-    if n_segments < 2:
-        return []
-    shares = [i / n_segments for i in range(1, n_segments)]
-    points = df.agg(F.percentile_approx(_micros(F.col(order_col)), shares, QUANTILE_ACCURACY)).first()[0]
-    return sorted(set(points or []))
-
-
-def segment_of(order_col: str, points: list[int]) -> Column:
-    """Number of split points before the row's time (a balanced tree of comparisons)."""
-    value = _micros(F.col(order_col))
-
-    def between(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        mid = (low + high) // 2
-        return F.when(value <= F.lit(points[mid]), between(low, mid)).otherwise(between(mid + 1, high))
-
-    return between(0, len(points))
+from .segments import Order, equal_segments, micros
 
 
 def running_sum_points(rows: DataFrame, partition_by: list[str], order_col: str, value_col: str,
@@ -59,21 +32,22 @@ def running_sum_points(rows: DataFrame, partition_by: list[str], order_col: str,
     non-NULL value has been seen yet, as in SQL.
     """
     n = n_segments or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["_seg", *partition_by]
-    seg = rows.withColumn("_seg", segment_of(order_col, split_points(rows, order_col, n)))
-    points = seg.repartition(n, *keys).groupBy(*keys, order_col).agg(F.sum(value_col).alias(value_col), *(aggs or []))
+    seg = equal_segments(rows, Order([micros(F.col(order_col))]), n).attach(rows)
+    # Keys without nulls: the offsets are then joined on the shuffle's own keys.
+    part = [f"_part{i}" for i in range(len(partition_by))]
+    seg = seg.withColumns({p: F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit(""))
+                           for p, k in zip(part, partition_by, strict=True)})
+    keys = ["_seg", *part]
+    points = seg.repartition(n, *keys).groupBy(*keys, *partition_by, order_col).agg(
+        F.sum(value_col).alias(value_col), *(aggs or []))
     local = points.withColumn("_local", F.sum(value_col).over(Window.partitionBy(*keys).orderBy(order_col)))
     totals = seg.groupBy(*keys).agg(F.sum(value_col).alias("_seg_total"))
-    before = (Window.partitionBy(*partition_by).orderBy("_seg")
+    before = (Window.partitionBy(*part).orderBy("_seg")
               .rowsBetween(Window.unboundedPreceding, -1))
     # one row per (segment, key)
     offsets = totals.select(*keys, F.sum("_seg_total").over(before).alias("_offset"))
-    same = None
-    for k in keys:
-        one = F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}"))
-        same = one if same is None else same & one
-    joined = local.alias("l").join(offsets.alias("o"), same).select("l.*", "o._offset")
+    joined = local.join(offsets, keys)
     s, o = F.col("_local"), F.col("_offset")
     total = F.when(s.isNull() & o.isNull(), F.lit(None)).otherwise(
         F.coalesce(o, F.lit(0)) + F.coalesce(s, F.lit(0)))
-    return joined.withColumn(out, total).drop("_seg", "_local", "_offset")
+    return joined.withColumn(out, total).drop(*keys, "_local", "_offset")
