@@ -41,7 +41,7 @@ def _ntz(schema):
 def setup(spark, tables: str) -> None:
     for name, path in _paths(tables).items():
         empty = spark.createDataFrame([], _ntz(schemas.TABLES[name]))
-        if name.endswith("_trades"):     # the folder; partitions come with the rows
+        if name.endswith("_trades") or name == "funding_rates":     # the folder; partitions come with the rows
             if not table_exists(spark, path):
                 append(empty, path, partition_by=partitions_of(name))
         else:

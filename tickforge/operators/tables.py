@@ -3,7 +3,6 @@ points (S10), ingest slice (S11) and replace (S14)."""
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.time import as_text, plus, ts_literal
 from ..session import ensure_utc
+from .commits import current_folder, finish, replace
 from .quality import dedup_by_key
 
 # Fixed value: history start used when a table holds nothing yet.
@@ -21,28 +21,26 @@ DATE = "trade_date"
 TICK_PARTITIONS = ["currency", DATE]
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder is there; every other failure is an error."""
-    p, fs = _file_system(spark, path)
-    return fs.exists(p)
+    """Whether there is a table; every other failure is an error."""
+    return current_folder(spark, path) is not None
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """The stored table, empty if it was never written.
 
-    The schema is given, not inferred.  A folder that exists but cannot be
-    read stops the job: taking it for empty would store its rows again.
+    The schema is given, not inferred (without one the table must exist).  A
+    folder that exists but cannot be read stops the job: taking it for empty
+    would store its rows again.  While a replacement is being tidied up, or
+    was cut off by a crash, the committed files are read (`commits`).
     """
     ensure_utc(spark)
-    if not table_exists(spark, path):
+    folder = current_folder(spark, path)
+    if folder is None:
+        if schema is None:
+            raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(folder)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -58,6 +56,7 @@ def append(df: DataFrame, path: str, schema: StructType | None = None,
     failed append leaves rows behind depends on the output committer.
     """
     out = conform(df, schema) if schema is not None else df
+    finish(df.sparkSession, path)
     if partition_by:
         if DATE in partition_by and DATE not in out.columns:
             out = out.withColumn(DATE, F.to_date(F.col(ts)))
@@ -195,26 +194,39 @@ def ingest_slice(landed: DataFrame, resume: DataFrame, end=None, by: str | None
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """``CREATE OR REPLACE TABLE t AS <query over t>``.
 
-    The result is written next to the table first, then the two folders
-    change names; the old one goes last.  A crash before the change leaves
-    the table as it was, a crash within it leaves it under ``<path>.old-*``.
+    One commit (`commits.replace`): a crash at any step leaves the old or the
+    new table.  ``df`` may read the table, by `read_table`, so an open commit
+    of an earlier run has to be finished before ``df`` is made.
     """
-    spark = df.sparkSession
-    mark = uuid.uuid4().hex
-    fresh, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
-    w = df.write
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    target, fs = _file_system(spark, path)
-    new, aside = (_file_system(spark, p)[0] for p in (fresh, old))
-    try:
-        w.parquet(fresh)
-    except Exception:
-        fs.delete(new, True)     # our own half-written folder
-        raise
-    if fs.exists(target) and not fs.rename(target, aside):
-        raise OSError(f"cannot set {path} aside")
-    if not fs.rename(new, target):
-        raise OSError(f"{fresh} is complete but could not take the place of {path}")
-    fs.delete(aside, True)
-    spark.catalog.refreshByPath(path)
+    replace(df, path, partition_by)
+
+
+# -- order of arrival
+
+SEQUENCE = "ingest_seq"
+
+
+def number_rows(rows: DataFrame, start: int, order_by: list[Column], name: str = SEQUENCE) -> DataFrame:
+    """``rows`` numbered without gaps from ``start + 1`` in the given order.
+
+    The rows are sorted by ranges and checkpointed with their place in their
+    partition; a partition's first number follows from the counts of those
+    before it (one row a partition), so no task sees all rows.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place, part = F.col("_place"), F.shiftright("_place", 33)
+    rows = (rows.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+            .withColumn("_place", F.monotonically_increasing_id()).checkpoint(eager=True))
+    starts = []
+    for r in sorted(rows.groupBy(part.alias("_part")).count().collect()):
+        starts.append((r[0], start))
+        start += r[1]
+    firsts = rows.sparkSession.createDataFrame(starts, "_part long, _first long")
+    number = F.col("_first") + place.bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return (rows.withColumn("_part", part.cast("long")).join(F.broadcast(firsts), "_part")
+            .withColumn(name, number).drop("_part", "_first", "_place"))
+
+
+def last_number(stored: DataFrame, name: str = SEQUENCE) -> int:
+    """The greatest number given to a stored row so far, 0 without any."""
+    return stored.agg(F.max(name)).first()[0] or 0

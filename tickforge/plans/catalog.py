@@ -112,6 +112,19 @@ def q_dedup_funding(spark, sf_dir):
     return quality.dedup_by_key(_t(spark, sf_dir, "funding_feed"), ["timestamp", "currency"], ["ingest_seq"])
 
 
+def q_dedup_stored_funding(spark, sf_dir):
+    """Two ingests into one stored feed, the second with all pages again, then the dedup job:
+    the row that arrived first stays, with its number."""
+    from ..session import scratch_path
+    from . import ingest, maintenance
+    path = scratch_path(spark, "dedup_stored_funding")
+    feed = _t(spark, sf_dir, "funding_feed").withColumnRenamed("ingest_seq", "page_no")
+    for some in (feed.where("page_no % 2 = 0"), feed):
+        ingest.ingest_funding(spark, pages.render_funding_pages(some), path, mode="append")
+    maintenance.dedup_funding_table(spark, path)
+    return tables.read_table(spark, path, ingest.table_schema("funding_rates", dated=True, numbered=True)).drop(tables.DATE)
+
+
 def q_duplicate_groups(spark, sf_dir):
     return quality.duplicate_groups(_t(spark, sf_dir, "funding_rates"), ["timestamp", "currency"])
 
@@ -330,6 +343,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "options_term_structure": q_options_term_structure,
     "dedup_by_key": q_dedup_by_key,
     "dedup_funding": q_dedup_funding,
+    "dedup_stored_funding": q_dedup_stored_funding,
     "duplicate_groups": q_duplicate_groups,
     "duplicate_rows": q_duplicate_rows,
     "insert_if_absent": q_insert_if_absent,

@@ -3,7 +3,8 @@
 The reference downloads pages over HTTP and appends them one page at a
 time.  Here the pages are already landed (files of one JSON page per
 line); a job normalises all of them at once, keeps only the rows after
-each table's resume point (so re-landed pages do not duplicate rows) and
+each table's resume point (so re-landed pages do not duplicate rows),
+numbers them in their order of arrival (``ingest_seq``) and
 appends, or inserts by key for the instruments dimension.  ``update``
 chains the ingest with the aggregation phase, like the reference's
 ``main.py update``.
@@ -21,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.ordering import sequence
 from ..functions.time import as_text, ts_literal
-from ..operators.tables import (DATE, TICK_PARTITIONS, append, conform, ingest_slice, read_table,
-                                resume_points, rows_to_insert, write_if_absent)
+from ..operators.commits import finish
+from ..operators.tables import (DATE, SEQUENCE, TICK_PARTITIONS, append, ingest_slice, last_number,
+                                number_rows, read_table, resume_points, rows_to_insert, write_if_absent)
 from ..session import ensure_checkpoint_dir
 from ..sources import pages
 from .incremental import make_aggregates
@@ -32,11 +35,13 @@ _KIND_TABLE = {"future": "future_trades", "future_combo": "fut_combo_trades",
                "option": "option_trades", "spot": "spot_trades"}
 
 
-def table_schema(name: str, ntz: bool = True, dated: bool = False):
-    """The stored schema: zoneless times with ``ntz``; ``dated`` adds the partition column."""
-    from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZType, TimestampType
+def table_schema(name: str, ntz: bool = True, dated: bool = False, numbered: bool = False):
+    """The stored schema: zoneless times with ``ntz``; ``dated`` adds the partition
+    column, ``numbered`` the order of arrival."""
+    from pyspark.sql.types import DateType, LongType, StructField, StructType, TimestampNTZType, TimestampType
     found = StructType([StructField(f.name, TimestampNTZType() if ntz and isinstance(
         f.dataType, TimestampType) else f.dataType, True) for f in schemas.TABLES[name].fields])
+    found = found.add(SEQUENCE, LongType()) if numbered else found
     return found.add(DATE, DateType()) if dated else found
 
 
@@ -45,6 +50,24 @@ def partitions_of(name: str) -> list[str]:
     return [c for c in TICK_PARTITIONS if c == DATE or c in schemas.TABLES[name].names]
 
 
+def arrival(rows: DataFrame, schema, otherwise: list) -> list:
+    """The order in which a batch's rows arrived.
+
+    By page number and place in the page where the landed pages are numbered;
+    else by ``otherwise``, as feeds are requested in order of time.  Rows
+    equal in that are ordered by a hash, so a repeated job numbers alike.
+    """
+    known = [pages.PAGE_NO, pages.POSITION] if pages.PAGE_NO in rows.columns else otherwise
+    return [*(F.col(c) if isinstance(c, str) else c for c in known), F.xxhash64(*schema.names)]
+
+
+def _numbered(rows: DataFrame, schema, last: int, otherwise: list) -> DataFrame:
+    """Rows of the schema and their number of arrival, the lineage cut."""
+    extra = [c for c in (pages.PAGE_NO, pages.POSITION) if c in rows.columns]
+    typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
+    return number_rows(typed, last, arrival(typed, schema, otherwise)).drop(*extra)
+
+
 def ingest_trades(spark: SparkSession, landed: DataFrame, kind: str, path: str,
                   currencies: list[str] | None = None, end: datetime | None = None,
                   currency_col: str | None = "currency", ntz: bool = True,
@@ -67,12 +90,14 @@ def ingest_trades(spark: SparkSession, landed: DataFrame, kind: str, path: str,
     ensure_checkpoint_dir(spark)
     name = _KIND_TABLE[kind]
     schema = table_schema(name, ntz)
+    finish(spark, path)
     rows = pages.normalize_trades(landed, kind, currency_col=None if kind == "spot" else currency_col,
-                                  ntz=ntz)
+                                  ntz=ntz, arrival="page_no" in landed.columns)
     dtype = rows.schema["timestamp"].dataType
     if end is not None:
         rows = rows.where(F.col("timestamp") <= ts_literal(end, dtype))
-    stored = read_table(spark, path, table_schema(name, ntz, dated=True))
+    stored = read_table(spark, path, table_schema(name, ntz, dated=True, numbered=True))
+    last = last_number(stored)
     if mode == "resume":
         by = None if kind == "spot" else "currency"
         seen = resume_points(stored, by=by) if by else stored.groupBy().agg(
@@ -84,22 +109,38 @@ def ingest_trades(spark: SparkSession, landed: DataFrame, kind: str, path: str,
         if low is not None:      # a re-landed trade keeps its time
             stored = stored.where((F.col("timestamp") >= ts_literal(low, dtype))
                                   & (F.col(DATE) >= F.lit(low[:10]).cast("date")))
-        rows = rows_to_insert(stored, conform(rows, schema), ["trade_id"])
+        first = None if pages.PAGE_NO not in rows.columns else [pages.PAGE_NO, pages.POSITION]
+        rows = rows_to_insert(stored, rows, ["trade_id"], first)
     # What is stored now is also what the aggregation phase recomputes from;
-    # the lineage is cut because the plan may read the table it appends to.
-    rows = conform(rows, schema).checkpoint(eager=True)
-    append(rows, path, schema, partitions_of(name))
-    return rows
+    # numbering cuts the lineage, as the plan may read the table it appends to.
+    rows = _numbered(rows, schema, last, ["timestamp", *sequence("trade_id")])
+    append(rows, path, table_schema(name, ntz, numbered=True), partitions_of(name))
+    return rows.select(*schema.names)
 
 
 def ingest_funding(spark: SparkSession, landed: DataFrame, path: str,
                    currencies: list[str] | None = None, end: datetime | None = None,
-                   ntz: bool = True) -> None:
-    """Funding pages (``instrument_name``, ``page``) appended after the resume point."""
-    rows = pages.normalize_funding(landed, ntz=ntz)
+                   ntz: bool = True, mode: str = "resume") -> None:
+    """Funding pages (``instrument_name``, ``page``) appended with their order of arrival.
+
+    * ``mode="resume"``: rows after each currency's resume point;
+    * ``mode="append"``: every landed row, also one stored before, as the
+      reference's feed does on each run (`maintenance.dedup_funding_table`
+      then keeps the row that arrived first).
+    """
+    if mode not in ("resume", "append"):
+        raise ValueError("mode must be 'resume' or 'append'")
+    ensure_checkpoint_dir(spark)
+    finish(spark, path)
+    rows = pages.normalize_funding(landed, ntz=ntz, arrival="page_no" in landed.columns)
     schema = table_schema("funding_rates", ntz)
-    rows = ingest_slice(rows, resume_points(read_table(spark, path, schema)), end)
-    append(rows, path, schema)
+    stored = read_table(spark, path, table_schema("funding_rates", ntz, dated=True, numbered=True))
+    if mode == "resume":
+        rows = ingest_slice(rows, resume_points(stored), end)
+    elif end is not None:
+        rows = rows.where(F.col("timestamp") <= ts_literal(end, rows.schema["timestamp"].dataType))
+    rows = _numbered(rows, schema, last_number(stored), ["timestamp", "currency"])
+    append(rows, path, table_schema("funding_rates", ntz, numbered=True), partitions_of("funding_rates"))
 
 
 def ingest_instruments(spark: SparkSession, landed: DataFrame, path: str,

@@ -240,6 +240,13 @@ def oracle_sql(p) -> dict[str, str]:
         "dedup_by_key": first_rows("lineitem", LINEITEM, p.LINEITEM_KEY, order),
         "dedup_funding": with_views(["funding_feed"]) + first_rows("funding_feed", [*FUNDING, "ingest_seq"],
                                                                      ["timestamp", "currency"], "ingest_seq"),
+        "dedup_stored_funding": with_views(["funding_feed"], """
+early AS (SELECT * FROM funding_feed WHERE ingest_seq % 2 = 0),
+stored AS (
+  SELECT * REPLACE (row_number() OVER (ORDER BY ingest_seq) AS ingest_seq) FROM early
+  UNION ALL
+  SELECT * REPLACE ((SELECT count(*) FROM early) + row_number() OVER (ORDER BY ingest_seq) AS ingest_seq) FROM funding_feed)""")
+        + first_rows("stored", [*FUNDING, "ingest_seq"], ["timestamp", "currency"], "ingest_seq"),
         "duplicate_groups": with_views(["funding_rates"]) + """
 SELECT timestamp, currency, count(*) AS dups FROM funding_rates GROUP BY ALL HAVING dups > 1""",
         "duplicate_rows": """

@@ -108,19 +108,34 @@ def read_pages(spark: SparkSession, path: str, column: str = "page") -> DataFram
     return spark.read.text(path).withColumnRenamed("value", column)
 
 
+PAGE_NO, POSITION = "_page_no", "_position"
+
+
+def _arrival(pages: DataFrame, keep: bool) -> tuple[list[Column], list[str]]:
+    """The columns of a record's order of arrival: its page's number (``page_no``), its place in the page."""
+    if not keep:
+        return [], []
+    if "page_no" not in pages.columns:
+        raise ValueError("the order of arrival needs the pages' numbers (page_no)")
+    return [F.col("page_no").cast("long").alias(PAGE_NO)], [PAGE_NO, POSITION]
+
+
 def normalize_trades(pages: DataFrame, kind: str, page_col: str = "page",
-                     currency_col: str | None = "currency", ntz: bool = True) -> DataFrame:
+                     currency_col: str | None = "currency", ntz: bool = True,
+                     arrival: bool = False) -> DataFrame:
     """Trade pages to typed rows of the kind's table.
 
     ``currency_col`` names the page-level column holding the currency the
     page was requested for (not used for spot, which has no currency).
     Futures amounts are rounded half-to-even to int, as the reference's
-    engine casts a double.
+    engine casts a double.  ``arrival`` keeps the order of arrival as two
+    columns.
     """
     target = _TARGET[kind]
+    numbers, kept = _arrival(pages, arrival)
     parsed = pages.select(
-        *([F.col(currency_col).alias("_ccy")] if currency_col and kind != "spot" else []),
-        F.explode(_records(page_col, TRADE_PAGE, ["result", "trades"])).alias("t"))
+        *([F.col(currency_col).alias("_ccy")] if currency_col and kind != "spot" else []), *numbers,
+        F.posexplode(_records(page_col, TRADE_PAGE, ["result", "trades"])).alias(POSITION, "t"))
     cols = []
     for f in target.fields:
         if f.name == "currency":
@@ -131,14 +146,16 @@ def normalize_trades(pages: DataFrame, kind: str, page_col: str = "page",
             cols.append(F.bround(F.col("t.amount")).cast("int").alias("amount"))
         else:
             cols.append(F.col(f"t.{f.name}").cast(f.dataType).alias(f.name))
-    return parsed.select(*cols)
+    return parsed.select(*cols, *kept)
 
 
 def normalize_funding(pages: DataFrame, page_col: str = "page",
-                      instrument_col: str = "instrument_name", ntz: bool = True) -> DataFrame:
-    """Funding pages of one perpetual each to ``funding_rates`` rows."""
-    parsed = pages.select(F.col(instrument_col).alias("_instr"),
-                          F.explode(_records(page_col, FUNDING_PAGE, ["result"])).alias("r"))
+                      instrument_col: str = "instrument_name", ntz: bool = True,
+                      arrival: bool = False) -> DataFrame:
+    """Funding pages of one perpetual each to ``funding_rates`` rows (``arrival``: see `normalize_trades`)."""
+    numbers, kept = _arrival(pages, arrival)
+    parsed = pages.select(F.col(instrument_col).alias("_instr"), *numbers,
+                          F.posexplode(_records(page_col, FUNDING_PAGE, ["result"])).alias(POSITION, "r"))
     return parsed.select(
         ms_to_ts(F.col("r.timestamp"), ntz).alias("timestamp"),
         F.col("r.index_price").alias("index_price"),
@@ -146,7 +163,7 @@ def normalize_funding(pages: DataFrame, page_col: str = "page",
         F.col("r.interest_8h").alias("interest_8h"),
         F.col("r.interest_1h").alias("interest_1h"),
         F.col("_instr").alias("instrument_name"),
-        F.substring_index(F.col("_instr"), "-", 1).alias("currency"))
+        F.substring_index(F.col("_instr"), "-", 1).alias("currency"), *kept)
 
 
 def normalize_instruments(pages: DataFrame, page_col: str = "page",
@@ -193,8 +210,9 @@ def render_trade_pages(trades: DataFrame, kind: str) -> DataFrame:
 
 
 def render_funding_pages(funding: DataFrame) -> DataFrame:
-    """``(instrument_name, page)`` rows, one perpetual per page."""
-    return funding.select("instrument_name", F.to_json(F.struct(F.array(_record(FUNDING_FIELDS)).alias("result"))).alias("page"))
+    """``(instrument_name, page)`` rows, one perpetual per page, and their ``page_no`` if given."""
+    number = [c for c in ("page_no",) if c in funding.columns]
+    return funding.select("instrument_name", *number, F.to_json(F.struct(F.array(_record(FUNDING_FIELDS)).alias("result"))).alias("page"))
 
 
 def render_instrument_pages(instruments: DataFrame) -> DataFrame:
