@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tickforge.llm import common as C
-from tickforge.llm import mixing, neardup, queries, sharding, toolcalls, topk
+from tickforge.llm import mixing, neardup, quality_rules, queries, sharding, toolcalls, topk
 
 # -- virtual slots
 
@@ -223,6 +223,28 @@ def test_large_group_in_blocks(spark, monkeypatch):
     assert found_groups(neardup.near_duplicates(df, 3, 85)) == brute_groups(rows, 3, 85)
 
 
+def test_rows_without_an_id_link_others(spark):
+    """A and C are alike only by way of B, whose rows have no id; D and E have none at all."""
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(400)]
+    b, c = base[:], base[:]
+    for k in range(0, 8):
+        b[k] = f"b{k}"
+    c[:8] = b[:8]
+    for k in range(390, 400):
+        c[k] = f"c{k}"
+    d = [f"d{rng.randrange(10**6)}" for _ in range(200)]
+    e = d[:-1] + ["end"]
+    rows = [(1, base), (None, b), (None, b), (3, c), (None, d), (None, e), (7, ["alone"])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(3)
+    linked = set()
+    for percent in (95, 97):      # at 95, A and C reach each other only by way of B
+        found = neardup.near_duplicates(docs, 5, percent)
+        assert found_groups(found) == brute_groups([(i, " ".join(w)) for i, w in rows], 5, percent)
+        linked |= {(r.doc_id, r.component_id) for r in found.collect()}
+    assert {(3, 1), (3, 3), (None, None)} <= linked
+
+
 def test_one_of_each(odd_docs, odd_rows, no_docs):
     out = neardup.one_of_each(odd_docs)
     assert out.columns == odd_docs.columns
@@ -276,6 +298,18 @@ def test_pipeline_stages(spark, odd_docs, odd_labels, no_docs, monkeypatch, smal
                 docs = out
 
 
+def test_pipeline_rules_reject_junk(spark, small_dir):
+    """The list is learned from the labelled documents of the table, whatever the classifier has left."""
+    d = small_dir.replace("sf0.001", "sf0.01")
+    docs, labels = C.table(spark, d, "documents"), C.table(spark, d, "labels")
+    good = docs.join(labels.where("quality = 1"), "doc_id", "left_semi").where("lang = 'en'")
+    junk = good.withColumns({"text": F.concat_ws(" ", F.transform(F.split("text", " "), lambda w: F.concat(w, F.lit("###$$$"))) ), "doc_id": -F.col("doc_id") - 1})
+    kept = {r.doc_id for r in corpus_pipeline.rules(spark, good.unionByName(junk), d).collect()}
+    n = {r.doc_id for r in good.collect()}
+    assert quality_rules.learn_from(docs, labels)
+    assert len(kept & n) > 0.8 * len(n) and not {k for k in kept if k < 0}
+
+
 def test_pipeline_runs(spark, small_dir):
     docs = C.table(spark, small_dir, "documents")
     out = corpus_pipeline.run(spark, small_dir)

@@ -110,6 +110,27 @@ def test_co_training_held_out_accuracy(spark, small_dir):
     assert model.exchanged
 
 
+def test_a_very_long_text_does_not_crowd_out_the_sample(spark, small_dir, monkeypatch):
+    """The labelled text with the smallest hash is longer than all the sample may hold."""
+    monkeypatch.setattr(cotraining, "SAMPLE_BYTES", 1 << 20)
+    monkeypatch.setattr(cotraining, "LONG_TEXT", 20_000)
+    d = small_dir.replace("sf0.001", "sf0.01")
+    docs, labels = C.table(spark, d, "documents"), C.table(spark, d, "labels")
+    first = docs.join(labels, "doc_id").orderBy(F.xxhash64("doc_id")).first().doc_id
+    longer = docs.withColumn("text", F.when(F.col("doc_id") == first, F.repeat(F.lit("word "), 300_000)).otherwise(F.col("text")))
+    kept = []
+    for some in (docs, longer):
+        model = cotraining.train(some, labels)
+        assert model.text is not None
+        kept.append({r["__carry"]: r.kept for r in cotraining.score(docs, model, docs["doc_id"]).collect()})
+    assert np.mean([kept[0][i] == kept[1][i] for i in kept[0]]) > 0.95 and not all(kept[1].values())
+
+
+def test_a_sample_without_a_class_stops_the_training(odd_docs, odd_labels):
+    with pytest.raises(ValueError, match="lacks a class"):
+        cotraining.train(odd_docs, odd_labels, labelled=1)
+
+
 def test_views_exchange_only_what_they_agree_on():
     rng = np.random.default_rng(2)
     y = rng.integers(0, 2, 600)
@@ -121,6 +142,26 @@ def test_views_exchange_only_what_they_agree_on():
     assert ((p > .5) == y)[300:].mean() > 0.97 and model.exchanged[0] > 300
 
 
+def test_scores_are_those_of_the_views(spark, odd_docs, odd_labels, odd_rows):
+    """Scoring and combination by hand, row by row, from the fitted weights."""
+    import math
+    model = cotraining.train(odd_docs, odd_labels)
+    got = {}
+    for r in cotraining.score(odd_docs, model, odd_docs["doc_id"]).collect():
+        got.setdefault(r["__carry"], []).append((r.p_text, r.p_meta, r.p_good, r.kept))
+
+    def logistic(x):
+        return 1 / (1 + math.exp(-min(max(x, -35), 35)))
+    for r in odd_rows:
+        t = model.text.bias + sum(model.text.weights[s] for s in set(
+            cotraining.text_features((r[1] or "").encode(), cotraining.WordSlots(), C.WordNumbers()).tolist()))
+        m = model.meta.bias + sum(model.meta.weights[s] for s in cotraining.metadata_features(
+            dict(zip(("lang", "source", "n_chars"), r[2:5], strict=True))).tolist())
+        clip = [min(max(v, -12), 12) for v in (t, m)]
+        p = logistic(clip[0] * model.mix[0] + clip[1] * model.mix[1] + model.mix[2])
+        assert any(np.allclose(g[:3], (logistic(t), logistic(m), p), atol=1e-9) and g[3] == (g[2] >= cotraining.THRESHOLD) for g in got[r[0]])
+
+
 # -- token counts
 
 

@@ -11,8 +11,12 @@ view was trained on, which calibrates them; a view that tells nothing gets
 no weight.  All documents are scored in one pass without a shuffle.
 
 A document counts as good if its quality label is 1 and it is not labelled
-toxic.  Only the sample (``LABELLED`` plus ``UNLABELLED`` documents, at most
-``SAMPLE_BYTES`` of text) reaches the driver, as hashed features; words count
+toxic.  Only the sample (``LABELLED`` plus ``UNLABELLED`` documents, those
+with the smallest id hashes, at most ``SAMPLE_BYTES`` of text) reaches the
+driver, as hashed features.  Texts beyond ``LONG_TEXT`` bytes are taken last,
+so a few very long ones never crowd out the rest; the first ``LEAST`` of a
+class come before everything.  If the documents have labels of both
+classes but the sample does not, training stops with an error.  Words count
 only when they are linked to the label in the sample beyond chance
 (|z| >= ``MIN_Z``), so long texts do not add up noise.
 
@@ -42,6 +46,7 @@ from .quality_rules import FEATURES, labelled_sample
 
 BITS = 18
 LABELLED, UNLABELLED, SAMPLE_BYTES = 12000, 4000, 96 << 20
+LONG_TEXT, LEAST = 1 << 16, 50
 ROUNDS, CONFIDENT = 2, 0.97
 MIN_Z, MIN_DOCS = 4.5, 6
 THRESHOLD = 0.5          # of the calibrated probability of being good
@@ -104,6 +109,13 @@ class Linear:
     def logit(self, slots: np.ndarray) -> float:
         return float(self.bias + self.weights[slots].sum())
 
+    def logits(self, rows: list[np.ndarray]) -> np.ndarray:
+        """Of many rows by one lookup."""
+        if not rows:
+            return np.zeros(0)
+        owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        return self.bias + np.bincount(owner, self.weights[np.concatenate(rows)], len(rows))
+
 
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
@@ -241,11 +253,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sizes = rows.where("__id is not null").groupBy("__id").agg(F.max(F.coalesce(F.octet_length("__text"), F.lit(0))).alias("__size"))
     sized = sizes.join(marked, "__id", "left").select(
         "__id", "__size", F.coalesce("__good", F.lit(-1)).alias("__good"), F.xxhash64("__id").alias("__h"))
-    sized = C.written(sized.where("__good >= 0").orderBy("__h", "__id").limit(labelled).unionByName(
-        sized.where("__good < 0").orderBy("__h", "__id").limit(unlabelled)), "cotrain-sample")
+    long = (F.col("__size") > LONG_TEXT).cast("int")
+    sized = C.written(sized.where("__good >= 0").orderBy(long, "__h", "__id").limit(labelled).unionByName(
+        sized.where("__good < 0").orderBy(long, "__h", "__id").limit(unlabelled)), "cotrain-sample")
     # at most labelled + unlabelled rows: a running sum over them keeps the text within SAMPLE_BYTES
-    order = Window.partitionBy(F.lit(0)).orderBy("__h", "__id")
-    chosen = sized.withColumn("__sum", F.sum("__size").over(order)).where(F.col("__sum") <= SAMPLE_BYTES)
+    own = F.row_number().over(Window.partitionBy("__good").orderBy(long, "__h", "__id"))
+    first = ((F.col("__good") >= 0) & (own <= LEAST)).cast("int")
+    ranked = sized.withColumn("__first", first)
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("__first"), long, "__h", "__id")
+    chosen = ranked.withColumn("__sum", F.sum("__size").over(order)).where((F.col("__sum") <= SAMPLE_BYTES) | (F.col("__first") == 1))
+    classes = {r[0] for r in sizes.join(marked, "__id").select("__good").where("__good is not null").distinct().collect()}
+    if classes - {r[0] for r in chosen.select("__good").distinct().collect()}:
+        raise ValueError("the sample lacks a class that the labels have: raise `labelled` or SAMPLE_BYTES")
 
     def extract(batches):
         for batch, texts, metas in _features(batches, metadata):
@@ -276,9 +295,8 @@ def score(docs: DataFrame, model: CoTrained, carry, text_col: str = "text") -> D
             lt, lm = np.zeros(n), np.zeros(n)
             if weights is not None:
                 texts, metas = batch.column("__text").to_pylist(), batch.column("__meta").to_pylist()
-                for i in range(n):
-                    lt[i] = m.text.logit(text_features(texts[i], slots, memory))
-                    lm[i] = m.meta.logit(metadata_features({c: metas[i][f"m{k}"] for k, c in enumerate(m.metadata)}))
+                lt = m.text.logits([text_features(t, slots, memory) for t in texts])
+                lm = m.meta.logits([metadata_features({c: v[f"m{k}"] for k, c in enumerate(m.metadata)}) for v in metas])
             p = m.probability(lt, lm)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__carry"), pa.array(_sigmoid(lt)), pa.array(_sigmoid(lm)), pa.array(p),

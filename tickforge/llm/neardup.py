@@ -22,8 +22,8 @@ tables, so neither links nor components pass through the driver or one task.
 
 A text with fewer words than a shingle is one shingle; a null text, or one
 without words, is empty and linked with nothing.  Rows with a null id take
-part but cannot name a group: they are kept only if no row of their class
-has an id.  Repeated rows are copies of each other.  Only the id and the
+part and link other rows, but cannot name a group: they are kept only if no
+row of their group has an id.  Repeated rows are copies of each other.  Only the id and the
 text are read; an empty table gives an empty result.
 """
 
@@ -45,7 +45,7 @@ COORDINATES, MISS = 40, 2e-5   # signature length; chance that a pair at the thr
 BLOCK_ROWS = 1024            # classes of a posting list or group in one block
 BLOCK_SHINGLES = 400_000     # shingles of a group in one block
 SMALL = 48                   # lists up to this size are compared many at a time
-BROADCAST_ROWS = 500_000     # ids that may be broadcast (16 MB); more go by a shuffle
+BROADCAST_BYTES = 16 << 20   # of ids (as text, and 48 each besides) that may be broadcast; more go by a shuffle
 _RNG = np.random.Generator(np.random.PCG64(20240607))
 _FLIP = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64)
 _TIMES = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -326,7 +326,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     """
     rows = C.written(sketch(docs, width, id_col, text_col), "sketch")
     classes = C.written(rows.where("fp is not null").groupBy("fp").agg(
-        F.min("id").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig")).where("rep is not null"), "classes")
+        F.min("id").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig")), "classes")
     groups = components(_confirmed(docs, classes, width, percent, id_col, text_col))
     named = groups.join(classes.select(F.col("fp").alias("node"), "rep"), "node")
     names = named.groupBy("label").agg(F.min("rep").alias("component"))
@@ -338,6 +338,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         "kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.col("component_id").isNull()))
 
 
+def _broadcast_if_small(ids: DataFrame, id_col: str) -> DataFrame:
+    """``ids`` to be broadcast if they are at most BROADCAST_BYTES, else as they are."""
+    size = ids.agg(F.sum(F.coalesce(F.octet_length(F.col(id_col).cast("string")), F.lit(0)) + 48)).first()[0] or 0
+    return F.broadcast(ids) if size <= BROADCAST_BYTES else ids
+
+
 def _confirmed(docs, classes, width, percent, id_col, text_col) -> DataFrame:
     """Edges (a, b) between class fingerprints whose sets are linked, enough to connect each group."""
     spark = docs.sparkSession
@@ -358,20 +364,27 @@ def _confirmed(docs, classes, width, percent, id_col, text_col) -> DataFrame:
     # the full sets of the classes that have a candidate
     wanted = alike.select(F.col("node").alias("fp"), "label").join(classes.select("fp", "rep"), "fp")
     wanted = C.written(wanted.select("label", F.col("fp").alias("want"), "rep"), "wanted")
-    few = wanted.count() <= BROADCAST_ROWS
     text = docs.select(docs[id_col].alias("rep"), C.as_binary(text_col).alias("text"))
-    sets = text.join(F.broadcast(wanted) if few else wanted, "rep")
+    sets = text.join(_broadcast_if_small(wanted, "rep"), "rep").select("label", "want", "text")
 
     def full_sets(batches):
         memory = WordHashes()
         for batch in C.slices(batches):
             own = [shingle_set(t, width, memory) for t in batch.column("text").to_pylist()]
-            same = [xxhash.xxh3_128_digest(s.tobytes()) == w for s, w in zip(own, batch.column("want").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), batch.column("want"), pa.array([len(s) for s in own], pa.int64()),
-                 pa.array([s.tobytes() for s in own], pa.binary())], names=["label", "fp", "n", "set"]).filter(pa.array(same))
-
-    sets = sets.select("label", "want", "text").mapInArrow(C.tidy(full_sets), "label binary, fp binary, n long, set binary")
+            prints = [xxhash.xxh3_128_digest(s.tobytes()) for s in own]
+            columns = [pa.array(prints, pa.binary()), pa.array([len(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())]
+            if "want" not in batch.schema.names:
+                yield pa.RecordBatch.from_arrays(columns, names=["fp", "n", "set"])
+                continue
+            same = [f == w for f, w in zip(prints, batch.column("want").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), *columns], names=["label", "fp", "n", "set"]).filter(pa.array(same))
+
+    sets = sets.mapInArrow(C.tidy(full_sets), "label binary, fp binary, n long, set binary")
+    nameless = wanted.where("rep is null")
+    if nameless.limit(1).count():        # classes without any id are found by their fingerprints
+        unnamed = text.where("rep is null").select("text").mapInArrow(C.tidy(full_sets), "fp binary, n long, set binary")
+        unnamed = unnamed.join(nameless.select("label", F.col("want").alias("fp")), "fp").dropDuplicates(["fp"])
+        sets = sets.unionByName(unnamed.select("label", "fp", "n", "set"))
     sets = C.written(sets, "sets")
     sizes = sets.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
     groups = _block_pairs(sets.join(sizes, "label"), F.col("blocks")).select("label", "low", "high", "fp", "set")
@@ -387,9 +400,8 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     found = near_duplicates(docs, width, percent, id_col, text_col).groupBy(F.col(id_col).alias("__id")).agg(
         F.max("kept").alias("kept"), F.count("*").alias("rows"))
     found = C.written(found.where("__id is not null and (not kept or rows > 1)"), "dropped")
-    n, again = found.agg(F.count("*"), F.coalesce(F.sum((F.col("kept")).cast("int")), F.lit(0))).first()
-    away = found.select("__id")
-    rest = docs.join(F.broadcast(away) if n <= BROADCAST_ROWS else away, docs[id_col] == F.col("__id"), "left_anti")
+    again = found.agg(F.coalesce(F.sum((F.col("kept")).cast("int")), F.lit(0))).first()[0]
+    rest = docs.join(_broadcast_if_small(found.select("__id"), "__id"), docs[id_col] == F.col("__id"), "left_anti")
     if not again:
         return rest
     repeated = found.where("kept").select("__id")

@@ -49,7 +49,7 @@ STEP_TOKENS = 16 * WINDOW
 BUFFER_TOKENS = 1 << 20
 END_ID = 1
 LONG_WORD = 256
-KNOWN_WORDS, KNOWN_PARTS = 300_000, 300_000    # remembered by a worker
+KNOWN_WORDS, KNOWN_PARTS = 200_000, 600_000    # remembered by a worker; parts cost more to learn again
 
 
 # Fixed value: the tokenizer's own word pattern, for which ALL_PLAIN and PARTS hold.
