@@ -4,6 +4,12 @@ Each stage takes (spark, docs, sf_dir), works on all rows that the stage
 before kept, and returns a DataFrame; all but the last return the columns of
 documents.  ``run`` writes each stage's rows to the shared folder and reads
 them as the next one's input.
+
+Null or empty texts, null values, very long texts, repeated rows and extra
+columns go through every stage as its operator defines (see the operators'
+modules): the rules' base rule ends texts without 50 words, near-dedup keeps
+one row of those that repeat and every row without an id, mixing gives rows
+of one id one fate.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,8 +28,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rule or the learned decision list rejects go."""
-    learned = quality_rules.learn_from(docs, common.table(spark, sf_dir, "labels"))
+    """Documents that the base rule or the learned decision list rejects go.
+
+    The list is learned from the labelled documents of the whole table: what
+    the classifier has left holds hardly any bad ones to learn from.
+    """
+    learned = quality_rules.learn_from(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
     return quality_rules.filter_documents(docs, learned)
 
 
