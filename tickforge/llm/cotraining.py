@@ -239,14 +239,12 @@ def _meta_struct(docs: DataFrame, metadata: tuple[str, ...]):
                                            for k, n in enumerate(metadata)))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          metadata: tuple[str, ...] = METADATA, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> CoTrained:
-    """Fit both views on bounded samples (the ids with the smallest hashes)."""
-    metadata = tuple(n for n in metadata if n in docs.columns)
+def sample_ids(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> DataFrame:
+    """__id and __good (-1: unlabelled) of the documents to be fitted on (see the module text)."""
     good = F.when(labels["quality"].isNull() & labels["toxic"].isNull(), None).otherwise(
         (F.coalesce(labels["quality"], F.lit(1)) == 1) & (F.coalesce(labels["toxic"], F.lit(0)) == 0))
-    rows = docs.select(docs[id_col].alias("__id"), docs[text_col].alias("__text"),
-                       _meta_struct(docs, metadata).alias("__meta"))
+    rows = docs.select(docs[id_col].alias("__id"), docs[text_col].alias("__text"))
     marked = labels.select(labels[id_col].alias("__id"), good.cast("int").alias("__good")).where("__id is not null")
     marked = marked.groupBy("__id").agg((F.avg("__good") >= 0.5).cast("int").alias("__good"))
     # one row an id, with the bytes of its longest text
@@ -265,6 +263,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     classes = {r[0] for r in sizes.join(marked, "__id").select("__good").where("__good is not null").distinct().collect()}
     if classes - {r[0] for r in chosen.select("__good").distinct().collect()}:
         raise ValueError("the sample lacks a class that the labels have: raise `labelled` or SAMPLE_BYTES")
+    return chosen.select("__id", "__good")
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          metadata: tuple[str, ...] = METADATA, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> CoTrained:
+    """Fit both views on bounded samples (the ids with the smallest hashes)."""
+    metadata = tuple(n for n in metadata if n in docs.columns)
+    rows = docs.select(docs[id_col].alias("__id"), docs[text_col].alias("__text"),
+                       _meta_struct(docs, metadata).alias("__meta"))
+    chosen = sample_ids(docs, labels, id_col, text_col, labelled, unlabelled)
 
     def extract(batches):
         for batch, texts, metas in _features(batches, metadata):
@@ -273,7 +281,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                  *(pa.array([r.astype(np.int32).tobytes() for r in rows], pa.binary()) for rows in (texts, metas))],
                 names=["id", "good", "t", "m"])
 
-    sample = (rows.join(F.broadcast(chosen.select("__id", "__good")), "__id")
+    sample = (rows.join(F.broadcast(chosen), "__id")
               .groupBy("__id", "__good").agg(F.max(F.struct(C.as_binary("__text").alias("t"), F.col("__meta").alias("m"))).alias("r"))
               .select("__id", "__good", F.col("r.t").alias("__text"), F.col("r.m").alias("__meta"))
               .mapInArrow(C.tidy(extract), C.fields("id", rows.schema["__id"].dataType, "good int, t binary, m binary")))
