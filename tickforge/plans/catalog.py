@@ -205,31 +205,13 @@ def _events_stream(spark, sf_dir):
     return fx.map_events(read_stream_like(spark, batch, sf_dir, "event[s].parquet"))
 
 
-def _run_streams(spark, sf_dir, name, make_bars):
-    """One streaming query per currency found in the data (each with its own
-    watermark), all running concurrently to completion with an availableNow
-    trigger; the result is read back from their sinks."""
-    from ..session import scratch_path
-    from ..streaming.ohlc_stream import start_to_parquet
-    root = scratch_path(spark, name)
-    parts = spark.sparkContext.defaultParallelism
-    currencies = [r[0] for r in fx.events_base(spark, sf_dir).select("ccy").distinct().limit(tables.MAX_BOUNDS).collect()]
-    started = [start_to_parquet(make_bars(ccy), f"{root}/{ccy}/data", f"{root}/{ccy}/checkpoint",
-                                state_partitions=parts)
-               for ccy in currencies]
-    for q in started:
-        q.awaitTermination()
-    out = None
-    for ccy in currencies:
-        part = spark.read.parquet(f"{root}/{ccy}/data")
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
 def q_stream_futures_ohlc(spark, sf_dir):
-    from ..streaming.ohlc_stream import futures_bars_stream
-    ft = fx.future_trades_from(_events_stream(spark, sf_dir))
-    return _run_streams(spark, sf_dir, "stream_futures_ohlc", lambda c: futures_bars_stream(ft, c))
+    """One streaming query; each currency closes its own minutes."""
+    from ..session import scratch_path
+    from ..streaming.closing_stream import read_bars, start_futures_bars
+    root = scratch_path(spark, "stream_futures_ohlc")
+    start_futures_bars(fx.future_trades_from(_events_stream(spark, sf_dir)), f"{root}/bars", f"{root}/checkpoint").awaitTermination()
+    return read_bars(spark, f"{root}/bars")
 
 
 def q_stream_futures_ohlc_all(spark, sf_dir):
@@ -245,10 +227,12 @@ def q_stream_futures_ohlc_all(spark, sf_dir):
 
 
 def q_stream_index_ohlc(spark, sf_dir):
-    from ..streaming.ohlc_stream import index_bars_stream
+    from ..session import scratch_path
+    from ..streaming.closing_stream import read_bars, start_index_bars
     ev = _events_stream(spark, sf_dir)
-    ft, ot = fx.future_trades_from(ev), fx.option_trades_from(ev)
-    return _run_streams(spark, sf_dir, "stream_index_ohlc", lambda c: index_bars_stream(ft, ot, c))
+    root = scratch_path(spark, "stream_index_ohlc")
+    start_index_bars(fx.future_trades_from(ev), fx.option_trades_from(ev), f"{root}/bars", f"{root}/checkpoint").awaitTermination()
+    return read_bars(spark, f"{root}/bars")
 
 
 def q_stream_term_structure(spark, sf_dir):
