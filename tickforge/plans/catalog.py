@@ -93,6 +93,31 @@ def q_funding_volume_bars_ranged(spark, sf_dir):
                                        FUNDING_VOLUME_BIN, RANGE_INSTRUMENTS, RANGE_START, RANGE_END)
 
 
+def _macro(spark, sf_dir, function, volume_bin, *, minutes=False, funding_rates=False):
+    """The macro as a SQL table function, once for each instrument of the ranged queries."""
+    from .sql_functions import register_functions
+    ensure_utc(spark)
+    ft = _t(spark, sf_dir, "future_trades")
+    if funding_rates:
+        _funding_minutes(spark, sf_dir).createOrReplaceTempView("funding_view")
+    register_functions(spark, {"ohlc_1min_futures": ohlc.futures_ohlc_1min(ft)} if minutes else {"future_trades": ft})
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS instrument_name, * FROM {function}('{name}', TIMESTAMP_NTZ '{RANGE_START}', "
+        f"TIMESTAMP_NTZ '{RANGE_END}', {volume_bin})" for name in RANGE_INSTRUMENTS))
+
+
+def q_sql_futures_by_volume(spark, sf_dir):
+    return _macro(spark, sf_dir, "futures_by_volume", VOLUME_BIN_TICKS)
+
+
+def q_sql_ohlc_dollar_bars(spark, sf_dir):
+    return _macro(spark, sf_dir, "ohlc_dollar_bars", VOLUME_BIN_MINUTES, minutes=True)
+
+
+def q_sql_funding_volume_weighted(spark, sf_dir):
+    return _macro(spark, sf_dir, "funding_volume_weighted", FUNDING_VOLUME_BIN, funding_rates=True)
+
+
 def q_futures_term_structure(spark, sf_dir):
     return term_structure.futures_term_structure(_t(spark, sf_dir, "future_trades"),
                                                  _t(spark, sf_dir, "instruments"))
@@ -311,6 +336,28 @@ def q_incremental_options_term_structure(spark, sf_dir):
                             spark, ot, ins, p, exact=True))
 
 
+def _incremental_batch(spark, sf_dir, name, ticks, update):
+    """The update job as `ingest.update` runs it: only the hours that the new ticks touch."""
+    from ..session import scratch_path
+    path = scratch_path(spark, name)
+    ins = _t(spark, sf_dir, "instruments")
+    middle = _midpoint(ticks)
+    early = ticks.where(F.col("timestamp") < middle)
+    update(spark, early, ins, path, exact=False, batch=early)
+    update(spark, ticks, ins, path, exact=False, batch=ticks.where(F.col("timestamp") >= middle))
+    return tables.read_table(spark, path)
+
+
+def q_incremental_futures_term_structure_batch(spark, sf_dir):
+    from . import incremental as inc
+    return _incremental_batch(spark, sf_dir, "futures_hours", _t(spark, sf_dir, "future_trades"), inc.update_futures_term_structure)
+
+
+def q_incremental_options_term_structure_batch(spark, sf_dir):
+    from . import incremental as inc
+    return _incremental_batch(spark, sf_dir, "options_hours", _t(spark, sf_dir, "option_trades"), inc.update_options_term_structure)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "futures_ohlc_1min": q_futures_ohlc_1min,
     "index_ohlc_1min": q_index_ohlc_1min,
@@ -323,6 +370,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ohlc_volume_bars_ranged": q_ohlc_volume_bars_ranged,
     "funding_volume_bars": q_funding_volume_bars,
     "funding_volume_bars_ranged": q_funding_volume_bars_ranged,
+    "sql_futures_by_volume": q_sql_futures_by_volume,
+    "sql_ohlc_dollar_bars": q_sql_ohlc_dollar_bars,
+    "sql_funding_volume_weighted": q_sql_funding_volume_weighted,
     "futures_term_structure": q_futures_term_structure,
     "options_term_structure": q_options_term_structure,
     "dedup_by_key": q_dedup_by_key,
@@ -349,6 +399,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_index_ohlc": q_incremental_index_ohlc,
     "incremental_futures_term_structure": q_incremental_futures_term_structure,
     "incremental_options_term_structure": q_incremental_options_term_structure,
+    "incremental_futures_term_structure_batch": q_incremental_futures_term_structure_batch,
+    "incremental_options_term_structure_batch": q_incremental_options_term_structure_batch,
 }
 
 

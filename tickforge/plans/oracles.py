@@ -294,6 +294,12 @@ QUALIFY timestamp >= coalesce(max(timestamp) FILTER (WHERE is_stored) OVER (PART
                  ("incremental_new_currency", "futures_term_structure"),
                  ("incremental_rerun_idempotent", "futures_ohlc_1min"),
                  ("incremental_futures_term_structure", "futures_term_structure"),
-                 ("incremental_options_term_structure", "options_term_structure")]:
+                 ("incremental_options_term_structure", "options_term_structure"),
+                 ("incremental_futures_term_structure_batch", "futures_term_structure"),
+                 ("incremental_options_term_structure_batch", "options_term_structure"),
+                 # the macros as SQL functions equal the ranged operators
+                 ("sql_ohlc_dollar_bars", "ohlc_volume_bars_ranged"),
+                 ("sql_funding_volume_weighted", "funding_volume_bars_ranged"),
+                 ("sql_futures_by_volume", "volume_bars_ranged")]:
         out[a] = out[b]
     return out

@@ -4,9 +4,7 @@ After ``register_views(spark, tables)`` the reference's SQL keeps working,
 e.g. ``SELECT * FROM ohlc_1min_index WHERE currency = 'BTC' LIMIT 100`` or
 ``SELECT * FROM funding_view``.  The views are lazy DataFrame plans (the
 scalable operators), not SQL re-statements.  The three parameterised
-macros are the Python functions in ``tickforge.operators`` (volume_bars,
-funding_volume_bars, ohlc_volume_bars); they are not SQL table functions,
-because their scalable form (segmented scans) is not a single SQL query.
+macros are SQL table functions too (`sql_functions.register_functions`).
 """
 
 from __future__ import annotations
