@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from ..functions.time import as_text, plus, ts_literal
 from ..session import ensure_utc
@@ -98,18 +98,42 @@ def insert_if_absent(existing: DataFrame, batch: DataFrame, keys: list[str],
     return existing.unionByName(new.select(*existing.columns))
 
 
+def within_range(stored: DataFrame, batch: DataFrame, ts: str) -> DataFrame:
+    """The stored rows that a row of ``batch`` could equal in the time ``ts``.
+
+    The batch's first and last time (one row is collected) become literals
+    that reach the scan: row groups, and the days of a table partitioned by
+    them, outside of the batch's range are not read.
+    """
+    dtype = stored.schema[ts].dataType
+    low, high = batch.agg(as_text(F.min(ts)), as_text(F.max(ts))).first()
+    if low is None:
+        return stored.where(F.lit(False))
+    own = stored.where(F.col(ts).between(ts_literal(low, dtype), ts_literal(high, dtype)))
+    if DATE in stored.columns:
+        own = own.where(F.col(DATE).between(F.lit(low[:10]).cast("date"), F.lit(high[:10]).cast("date")))
+    return own
+
+
 def write_if_absent(spark: SparkSession, batch: DataFrame, path: str, keys: list[str],
                     schema: StructType, order_by: list[str] | None = None,
                     partition_by: list[str] | None = None,
-                    assume_unique: bool = False) -> int:
+                    assume_unique: bool = False, within: str | None = None) -> int:
     """Append the absent rows of ``batch`` to the Parquet table at ``path``.
 
-    The rows to insert are checkpointed (reliable, in ``spark.checkpoint.dir``)
-    before the append, because the plan reads the table it writes to.
-    Single writer per table.  Returns the number of rows appended.
+    ``within`` names a time column that belongs to the key, or that a row
+    keeps when it comes again: only the stored rows in the batch's range of
+    it are looked through, not the whole store.  The rows to insert are
+    checkpointed (reliable, in ``spark.checkpoint.dir``) before the append,
+    because the plan reads the table it writes to.  Single writer per table.
+    Returns the number of rows appended.
     """
-    new = rows_to_insert(read_table(spark, path, schema), conform(batch, schema), keys, order_by,
-                         assume_unique).checkpoint(eager=True)
+    dated = bool(partition_by) and DATE in partition_by and DATE not in schema.names
+    stored = read_table(spark, path, StructType([*schema.fields, StructField(DATE, DateType())]) if dated else schema)
+    batch = conform(batch, schema)
+    if within is not None:
+        stored = within_range(stored, batch, within)
+    new = rows_to_insert(stored, batch, keys, order_by, assume_unique).checkpoint(eager=True)
     n = new.count()
     if n or not table_exists(spark, path):
         append(new, path, schema, partition_by)

@@ -271,6 +271,26 @@ def q_stream_term_structure(spark, sf_dir):
     return spark.read.parquet(f"{root}/hours")
 
 
+def q_stream_ingest_trades(spark, sf_dir):
+    """Pages landed in three lots, the later ones with pages that had landed before; the stream is
+    started for the first lot and started again for the others."""
+    from ..session import scratch_path
+    from ..streaming.page_stream import read_page_stream, start_ingest
+    from . import ingest
+    root = scratch_path(spark, "stream_ingest_trades")
+    ft = _t(spark, sf_dir, "future_trades")
+    landed = pages.render_trade_pages(ft, "future").select(
+        F.get_json_object("page", "$.result.trades[0].trade_id").cast("long").alias("page_no"),
+        F.col("_currency").alias("currency"), "page")
+    lots = [landed.where("page_no % 3 = 0"), landed.where("page_no % 3 < 2"), landed.where("page_no % 3 > 0")]
+    for n, runs in ((0, True), (1, False), (2, True)):
+        lots[n].write.mode("append").json(f"{root}/landed")
+        if runs:
+            start_ingest(read_page_stream(spark, f"{root}/landed"), "future", f"{root}/trades", f"{root}/checkpoint").awaitTermination()
+    schema = ingest.table_schema("future_trades", dated=True, numbered=True)
+    return tables.read_table(spark, f"{root}/trades", schema).drop(tables.DATE, tables.SEQUENCE)
+
+
 def _midpoint(df):
     """The middle of the ticks' time span, as a literal of their type."""
     middle = df.agg((F.min("timestamp") + (F.max("timestamp") - F.min("timestamp")) / 2).alias("m"))
@@ -393,6 +413,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_futures_ohlc_all": q_stream_futures_ohlc_all,
     "stream_index_ohlc": q_stream_index_ohlc,
     "stream_term_structure": q_stream_term_structure,
+    "stream_ingest_trades": q_stream_ingest_trades,
     "incremental_new_currency": q_incremental_new_currency,
     "incremental_rerun_idempotent": q_incremental_rerun_idempotent,
     "incremental_futures_ohlc": q_incremental_futures_ohlc,

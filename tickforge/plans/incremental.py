@@ -121,7 +121,7 @@ def update_futures_term_structure(spark: SparkSession, future_trades: DataFrame,
     new = term_structure.futures_term_structure(future_trades, instruments, since=since)
     # (hour, currency, bucket, metric) is unique: the rows come from a groupBy + unpivot.
     return write_if_absent(spark, new, path, schemas.KEYS["futures_term_structure"], schema,
-                           assume_unique=True)
+                           assume_unique=True, within="ts_hour")
 
 
 def update_options_term_structure(spark: SparkSession, option_trades: DataFrame,
@@ -132,7 +132,7 @@ def update_options_term_structure(spark: SparkSession, option_trades: DataFrame,
     since = _changed(option_trades, read_table(spark, path, schema), exact, batch)
     new = term_structure.options_term_structure(option_trades, instruments, since=since)
     return write_if_absent(spark, new, path, schemas.KEYS["options_term_structure"], schema,
-                           assume_unique=True)
+                           assume_unique=True, within="ts_hour")
 
 
 def make_aggregates(spark: SparkSession, future_trades: DataFrame, option_trades: DataFrame,

@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.ordering import sequence
-from ..functions.time import as_text, ts_literal
+from ..functions.time import ts_literal
 from ..operators.commits import finish
 from ..operators.tables import (DATE, SEQUENCE, TICK_PARTITIONS, append, ingest_slice, last_number,
-                                number_rows, read_table, resume_points, rows_to_insert, write_if_absent)
+                                number_rows, read_table, resume_points, rows_to_insert, within_range, write_if_absent)
 from ..session import ensure_checkpoint_dir
 from ..sources import pages
 from .incremental import make_aggregates
@@ -105,10 +105,7 @@ def ingest_trades(spark: SparkSession, landed: DataFrame, kind: str, path: str,
             (F.col("_mx") + F.expr("INTERVAL 1 MILLISECOND")).alias("resume_ts"))
         rows = ingest_slice(rows, seen, end, by=by)
     else:
-        low = rows.agg(as_text(F.min("timestamp"))).first()[0]
-        if low is not None:      # a re-landed trade keeps its time
-            stored = stored.where((F.col("timestamp") >= ts_literal(low, dtype))
-                                  & (F.col(DATE) >= F.lit(low[:10]).cast("date")))
+        stored = within_range(stored, rows, "timestamp")       # a re-landed trade keeps its time
         first = None if pages.PAGE_NO not in rows.columns else [pages.PAGE_NO, pages.POSITION]
         rows = rows_to_insert(stored, rows, ["trade_id"], first)
     # What is stored now is also what the aggregation phase recomputes from;

@@ -297,6 +297,8 @@ QUALIFY timestamp >= coalesce(max(timestamp) FILTER (WHERE is_stored) OVER (PART
                  ("incremental_options_term_structure", "options_term_structure"),
                  ("incremental_futures_term_structure_batch", "futures_term_structure"),
                  ("incremental_options_term_structure_batch", "options_term_structure"),
+                 # pages that land again add nothing
+                 ("stream_ingest_trades", "normalize_trades"),
                  # the macros as SQL functions equal the ranged operators
                  ("sql_ohlc_dollar_bars", "ohlc_volume_bars_ranged"),
                  ("sql_funding_volume_weighted", "funding_volume_bars_ranged"),

@@ -21,7 +21,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZType
 
 from ..operators.ohlc import (FUTURES_OHLC_COLUMNS, FUTURES_TICK_COLUMNS, INDEX_OHLC_COLUMNS,
                               futures_bar_aggs, index_bar_aggs, index_ticks)
@@ -98,17 +98,22 @@ def start_term_structure(ticks: DataFrame, instruments: DataFrame, tick_path: st
     """A3 as a stream: each micro-batch of futures ticks is stored (by trade
     id, so a repeated batch adds nothing) and the hours it touches are
     inserted if absent.  Restartable from ``checkpoint``.
+
+    The tick table is partitioned by currency and day, and a batch only looks
+    through the stored ticks and hours of its own range of time, so its cost
+    does not grow with the history.
     """
-    from ..operators.tables import read_table, write_if_absent
+    from ..operators.tables import DATE, TICK_PARTITIONS, read_table, write_if_absent
     from ..plans.incremental import update_futures_term_structure
     schema = ticks.schema
+    dated = StructType([*schema.fields, StructField(DATE, DateType())])
 
     def store(batch: DataFrame, _number: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            write_if_absent(spark, batch, tick_path, ["trade_id"], schema)
-            update_futures_term_structure(spark, read_table(spark, tick_path, schema), instruments, path, batch=batch)
+            write_if_absent(spark, batch, tick_path, ["trade_id"], schema, partition_by=TICK_PARTITIONS, within="timestamp")
+            update_futures_term_structure(spark, read_table(spark, tick_path, dated), instruments, path, batch=batch)
         finally:
             batch.unpersist()
 
