@@ -51,6 +51,30 @@ def test_map_versions_are_kept(spark, odd_docs):
     assert [r.shard for r in first] == [s % 5 for s in range(64)] and len(second) == 64
 
 
+def test_growing_reads_the_newest_map(spark, small_dir):
+    """40 shards become 41, then 39: few slots move, and every version stays as it was."""
+    docs = C.table(spark, small_dir.replace("sf0.001", "sf0.1"), "documents")
+    folder = C.scratch_folder(spark, "map-grown")
+    maps = []
+    for n in (40, 40, 41, 39):
+        rows = sharding.shard(docs, n, n_slots=2048, folder=folder).groupBy("shard").agg(F.sum("size").alias("b")).collect()
+        assert {r.shard for r in rows} <= set(range(n))
+        maps.append(sharding.map_array(spark, folder, sharding.newest_version(spark, folder)))
+    assert sharding.newest_version(spark, folder) == 4
+    moved = [float((a != b).mean()) for a, b in zip(maps, maps[1:], strict=False)]
+    assert moved[0] < 0.01 and moved[1] < 0.15 and moved[2] < 0.3 and maps[2].max() == 40 and maps[3].max() == 38
+    assert (sharding.map_array(spark, folder, 1) == maps[0]).all()
+    with pytest.raises(ValueError, match="slots are fixed"):
+        sharding.shard(docs, 40, n_slots=64, folder=folder)
+
+
+def test_query_balances_bytes(spark, small_dir):
+    """The registered law: the shards' bytes differ by little, whole documents apart."""
+    out = queries.op2_virtual_slots(spark, small_dir.replace("sf0.001", "sf0.1")).toPandas()
+    total = out.groupby("shard")["size"].sum()
+    assert len(total) == 40 and set(out.law) == {"bytes"} and total.max() - total.min() <= 0.01 * total.mean()
+
+
 # -- tool calls
 
 

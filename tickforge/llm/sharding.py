@@ -41,12 +41,16 @@ def initial_map(n_slots: int, n_shards: int) -> np.ndarray:
 def rebalance(shard_of: np.ndarray, load: np.ndarray, n_shards: int, tolerance: float = TOLERANCE) -> np.ndarray:
     """A copy of the map with slots moved (or exchanged) from full to empty shards.
 
+    Slots of shards that are no more (``n_shards`` or above) are dealt out first.
+
     Each step takes the fullest and the emptiest shard and makes the move or
     exchange that brings both closest to their mean.  A shard that no step
     helps (its smallest slot may be above the mean) is left as it is; it ends
     when the others are near equal.
     """
     shard_of, load = shard_of.copy(), load.astype(np.int64)
+    gone = shard_of >= n_shards
+    shard_of[gone] = np.flatnonzero(gone) % n_shards
     total = np.bincount(shard_of, load, n_shards).astype(np.int64)
     allowed = tolerance * load.sum() / n_shards
     open_ = np.ones(n_shards, bool)
@@ -90,6 +94,22 @@ def store_map(spark: SparkSession, folder: str, version: int, shard_of: np.ndarr
     spark.createDataFrame(rows, MAP_SCHEMA).coalesce(1).write.parquet(f"{folder}/map-{version:06d}")
 
 
+def newest_version(spark: SparkSession, folder: str) -> int | None:
+    """The number of the newest stored map; None if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/map-*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return max((int(f.getPath().getParent().getName().split("-")[1]) for f in found), default=None)
+
+
+def map_array(spark: SparkSession, folder: str, version: int) -> np.ndarray:
+    """The shard of each slot (as many numbers as there are slots)."""
+    rows = load_map(spark, folder, version).collect()
+    shard_of = np.full(len(rows), -1)
+    for r in rows:
+        shard_of[r.slot] = r.shard
+    return shard_of
+
+
 def load_map(spark: SparkSession, folder: str, version: int) -> DataFrame:
     """slot and shard of one version (as many rows as there are slots)."""
     return spark.read.schema(MAP_SCHEMA).parquet(f"{folder}/map-{version:06d}").select("slot", "shard")
@@ -111,8 +131,10 @@ def shard(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
           n_slots: int = N_SLOTS, folder: str | None = None) -> DataFrame:
     """id, size, text_crc32, virtual_slot, shard and place of every row.
 
-    Stores versions 0 (slots dealt in turn) and 1 (rebalanced by bytes) of
-    the map in ``folder``; ``place`` counts a shard's rows from 0.
+    The newest map in ``folder`` is rebalanced by the slots' bytes and stored
+    as the next version; without one, version 0 deals the slots in turn.  So
+    a later call, for more records or another number of shards, moves as few
+    slots as it needs to.  ``place`` counts a shard's rows from 0.
     """
     spark = docs.sparkSession
     folder = folder or C.scratch_folder(spark, "slot-map")
@@ -120,11 +142,17 @@ def shard(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
     load = np.zeros(n_slots, np.int64)
     for r in rows.groupBy("__slot").agg(F.sum("size").alias("b")).collect():   # at most n_slots rows
         load[r["__slot"]] = r["b"]
-    start = initial_map(n_slots, n_shards)
-    store_map(spark, folder, 0, start)
-    store_map(spark, folder, 1, rebalance(start, load, n_shards))
+    version = newest_version(spark, folder)
+    if version is None:
+        version = 0
+        store_map(spark, folder, version, initial_map(n_slots, n_shards))
+    start = map_array(spark, folder, version)
+    if len(start) != n_slots:
+        raise ValueError(f"the map in {folder} has {len(start)} slots, not {n_slots}: slots are fixed")
+    version += 1
+    store_map(spark, folder, version, rebalance(start, load, n_shards))
     # n_slots rows of two numbers: small enough to broadcast whatever the data
-    newest = F.broadcast(load_map(spark, folder, 1))
+    newest = F.broadcast(load_map(spark, folder, version))
     here = Window.partitionBy("__slot", "__salt")
     numbered = rows.withColumns({"__n": F.row_number().over(here.orderBy("__id", "text_crc32", "size")) - 1})
     counts = rows.groupBy("__slot", "__salt").agg(F.count("*").alias("__rows")).join(newest, F.col("__slot") == F.col("slot"))
