@@ -93,7 +93,7 @@ def test_tool_calls(spark):
     assert len(got) == 11
     assert {k: (r.level, r.status, r.n_results, r.errors) for k, r in got.items()} == {
         (1, "a", 0): (0, "repeated_result", 2, ""), (1, "a", 9): (None, "repeated_call", 0, ""),
-        (1, "b", 2): (0, "ok", 1, "range:s,range:x,undeclared:q"), (1, "c", 4): (0, "no_result", 0, "unknown_dependency,unknown_tool"),
+        (1, "b", 2): (1, "ok", 1, "range:s,range:x,undeclared:q"), (1, "c", 4): (0, "no_result", 0, "unknown_dependency,unknown_tool"),
         (2, "a", 0): (1, "no_result", 0, ""), (2, "b", 1): (0, "no_result", 0, "not_an_object"),
         (3, "a", 0): (None, "no_result", 0, "cycle,not_an_object"), (3, "b", 1): (None, "no_result", 0, "cycle,type:x"),
         (4, None, 0): (None, "no_result", 0, "type:x"), (9, "q", 1): (None, "orphan_result", 0, ""), (1, None, 2): (None, "orphan_result", 0, "")}
@@ -103,6 +103,30 @@ def test_tool_calls(spark):
     assert none.count() == 0
 
 
+def brute_levels(deps):
+    """Longest path by fixed-point rounds; None where a cycle never settles."""
+    known = {n: 0 for n in deps if not deps[n]}
+    while True:
+        more = {n: 1 + max(known[d] for d in deps[n]) for n in deps if n not in known and all(d in known for d in deps[n])}
+        if not more:
+            return {n: known.get(n) for n in deps}
+        known.update(more)
+
+
+def test_levels_against_brute_force(spark):
+    rng, graphs = random.Random(5), {}
+    graphs[0] = {i: [i + 1] if i < 99 else [] for i in range(100)}           # a long chain backwards
+    graphs[1] = {i: [(i + 1) % 7] for i in range(7)} | {7: [3], 8: [7, 9], 9: [], 10: [9], 11: [8]}   # a cycle and what hangs on it
+    graphs[2] = {0: [0], 1: []} | {i: [1] for i in range(2, 60)}             # waits for itself; a call that many wait for
+    for g in range(3, 9):                                                     # random, mostly without cycles
+        graphs[g] = {i: rng.sample(range(i), min(i, rng.choice([0, 1, 1, 1, 2, 3]))) for i in range(40)}
+        if g > 6:
+            graphs[g][rng.randrange(10)] = [rng.randrange(10, 40)]
+    rows = [(g, str(n), rng.randrange(9), "t", None, [str(d) for d in on]) for g, deps in graphs.items() for n, on in deps.items()]
+    got = {(r.conv_id, int(r.call_id)): r.level for r in toolcalls.levels(spark.createDataFrame(rows, toolcalls.CALLS)).collect()}
+    assert got == {(g, n): v for g, deps in graphs.items() for n, v in brute_levels(deps).items()}
+
+
 def test_exchanges_with_nulls(spark):
     chats = spark.createDataFrame([(1, 0, "user", None), (1, 1, "assistant", 'quo"te\n'), (None, 0, "user", "x"), (1, 2, None, "y"),
                                    (1, 4, "user", "z"), (1, 4, "user", "z"), (2, 5, "assistant", "alone")],
@@ -132,6 +156,35 @@ def test_raking_meets_targets(spark):
     assert (p.probability * p.tokens).sum() == pytest.approx(0.5 * p.tokens.sum(), rel=1e-6) and p.probability.max() <= 1
 
 
+def test_sampled_mix_meets_its_targets(spark, small_dir):
+    """Many cells are taken whole; the shares of every dimension are met all the same."""
+    docs = C.table(spark, small_dir.replace("sf0.001", "sf0.01"), "documents")
+    dims = {"source": docs["source"], "lang": docs["lang"], "topic": mixing.topic(docs["text"])}
+    cells = C.written(mixing.cells_of(docs, dims, mixing.tokens(docs["text"])), "cells")
+    rates = C.written(mixing.calibrated(cells), "rates")
+    assert rates.where("probability = 1").count() > 20
+    out = mixing.shares(rates).toPandas()
+    assert set(out.dim) == set(mixing.DIMS) and (out.target - out.achieved).abs().max() < 1e-3
+    p = rates.toPandas()
+    assert (p.probability * p.tokens).sum() == pytest.approx(mixing.BUDGET * p.tokens.sum(), rel=1e-4)
+    # rarer values gain, none is asked for more than it has
+    langs = out[out.dim == "lang"].set_index("value").target
+    have = p.groupby("lang").tokens.sum() / p.tokens.sum()
+    assert langs[have.idxmax()] < have.max() and (langs * mixing.BUDGET <= have[langs.index] + 1e-9).all()
+
+
+def test_infeasible_targets_lower_the_budget(spark):
+    cells = spark.createDataFrame([("a", "x", 100, 1), ("a", "y", 800, 1), ("b", "x", 60, 1), ("b", "y", 40, 1)],
+                                  "source string, lang string, tokens long, rows long")
+    target = {"source": spark.createDataFrame([("a", 1.0), ("b", 1.0)], "value string, share double"),
+              "lang": spark.createDataFrame([("x", 1.0), ("y", 1.0)], "value string, share double")}
+    rates = mixing.calibrated(cells, target, 0.8)
+    p = rates.toPandas()
+    assert (p.probability * p.tokens).sum() == pytest.approx(200, rel=0.01)       # b has 100 tokens for its half
+    out = mixing.shares(rates).toPandas()
+    assert (out.achieved - 0.5).abs().max() < 0.01
+
+
 def test_sampling_keeps_columns(odd_docs, no_docs):
     def run(d):
         return mixing.sample(d, {"source": d["source"], "lang": d["lang"], "topic": mixing.topic(d["text"])}, mixing.tokens(d["text"]))

@@ -60,16 +60,21 @@ def op3_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = """
-WITH m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+WITH RECURSIVE m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
 u AS (SELECT DISTINCT conv_id, turn, text FROM m WHERE role = 'user'),
 a AS (SELECT DISTINCT conv_id, turn, text FROM m WHERE role = 'assistant'),
+node AS (SELECT DISTINCT conv_id, turn FROM u),
+placed AS (
+  SELECT conv_id, turn, 0 AS level FROM node ANTI JOIN (SELECT conv_id, turn + 2 AS turn FROM node) b USING (conv_id, turn)
+  UNION ALL
+  SELECT node.conv_id, node.turn, placed.level + 1 FROM placed JOIN node ON node.conv_id = placed.conv_id AND node.turn = placed.turn + 2),
 linked AS (
   SELECT 'call-' || u.conv_id || '-' || u.turn AS call_id, u.conv_id, u.turn AS seq, u.text,
          CASE WHEN contains(u.text, '?') THEN 'answer' ELSE 'reply' END AS tool,
-         a.turn AS result_seq, a.text AS output,
+         a.turn AS result_seq, a.text AS output, placed.level,
          CASE WHEN a.turn IS NULL THEN 'no_result' ELSE 'ok' END AS status
-  FROM u LEFT JOIN a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1)
-SELECT conv_id, call_id, 0 AS level, seq, status, (result_seq IS NOT NULL)::BIGINT AS n_results,
+  FROM u JOIN placed USING (conv_id, turn) LEFT JOIN a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1)
+SELECT conv_id, call_id, level, seq, status, (result_seq IS NOT NULL)::BIGINT AS n_results,
        CASE WHEN length(text) < 1 OR (tool = 'reply' AND length(text) > 200) THEN 'range:text' ELSE '' END AS errors,
        '{"arguments":{"role":"user","text":' || to_json(text)::VARCHAR || ',"turn":' || seq || '},"id":"' || call_id || '"'
          || CASE WHEN result_seq IS NULL THEN '' ELSE ',"output":' || to_json(output)::VARCHAR || ',"result_seq":' || result_seq END
@@ -95,7 +100,7 @@ def op4_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op4_sql() -> str:
-    """The raking unrolled: one step per sweep and dimension, one per round of the scale."""
+    """The raking unrolled: one step per sweep and dimension, one per round of a scale."""
     steps = ["""docs AS (
   SELECT doc_id, source, lang,
     CASE WHEN contains(coalesce(text, ''), '|') THEN 'table' WHEN contains(coalesce(text, ''), '@') THEN 'contact'
@@ -104,8 +109,16 @@ def _op4_sql() -> str:
          ELSE length(text) - length(replace(replace(text, ' ', ''), chr(10), '')) + 1 END AS tokens
   FROM documents)""", "cells AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL)"]
     for d in mixing.DIMS:
-        steps.append(f"t_{d} AS (SELECT {d} AS v, pow(sum(tokens), {mixing.TEMPER}) AS share FROM cells GROUP BY {d})")
-        steps.append(f"s_{d} AS (SELECT v, share / (SELECT sum(share) FROM t_{d} WHERE share > 0) AS share FROM t_{d})")
+        steps.append(f"t_{d} AS (SELECT {d} AS v, sum(tokens) AS t FROM cells GROUP BY {d})")
+        steps.append(f"p_{d} AS MATERIALIZED (SELECT v, pow(t, {mixing.TEMPER}) / (SELECT sum(pow(t, {mixing.TEMPER})) FROM t_{d}) AS raw, "
+                     f"{mixing.MOST / mixing.BUDGET!r}::DOUBLE * t / (SELECT sum(t) FROM t_{d}) AS most FROM t_{d})")
+        k = "1.0::DOUBLE"
+        for i in range(mixing.FILL_ROUNDS):
+            steps.append(f"f_{d}{i} AS MATERIALIZED (SELECT coalesce((1 - coalesce(sum(CASE WHEN raw * {k} >= most THEN most END), 0)) "
+                         f"/ sum(CASE WHEN raw * {k} < most THEN raw END), {k}) AS k FROM p_{d})")
+            k = f"(SELECT k FROM f_{d}{i})"
+        steps.append(f"l_{d} AS MATERIALIZED (SELECT v, least(raw * {k}, most) AS share FROM p_{d})")
+        steps.append(f"s_{d} AS MATERIALIZED (SELECT v, share / (SELECT sum(share) FROM l_{d}) AS share FROM l_{d})")
     last, n = "(SELECT *, tokens AS weight FROM cells)", 0
     for _ in range(mixing.SWEEPS):
         for d in mixing.DIMS:
@@ -114,14 +127,27 @@ def _op4_sql() -> str:
                          f"THEN weight * s.share / sum(weight) OVER (PARTITION BY c.{d}) ELSE 0 END AS weight "
                          f"FROM {last} c JOIN s_{d} s ON s.v IS NOT DISTINCT FROM c.{d})")
             last = f"r{n}"
-    steps.append(f"total AS (SELECT {mixing.BUDGET} * sum(tokens) AS budget FROM cells)")
-    scale = "(SELECT budget FROM total)"
+    limits = ", ".join(f"(SELECT min(t / w) FROM (SELECT sum(tokens) AS t, sum(weight) AS w FROM {last} GROUP BY {d}) WHERE w > 0) / sum(tokens)"
+                       for d in mixing.DIMS)
+    steps.append(f"total AS MATERIALIZED (SELECT least({mixing.BUDGET}, {limits}) AS share, sum(tokens) AS tokens FROM {last})")
+    aims = ", ".join(f"sum(weight * share * t.tokens) OVER (PARTITION BY {d}) AS aim_{d}" for d in mixing.DIMS)
+    steps.append(f"w AS MATERIALIZED (SELECT source, lang, topic, c.tokens, weight * share * t.tokens AS want, {aims} FROM {last} c, total t)")
+    last, n = "w", 0
+    columns = ", ".join(["source", "lang", "topic", "tokens", *(f"aim_{d}" for d in mixing.DIMS)])
+    for _ in range(mixing.CAP_SWEEPS):
+        for d in mixing.DIMS:
+            n += 1
+            kept = f"sum(least(want, tokens)) OVER (PARTITION BY {d})"
+            steps.append(f"w{n} AS MATERIALIZED (SELECT {columns}, CASE WHEN {kept} > 0 THEN want * aim_{d} / {kept} ELSE 0 END AS want FROM {last})")
+            last = f"w{n}"
+    scale = "1.0::DOUBLE"
     for k in range(mixing.CAP_ROUNDS):
-        steps.append(f"k{k} AS MATERIALIZED (SELECT ((SELECT budget FROM total) - coalesce(sum(CASE WHEN weight * {scale} >= tokens THEN tokens END), 0))"
-                     f" / sum(CASE WHEN weight * {scale} < tokens THEN weight END) AS scale FROM {last} WHERE tokens > 0)")
+        steps.append(f"k{k} AS MATERIALIZED (SELECT coalesce(((SELECT share * tokens FROM total) "
+                     f"- coalesce(sum(CASE WHEN want * {scale} >= tokens THEN tokens END), 0))"
+                     f" / sum(CASE WHEN want * {scale} < tokens THEN want END), {scale}) AS scale FROM {last} WHERE tokens > 0)")
         scale = f"(SELECT scale FROM k{k})"
-    steps.append(f"p AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(1.0, weight * {scale} / tokens) "
-                 f"ELSE {mixing.BUDGET} END AS probability FROM {last})")
+    steps.append(f"p AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(1.0, want * {scale} / tokens) "
+                 f"ELSE (SELECT share FROM total) END AS probability FROM {last})")
     place = "('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0"
     return "WITH " + ",\n".join(steps) + f"""
 SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, round(p.probability, 6) AS probability, {place} < p.probability AS kept

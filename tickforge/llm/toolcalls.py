@@ -1,10 +1,12 @@
 """Tool-call linking (operator 3).
 
 Calls and results are hash-joined by (conversation, call id).  A call that
-waits for others names them; order is checked edge by edge, and only the
-conversations where a call comes before one it waits for are ordered by
-levels (Kahn's rounds; what is left over is a cycle).  Arguments are parsed
-as JSON and checked against the tool's schema, one row per declared argument.
+waits for others names them.  Every call gets its level, the longest way to a
+call that waits for none: chains of calls with one dependency are followed by
+doubled pointers, and calls with several are placed by Kahn's rounds on what
+the chains leave (what is left over is a cycle).  (level, seq) is a topological
+order.  Arguments are parsed as JSON and checked against the tool's schema,
+one row per declared argument.
 The linked call is serialised as canonical JSON: keys sorted, no blanks.
 
 All of it is DataFrame operations; nothing is gathered per conversation, so
@@ -84,42 +86,83 @@ def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
         "__tool", "__fields", "__v", "__keys", "__map")
 
 
+def chains(single: DataFrame) -> DataFrame:
+    """Follows each call with one dependency (conv_id, call_id, to) to the end of its chain.
+
+    Returns conv_id, call_id, to, dist and open: ``to`` is the first call on
+    the way that waits for none or several, ``dist`` steps off.  Pointers are
+    doubled, so a chain of n calls takes about log2(n) rounds.  A round that
+    closes no pointer has only those left that run into a cycle: they stay open.
+    """
+    inner = single.select("conv_id", F.col("call_id").alias("to"), F.lit(True).alias("open"))
+    point = single.select("conv_id", "call_id", "to", F.lit(1).cast("long").alias("dist")).join(inner, ["conv_id", "to"], "left")
+    point = C.written(point.withColumn("open", F.coalesce("open", F.lit(False))), "chains")
+    left = point.where("open").count()
+    while left:
+        step = point.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("__to"), F.col("dist").alias("__dist"),
+                            F.col("open").alias("__open"))
+        moved = point.where("open").join(step, ["conv_id", "to"]).select(
+            "conv_id", "call_id", F.col("__to").alias("to"), (F.col("dist") + F.col("__dist")).alias("dist"), F.col("__open").alias("open"))
+        point = C.written(point.where("not open").unionByName(moved), "chains")
+        still = point.where("open").count()
+        if still == left:
+            break
+        left = still
+    return point
+
+
+def joints(edges: DataFrame, waits: DataFrame, point: DataFrame) -> DataFrame:
+    """conv_id, call_id, level of the calls with several dependencies, by Kahn's rounds among them.
+
+    Chains between them are one step each; the level is null on or behind a cycle.
+    """
+    several = waits.where("n > 1").select("conv_id", "call_id")
+    shut = point.where("not open").select("conv_id", F.col("call_id").alias("on"), "to", "dist")
+    todo = edges.join(several, ["conv_id", "call_id"], "left_semi").join(shut, ["conv_id", "on"], "left").select(
+        "conv_id", "call_id", F.coalesce("to", "on").alias("root"), (F.coalesce("dist", F.lit(0)) + 1).alias("plus"))
+    waiting = waits.select("conv_id", F.col("call_id").alias("root"), F.lit(True).alias("waiting"))
+    todo = C.written(todo.join(waiting, ["conv_id", "root"], "left").select(
+        "conv_id", "call_id", "root", "plus", F.when(F.col("waiting").isNull(), F.lit(0).cast("long")).alias("at")), "joints")
+    out = None
+    while True:
+        ready = todo.groupBy("conv_id", "call_id").agg(F.max(F.col("at") + F.col("plus")).alias("level"),
+                                                       F.count_if(F.col("at").isNull()).alias("missing"))
+        ready = C.written(ready.where("missing = 0").drop("missing"), "ready")
+        if ready.isEmpty():
+            break
+        out = ready if out is None else out.unionByName(ready)
+        known = ready.select("conv_id", F.col("call_id").alias("root"), "level")
+        todo = todo.join(ready, ["conv_id", "call_id"], "left_anti").join(known, ["conv_id", "root"], "left")
+        todo = C.written(todo.select("conv_id", "call_id", "root", "plus", F.coalesce("at", "level").alias("at")), "joints")
+    cyclic = todo.select("conv_id", "call_id").distinct().withColumn("level", F.lit(None).cast("long"))
+    return cyclic if out is None else out.unionByName(cyclic)
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """conv_id, call_id, level, unknown (a dependency that is no call).
 
-    ``level`` is 0 where all of a conversation's calls come after what they
-    wait for (seq is an order then); else a call's place in Kahn's rounds,
-    null on (or behind) a cycle.
+    ``level`` is 0 for a call that waits for none, else one more than the
+    greatest level it waits for; null on (or behind) a cycle.
     """
-    node = calls.select("conv_id", "call_id", "seq").where("conv_id is not null and call_id is not null")
-    edges = calls.where("conv_id is not null and call_id is not null").select(
-        "conv_id", "call_id", "seq", F.explode("waits_for").alias("on")).distinct()
-    on = node.select("conv_id", F.col("call_id").alias("on"), F.col("seq").alias("on_seq"), F.lit(True).alias("found"))
-    edges = C.written(edges.join(on, ["conv_id", "on"], "left"), "call-edges")
+    named = "conv_id is not null and call_id is not null"
+    node = calls.where(named).select("conv_id", "call_id")
+    edges = calls.where(named).select("conv_id", "call_id", F.explode("waits_for").alias("on")).distinct()
+    there = node.select("conv_id", F.col("call_id").alias("on"), F.lit(True).alias("found"))
+    edges = C.written(edges.join(there, ["conv_id", "on"], "left"), "call-edges")
     unknown = edges.where("found is null").select("conv_id", "call_id").distinct().withColumn("unknown", F.lit(True))
-    back = edges.where("found and (on_seq > seq or (on_seq = seq and on >= call_id))").select("conv_id").distinct()
-    back = C.written(back, "back")
-    if back.isEmpty():
-        return node.select("conv_id", "call_id", F.lit(0).alias("level")).join(unknown, ["conv_id", "call_id"], "left")
-    left = C.written(node.select("conv_id", "call_id").join(back, "conv_id", "left_semi"), "left")
-    open_edges = C.written(edges.where("found").join(back, "conv_id", "left_semi").select("conv_id", "call_id", "on"), "open")
-    placed, level = None, 0
-    while True:
-        free = left.join(open_edges.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti")
-        free = C.written(free.withColumn("level", F.lit(level)), "free")
-        if free.isEmpty():
-            break
-        placed = free if placed is None else placed.unionByName(free)
-        left = C.written(left.join(free, ["conv_id", "call_id"], "left_anti"), "left")
-        done = free.select("conv_id", F.col("call_id").alias("on"))
-        open_edges = C.written(open_edges.join(done, ["conv_id", "on"], "left_anti"), "open")
-        level += 1
-    cyclic = left.withColumn("level", F.lit(None).cast("int"))
-    straight = node.join(back, "conv_id", "left_anti").select("conv_id", "call_id", F.lit(0).alias("level"))
-    out = straight.unionByName(cyclic)
-    if placed is not None:
-        out = out.unionByName(placed)
-    return out.join(unknown, ["conv_id", "call_id"], "left")
+    edges = edges.where("found").select("conv_id", "call_id", "on")
+    waits = C.written(edges.groupBy("conv_id", "call_id").agg(F.count("*").alias("n"), F.min("on").alias("to")), "waits")
+    point = chains(waits.where("n = 1"))
+    placed = point.select("conv_id", "call_id", F.when(~F.col("open"), F.col("dist")).alias("level"))
+    if not waits.where("n > 1").isEmpty():
+        several = C.written(joints(edges, waits, point), "several")
+        ends = several.select("conv_id", F.col("call_id").alias("to"), F.col("level").alias("end"), F.lit(True).alias("several"))
+        behind = F.when(F.col("several"), F.col("end")).otherwise(F.lit(0)) + F.col("dist")
+        placed = point.join(ends, ["conv_id", "to"], "left").select(
+            "conv_id", "call_id", F.when(~F.col("open"), behind).alias("level")).unionByName(several)
+    out = node.join(placed.withColumn("waits", F.lit(True)), ["conv_id", "call_id"], "left")
+    return out.select("conv_id", "call_id", F.when(F.col("waits"), F.col("level")).otherwise(F.lit(0)).cast("int").alias("level")).join(
+        unknown, ["conv_id", "call_id"], "left")
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
