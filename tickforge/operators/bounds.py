@@ -23,6 +23,13 @@ def currency_bounds(ticks: DataFrame, unit: str, ts: str = "timestamp",
             .select(by, truncate(F.col("_mx"), unit, dtype).alias(name)))
 
 
+def newest_bounds(newest: DataFrame, unit: str, by: str = "currency", name: str = "_bound") -> DataFrame:
+    """The bounds from stored newest times (``by``, newest), a value's greatest one where it has several."""
+    dtype = ts_type(newest, "newest")
+    return (newest.groupBy(by).agg(F.max("newest").alias("_mx"))
+            .select(by, truncate(F.col("_mx"), unit, dtype).alias(name)))
+
+
 def keep_closed(rows: DataFrame, bounds: DataFrame, bucket_col: str,
                 by: str = "currency", name: str = "_bound") -> DataFrame:
     """Rows whose bucket lies before their currency's bound.
@@ -43,8 +50,8 @@ def closed_by_own_max(rows: DataFrame, bucket_col: str, by: str = "currency") ->
     Valid when every tick of the currency lands in some row of ``rows``
     (then ``max(bucket) = bucket(max ts)``).  Only the bucket column is
     needed for the maxima, one row per currency, but the plan reads the
-    ticks once more for it; a caller that knows the newest tick from stored
-    statistics uses `keep_closed`.
+    ticks once more for it; a caller that knows the newest tick from what is
+    stored beside the table uses `newest_bounds` and `keep_closed`.
     """
     mx = rows.groupBy(by).agg(F.max(bucket_col).alias("_bound"))
     return keep_closed(rows, mx, bucket_col, by)

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from ..functions.numeric import ieee_div, ieee_ln, null_div, weighted_mean
-from ..functions.ordering import first_by, last_by, sequence
+from ..functions.ordering import first_by, last_by, sequence, time_order
 from ..functions.time import bucket, ts_literal, ts_type
-from .bounds import closed_by_own_max
+from .bounds import closed_by_own_max, keep_closed, newest_bounds
 from .segments import Order, equal_segments, micros, ordered_to_the_end, text_keys
 
 FUTURES_OHLC_COLUMNS = ["instrument_name", "currency", "bucket", "open", "high", "low",
@@ -41,8 +41,13 @@ def _since(df: DataFrame, since) -> DataFrame:
     return df.where(F.col("timestamp") >= ts_literal(since, ts_type(df, "timestamp")))
 
 
+def _closed(bars: DataFrame, newest: DataFrame | None, unit: str) -> DataFrame:
+    """Without each currency's open bucket: by the stored newest ticks, or else by the bars' own."""
+    return closed_by_own_max(bars, "bucket") if newest is None else keep_closed(bars, newest_bounds(newest, unit), "bucket")
+
+
 def futures_bar_aggs(tie_break: str = "trade_id", median: str = "exact",
-                     median_accuracy: int = 10000) -> list[Column]:
+                     median_accuracy: int = 10000, order: list[Column] | None = None) -> list[Column]:
     """Aggregate expressions of a futures bar (shared by batch and stream).
 
     ``median="exact"`` is the interpolated median of the reference (its
@@ -52,16 +57,17 @@ def futures_bar_aggs(tie_break: str = "trade_id", median: str = "exact",
     """
     if median not in ("exact", "approx"):
         raise ValueError("median must be 'exact' or 'approx'")
+    order = order or [F.col("timestamp"), *sequence(tie_break)]
     price, amount = F.col("price"), F.col("amount")
     buy, sell = F.col("direction") == "buy", F.col("direction") == "sell"
     buy_amount = F.sum(F.when(buy, amount).otherwise(F.lit(0)))
     sell_amount = F.sum(F.when(sell, amount).otherwise(F.lit(0)))
     n = F.count(F.lit(1))
     return [
-        first_by("price", "timestamp", *sequence(tie_break)).alias("open"),
+        first_by("price", *order).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
-        last_by("price", "timestamp", *sequence(tie_break)).alias("close"),
+        last_by("price", *order).alias("close"),
         F.sum(amount).cast("double").alias("volume"),
         n.alias("n_orders"),
         ieee_div(F.count(F.when(buy, F.lit(1))) * F.lit(100.0), n).alias("pct_buys_count"),
@@ -78,12 +84,13 @@ def futures_bar_aggs(tie_break: str = "trade_id", median: str = "exact",
     ]
 
 
-def index_bar_aggs(tie_break: str = "trade_id") -> list[Column]:
+def index_bar_aggs(tie_break: str = "trade_id", order: list[Column] | None = None) -> list[Column]:
+    order = order or [F.col("timestamp"), *sequence(tie_break)]
     return [
-        first_by("index_price", "timestamp", *sequence(tie_break)).alias("open"),
+        first_by("index_price", *order).alias("open"),
         F.max("index_price").alias("high"),
         F.min("index_price").alias("low"),
-        last_by("index_price", "timestamp", *sequence(tie_break)).alias("close"),
+        last_by("index_price", *order).alias("close"),
         F.count(F.lit(1)).alias("obs"),
     ]
 
@@ -94,18 +101,19 @@ FUTURES_TICK_COLUMNS = ["instrument_name", "currency", "timestamp", "price", "am
 
 def futures_ohlc_1min(future_trades: DataFrame, since=None, closed_only: bool = True,
                       tie_break: str = "trade_id", unit: str = "minute",
-                      median: str = "exact") -> DataFrame:
+                      median: str = "exact", newest: DataFrame | None = None) -> DataFrame:
     """A1: per (instrument, currency, minute) bar with flow statistics.
 
-    ``closed_only`` drops each currency's newest (still open) minute.
+    ``closed_only`` drops each currency's newest (still open) minute, known
+    from ``newest`` (`tables.newest_ticks`) without reading the ticks again.
     Open/close use (timestamp, tie_break) as a total order.
     """
     t = _since(future_trades, since)
     t = t.select(*FUTURES_TICK_COLUMNS, tie_break, bucket(t, "timestamp", unit).alias("bucket"))
     bars = t.groupBy("instrument_name", "currency", "bucket").agg(
-        *futures_bar_aggs(tie_break, median))
+        *futures_bar_aggs(tie_break, median, order=time_order(t, "timestamp", tie_break)))
     if closed_only:
-        bars = closed_by_own_max(bars, "bucket")
+        bars = _closed(bars, newest, unit)
     return bars.select(*FUTURES_OHLC_COLUMNS)
 
 
@@ -117,13 +125,17 @@ def index_ticks(future_trades: DataFrame, option_trades: DataFrame,
 
 def index_ohlc_1min(future_trades: DataFrame, option_trades: DataFrame, since=None,
                     closed_only: bool = True, tie_break: str = "trade_id",
-                    unit: str = "minute") -> DataFrame:
-    """A2: index price bars from the union of futures and options ticks."""
+                    unit: str = "minute", newest: DataFrame | None = None) -> DataFrame:
+    """A2: index price bars from the union of futures and options ticks.
+
+    ``newest`` as for A1: the newest ticks of both tables.  With a whole number
+    as tie-break the ticks go through hash aggregation alone.
+    """
     t = _since(index_ticks(future_trades, option_trades, tie_break), since)
     t = t.withColumn("bucket", bucket(t, "timestamp", unit))
-    bars = t.groupBy("currency", "bucket").agg(*index_bar_aggs(tie_break))
+    bars = t.groupBy("currency", "bucket").agg(*index_bar_aggs(tie_break, time_order(t, "timestamp", tie_break)))
     if closed_only:
-        bars = closed_by_own_max(bars, "bucket")
+        bars = _closed(bars, newest, unit)
     return bars.select(*INDEX_OHLC_COLUMNS)
 
 

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ..functions.time import as_text, plus, ts_literal
 from ..session import ensure_utc
@@ -254,3 +254,37 @@ def number_rows(rows: DataFrame, start: int, order_by: list[Column], name: str =
 def last_number(stored: DataFrame, name: str = SEQUENCE) -> int:
     """The greatest number given to a stored row so far, 0 without any."""
     return stored.agg(F.max(name)).first()[0] or 0
+
+
+# -- the newest stored tick
+
+
+def newest_path(path: str) -> str:
+    """The table beside ``path`` that holds each currency's newest time."""
+    return f"{path.rstrip('/')}.newest"
+
+
+def newest_ticks(spark: SparkSession, path: str, dtype, by: str = "currency") -> DataFrame | None:
+    """``by`` and newest, one row per currency; None where nothing is noted yet."""
+    if not table_exists(spark, newest_path(path)):
+        return None
+    return read_table(spark, newest_path(path), StructType([StructField(by, StringType()), StructField("newest", dtype)]))
+
+
+def note_newest(stored: DataFrame, added: DataFrame, path: str, by: str = "currency", ts: str = "timestamp") -> None:
+    """Note the newest time per currency after ``added`` was appended to the table ``stored`` at ``path``.
+
+    The whole table is read only when nothing is noted yet.  The note is
+    replaced in one commit after the append: a crash between the two leaves it
+    older than the ticks, so that minutes are closed by the next append, and
+    never one too early.  Whoever appends by other means than the ingests
+    calls this too.
+    """
+    spark = stored.sparkSession
+    finish(spark, newest_path(path))
+    known = newest_ticks(spark, path, stored.schema[ts].dataType, by)
+    rows = stored if known is None else added
+    now = rows.where(F.col(by).isNotNull()).groupBy(by).agg(F.max(ts).alias("newest"))
+    if known is not None:
+        now = known.unionByName(now).groupBy(by).agg(F.max("newest").alias("newest"))
+    replace_table(now.coalesce(1), newest_path(path))

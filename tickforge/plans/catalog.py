@@ -356,6 +356,38 @@ def q_incremental_options_term_structure(spark, sf_dir):
                             spark, ot, ins, p, exact=True))
 
 
+def _stored_ticks(spark, sf_dir, name, table):
+    """The ticks stored by two appends, the newest ones noted after each, and that note."""
+    from ..session import scratch_path
+    from . import ingest
+    ticks, path = _t(spark, sf_dir, table), scratch_path(spark, name)
+    middle = _midpoint(ticks)
+    stored = None
+    for some in (ticks.where(F.col("timestamp") < middle), ticks.where(F.col("timestamp") >= middle)):
+        tables.append(some, path, ingest.table_schema(table), tables.TICK_PARTITIONS)
+        stored = tables.read_table(spark, path, ingest.table_schema(table, dated=True))
+        tables.note_newest(stored, some, path)
+    return stored, tables.newest_ticks(spark, path, stored.schema["timestamp"].dataType)
+
+
+def _numbered_ids(ticks):
+    """Ids that are whole numbers, as such: the tie-break of fixed width."""
+    return ticks.withColumn("trade_no", F.col("trade_id").cast("long"))
+
+
+def q_stored_futures_ohlc(spark, sf_dir):
+    """Bars of a stored table: one scan, the open minute known from the stored newest ticks."""
+    ft, newest = _stored_ticks(spark, sf_dir, "stored_futures", "future_trades")
+    return ohlc.futures_ohlc_1min(_numbered_ids(ft), tie_break="trade_no", newest=newest)
+
+
+def q_stored_index_ohlc(spark, sf_dir):
+    ft, of_futures = _stored_ticks(spark, sf_dir, "stored_futures", "future_trades")
+    ot, of_options = _stored_ticks(spark, sf_dir, "stored_options", "option_trades")
+    return ohlc.index_ohlc_1min(_numbered_ids(ft), _numbered_ids(ot), tie_break="trade_no",
+                                newest=of_futures.unionByName(of_options))
+
+
 def _incremental_batch(spark, sf_dir, name, ticks, update):
     """The update job as `ingest.update` runs it: only the hours that the new ticks touch."""
     from ..session import scratch_path
@@ -414,6 +446,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_index_ohlc": q_stream_index_ohlc,
     "stream_term_structure": q_stream_term_structure,
     "stream_ingest_trades": q_stream_ingest_trades,
+    "stored_futures_ohlc": q_stored_futures_ohlc,
+    "stored_index_ohlc": q_stored_index_ohlc,
     "incremental_new_currency": q_incremental_new_currency,
     "incremental_rerun_idempotent": q_incremental_rerun_idempotent,
     "incremental_futures_ohlc": q_incremental_futures_ohlc,

@@ -54,24 +54,32 @@ def _after(ticks: DataFrame, pred: Column | None) -> DataFrame:
     return ticks if pred is None else ticks.where(pred)
 
 
-def update_futures_ohlc(spark: SparkSession, future_trades: DataFrame, path: str) -> None:
+def update_futures_ohlc(spark: SparkSession, future_trades: DataFrame, path: str,
+                        newest: DataFrame | None = None) -> None:
     """Append the new closed one-minute futures bars.
 
+    ``newest`` (`tables.newest_ticks` of the tick table) closes them without
+    a second read of the ticks.
+
     The resume bounds are collected literals, so the write plan does not
     read the table it appends to (no lineage cut needed).
     """
     schema = _with_ts(schemas.OHLC_1MIN_FUTURES, future_trades.schema["timestamp"].dataType)
     pred = resume_filter(read_table(spark, path, schema), timedelta(minutes=1), dates=DATE in future_trades.columns)
-    append(ohlc.futures_ohlc_1min(_after(future_trades, pred)), path, schema)
+    append(ohlc.futures_ohlc_1min(_after(future_trades, pred), newest=newest), path, schema)
 
 
 def update_index_ohlc(spark: SparkSession, future_trades: DataFrame, option_trades: DataFrame,
-                      path: str) -> None:
-    """Append the new closed one-minute index bars (futures + options ticks)."""
+                      path: str, newest: DataFrame | None = None) -> None:
+    """Append the new closed one-minute index bars (futures + options ticks).
+
+    ``newest``: the newest ticks of both tables.
+    """
     schema = _with_ts(schemas.OHLC_1MIN_INDEX, future_trades.schema["timestamp"].dataType)
     dates = DATE in future_trades.columns and DATE in option_trades.columns
     pred = resume_filter(read_table(spark, path, schema), timedelta(minutes=1), dates=dates)
-    append(ohlc.index_ohlc_1min(_after(future_trades, pred), _after(option_trades, pred)), path, schema)
+    bars = ohlc.index_ohlc_1min(_after(future_trades, pred), _after(option_trades, pred), newest=newest)
+    append(bars, path, schema)
 
 
 def touched_hours(batch: DataFrame, dtype, ts: str = "timestamp", by: str = "currency",
@@ -137,17 +145,21 @@ def update_options_term_structure(spark: SparkSession, option_trades: DataFrame,
 
 def make_aggregates(spark: SparkSession, future_trades: DataFrame, option_trades: DataFrame,
                     instruments: DataFrame, paths: dict[str, str], exact: bool = True,
-                    batches: dict[str, DataFrame] | None = None) -> dict:
+                    batches: dict[str, DataFrame] | None = None,
+                    newest: dict[str, DataFrame | None] | None = None) -> dict:
     """The whole aggregation phase, in the reference's order, all currencies.
 
     ``batches``: the ticks just ingested into future_trades and
     option_trades; with them the term structures scan only touched hours.
+    ``newest``: the stored newest ticks of both tables, where they are noted.
     """
-    batches = batches or {}
+    batches, newest = batches or {}, newest or {}
+    futures, options = newest.get("future_trades"), newest.get("option_trades")
+    both = None if futures is None or options is None else futures.unionByName(options)
     return {
-        "ohlc_1min_futures": update_futures_ohlc(spark, future_trades, paths["ohlc_1min_futures"]),
+        "ohlc_1min_futures": update_futures_ohlc(spark, future_trades, paths["ohlc_1min_futures"], futures),
         "ohlc_1min_index": update_index_ohlc(spark, future_trades, option_trades,
-                                             paths["ohlc_1min_index"]),
+                                             paths["ohlc_1min_index"], both),
         "futures_term_structure": update_futures_term_structure(
             spark, future_trades, instruments, paths["futures_term_structure"], exact,
             batches.get("future_trades")),

@@ -26,7 +26,7 @@ from ..functions.ordering import sequence
 from ..functions.time import ts_literal
 from ..operators.commits import finish
 from ..operators.tables import (DATE, SEQUENCE, TICK_PARTITIONS, append, ingest_slice, last_number,
-                                number_rows, read_table, resume_points, rows_to_insert, within_range, write_if_absent)
+                                newest_ticks, note_newest, number_rows, read_table, resume_points, rows_to_insert, within_range, write_if_absent)
 from ..session import ensure_checkpoint_dir
 from ..sources import pages
 from .incremental import make_aggregates
@@ -112,6 +112,8 @@ def ingest_trades(spark: SparkSession, landed: DataFrame, kind: str, path: str,
     # numbering cuts the lineage, as the plan may read the table it appends to.
     rows = _numbered(rows, schema, last, ["timestamp", *sequence("trade_id")])
     append(rows, path, table_schema(name, ntz, numbered=True), partitions_of(name))
+    if "currency" in schema.names:
+        note_newest(read_table(spark, path, table_schema(name, ntz)), rows, path)
     return rows.select(*schema.names)
 
 
@@ -172,6 +174,8 @@ def update(spark: SparkSession, landed: dict[str, DataFrame], paths: dict[str, s
     if "instruments" in landed:
         ingest_instruments(spark, landed["instruments"], paths["instruments"], ntz)
     ft, ot = (read_table(spark, paths[n], table_schema(n, ntz, dated=True)) for n in ("future_trades", "option_trades"))
-    none = {n: t.limit(0) for n, t in (("future_trades", ft), ("option_trades", ot))}
+    names = ("future_trades", "option_trades")
+    none = {n: t.limit(0) for n, t in zip(names, (ft, ot), strict=True)}
+    newest = {n: newest_ticks(spark, paths[n], ft.schema["timestamp"].dataType) for n in names}
     make_aggregates(spark, ft, ot, read_table(spark, paths["instruments"], table_schema("instruments", ntz)),
-                    paths, exact, None if exact else none | batches)
+                    paths, exact, None if exact else none | batches, newest)

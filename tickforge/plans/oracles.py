@@ -286,7 +286,9 @@ QUALIFY timestamp >= coalesce(max(timestamp) FILTER (WHERE is_stored) OVER (PART
     }
     # Streams and incremental runs must equal the batch operators on the
     # same closed buckets.
-    for a, b in [("stream_futures_ohlc", "futures_ohlc_1min"),
+    for a, b in [("stored_futures_ohlc", "futures_ohlc_1min"),
+                 ("stored_index_ohlc", "index_ohlc_1min"),
+                 ("stream_futures_ohlc", "futures_ohlc_1min"),
                  ("stream_index_ohlc", "index_ohlc_1min"),
                  ("stream_term_structure", "futures_term_structure"),
                  ("incremental_futures_ohlc", "futures_ohlc_1min"),
