@@ -110,6 +110,42 @@ def test_co_training_held_out_accuracy(spark, small_dir):
     assert model.exchanged
 
 
+def test_pseudo_labels_come_from_all_unlabelled_documents(spark, small_dir, monkeypatch):
+    """Ten copies of the unlabelled rows are ten times the examples; how rows are split changes nothing."""
+    monkeypatch.setattr(cotraining, "EVALUATIONS", 4)
+    monkeypatch.setattr(cotraining, "ROUNDS", 1)
+    d = small_dir.replace("sf0.001", "sf0.01")
+    docs, labels = C.table(spark, d, "documents"), C.table(spark, d, "labels")
+    known = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
+    free = docs.join(labels.select("doc_id"), "doc_id", "left_anti")
+    some = known.unionByName(free).select(docs.columns)
+    copies = free.crossJoin(spark.range(10)).select(docs.columns)
+    copies = copies.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")))     # rows without an id too
+    one, split, ten = (cotraining.train(d, labels) for d in (some.coalesce(1), some.repartition(5), known.unionByName(copies)))
+    assert 0 < one.exchanged[0] <= 2 * free.count() and ten.exchanged[0] == 10 * one.exchanged[0]
+    for a, b in ((one.text, split.text), (one.meta, split.meta)):
+        assert (a.weights == b.weights).all() and a.bias == b.bias
+    assert (one.mix == split.mix).all()
+
+
+def test_pools_in_memory_and_in_spark_fit_alike(spark, monkeypatch):
+    monkeypatch.setattr(cotraining, "EVALUATIONS", 5)
+    rng = np.random.default_rng(4)
+    y = rng.integers(0, 2, 400)
+    text = [np.unique(np.append(rng.integers(100, 140, 5), 7 if v else 8)).astype(np.int32) for v in y]
+    meta = [np.array([20 + v if rng.random() < 0.97 else 21 - v], np.int32) for v in y]
+    free = spark.createDataFrame([(bytearray(t.tobytes()), bytearray(m.tobytes())) for t, m in zip(text[200:], meta[200:], strict=True)],
+                                 "t binary, m binary").repartition(3)
+    local = cotraining.co_train(text, meta, np.append(y[:200], np.full(200, -1)), ("a",))
+    spread = cotraining.co_train(text[:200], meta[:200], y[:200], ("a",), cotraining.SparkPool(free))
+    assert local.exchanged == spread.exchanged and local.exchanged
+    assert (local.text.weights == spread.text.weights).all() and (local.meta.weights == spread.meta.weights).all()
+    # the steps end near the minimum: as good on the labelled rows as a fit of many steps
+    best = cotraining.fit(text[:200], y[:200].astype(float), by_z=True)
+    z, w = local.text.logits(text), best.logits(text)
+    assert ((z > 0) == y).mean() >= ((w > 0) == y).mean() - 0.01
+
+
 def test_a_very_long_text_does_not_crowd_out_the_sample(spark, small_dir, monkeypatch):
     """The labelled text with the smallest hash is longer than all the sample may hold."""
     monkeypatch.setattr(cotraining, "SAMPLE_BYTES", 1 << 20)

@@ -2,27 +2,35 @@
 
 Two logistic classifiers see a document by different views: its text (hashed
 words and binned text statistics) and its metadata (any columns besides the
-text, binned).  Both are fitted on a bounded labelled sample.  In each round
-either view labels the unlabelled documents it is most sure of (a calibrated
-probability beyond ``CONFIDENT``), those examples join the other view's
-training set, and both are fitted again.  Last, the two views' log odds are
-combined by a small logistic model on a part of the labelled sample that no
-view was trained on, which calibrates them; a view that tells nothing gets
+text, binned).  Both are first fitted on a bounded labelled sample.  In each
+round either view labels those of all unlabelled documents that it is sure of
+(a calibrated probability beyond ``CONFIDENT``), those examples join the other
+view's training set, and both are fitted again.  Last, the two views' log odds
+are combined by a small logistic model on a part of the labelled sample that
+no view was trained on, which calibrates them; a view that tells nothing gets
 no weight.  All documents are scored in one pass without a shuffle.
 
+The unlabelled documents stay in Spark: their hashed features are written
+once, tasks count the slots of what the views are sure of, and the views are
+fitted by quasi-Newton steps whose gradients tasks sum over all examples, in
+whole numbers, so that no result depends on how the input is split.  Together
+the pseudo-labelled examples weigh at most as much as the labelled ones, at
+any number of documents.
+
 A document counts as good if its quality label is 1 and it is not labelled
-toxic.  Only the sample (``LABELLED`` plus ``UNLABELLED`` documents, those
-with the smallest id hashes, at most ``SAMPLE_BYTES`` of text) reaches the
-driver, as hashed features.  Texts beyond ``LONG_TEXT`` bytes are taken last,
-so a few very long ones never crowd out the rest; the first ``LEAST`` of a
-class come before everything.  If the documents have labels of both
-classes but the sample does not, training stops with an error.  Words count
-only when they are linked to the label in the sample beyond chance
-(|z| >= ``MIN_Z``), so long texts do not add up noise.
+toxic.  Only the labelled sample (``LABELLED`` documents, those with the
+smallest id hashes, at most ``SAMPLE_BYTES`` of text) reaches the driver, as
+hashed features.  Texts beyond ``LONG_TEXT`` bytes are taken last, so a few
+very long ones never crowd out the rest; the first ``LEAST`` of a class come
+before everything.  If the documents have labels of both classes but the
+sample does not, training stops with an error.  Words count only when they
+are linked to the label beyond chance (|z| >= ``MIN_Z``), so long texts do
+not add up noise.
 
 Null or empty texts have no words and are scored by their statistics; null
 metadata is a value of its own.  Null labels are ignored, a document
-labelled twice is good if half its labels or more are good.  Without both
+labelled twice is good if half its labels or more are good.  Rows without an
+id are unlabelled.  Without both
 kinds of labels every document gets the share of good labels (1 without
 labels) and is kept.  Ties in the sample's order go to the smaller id.
 Repeated rows are scored each by itself; extra columns are carried through
@@ -42,12 +50,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import common as C
-from .quality_rules import FEATURES, labelled_sample
+from .quality_rules import FEATURES
 
 BITS = 18
-LABELLED, UNLABELLED, SAMPLE_BYTES = 12000, 4000, 96 << 20
+LABELLED, SAMPLE_BYTES = 12000, 96 << 20
 LONG_TEXT, LEAST = 1 << 16, 50
 ROUNDS, CONFIDENT = 2, 0.97
+EVALUATIONS, HISTORY = 12, 5     # of a round's objective: one Spark job each
+L2 = 1e-3
+UNIT = 1 << 24           # gradients are summed as whole numbers of 1 / UNIT
 MIN_Z, MIN_DOCS = 4.5, 6
 THRESHOLD = 0.5          # of the calibrated probability of being good
 METADATA = ("lang", "source", "n_chars")
@@ -121,21 +132,38 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def _chosen(rows: list[np.ndarray], y: np.ndarray, words_only_by_z: bool) -> np.ndarray:
-    """Slots linked to the label beyond chance (all that occur often enough, for metadata)."""
-    n = np.bincount(np.concatenate(rows), minlength=1 << BITS).astype(float)
+def _linked(n: np.ndarray, good: np.ndarray, share: float, words_only_by_z: bool) -> np.ndarray:
+    """Slots linked to the label beyond chance (all that occur often enough, for metadata).
+
+    ``n`` and ``good``: of each slot, the examples and the good ones; ``share`` of good ones in all.
+    """
     if not words_only_by_z:
-        return np.flatnonzero(n >= 1)
-    good = np.bincount(np.concatenate([r for r, v in zip(rows, y, strict=True) if v] or [np.zeros(0, np.int64)]),
-                       minlength=1 << BITS)
-    share = y.mean()
+        return np.flatnonzero(n > 0)
     z = (good - n * share) / np.sqrt(np.maximum(n * share * (1 - share), 1e-9))
     return np.flatnonzero((n >= MIN_DOCS) & (np.abs(z) >= MIN_Z))
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, by_z: bool, steps: int = 300, l2: float = 1e-3) -> Linear:
+def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The rows' entries one after another, and each entry's row."""
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+
+
+def slot_counts(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Rows of class 0 and 1 that hold each slot; last, all rows of the class."""
+    out = np.zeros((2, (1 << BITS) + 1), np.int64)
+    flat, owner = _flat(rows)
+    for c in (0, 1):
+        out[c, :-1] = np.bincount(flat[y[owner] == c], minlength=1 << BITS)
+        out[c, -1] = (y == c).sum()
+    return out
+
+
+def fit(rows: list[np.ndarray], y: np.ndarray, by_z: bool, steps: int = 300, l2: float = L2) -> Linear:
     """Full-batch gradient steps (Adam) on the chosen slots."""
-    chosen = _chosen(rows, y, by_z)
+    counts = slot_counts(rows, y)[:, :-1].astype(float)
+    chosen = _linked(counts.sum(0), counts[1], y.mean(), by_z)
     place = np.full(1 << BITS, -1)
     place[chosen] = np.arange(len(chosen))
     flat = place[np.concatenate(rows)]
@@ -188,8 +216,206 @@ class CoTrained:
         return _sigmoid(x @ self.mix)
 
 
-def co_train(text_rows, meta_rows, y, metadata) -> CoTrained:
-    """``y``: 1 good, 0 bad, -1 unlabelled; every fifth labelled row calibrates."""
+def believed(text_rows, meta_rows, models, scales) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each view, which rows the other view is sure of, and their classes."""
+    sure = []
+    for model, scale, rows in zip(models, scales, (text_rows, meta_rows), strict=True):
+        p = _sigmoid(np.clip(model.logits(rows), -12, 12) * scale[0] + scale[1])
+        sure.append(((p >= CONFIDENT) | (p <= 1 - CONFIDENT), (p > 0.5).astype(np.int64)))
+    clash = sure[0][0] & sure[1][0] & (sure[0][1] != sure[1][1])     # they disagree: neither is believed
+    return [(sure[1 - k][0] & ~clash, sure[1 - k][1]) for k in (0, 1)]
+
+
+def believed_counts(text_rows, meta_rows, models, scales) -> np.ndarray:
+    """slot_counts of either view's new examples."""
+    views = (text_rows, meta_rows)
+    return np.stack([slot_counts([views[k][i] for i in np.flatnonzero(pick)], guess[pick])
+                     for k, (pick, guess) in enumerate(believed(text_rows, meta_rows, models, scales))])
+
+
+def examples(text_rows, meta_rows, models, scales, places):
+    """(view, class, places of the chosen slots) of either view's new examples."""
+    views = (text_rows, meta_rows)
+    for k, (pick, guess) in enumerate(believed(text_rows, meta_rows, models, scales)):
+        for i in np.flatnonzero(pick):
+            at = places[k][views[k][i]]
+            yield k, int(guess[i]), at[at >= 0]
+
+
+def pulls(x: np.ndarray, biases: tuple[int, int], view: np.ndarray, y: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Sums of the examples' gradients, then both views' losses, in whole units."""
+    out = np.zeros(len(x) + 2, np.int64)
+    for k, bias in enumerate(biases):
+        own = np.flatnonzero(view == k)
+        flat, owner = _flat([rows[i] for i in own])
+        z = np.clip(x[bias] + np.bincount(owner, x[flat], len(own)), -35, 35)
+        error = np.rint((_sigmoid(z) - y[own]) * UNIT)
+        out[:len(x)] += np.bincount(flat, error[owner], len(x)).astype(np.int64)
+        out[bias] += int(error.sum())
+        out[len(x) + k] += int(np.rint((np.logaddexp(0, z) - y[own] * z) * UNIT).sum())
+    return out
+
+
+class LocalPool:
+    """Unlabelled rows in memory."""
+
+    def __init__(self, text_rows, meta_rows):
+        self.views = text_rows, meta_rows
+
+    def counts(self, models, scales) -> np.ndarray:
+        return believed_counts(*self.views, models, scales)
+
+    def settle(self, models, scales, places) -> None:
+        made = list(examples(*self.views, models, scales, places))
+        self.made = np.array([e[0] for e in made]), np.array([e[1] for e in made]), [e[2] for e in made]
+
+    def pulls(self, x, biases) -> np.ndarray:
+        return pulls(x, biases, *self.made)
+
+
+def _rows(column) -> list[np.ndarray]:
+    return [np.frombuffer(v, np.int32) for v in column.to_pylist()]
+
+
+class SparkPool:
+    """Unlabelled documents as a table of hashed features (t, m), each round's examples as another."""
+
+    def __init__(self, features: DataFrame):
+        self.features, self.made = features, None
+        self.sc = features.sparkSession.sparkContext
+
+    def counts(self, models, scales) -> np.ndarray:
+        shared = self.sc.broadcast((models, scales))
+
+        def run(batches):
+            total = np.zeros((2, 2, (1 << BITS) + 1), np.int64)
+            for batch in batches:
+                total += believed_counts(_rows(batch.column("t")), _rows(batch.column("m")), *shared.value)
+            found = np.nonzero(total)
+            names = ["view", "class", "slot", "n"]
+            yield from pa.table([pa.array(v, pa.int64()) for v in (*found, total[found])], names=names).to_batches(1 << 16)
+
+        got = self.features.mapInArrow(C.tidy(run), "view long, class long, slot long, n long").groupBy("view", "class", "slot").agg(
+            F.sum("n").alias("n")).toArrow()     # at most 4 * (2 ** BITS + 1) rows
+        out = np.zeros((2, 2, (1 << BITS) + 1), np.int64)
+        out[got["view"].to_numpy(), got["class"].to_numpy(), got["slot"].to_numpy()] = got["n"].to_numpy()
+        shared.unpersist()
+        return out
+
+    def settle(self, models, scales, places) -> None:
+        shared = self.sc.broadcast((models, scales, places))
+
+        def run(batches):
+            for batch in batches:
+                made = list(examples(_rows(batch.column("t")), _rows(batch.column("m")), *shared.value))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([e[0] for e in made], pa.int32()), pa.array([e[1] for e in made], pa.int32()),
+                     pa.array([e[2].astype(np.int32).tobytes() for e in made], pa.binary())], names=["view", "y", "at"])
+
+        self.made = C.written(self.features.mapInArrow(C.tidy(run), "view int, y int, at binary"), "cotrain-examples")
+
+    def pulls(self, x, biases) -> np.ndarray:
+        shared = self.sc.broadcast(x)
+
+        def run(batches):
+            total = np.zeros(len(shared.value) + 2, np.int64)
+            for batch in batches:
+                total += pulls(shared.value, biases, batch.column("view").to_numpy(), batch.column("y").to_numpy(),
+                               _rows(batch.column("at")))
+            found = np.flatnonzero(total)
+            yield from pa.table([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())],
+                                names=["place", "sum"]).to_batches(1 << 16)
+
+        got = self.made.mapInArrow(run, "place long, sum long").groupBy("place").agg(F.sum("sum").alias("sum")).toArrow()
+        out = np.zeros(len(x) + 2, np.int64)
+        out[got["place"].to_numpy()] = got["sum"].to_numpy()
+        shared.unpersist()
+        return out
+
+
+def minimise(value, x: np.ndarray, curvature: np.ndarray, evaluations: int = EVALUATIONS) -> np.ndarray:
+    """Limited-memory quasi-Newton steps from ``x``; ``value`` gives objective and gradient.
+
+    ``curvature``: a first guess of the objective's second derivative in each direction.
+    """
+    loss, grad = value(x)
+    pairs, left, rate = [], evaluations - 1, 1.0
+    while left > 0 and np.abs(grad).max() > 1e-6:
+        q, back = grad.copy(), []
+        for s, d in reversed(pairs):
+            a = (s @ q) / (s @ d)
+            q -= a * d
+            back.append(a)
+        scale = 1.0
+        if pairs:
+            s, d = pairs[-1]
+            scale = (s @ d) / (d @ (d / curvature))
+        q = scale * q / curvature
+        for (s, d), a in zip(pairs, reversed(back), strict=True):
+            q += s * (a - (d @ q) / (s @ d))
+        new = x - rate * q
+        new_loss, new_grad = value(new)
+        left -= 1
+        if not new_loss < loss:          # too far: the same way again, shorter
+            rate /= 4
+            continue
+        s, d = new - x, new_grad - grad
+        if s @ d > 1e-12:
+            pairs = [*pairs, (s, d)][-HISTORY:]
+        x, loss, grad, rate = new, new_loss, new_grad, 1.0
+    return x
+
+
+def refit(models: list[Linear], scales, views, y: np.ndarray, pool) -> tuple[list[Linear], int]:
+    """Both views fitted to the labelled rows and to what the other view is sure of; the number of such examples."""
+    seen = pool.counts(models, scales)
+    new = seen[:, :, -1].sum(1)
+    if not new.sum():
+        return models, 0
+    weight = [min(1.0, len(y) / max(int(n), 1)) for n in new]
+    chosen, places, at = [], [], 0
+    for k in (0, 1):
+        counts = slot_counts(views[k], y) + weight[k] * seen[k]
+        share = counts[1, -1] / counts[:, -1].sum()
+        chosen.append(_linked(counts[:, :-1].sum(0), counts[1, :-1], share, words_only_by_z=k == 0))
+        place = np.full(1 << BITS, -1)
+        place[chosen[k]] = at + np.arange(len(chosen[k]))
+        places.append(place)
+        at += len(chosen[k]) + 1
+    biases = (len(chosen[0]), at - 1)
+    pool.settle(models, scales, places)
+    x = np.concatenate([np.append(m.weights[c], m.bias) for m, c in zip(models, chosen, strict=True)])
+    labelled = [[p[p >= 0] for p in (places[k][r] for r in views[k])] for k in (0, 1)]
+    total = [len(y) + weight[k] * int(new[k]) for k in (0, 1)]
+    part = [slice(0, biases[0] + 1), slice(biases[0] + 1, at)]
+    penalty = np.full(at, L2)
+    penalty[list(biases)] = 0
+
+    def value(x):
+        pooled, out, grad = pool.pulls(x, biases) / UNIT, 0.0, penalty * x
+        for k in (0, 1):
+            own = pulls(x, biases, np.full(len(y), k), y, labelled[k]) / UNIT
+            grad[part[k]] += (own[part[k]] + weight[k] * pooled[part[k]]) / total[k]
+            out += (own[at + k] + weight[k] * pooled[at + k]) / total[k]
+        return out + (penalty * x * x).sum() / 2, grad
+
+    curvature = np.full(at, L2)
+    for k in (0, 1):
+        flat, owner = _flat(labelled[k])
+        p = _sigmoid(x[biases[k]] + np.bincount(owner, x[flat], len(y)))
+        curvature += np.bincount(flat, (p * (1 - p))[owner], at) / len(y)
+        curvature[biases[k]] += (p * (1 - p)).mean()
+    x = minimise(value, x, curvature)
+    out = []
+    for k in (0, 1):
+        weights = np.zeros(1 << BITS)
+        weights[chosen[k]] = x[part[k]][:-1]
+        out.append(Linear(weights, float(x[biases[k]])))
+    return out, int(new.sum())
+
+
+def co_train(text_rows, meta_rows, y, metadata, pool=None) -> CoTrained:
+    """``y``: 1 good, 0 bad, -1 unlabelled (or in ``pool``); every fifth labelled row calibrates."""
     labelled = np.flatnonzero(y >= 0)
     if len(labelled) < 10 or len(set(y[labelled])) < 2:
         return CoTrained(None, None, np.zeros(3), metadata, float(y[labelled].mean()) if len(labelled) else 1.0)
@@ -197,27 +423,20 @@ def co_train(text_rows, meta_rows, y, metadata) -> CoTrained:
     train = np.setdiff1d(labelled, held)
     if len(set(y[train])) < 2 or len(set(y[held])) < 2:
         held = train = labelled
-    free = np.flatnonzero(y < 0)
-    sets = {0: (train, y[train].astype(float)), 1: (train, y[train].astype(float))}
-    views, exchanged = (text_rows, meta_rows), []
-    for turn in range(ROUNDS + 1):
-        models = [fit([views[k][i] for i in sets[k][0]], sets[k][1], by_z=k == 0) for k in (0, 1)]
-        if turn == ROUNDS or not len(free):
+    if pool is None:
+        free = np.flatnonzero(y < 0)
+        pool = LocalPool([text_rows[i] for i in free], [meta_rows[i] for i in free])
+    views = [[rows[i] for i in train] for rows in (text_rows, meta_rows)]
+    kept = [[rows[i] for i in held] for rows in (text_rows, meta_rows)]
+    models = [fit(views[k], y[train].astype(float), by_z=k == 0) for k in (0, 1)]
+    exchanged = []
+    for _ in range(ROUNDS):      # a view is calibrated on the held part before it is trusted
+        scales = [_combine(models[k].logits(kept[k])[:, None], y[held].astype(float)) for k in (0, 1)]
+        models, n = refit(models, scales, views, y[train], pool)
+        if not n:
             break
-        sure = []
-        for k in (0, 1):   # calibrated on the held part before being trusted
-            scale = _combine(np.array([[models[k].logit(views[k][i])] for i in held]), y[held].astype(float))
-            p = _sigmoid(np.clip([models[k].logit(views[k][i]) for i in free], -12, 12) * scale[0] + scale[1])
-            # a view that is sure of one class for all would only shift the other's balance
-            pick = (p >= CONFIDENT) | (p <= 1 - CONFIDENT)
-            sure.append((pick, (p > 0.5).astype(float)))
-        both = (sure[0][0] & sure[1][0]) & (sure[0][1] != sure[1][1])   # they disagree: neither is believed
-        for k in (0, 1):
-            pick, guess = sure[1 - k]
-            pick = pick & ~both
-            sets[k] = np.concatenate([train, free[pick]]), np.concatenate([y[train], guess[pick]]).astype(float)
-        exchanged.append(int(sum((s[0] & ~both).sum() for s in sure)))
-    logits = np.array([[models[k].logit(views[k][i]) for k in (0, 1)] for i in held])
+        exchanged.append(n)
+    logits = np.column_stack([models[k].logits(kept[k]) for k in (0, 1)])
     return CoTrained(models[0], models[1], _combine(logits, y[held].astype(float)), metadata,
                      float(y[labelled].mean()), tuple(exchanged))
 
@@ -239,55 +458,65 @@ def _meta_struct(docs: DataFrame, metadata: tuple[str, ...]):
                                            for k, n in enumerate(metadata)))
 
 
-def sample_ids(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> DataFrame:
-    """__id and __good (-1: unlabelled) of the documents to be fitted on (see the module text)."""
+def marks(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """__id and __good (1 or 0) of all labelled ids."""
     good = F.when(labels["quality"].isNull() & labels["toxic"].isNull(), None).otherwise(
         (F.coalesce(labels["quality"], F.lit(1)) == 1) & (F.coalesce(labels["toxic"], F.lit(0)) == 0))
+    marked = labels.select(labels[id_col].alias("__id"), good.cast("int").alias("__good")).where("__id is not null and __good is not null")
+    return marked.groupBy("__id").agg((F.avg("__good") >= 0.5).cast("int").alias("__good"))
+
+
+def sample_ids(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               labelled: int = LABELLED) -> DataFrame:
+    """__id and __good of the labelled documents to be fitted on (see the module text)."""
     rows = docs.select(docs[id_col].alias("__id"), docs[text_col].alias("__text"))
-    marked = labels.select(labels[id_col].alias("__id"), good.cast("int").alias("__good")).where("__id is not null")
-    marked = marked.groupBy("__id").agg((F.avg("__good") >= 0.5).cast("int").alias("__good"))
     # one row an id, with the bytes of its longest text
     sizes = rows.where("__id is not null").groupBy("__id").agg(F.max(F.coalesce(F.octet_length("__text"), F.lit(0))).alias("__size"))
-    sized = sizes.join(marked, "__id", "left").select(
-        "__id", "__size", F.coalesce("__good", F.lit(-1)).alias("__good"), F.xxhash64("__id").alias("__h"))
+    sized = sizes.join(marks(docs, labels, id_col), "__id").withColumn("__h", F.xxhash64("__id"))
     long = (F.col("__size") > LONG_TEXT).cast("int")
-    sized = C.written(sized.where("__good >= 0").orderBy(long, "__h", "__id").limit(labelled).unionByName(
-        sized.where("__good < 0").orderBy(long, "__h", "__id").limit(unlabelled)), "cotrain-sample")
-    # at most labelled + unlabelled rows: a running sum over them keeps the text within SAMPLE_BYTES
+    classes = {r[0] for r in sized.select("__good").distinct().collect()}
+    sized = C.written(sized.orderBy(long, "__h", "__id").limit(labelled), "cotrain-sample")
+    # at most ``labelled`` rows: a running sum over them keeps the text within SAMPLE_BYTES
     own = F.row_number().over(Window.partitionBy("__good").orderBy(long, "__h", "__id"))
-    first = ((F.col("__good") >= 0) & (own <= LEAST)).cast("int")
-    ranked = sized.withColumn("__first", first)
+    ranked = sized.withColumn("__first", (own <= LEAST).cast("int"))
     order = Window.partitionBy(F.lit(0)).orderBy(F.desc("__first"), long, "__h", "__id")
     chosen = ranked.withColumn("__sum", F.sum("__size").over(order)).where((F.col("__sum") <= SAMPLE_BYTES) | (F.col("__first") == 1))
-    classes = {r[0] for r in sizes.join(marked, "__id").select("__good").where("__good is not null").distinct().collect()}
     if classes - {r[0] for r in chosen.select("__good").distinct().collect()}:
         raise ValueError("the sample lacks a class that the labels have: raise `labelled` or SAMPLE_BYTES")
     return chosen.select("__id", "__good")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          metadata: tuple[str, ...] = METADATA, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> CoTrained:
-    """Fit both views on bounded samples (the ids with the smallest hashes)."""
+          metadata: tuple[str, ...] = METADATA, labelled: int = LABELLED) -> CoTrained:
+    """Fit both views on a bounded labelled sample and on all unlabelled documents."""
     metadata = tuple(n for n in metadata if n in docs.columns)
     rows = docs.select(docs[id_col].alias("__id"), docs[text_col].alias("__text"),
                        _meta_struct(docs, metadata).alias("__meta"))
-    chosen = sample_ids(docs, labels, id_col, text_col, labelled, unlabelled)
+    kind = rows.schema["__id"].dataType
 
     def extract(batches):
         for batch, texts, metas in _features(batches, metadata):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("__id"), batch.column("__good"),
+                [batch.column("__id"),
                  *(pa.array([r.astype(np.int32).tobytes() for r in rows], pa.binary()) for rows in (texts, metas))],
-                names=["id", "good", "t", "m"])
-
-    sample = (rows.join(F.broadcast(chosen), "__id")
-              .groupBy("__id", "__good").agg(F.max(F.struct(C.as_binary("__text").alias("t"), F.col("__meta").alias("m"))).alias("r"))
-              .select("__id", "__good", F.col("r.t").alias("__text"), F.col("r.m").alias("__meta"))
-              .mapInArrow(C.tidy(extract), C.fields("id", rows.schema["__id"].dataType, "good int, t binary, m binary")))
-    got = sample.orderBy(F.xxhash64("id"), "id").collect()
-    return co_train([np.frombuffer(r.t, np.int32) for r in got], [np.frombuffer(r.m, np.int32) for r in got],
-                    np.array([r.good for r in got], np.int64), metadata)
+                names=["id", "t", "m"])
+
+    def features(of: DataFrame) -> DataFrame:
+        return of.mapInArrow(C.tidy(extract), C.fields("id", kind, "t binary, m binary"))
+
+    chosen = sample_ids(docs, labels, id_col, text_col, labelled)
+    sample = features(rows.join(F.broadcast(chosen), "__id")
+                      .groupBy("__id").agg(F.max(F.struct(C.as_binary("__text").alias("t"), F.col("__meta").alias("m"))).alias("r"))
+                      .select("__id", F.col("r.t").alias("__text"), F.col("r.m").alias("__meta")))
+    got = sample.join(F.broadcast(chosen), F.col("id") == F.col("__id")).orderBy(F.xxhash64("id"), "id").collect()
+    texts, metas = ([np.frombuffer(r[c], np.int32) for r in got] for c in ("t", "m"))
+    y = np.array([r["__good"] for r in got], np.int64)
+    if len(set(y.tolist())) < 2:
+        return co_train(texts, metas, y, metadata)
+    # the join is with features, not texts; rows without an id stay
+    marked = marks(docs, labels, id_col).select(F.col("__id").alias("id"))
+    free = features(rows.select("__id", C.as_binary("__text").alias("__text"), "__meta")).join(marked, "id", "left_anti")
+    return co_train(texts, metas, y, metadata, SparkPool(C.written(free.select("t", "m"), "cotrain-features")))
 
 
 def score(docs: DataFrame, model: CoTrained, carry, text_col: str = "text") -> DataFrame:
