@@ -3,14 +3,15 @@
 Two logistic classifiers see a document by different views: its text (hashed
 words and binned text statistics) and its metadata (any columns besides the
 text, binned).  Both are first fitted on a bounded labelled sample.  In each
-round either view labels those of all unlabelled documents that it is sure of
+round either view labels those of all other documents that it is sure of
 (a calibrated probability beyond ``CONFIDENT``), those examples join the other
 view's training set, and both are fitted again.  Last, the two views' log odds
 are combined by a small logistic model on a part of the labelled sample that
 no view was trained on, which calibrates them; a view that tells nothing gets
 no weight.  All documents are scored in one pass without a shuffle.
 
-The unlabelled documents stay in Spark: their hashed features are written
+The documents outside the sample stay in Spark, those whose label the sample
+does not take too: their hashed features are written
 once, tasks count the slots of what the views are sure of, and the views are
 fitted by quasi-Newton steps whose gradients tasks sum over all examples, in
 whole numbers, so that no result depends on how the input is split.  Together
@@ -120,12 +121,48 @@ class Linear:
     def logit(self, slots: np.ndarray) -> float:
         return float(self.bias + self.weights[slots].sum())
 
-    def logits(self, rows: list[np.ndarray]) -> np.ndarray:
+    def logits(self, rows: Rows | list[np.ndarray]) -> np.ndarray:
         """Of many rows by one lookup."""
-        if not rows:
-            return np.zeros(0)
-        owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        return self.bias + np.bincount(owner, self.weights[np.concatenate(rows)], len(rows))
+        rows = rows if isinstance(rows, Rows) else Rows.of(rows)
+        return self.bias + np.bincount(rows.owner, self.weights[rows.flat], len(rows))
+
+
+class Rows:
+    """Rows of slots one after another, as Arrow holds them."""
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat, self.sizes = flat, sizes
+
+    @classmethod
+    def of(cls, rows: list[np.ndarray]) -> Rows:
+        return cls(np.concatenate(rows) if rows else np.zeros(0, np.int32), np.array([len(r) for r in rows], np.int64))
+
+    @classmethod
+    def stored(cls, column: pa.BinaryArray) -> Rows:
+        """From a column of 32-bit numbers' bytes, without nulls."""
+        _, ends, data = column.buffers()
+        ends = np.frombuffer(ends, np.int32)[column.offset:column.offset + len(column) + 1]
+        flat = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data and len(column) else np.zeros(0, np.uint8)
+        return cls(flat.view(np.int32), np.diff(ends).astype(np.int64) // 4)
+
+    def __len__(self):
+        return len(self.sizes)
+
+    @property
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    def take(self, mask: np.ndarray) -> Rows:
+        return Rows(self.flat[np.repeat(mask, self.sizes)], self.sizes[mask])
+
+    def mapped(self, places: np.ndarray) -> Rows:
+        """Each entry's place, without those that have none (-1)."""
+        at = places[self.flat]
+        return Rows(at[at >= 0], np.bincount(self.owner[at >= 0], minlength=len(self)))
+
+    def bytes(self) -> list[bytes]:
+        data, ends = self.flat.astype(np.int32).tobytes(), np.append(0, np.cumsum(self.sizes)) * 4
+        return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 def _sigmoid(x):
@@ -143,26 +180,19 @@ def _linked(n: np.ndarray, good: np.ndarray, share: float, words_only_by_z: bool
     return np.flatnonzero((n >= MIN_DOCS) & (np.abs(z) >= MIN_Z))
 
 
-def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The rows' entries one after another, and each entry's row."""
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-
-
-def slot_counts(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+def slot_counts(rows: Rows, y: np.ndarray) -> np.ndarray:
     """Rows of class 0 and 1 that hold each slot; last, all rows of the class."""
     out = np.zeros((2, (1 << BITS) + 1), np.int64)
-    flat, owner = _flat(rows)
+    own = np.repeat(y, rows.sizes)
     for c in (0, 1):
-        out[c, :-1] = np.bincount(flat[y[owner] == c], minlength=1 << BITS)
+        out[c, :-1] = np.bincount(rows.flat[own == c], minlength=1 << BITS)
         out[c, -1] = (y == c).sum()
     return out
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, by_z: bool, steps: int = 300, l2: float = L2) -> Linear:
     """Full-batch gradient steps (Adam) on the chosen slots."""
-    counts = slot_counts(rows, y)[:, :-1].astype(float)
+    counts = slot_counts(Rows.of(rows), y)[:, :-1].astype(float)
     chosen = _linked(counts.sum(0), counts[1], y.mean(), by_z)
     place = np.full(1 << BITS, -1)
     place[chosen] = np.arange(len(chosen))
@@ -226,55 +256,50 @@ def believed(text_rows, meta_rows, models, scales) -> list[tuple[np.ndarray, np.
     return [(sure[1 - k][0] & ~clash, sure[1 - k][1]) for k in (0, 1)]
 
 
-def believed_counts(text_rows, meta_rows, models, scales) -> np.ndarray:
+def believed_counts(text_rows: Rows, meta_rows: Rows, models, scales) -> np.ndarray:
     """slot_counts of either view's new examples."""
     views = (text_rows, meta_rows)
-    return np.stack([slot_counts([views[k][i] for i in np.flatnonzero(pick)], guess[pick])
+    return np.stack([slot_counts(views[k].take(pick), guess[pick])
                      for k, (pick, guess) in enumerate(believed(text_rows, meta_rows, models, scales))])
 
 
-def examples(text_rows, meta_rows, models, scales, places):
-    """(view, class, places of the chosen slots) of either view's new examples."""
+def examples(text_rows: Rows, meta_rows: Rows, models, scales, places) -> list[tuple[Rows, np.ndarray]]:
+    """For each view, its new examples by the places of the chosen slots, and their classes."""
     views = (text_rows, meta_rows)
-    for k, (pick, guess) in enumerate(believed(text_rows, meta_rows, models, scales)):
-        for i in np.flatnonzero(pick):
-            at = places[k][views[k][i]]
-            yield k, int(guess[i]), at[at >= 0]
-
-
-def pulls(x: np.ndarray, biases: tuple[int, int], view: np.ndarray, y: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    """Sums of the examples' gradients, then both views' losses, in whole units."""
-    out = np.zeros(len(x) + 2, np.int64)
-    for k, bias in enumerate(biases):
-        own = np.flatnonzero(view == k)
-        flat, owner = _flat([rows[i] for i in own])
-        z = np.clip(x[bias] + np.bincount(owner, x[flat], len(own)), -35, 35)
-        error = np.rint((_sigmoid(z) - y[own]) * UNIT)
-        out[:len(x)] += np.bincount(flat, error[owner], len(x)).astype(np.int64)
-        out[bias] += int(error.sum())
-        out[len(x) + k] += int(np.rint((np.logaddexp(0, z) - y[own] * z) * UNIT).sum())
-    return out
+    return [(views[k].take(pick).mapped(places[k]), guess[pick])
+            for k, (pick, guess) in enumerate(believed(text_rows, meta_rows, models, scales))]
+
+
+def pulls(x: np.ndarray, bias: int, rows: Rows, y: np.ndarray) -> tuple[np.ndarray, int]:
+    """Sums of one view's gradients and losses over examples, in whole units."""
+    owner = rows.owner
+    z = np.clip(x[bias] + np.bincount(owner, x[rows.flat], len(rows)), -35, 35)
+    error = np.rint((_sigmoid(z) - y) * UNIT)
+    grad = np.bincount(rows.flat, error[owner], len(x)).astype(np.int64)
+    grad[bias] += int(error.sum())
+    return grad, int(np.rint((np.logaddexp(0, z) - y * z) * UNIT).sum())
+
+
+def both_pulls(x, biases, made) -> np.ndarray:
+    """Gradients of both views' examples, then the two losses."""
+    grads, losses = zip(*(pulls(x, b, rows, y) for b, (rows, y) in zip(biases, made, strict=True)), strict=True)
+    return np.append(grads[0] + grads[1], losses)
 
 
 class LocalPool:
     """Unlabelled rows in memory."""
 
     def __init__(self, text_rows, meta_rows):
-        self.views = text_rows, meta_rows
+        self.views = Rows.of(text_rows), Rows.of(meta_rows)
 
     def counts(self, models, scales) -> np.ndarray:
         return believed_counts(*self.views, models, scales)
 
     def settle(self, models, scales, places) -> None:
-        made = list(examples(*self.views, models, scales, places))
-        self.made = np.array([e[0] for e in made]), np.array([e[1] for e in made]), [e[2] for e in made]
+        self.made = examples(*self.views, models, scales, places)
 
     def pulls(self, x, biases) -> np.ndarray:
-        return pulls(x, biases, *self.made)
-
-
-def _rows(column) -> list[np.ndarray]:
-    return [np.frombuffer(v, np.int32) for v in column.to_pylist()]
+        return both_pulls(x, biases, self.made)
 
 
 class SparkPool:
@@ -290,7 +315,7 @@ class SparkPool:
         def run(batches):
             total = np.zeros((2, 2, (1 << BITS) + 1), np.int64)
             for batch in batches:
-                total += believed_counts(_rows(batch.column("t")), _rows(batch.column("m")), *shared.value)
+                total += believed_counts(Rows.stored(batch.column("t")), Rows.stored(batch.column("m")), *shared.value)
             found = np.nonzero(total)
             names = ["view", "class", "slot", "n"]
             yield from pa.table([pa.array(v, pa.int64()) for v in (*found, total[found])], names=names).to_batches(1 << 16)
@@ -307,10 +332,11 @@ class SparkPool:
 
         def run(batches):
             for batch in batches:
-                made = list(examples(_rows(batch.column("t")), _rows(batch.column("m")), *shared.value))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([e[0] for e in made], pa.int32()), pa.array([e[1] for e in made], pa.int32()),
-                     pa.array([e[2].astype(np.int32).tobytes() for e in made], pa.binary())], names=["view", "y", "at"])
+                made = examples(Rows.stored(batch.column("t")), Rows.stored(batch.column("m")), *shared.value)
+                for k, (rows, y) in enumerate(made):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(y), k, np.int32)), pa.array(y.astype(np.int32)), pa.array(rows.bytes(), pa.binary())],
+                        names=["view", "y", "at"])
 
         self.made = C.written(self.features.mapInArrow(C.tidy(run), "view int, y int, at binary"), "cotrain-examples")
 
@@ -320,8 +346,8 @@ class SparkPool:
         def run(batches):
             total = np.zeros(len(shared.value) + 2, np.int64)
             for batch in batches:
-                total += pulls(shared.value, biases, batch.column("view").to_numpy(), batch.column("y").to_numpy(),
-                               _rows(batch.column("at")))
+                view, y, rows = batch.column("view").to_numpy(), batch.column("y").to_numpy(), Rows.stored(batch.column("at"))
+                total += both_pulls(shared.value, biases, [(rows.take(view == k), y[view == k]) for k in (0, 1)])
             found = np.flatnonzero(total)
             yield from pa.table([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())],
                                 names=["place", "sum"]).to_batches(1 << 16)
@@ -373,9 +399,10 @@ def refit(models: list[Linear], scales, views, y: np.ndarray, pool) -> tuple[lis
     if not new.sum():
         return models, 0
     weight = [min(1.0, len(y) / max(int(n), 1)) for n in new]
+    labelled = [Rows.of(v) for v in views]
     chosen, places, at = [], [], 0
     for k in (0, 1):
-        counts = slot_counts(views[k], y) + weight[k] * seen[k]
+        counts = slot_counts(labelled[k], y) + weight[k] * seen[k]
         share = counts[1, -1] / counts[:, -1].sum()
         chosen.append(_linked(counts[:, :-1].sum(0), counts[1, :-1], share, words_only_by_z=k == 0))
         place = np.full(1 << BITS, -1)
@@ -385,7 +412,7 @@ def refit(models: list[Linear], scales, views, y: np.ndarray, pool) -> tuple[lis
     biases = (len(chosen[0]), at - 1)
     pool.settle(models, scales, places)
     x = np.concatenate([np.append(m.weights[c], m.bias) for m, c in zip(models, chosen, strict=True)])
-    labelled = [[p[p >= 0] for p in (places[k][r] for r in views[k])] for k in (0, 1)]
+    labelled = [labelled[k].mapped(places[k]) for k in (0, 1)]
     total = [len(y) + weight[k] * int(new[k]) for k in (0, 1)]
     part = [slice(0, biases[0] + 1), slice(biases[0] + 1, at)]
     penalty = np.full(at, L2)
@@ -393,15 +420,15 @@ def refit(models: list[Linear], scales, views, y: np.ndarray, pool) -> tuple[lis
 
     def value(x):
         pooled, out, grad = pool.pulls(x, biases) / UNIT, 0.0, penalty * x
+        own = both_pulls(x, biases, [(rows, y) for rows in labelled]) / UNIT
         for k in (0, 1):
-            own = pulls(x, biases, np.full(len(y), k), y, labelled[k]) / UNIT
             grad[part[k]] += (own[part[k]] + weight[k] * pooled[part[k]]) / total[k]
             out += (own[at + k] + weight[k] * pooled[at + k]) / total[k]
         return out + (penalty * x * x).sum() / 2, grad
 
     curvature = np.full(at, L2)
     for k in (0, 1):
-        flat, owner = _flat(labelled[k])
+        flat, owner = labelled[k].flat, labelled[k].owner
         p = _sigmoid(x[biases[k]] + np.bincount(owner, x[flat], len(y)))
         curvature += np.bincount(flat, (p * (1 - p))[owner], at) / len(y)
         curvature[biases[k]] += (p * (1 - p)).mean()
@@ -508,14 +535,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = features(rows.join(F.broadcast(chosen), "__id")
                       .groupBy("__id").agg(F.max(F.struct(C.as_binary("__text").alias("t"), F.col("__meta").alias("m"))).alias("r"))
                       .select("__id", F.col("r.t").alias("__text"), F.col("r.m").alias("__meta")))
-    got = sample.join(F.broadcast(chosen), F.col("id") == F.col("__id")).orderBy(F.xxhash64("id"), "id").collect()
+    got = sample.join(F.broadcast(chosen), F.col("id") == F.col("__id")).withColumn("h", F.xxhash64("id")).collect()
+    got.sort(key=lambda r: (r["h"], r["id"]))
     texts, metas = ([np.frombuffer(r[c], np.int32) for r in got] for c in ("t", "m"))
     y = np.array([r["__good"] for r in got], np.int64)
     if len(set(y.tolist())) < 2:
         return co_train(texts, metas, y, metadata)
-    # the join is with features, not texts; rows without an id stay
-    marked = marks(docs, labels, id_col).select(F.col("__id").alias("id"))
-    free = features(rows.select("__id", C.as_binary("__text").alias("__text"), "__meta")).join(marked, "id", "left_anti")
+    # all documents but those of the sample, which is small enough to be broadcast: no text is shuffled
+    free = features(rows.join(F.broadcast(chosen.select("__id")), "__id", "left_anti")
+                    .select("__id", C.as_binary("__text").alias("__text"), "__meta"))
     return co_train(texts, metas, y, metadata, SparkPool(C.written(free.select("t", "m"), "cotrain-features")))
 
 
