@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -301,6 +302,24 @@ def test_ids_by_words_are_those_of_whole_texts(monkeypatch):
         assert encoder.encode([t.encode() for t in texts]) == want
 
 
+def test_words_are_looked_up_once_for_many_texts(monkeypatch):
+    """Repeats in a slice of texts cost no lookups; long texts are gathered in parts."""
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            Counted.asked += 1
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(packing, "GATHERED", 7)
+    encoder = packing.WordIds(queries.vocabulary(queries.WORDS))
+    encoder.parts = Counted(packing.LINE_BREAK)
+    texts = [b"The cat's 12 cats\n" * n for n in (0, 1, 300, 2)] + [b"", b" \x0b ", b" \xffcat\xe9 The"]
+    want = [np.array(encoder.tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == want and 0 < Counted.asked <= 20
+    assert encoder.encode(pa.array(texts, pa.binary()).slice(2)) == want[2:]
+
+
 def test_packer_cuts_little_and_fills_tiers():
     rng = np.random.default_rng(3)
     p, pieces = packing.Packer(), []

@@ -15,6 +15,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 # evicted one by one) when it is full, which changes no result.
 WORD_MEMORY = 100_000
 ROWS_AT_ONCE = 256       # texts of an Arrow batch that are taken apart together
+SLICE_BYTES = 4 << 20    # of texts whose words are told apart together
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -119,11 +121,38 @@ def blocks(text: bytes):
     yield text[at:] if at else text
 
 
-def slices(batches):
+def slices(batches, rows=ROWS_AT_ONCE):
     """The batches in parts of ROWS_AT_ONCE rows, which bounds the words held at a time."""
     for batch in batches:
-        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(at, ROWS_AT_ONCE)
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def text_slices(batches, column, rows=ROWS_AT_ONCE):
+    """Slices of at most ``rows`` rows and SLICE_BYTES of binary text (or one longer text)."""
+    for batch in slices(batches, rows):
+        end = np.cumsum(pc.binary_length(batch.column(column)).to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            before = end[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(end, before + SLICE_BYTES, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Of binary texts without nulls: each word's place among the distinct ones, these, and the number of words per text."""
+    split = pc.ascii_split_whitespace(texts.view(pa.string()))
+    found = split.flatten().view(pa.binary()).dictionary_encode()
+    codes, ends = found.indices.to_numpy(), np.r_[0, np.cumsum(pc.list_value_length(split).to_numpy())]
+    empty = found.dictionary.index(pa.scalar(b"", pa.binary())).as_py()
+    if empty < 0:
+        sizes = np.diff(ends)
+    else:                        # an empty string stands before the first space and after the last
+        words = codes != empty
+        sizes = np.diff(np.r_[0, np.cumsum(words)][ends])
+        codes = codes[words]
+    return codes, found.dictionary.to_numpy(zero_copy_only=False).tolist(), sizes
 
 
 class WordNumbers(dict):

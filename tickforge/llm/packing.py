@@ -56,16 +56,19 @@ KNOWN_WORDS, KNOWN_PARTS = 200_000, 600_000    # remembered by a worker; parts c
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Words of printable ASCII and Latin-1 letters: lower-casing and composing them is plain.
 ALL_PLAIN = re.compile(r"[\n!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*\Z")
-PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|\n|[^\na-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+WORD_END = 0xFFFFFFFF    # no id; stands for the line break after each of many words
+LINE_BREAK = {"\n": WORD_END.to_bytes(4, "little")}
 PARTS_AT_ONCE = 400
+GATHERED = 1 << 18       # words of a text whose ids are gathered together
 
 
 class WordIds:
     """Ids of whole texts, word by word: white space always ends a token here.
 
     The tokenizer's pattern never crosses white space and drops it, so a
-    text's ids are its words' ids in order; a worker remembers words' ids as
-    little-endian bytes.  A plain word is put together from its parts (runs
+    text's ids are its words' ids in order.  The distinct words of some texts
+    are looked up once.  A plain word is put together from its parts (runs
     of letters, single digits, runs of other characters), which repeat more
     often than words; parts are encoded many at a time and told apart by the
     vocabulary's word ends.  All other words are encoded one by one.
@@ -76,7 +79,7 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = dict(LINE_BREAK)
         spec = json.loads(self.tokenizer.to_str())
         end = spec["model"].get("end_of_word_suffix")
         self.plain = bool(end) and WORD_PATTERN in json.dumps(spec["pre_tokenizer"]).encode().decode("unicode_escape").replace("\\\\", "\\")
@@ -93,7 +96,7 @@ class WordIds:
     def _learn_parts(self, new: list[str]) -> None:
         for at in range(0, len(new), PARTS_AT_ONCE):
             some = new[at:at + PARTS_AT_ONCE]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(ends) == len(some):
                 raw = ids.tobytes()
@@ -102,38 +105,52 @@ class WordIds:
             else:
                 self.parts.update(zip(some, self._one_by_one(some), strict=True))
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+    def encode(self, texts: list[bytes] | pa.Array) -> list[bytes]:
+        codes, words, sizes = C.split_words(pa.array(texts, pa.binary()) if isinstance(texts, list) else texts)
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
         if len(self.parts) > KNOWN_PARTS:
-            self.parts.clear()
-        known = self.known
-        new = list(set().union(*split).difference(known))
-        now, rare = known, [w for w in new if len(w) > LONG_WORD]
-        if rare:
-            now = dict(known)
-        together = b"\n".join(new).decode("utf-8", "replace")
-        if self.plain and not rare and ALL_PLAIN.match(together) and "<|" not in together:
-            plain, other, lowered = new, [], together.lower().split("\n") if new else []
+            self.parts = dict(LINE_BREAK)
+        plain, other, lowered = np.arange(len(words)), [], b"\n".join(words).decode("utf-8", "replace")
+        if self.plain and ALL_PLAIN.match(lowered) and "<|" not in lowered and max(map(len, words), default=0) <= LONG_WORD:
+            lowered = lowered.lower()
         else:
-            plain, other, lowered = [], [], []
-            for w in new:
+            plain, some = [], []
+            for i, w in enumerate(words):
                 text = w.decode("utf-8", "replace")
                 if self.plain and len(w) <= LONG_WORD and ALL_PLAIN.match(text) and "<|" not in text:
-                    plain.append(w)
-                    lowered.append(text.lower())
+                    plain.append(i)
+                    some.append(text.lower())
                 else:
-                    other.append(w)
-        found = list(map(PARTS.findall, lowered))
-        self._learn_parts(list(set().union(*found).difference(self.parts)))
-        part, join = self.parts.__getitem__, b"".join
-        now.update(zip(plain, [part(p[0]) if len(p) == 1 else join(map(part, p)) for p in found], strict=True))
-        now.update(zip(other, self._one_by_one([w.decode("utf-8", "replace") for w in other]), strict=True))
-        if rare:
-            known.update((w, now[w]) for w in new if len(w) <= LONG_WORD)
-        get = now.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+                    other.append(i)
+            lowered = "\n".join(some)
+        # the ids of the distinct words one after another: first of the plain ones, each with its end
+        found = PARTS.findall(lowered + "\n") if len(plain) else []
+        self._learn_parts(list(set(found).difference(self.parts)))
+        pool = np.frombuffer(b"".join(map(self.parts.__getitem__, found)), "<u4")
+        ends = np.flatnonzero(pool == WORD_END)
+        starts, lengths = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        starts[plain] = np.r_[0, ends + 1][:-1]
+        lengths[plain] = ends - starts[plain]
+        if other:
+            new = [words[i] for i in other if words[i] not in self.known]
+            now = dict(zip(new, self._one_by_one([w.decode("utf-8", "replace") for w in new]), strict=True))
+            found = [now[words[i]] if words[i] in now else self.known[words[i]] for i in other]
+            self.known.update((w, ids) for w, ids in now.items() if len(w) <= LONG_WORD)
+            lengths[other] = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            starts[other] = len(pool) + np.cumsum(lengths[other]) - lengths[other]
+            pool = np.concatenate([pool, np.frombuffer(b"".join(found), "<u4")])
+        out, at = [], np.r_[0, np.cumsum(sizes)]
+        for a, b in zip(at[:-1], at[1:]):
+            out.append(b"".join(self._gathered(pool, starts, lengths, codes[k:min(k + GATHERED, b)]) for k in range(a, b, GATHERED)))
+        return out
+
+    @staticmethod
+    def _gathered(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> bytes:
+        n = np.take(lengths, codes)
+        places = np.repeat(np.take(starts, codes) - (np.cumsum(n) - n), n)
+        places += np.arange(len(places))
+        return np.take(pool, places).tobytes()
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -289,16 +306,14 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
         ready: list[list] = []
         ready_tokens = 0
-        for batch in batches:
-            key_type = batch.schema.field(0).type
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                keys = part.column(0).to_pylist()
-                for key, ids in zip(keys, encoder.encode(part.column(1).to_pylist()), strict=True):
-                    full = packer.add(key, ids + end)
-                    ready += full
-                    ready_tokens += len(full) * packer.window
-                if packer.waiting + ready_tokens >= BUFFER_TOKENS:
+        for part in C.text_slices(batches, 1, 4 * C.ROWS_AT_ONCE):
+            key_type = part.schema.field(0).type
+            keys = part.column(0).to_pylist()
+            for k, (key, ids) in enumerate(zip(keys, encoder.encode(part.column(1)), strict=True), 1):
+                full = packer.add(key, ids + end)
+                ready += full
+                ready_tokens += len(full) * packer.window
+                if (k % C.ROWS_AT_ONCE == 0 or k == len(keys)) and packer.waiting + ready_tokens >= BUFFER_TOKENS:
                     yield rows(ready + packer.drain(False))
                     ready, ready_tokens = [], 0
         out = rows(ready + packer.drain(True))
