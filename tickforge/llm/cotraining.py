@@ -500,7 +500,7 @@ def sample_ids(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     # one row an id, with the bytes of its longest text
     sizes = rows.where("__id is not null").groupBy("__id").agg(F.max(F.coalesce(F.octet_length("__text"), F.lit(0))).alias("__size"))
     sized = sizes.join(marks(docs, labels, id_col), "__id").withColumn("__h", F.xxhash64("__id"))
-    long = (F.col("__size") > LONG_TEXT).cast("int")
+    long = F.when(F.col("__size") > LONG_TEXT, F.col("__size")).otherwise(0)     # the longest last: it crowds out no other
     classes = {r[0] for r in sized.select("__good").distinct().collect()}
     sized = C.written(sized.orderBy(long, "__h", "__id").limit(labelled), "cotrain-sample")
     # at most ``labelled`` rows: a running sum over them keeps the text within SAMPLE_BYTES
