@@ -1,6 +1,7 @@
 """Quality rules, co-training, token counts, packing and the language model."""
 
 import math
+import pickle
 import random
 import re
 import zlib
@@ -396,6 +397,91 @@ def test_choices_of_a_class_add_up_to_one():
         assert maxent_lm.choice_log_probability(weights, trees, hashes, np.array([1])) == 0
 
 
+def test_rows_are_summed_as_one_by_one():
+    rng = np.random.default_rng(5)
+    data = rng.normal(size=(500, 7)).astype(np.float32)
+    times = np.r_[1, 2, 3, 7, 8, 900, rng.integers(1, 40, 60)]
+    at = rng.integers(0, 500, times.sum())
+    want = np.zeros((len(times), 7))
+    np.add.at(want, np.repeat(np.arange(len(times)), times), data[at])
+    assert np.allclose(maxent_lm.sums_of_rows(data, at, times), want, atol=1e-3)
+
+
+def test_steps_in_parts_are_those_of_the_whole_batch(monkeypatch):
+    rng = np.random.default_rng(6)
+    n = 5000
+    counts = np.sort(rng.zipf(1.3, 300))[::-1].astype(float)
+    trees = maxent_lm.Trees(np.r_[0, 1, rng.integers(2, 6, 298)], counts, 2, np.r_[1, 1, rng.random(4) + 1])
+    hashes, leaves = rng.integers(0, 1 << 32, (3, n), np.uint32), rng.integers(0, 300, n)
+    rows, cls = rng.integers(0, 3000, (3, n)).astype(np.int32), rng.integers(0, 6, n)
+    found = []
+    for part in (256, 1 << 13):
+        for name in ("CHOICE_PART", "DENSE_PART", "CLASS_PART"):
+            monkeypatch.setattr(maxent_lm, name, part)
+        chooser = maxent_lm.ChoiceTrainer(np.zeros(4096, np.float32), trees)
+        trainer = maxent_lm.Trainer(np.zeros((maxent_lm.BUCKETS, 6), np.float32), np.zeros(6, np.float32))
+        for _ in range(3):
+            chooser.step(hashes, leaves)
+            trainer.step(rows, cls)
+        found.append((chooser.weights, chooser.scale, trainer.weights, trainer.used,
+                      maxent_lm.choice_log_probability(chooser.weights, trees, hashes, leaves),
+                      maxent_lm.class_log_probability(trainer.weights, trainer.bias, rows, cls)))
+    for a, b in zip(*found, strict=True):
+        assert a.any() and np.allclose(a, b, atol=1e-3, rtol=1e-4)
+
+
+def test_steps_use_numpys_own_dtype_objects():
+    """np.add.at takes some fifty times as long with the dtype object of an array that was sent."""
+    sent = pickle.loads(pickle.dumps((np.zeros(4096, np.float32), maxent_lm.Trees(np.r_[0, 1, 1], np.r_[3., 2, 1], 1, np.ones(2)))))
+    chooser = maxent_lm.ChoiceTrainer(*sent)
+    native = np.dtype(np.float32)
+    assert chooser.weights.dtype is native and chooser.total.dtype is native and chooser.scale.dtype is native
+    places = chooser.trees.choices(np.array([1, 2]))[1]
+    z, _ = maxent_lm.chosen(chooser.weights, chooser.trees, [np.zeros(len(places), np.intp)] * 3, places)
+    assert z.dtype is native
+    chooser.step(np.zeros((3, 2), np.uint32), np.array([1, 2]))
+    assert chooser.weights.any() and sent[0].any() == 0
+
+
+def test_probabilities_of_very_large_scores():
+    weights = np.zeros((maxent_lm.BUCKETS, 3), np.float32)
+    weights[0], weights[1] = (1000, 999, -1000), (-500, -501, -502)
+    for row, want in ((0, [1, math.exp(-1), 0]), (1, [1, math.exp(-1), math.exp(-2)])):
+        p = [np.exp(maxent_lm.class_log_probability(weights, np.zeros(3, np.float32), np.array([[row], [2], [3]]), np.array([c])))[0]
+             for c in range(3)]
+        assert p == pytest.approx(np.array(want) / sum(want))
+
+
+def test_tokens_are_those_of_single_texts(monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("aAbZé漢 \t\n\x0b\x0c\r\x1c\x85\xa0\x00.") for _ in range(rng.randrange(40))).encode() for _ in range(700)]
+    texts += [b"", b" ", b"\n\n", b"\xff\xc3 A\xe9", b"word " * 500]
+    want = [[*t.lower().split(), b""] for t in texts]
+    vocabulary = maxent_lm.Vocabulary([b"", b"a"], np.array([9, 5]), []).prepare()
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+    for size in (64, 4 << 20):
+        monkeypatch.setattr(C, "SLICE_BYTES", size)
+        got = []
+        for part, sizes, tokens, distinct, (ids, _, away) in maxent_lm._texts([batch.slice(3)], "text", vocabulary):
+            assert part.num_rows == len(sizes) and len(set(distinct)) == len(distinct)
+            assert [i < 2 for i in ids] == (~away).tolist() == [w in (b"", b"a") for w in distinct]
+            words = iter([distinct[k] for k in tokens])
+            got += [[next(words) for _ in range(n)] for n in sizes]
+            assert next(words, None) is None
+        assert got == want[3:]
+
+
+def test_words_are_counted_by_hash_and_keep_their_ending(spark, capsys):
+    texts = spark.createDataFrame([("a Ab éab a",), ("x" * 60 + "yz b",), ("x" * 60 + "yz",)], "text string")
+    counts = maxent_lm.word_counts(texts.select(F.col("text").cast("binary")))
+    counts.explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+    got = {bytes(r.word): (bytes(r.ending), r.c) for r in counts.collect()}
+    long = maxent_lm.key_of(b"x" * 60 + b"yz")
+    assert len(long) <= maxent_lm.HEAD_BYTES and got == {
+        b"a": (b"a", 2), b"ab": (b"ab", 1), "éab".encode(): (b"ab", 1), b"b": (b"b", 1), b"": (b"", 3), long: (b"yz", 2)}
+
+
 def test_history_tells_words_of_one_class_apart(spark):
     """Each word of a cycle follows from the one before it; all but the commonest share an ending, so a class."""
     rng = np.random.default_rng(3)

@@ -37,11 +37,11 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -56,23 +56,32 @@ ENDINGS = 1 << 10                        # hash values of a rare word's ending,
 COUNTED_WORDS = 400_000                  # distinct words that a task holds before it hands on their counts
 PACK = 1 << 8                            # more than there are classes
 ROUNDS, RATE, BATCH = 1, 1.0, 16384
+LARGE = 80                               # log scores beyond it have no 32-bit exponential
 BLOCK = 128                              # buckets sent together
 SLOTS, SLOT_BLOCK = 1 << 21, 1 << 13     # weights of the choices at most; slots sent together
 CHOICE_RATE, CHOICE_BATCH = 0.2, 1 << 16  # step size; tokens of a step with SLOTS weights, fewer with fewer
+CHOICE_PART, DENSE_PART, CLASS_PART = 1 << 12, 1 << 15, 1 << 11   # tokens, weights and tokens handled at a time, in the processor's cache
 SALTS = 16
 TASK_TOKENS = 2_000_000                  # of a training task, where the input is dealt finer: each sends its weights
 END = b""                                # the end token; no word is empty
 
 
 def key_of(word: bytes) -> bytes:
-    """The word, or a digest that no word can be (it begins with a space)."""
-    return word if len(word) <= HEAD_BYTES else b" " + hashlib.blake2b(word, digest_size=32).digest()
+    """The word, or a digest that no word can be (it begins with a space), with the word's ending."""
+    return word if len(word) <= HEAD_BYTES else b" " + hashlib.blake2b(word, digest_size=32).digest() + word[-2:]
 
 
-def tokens_of(text: bytes) -> list[bytes]:
-    words = text.lower().split()
-    words.append(END)
-    return words
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Of binary texts without nulls: each token's place among the distinct ones, these, and the number of tokens per text."""
+    codes, distinct, sizes = C.split_words(pc.ascii_lower(texts.view(pa.string())).view(pa.binary()))
+    if END not in distinct:
+        distinct.append(END)
+    sizes = sizes + 1
+    words = np.ones(sizes.sum(), bool)
+    words[np.cumsum(sizes) - 1] = False
+    tokens = np.full(len(words), distinct.index(END), np.int64)
+    tokens[words] = codes
+    return tokens, distinct, sizes
 
 
 class Vocabulary:
@@ -103,10 +112,10 @@ class Vocabulary:
         return {k: v for k, v in self.__dict__.items() if k in ("words", "counts", "single", "classes", "own", "rest")} | {"ready": False}
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(context number, class) of each token and the places of tokens outside the head."""
+        """(context number, class, whether outside the head) of each word."""
         packed = np.fromiter(map(self.packed.__getitem__, words), np.int64, len(words))
         ids = packed // PACK
-        return ids, (packed & (PACK - 1)).astype(np.int32), np.flatnonzero(ids >= len(self.words))
+        return ids, (packed & (PACK - 1)).astype(np.int32), ids >= len(self.words)
 
 
 class _Packed(dict):
@@ -168,19 +177,35 @@ class Trees:
         leaves = np.concatenate([np.empty(0, np.int64), *leaves])
         codes = np.concatenate([np.empty(0, np.int64), *codes])
         order = np.argsort(leaves, kind="stable")
-        self.codes = codes[order].astype(np.int32)
+        self.codes, self.ready = codes[order].astype(np.int32), False
         self.at = np.searchsorted(leaves[order], np.arange(n + len(rest) + 1))
 
     def leaves(self, ids: np.ndarray, cls: np.ndarray) -> np.ndarray:
         return np.where(ids < self.n, ids, self.n + cls)
 
+    def prepare(self) -> Trees:
+        """Of each choice: the hash of its node, 1 or -1 for its side, and the prior's log odds of that side
+        (on the worker: they are not sent)."""
+        if not self.ready:
+            node = self.codes >> 1
+            self.salts = node.astype(np.uint32) * np.uint32(0x9E3779B1)
+            self.salts ^= self.salts >> np.uint32(15)
+            self.signs = ((self.codes & 1) * 2 - 1).astype(np.float32)
+            self.priors = self.odds[node] * self.signs
+            self.ready = True
+        return self
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("salts", "signs", "priors")} | {"ready": False}
+
     def choices(self, leaves: np.ndarray):
-        """(token, node, side) of all choices on the ways to the tokens' leaves, token by token."""
-        depth = self.at[leaves + 1] - self.at[leaves]
-        token = np.repeat(np.arange(len(leaves), dtype=np.int32), depth)
-        place = np.arange(len(token)) + np.repeat(self.at[leaves] - (np.cumsum(depth) - depth), depth)
-        codes = self.codes[place]
-        return token, codes >> 1, codes & 1
+        """(token, place in the tables of choices) of all choices on the ways to the tokens' leaves, token by token."""
+        first = self.at[leaves]
+        depth = self.at[leaves + 1] - first
+        token = np.repeat(np.arange(len(leaves)), depth)
+        place = np.take(first - (np.cumsum(depth) - depth), token, mode="clip")
+        place += np.arange(len(token))
+        return token, place
 
 
 def slots_for(tokens: int) -> int:
@@ -193,61 +218,72 @@ def batch_for(slots: int) -> int:
     return max(1 << 10, CHOICE_BATCH * slots // SLOTS)
 
 
-def slots_of(hashes: np.ndarray, token: np.ndarray, node: np.ndarray, slots: int):
+def slots_of(hashes: np.ndarray, token: np.ndarray, salts: np.ndarray, slots: int):
     """For each feature, the slot of each choice."""
-    salt = node.astype(np.uint32) * np.uint32(0x9E3779B1)
-    salt ^= salt >> np.uint32(15)
     for h in hashes:
-        out = np.take(h, token)
-        out ^= salt
+        out = np.take(h, token, mode="clip")
+        out ^= salts
         out *= np.uint32(0x85EBCA6B)
         out >>= np.uint32(32 - slots.bit_length() + 1)
-        yield out.view(np.int32)
+        yield out.astype(np.intp)
 
 
-def chosen(weights: np.ndarray, odds: np.ndarray, slots, node: np.ndarray, side: np.ndarray):
-    """Log odds of the side taken at each choice."""
-    z = np.take(odds, node)
+def chosen(weights: np.ndarray, trees: Trees, slots, place: np.ndarray):
+    """Log odds of the side taken at each choice, and the choices' signs."""
+    z = None
     for s in slots:
-        z += np.take(weights, s)
-    np.negative(z, out=z, where=side == 0)
-    return z
+        w = np.take(weights, s, mode="clip")
+        z = w if z is None else np.add(z, w, out=z)
+    signs = np.take(trees.signs, place, mode="clip")
+    z *= signs
+    z += np.take(trees.priors, place, mode="clip")
+    return z, signs
 
 
 class ChoiceTrainer:
     """Gradient steps on one task's choices, from the shared weights."""
 
     def __init__(self, weights: np.ndarray, trees: Trees, rate: float = CHOICE_RATE):
-        self.weights, self.trees, self.rate = weights.copy(), trees, rate
+        # astype, not copy: np.add.at is slow with the dtype object of an unpickled array, which its results would keep
+        self.weights, self.trees, self.rate = weights.astype(np.float32), trees.prepare(), rate
         self.scale = np.ones(len(weights), np.float32)     # one and the sums of squared gradients
+        self.total = np.zeros(len(weights), np.float32)
 
     def step(self, hashes: np.ndarray, leaves: np.ndarray) -> None:
-        token, node, side = self.trees.choices(leaves)
-        slots = list(slots_of(hashes, token, node, len(self.weights)))
-        z = chosen(self.weights, self.trees.odds, slots, node, side)
-        np.clip(z, -30, 30, out=z)
-        pull = 1 / (1 + np.exp(z))
-        np.negative(pull, out=pull, where=side == 0)
-        total = np.bincount(slots[0], pull, len(self.weights))
-        for s in slots[1:]:
-            total += np.bincount(s, pull, len(self.weights))
-        total = total.astype(np.float32)
-        self.scale += total * total
-        total *= self.rate
-        total /= np.sqrt(self.scale)
-        self.weights += total
+        for at in range(0, len(leaves), CHOICE_PART):
+            token, place = self.trees.choices(leaves[at:at + CHOICE_PART])
+            slots = list(slots_of(hashes[:, at:at + CHOICE_PART], token, np.take(self.trees.salts, place, mode="clip"), len(self.weights)))
+            z, signs = chosen(self.weights, self.trees, slots, place)
+            np.clip(z, -30, 30, out=z)
+            np.exp(z, out=z)
+            z += 1
+            np.divide(signs, z, out=z)
+            for s in slots:
+                np.add.at(self.total, s, z)
+        for at in range(0, len(self.weights), DENSE_PART):
+            total, scale = self.total[at:at + DENSE_PART], self.scale[at:at + DENSE_PART]
+            scale += total * total
+            total *= self.rate
+            total /= np.sqrt(scale)
+            self.weights[at:at + DENSE_PART] += total
+            total.fill(0)
 
 
 def choice_log_probability(weights: np.ndarray, trees: Trees, hashes: np.ndarray, leaves: np.ndarray) -> np.ndarray:
     """Natural log of P(leaf | class, history) of each token."""
+    trees.prepare()
     out = np.empty(len(leaves))
-    for at in range(0, len(leaves), CHOICE_BATCH):
-        part = leaves[at:at + CHOICE_BATCH]
-        token, node, side = trees.choices(part)
-        z = chosen(weights, trees.odds, slots_of(hashes[:, at:at + CHOICE_BATCH], token, node, len(weights)), node, side)
+    for at in range(0, len(leaves), CHOICE_PART):
+        part = leaves[at:at + CHOICE_PART]
+        token, place = trees.choices(part)
+        z, _ = chosen(weights, trees, slots_of(hashes[:, at:at + CHOICE_PART], token, np.take(trees.salts, place, mode="clip"), len(weights)), place)
         # log of 1 / (1 + exp(-z))
-        logs = np.minimum(z, 0) - np.log1p(np.exp(-np.abs(z)))
-        out[at:at + CHOICE_BATCH] = np.bincount(token, logs, len(part))
+        logs = np.abs(z)
+        np.negative(logs, out=logs)
+        np.exp(logs, out=logs)
+        np.log1p(logs, out=logs)
+        np.subtract(np.minimum(z, 0, out=z), logs, out=z)
+        out[at:at + CHOICE_PART] = np.bincount(token, z, len(part))
     return out
 
 
@@ -272,26 +308,52 @@ def features(ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, hashes
 
 
-def exponentials(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, buffer: np.ndarray):
-    """Log scores less their largest, and their exponentials."""
-    z = np.take(weights, rows[0], axis=0)
-    more = buffer[:len(z)]
+def exponentials(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, out: np.ndarray):
+    """Log scores (less their largest, where they are large), and into ``out`` their exponentials."""
+    z = np.take(weights, rows[0], axis=0, mode="clip")
     for r in rows[1:]:
-        np.take(weights, r, axis=0, out=more, mode="clip")
-        z += more
+        np.take(weights, r, axis=0, out=out, mode="clip")
+        z += out
     z += bias
-    z -= z.max(1, keepdims=True)
-    return z, np.exp(z, out=more)
+    if z.size and (z.max() > LARGE or z.min() < -LARGE):
+        z -= z.max(1, keepdims=True)
+    return z, np.exp(z, out=out)
 
 
 def class_log_probability(weights, bias, rows, cls) -> np.ndarray:
     """Natural log of P(class | history) of each token."""
     out = np.empty(len(cls))
-    buffer, ones = np.empty((BATCH, len(bias)), np.float32), np.ones(len(bias), np.float32)
-    for at in range(0, len(cls), BATCH):
-        part = cls[at:at + BATCH]
-        z, e = exponentials(weights, bias, rows[:, at:at + BATCH], buffer)
-        out[at:at + BATCH] = z[np.arange(len(part)), part] - np.log(e @ ones)
+    buffer, ones = np.empty((CLASS_PART, len(bias)), np.float32), np.ones(len(bias), np.float32)
+    for at in range(0, len(cls), CLASS_PART):
+        part = cls[at:at + CLASS_PART]
+        z, e = exponentials(weights, bias, rows[:, at:at + CLASS_PART], buffer[:len(part)])
+        out[at:at + CLASS_PART] = z[np.arange(len(part)), part] - np.log(e @ ones)
+    return out
+
+
+def sums_of_rows(data: np.ndarray, at: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Sums of the rows ``at`` of ``data``: of the first ``times[0]``, the next ``times[1]``, and so on (none is 0).
+
+    Rows are added in pairs until each sum is one row."""
+    out = np.empty((len(times), data.shape[1]), data.dtype)
+    which = np.arange(len(times))
+    while len(which):
+        last = np.cumsum(times) - 1
+        one = times == 1
+        done = np.zeros(len(at), bool)
+        done[last[one]] = True
+        out[which[one]] = np.take(data, at[done], axis=0, mode="clip")
+        odd = (times & 1 == 1) & ~one
+        extra = at[last[odd]]
+        done[last[odd]] = True
+        paired = at[~done]
+        many = ~one
+        which, times, odd = which[many], times[many] >> 1, odd[many]
+        more = np.take(data, extra, axis=0, mode="clip")
+        pairs = np.take(data, paired[0::2], axis=0, mode="clip")
+        pairs += np.take(data, paired[1::2], axis=0, mode="clip")
+        pairs[(np.cumsum(times) - 1)[odd]] += more
+        data, at = pairs, np.arange(len(pairs))
     return out
 
 
@@ -305,26 +367,18 @@ class Trainer:
         self.buffer, self.ones = np.empty((BATCH, len(bias)), np.float32), np.ones(len(bias), np.float32)
 
     def step(self, rows: np.ndarray, cls: np.ndarray) -> None:
-        n, classes = len(cls), len(self.bias)
-        _, p = exponentials(self.weights, self.bias, rows, self.buffer)
-        p /= (p @ self.ones)[:, None]
+        n = len(cls)
+        p = self.buffer[:n] if n <= BATCH else np.empty((n, len(self.bias)), np.float32)
+        for at in range(0, n, CLASS_PART):
+            _, part = exponentials(self.weights, self.bias, rows[:, at:at + CLASS_PART], p[at:at + CLASS_PART])
+            part /= (part @ self.ones)[:, None]
+        p[np.arange(n), cls] -= 1            # expected less seen classes
         flat = rows.ravel()
         order = np.argsort(flat.astype(np.uint16), kind="stable")   # BUCKETS fit 16 bits
         ordered = flat[order]
         starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         touched, times = ordered[starts], np.diff(np.r_[starts, len(flat)])
-        # expected less seen classes, summed by bucket: a row used once is the token's own;
-        # the other sums run along memory, class by class
-        token = order % n
-        gradient = np.empty((len(starts), classes), np.float32)
-        once = times == 1
-        gradient[once] = np.take(p, token[starts[once]], axis=0)
-        many = ~once
-        if many.any():
-            by_class = np.take(np.ascontiguousarray(p.T), token[np.repeat(many, times)].astype(np.int32), axis=1)
-            gradient[many] = np.add.reduceat(by_class, np.cumsum(times[many]) - times[many], axis=1).T
-        seen = np.bincount(np.repeat(np.arange(len(starts)), times) * classes + cls[token], minlength=gradient.size)
-        gradient -= seen.reshape(gradient.shape).astype(np.float32)
+        gradient = sums_of_rows(p, order % n, times)
         self.scale[touched] += np.einsum("ij,ij->i", gradient, gradient)
         gradient *= (self.rate / np.sqrt(self.scale[touched]))[:, None]
         self.weights[touched] -= gradient
@@ -341,18 +395,18 @@ def _vocabulary(key: str, shared) -> Vocabulary:
     return _SHARED[key]
 
 
-def _texts(batches: Iterator[pa.RecordBatch], column: str):
-    """Arrow batches in parts of some 100,000 tokens: (batch part, tokens per text)."""
-    for batch in C.slices(batches):
-        at, part, n = 0, [], 0
-        for i, text in enumerate(batch.column(column).to_pylist()):
-            part.append(tokens_of(text))
-            n += len(part[-1])
-            if n > 100_000:
-                yield batch.slice(at, i + 1 - at), part
-                at, part, n = i + 1, [], 0
-        if part:
-            yield batch.slice(at), part
+def _texts(batches: Iterator[pa.RecordBatch], column: str, vocabulary: Vocabulary):
+    """Arrow batches in parts of some 100,000 tokens: (batch part, tokens per text, token's place among the
+    slice's distinct words, these words, their (context number, class, whether outside the head))."""
+    for part in C.text_slices(batches, column):
+        tokens, distinct, sizes = tokens_of(part.column(column))
+        encoded = vocabulary.encode(distinct)
+        ends = np.cumsum(sizes)
+        at = start = 0
+        while at < len(sizes):
+            stop = min(len(sizes), int(np.searchsorted(ends, start + 100_000, side="right")) + 1)
+            yield part.slice(at, stop - at), sizes[at:stop], tokens[start:ends[stop - 1]], distinct, encoded
+            at, start = stop, int(ends[stop - 1])
 
 
 def _places(sizes: np.ndarray) -> np.ndarray:
@@ -361,25 +415,35 @@ def _places(sizes: np.ndarray) -> np.ndarray:
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """word (key), ending and count c of the tokens of ``texts`` (one binary column)."""
-    def run(batches):
-        found: Counter = Counter()
+    def summed(parts):
+        return pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"])
+
+    def out(table):
+        words = table["word"].combine_chunks()
+        long = np.flatnonzero(pc.greater(pc.binary_length(words), HEAD_BYTES).to_numpy(zero_copy_only=False))
+        if len(long):
+            words = words.to_numpy(zero_copy_only=False)
+            words[long] = [key_of(w) for w in words[long].tolist()]
+            words = pa.array(words, pa.binary())
+        return pa.RecordBatch.from_arrays([words, table["c"].combine_chunks()], names=["word", "c"])
 
-        def out():
-            words = list(found)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([key_of(w) for w in words], pa.binary()), pa.array([w[-2:] for w in words], pa.binary()),
-                 pa.array(list(found.values()), pa.int64())], names=["word", "ending", "c"])
-
-        for batch in C.slices(batches):
-            for text in batch.column(0).to_pylist():
-                found.update(tokens_of(text))
-                if len(found) > COUNTED_WORDS:
-                    yield out()
-                    found.clear()
-        yield out()
-
-    return (texts.mapInArrow(C.tidy(run), "word binary, ending binary, c long")
-            .groupBy("word").agg(F.max("ending").alias("ending"), F.sum("c").alias("c")))
+    def run(batches):
+        parts, held = [], 0
+        for batch in C.text_slices(batches, 0):
+            tokens, distinct, _ = tokens_of(batch.column(0))
+            parts.append(pa.table([pa.array(distinct, pa.binary()), pa.array(np.bincount(tokens, minlength=len(distinct)))], names=["word", "c"]))
+            held += len(distinct)
+            if held > 2 * COUNTED_WORDS:
+                parts = [summed(parts)]
+                held = parts[0].num_rows
+                if held > COUNTED_WORDS:
+                    yield out(parts.pop())
+                    held = 0
+        if parts:
+            yield out(summed(parts))
+
+    return (texts.mapInArrow(C.tidy(run), "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+            .select("word", F.substring("word", -2, 2).alias("ending"), "c"))
 
 
 def _sum_blocks(size: int):
@@ -415,13 +479,13 @@ def train(texts: DataFrame, vocabulary, key: str, bias: np.ndarray, trees, slots
         shared = spark.sparkContext.broadcast((weights, bias, choices))
 
         def walk(batches, shared=shared):
-            trainer, vocab = None, _vocabulary(key, vocabulary)
-            for _, words in _texts(batches, "text"):
+            trainer = None
+            for _, sizes, tokens, _, (numbers, classes, _) in _texts(batches, "text", _vocabulary(key, vocabulary)):
                 if trainer is None:
                     now, bias, then = shared.value
                     trainer, chooser = Trainer(now, bias, rate), ChoiceTrainer(then, trees.value)
-                ids, cls, _ = vocab.encode([w for t in words for w in t])
-                rows, hashes = features(ids, _places(np.array([len(t) for t in words])))
+                ids, cls = numbers[tokens], classes[tokens]
+                rows, hashes = features(ids, _places(sizes))
                 for at in range(0, len(cls), BATCH):
                     trainer.step(rows[:, at:at + BATCH], cls[at:at + BATCH])
                 leaves = chooser.trees.leaves(ids, cls)
@@ -525,31 +589,30 @@ def score(docs: DataFrame, is_training, id_col: str = "doc_id", text_col: str =
         weights, bias, room, choices = model.value
         log_count = np.log10(vocab.counts + 1.0)
         rid = (TaskContext.get().partitionId()) << 33
-        for batch, words in _texts(batches, "text"):
-            sizes = np.array([len(t) for t in words])
-            flat = [w for t in words for w in t]
-            ids, cls, away = vocab.encode(flat)
+        for batch, sizes, tokens, distinct, (numbers, classes, outside) in _texts(batches, "text", vocab):
+            ids, cls, away = numbers[tokens], classes[tokens], outside[tokens]
             rows, hashes = features(ids, _places(sizes))
             in_class = class_log_probability(weights, bias, rows, cls)
             in_class += choice_log_probability(choices, trees.value, hashes, trees.value.leaves(ids, cls))
             in_class /= np.log(10)
-            known = np.ones(len(ids), bool)
-            known[away] = False
+            known = ~away
             own = np.zeros(len(ids))
             own[known] = log_count[ids[known]]
             word_part = np.where(known, 0, -room[cls])
             starts = np.cumsum(sizes) - sizes
             sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), own, in_class + word_part)]
-            text_of = np.searchsorted(starts, away, side="right") - 1
-            rare = [Counter() for _ in words]
-            for at, k in zip(away.tolist(), text_of.tolist(), strict=True):
-                rare[k][flat[at]] += 1
+            # the distinct words outside the head of each text, and how often
+            text_of = np.repeat(np.arange(len(sizes)), sizes)
+            pairs, times = np.unique(text_of[away] * len(distinct) + tokens[away], return_counts=True)
+            rare, which = np.unique(pairs % len(distinct), return_inverse=True)
+            keys = pa.array([key_of(distinct[k]) for k in rare.tolist()], pa.binary()).take(pa.array(which))
+            offsets = pa.array(np.searchsorted(pairs, np.arange(len(sizes) + 1) * len(distinct)), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rid + np.arange(len(words))), batch.column("id"), batch.column("held_out"), pa.array(sizes, pa.int64()),
-                 *map(pa.array, sums), pa.array([[key_of(w) for w in r] for r in rare], pa.list_(pa.binary())),
-                 pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))],
+                [pa.array(rid + np.arange(len(sizes))), batch.column("id"), batch.column("held_out"), pa.array(sizes, pa.int64()),
+                 *map(pa.array, sums), pa.ListArray.from_arrays(offsets, keys),
+                 pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64()))],
                 names=["rid", "id", "held_out", "n_tokens", "known", "own", "part", "rare", "times"])
-            rid += len(words)
+            rid += len(sizes)
 
     source = docs.select(docs[id_col].alias("id"), text, (~is_training).alias("held_out"))
     kinds = C.T.StructType([C.T.StructField("rid", C.T.LongType()), C.T.StructField("id", docs.schema[id_col].dataType),
