@@ -54,6 +54,7 @@ BUCKETS = 1 << 15
 HEAD, HEAD_BYTES = 1 << 18, 48
 ENDINGS = 1 << 10                        # hash values of a rare word's ending, as a context
 COUNTED_WORDS = 400_000                  # distinct words that a task holds before it hands on their counts
+SLICE_ROWS = 4 * C.ROWS_AT_ONCE          # texts whose words are told apart together
 PACK = 1 << 8                            # more than there are classes
 ROUNDS, RATE, BATCH = 1, 1.0, 16384
 LARGE = 80                               # log scores beyond it have no 32-bit exponential
@@ -331,30 +332,33 @@ def class_log_probability(weights, bias, rows, cls) -> np.ndarray:
     return out
 
 
-def sums_of_rows(data: np.ndarray, at: np.ndarray, times: np.ndarray) -> np.ndarray:
+def sums_of_rows(data: np.ndarray, at: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of the rows ``at`` of ``data``: of the first ``times[0]``, the next ``times[1]``, and so on (none is 0).
 
-    Rows are added in pairs until each sum is one row."""
-    out = np.empty((len(times), data.shape[1]), data.dtype)
-    which = np.arange(len(times))
+    Rows are added in pairs until each sum is one row; returns the sums as they are ready, and which ones they are."""
+    out, order = np.empty((len(times), data.shape[1]), data.dtype), []
+    which, ready = np.arange(len(times)), 0
     while len(which):
         last = np.cumsum(times) - 1
         one = times == 1
-        done = np.zeros(len(at), bool)
-        done[last[one]] = True
-        out[which[one]] = np.take(data, at[done], axis=0, mode="clip")
-        odd = (times & 1 == 1) & ~one
-        extra = at[last[odd]]
-        done[last[odd]] = True
-        paired = at[~done]
+        single = last[one]
+        np.take(data, at[single], axis=0, out=out[ready:ready + len(single)], mode="clip")
+        ready += len(single)
+        order.append(which[one])
         many = ~one
+        odd = (times & 1 == 1) & many
+        extra = last[odd]
+        left = np.ones(len(at), bool)
+        left[single] = False
+        left[extra] = False
+        more = np.take(data, at[extra], axis=0, mode="clip")
+        paired = at[left]
         which, times, odd = which[many], times[many] >> 1, odd[many]
-        more = np.take(data, extra, axis=0, mode="clip")
         pairs = np.take(data, paired[0::2], axis=0, mode="clip")
         pairs += np.take(data, paired[1::2], axis=0, mode="clip")
         pairs[(np.cumsum(times) - 1)[odd]] += more
         data, at = pairs, np.arange(len(pairs))
-    return out
+    return out, np.concatenate([np.empty(0, np.int64), *order])
 
 
 class Trainer:
@@ -378,7 +382,8 @@ class Trainer:
         ordered = flat[order]
         starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         touched, times = ordered[starts], np.diff(np.r_[starts, len(flat)])
-        gradient = sums_of_rows(p, order % n, times)
+        gradient, ready = sums_of_rows(p, order % n, times)
+        touched, times = touched[ready], times[ready]
         self.scale[touched] += np.einsum("ij,ij->i", gradient, gradient)
         gradient *= (self.rate / np.sqrt(self.scale[touched]))[:, None]
         self.weights[touched] -= gradient
@@ -398,13 +403,14 @@ def _vocabulary(key: str, shared) -> Vocabulary:
 def _texts(batches: Iterator[pa.RecordBatch], column: str, vocabulary: Vocabulary):
     """Arrow batches in parts of some 100,000 tokens: (batch part, tokens per text, token's place among the
     slice's distinct words, these words, their (context number, class, whether outside the head))."""
-    for part in C.text_slices(batches, column):
+    for part in C.text_slices(batches, column, SLICE_ROWS):
         tokens, distinct, sizes = tokens_of(part.column(column))
         encoded = vocabulary.encode(distinct)
         ends = np.cumsum(sizes)
         at = start = 0
         while at < len(sizes):
-            stop = min(len(sizes), int(np.searchsorted(ends, start + 100_000, side="right")) + 1)
+            group = at // C.ROWS_AT_ONCE * C.ROWS_AT_ONCE + C.ROWS_AT_ONCE
+            stop = min(len(sizes), group, int(np.searchsorted(ends, start + 100_000, side="right")) + 1)
             yield part.slice(at, stop - at), sizes[at:stop], tokens[start:ends[stop - 1]], distinct, encoded
             at, start = stop, int(ends[stop - 1])
 
@@ -429,7 +435,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         parts, held = [], 0
-        for batch in C.text_slices(batches, 0):
+        for batch in C.text_slices(batches, 0, SLICE_ROWS):
             tokens, distinct, _ = tokens_of(batch.column(0))
             parts.append(pa.table([pa.array(distinct, pa.binary()), pa.array(np.bincount(tokens, minlength=len(distinct)))], names=["word", "c"]))
             held += len(distinct)
@@ -484,7 +490,7 @@ def train(texts: DataFrame, vocabulary, key: str, bias: np.ndarray, trees, slots
                 if trainer is None:
                     now, bias, then = shared.value
                     trainer, chooser = Trainer(now, bias, rate), ChoiceTrainer(then, trees.value)
-                ids, cls = numbers[tokens], classes[tokens]
+                ids, cls = np.take(numbers, tokens), np.take(classes, tokens)
                 rows, hashes = features(ids, _places(sizes))
                 for at in range(0, len(cls), BATCH):
                     trainer.step(rows[:, at:at + BATCH], cls[at:at + BATCH])
