@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tickforge.llm import common as C
@@ -199,6 +200,26 @@ def test_scores_are_those_of_the_views(spark, odd_docs, odd_labels, odd_rows):
         assert any(np.allclose(g[:3], (logistic(t), logistic(m), p), atol=1e-9) and g[3] == (g[2] >= cotraining.THRESHOLD) for g in got[r[0]])
 
 
+def test_words_are_hashed_once_for_many_texts(odd_rows, monkeypatch):
+    """Slots of many texts are those of each text alone; a word's repeats in other texts cost no hashing."""
+    texts = [(r[1] or "").encode() for r in odd_rows] + [b"\xff\xc3 A a \x1c\x85", b"x y z " * 900 + b"X y Z\n" * 3]
+    want = [cotraining.text_features(t, cotraining.WordSlots(), C.WordNumbers()).tolist() for t in texts]
+    hashed = Counter()
+
+    class Hashes:
+        @staticmethod
+        def xxh3_64_intdigest(word, seed=0):
+            hashed[word] += not seed
+            return xxhash.xxh3_64_intdigest(word, seed=seed)
+
+    monkeypatch.setattr(cotraining, "xxhash", Hashes)
+    batches = [pa.record_batch([pa.array(texts, pa.binary()), pa.array([{"m": 0}] * len(texts))], names=["__text", "__meta"])]
+    [(_, rows, _)] = cotraining._features(iter(batches), ())
+    assert [p.tolist() for p in np.split(rows.flat, np.cumsum(rows.sizes)[:-1])] == want
+    assert max(hashed.values()) <= 2                       # a word and its capitals
+    assert len(cotraining.text_rows(pa.array([], pa.binary()))) == 0
+
+
 # -- token counts
 
 

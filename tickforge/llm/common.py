@@ -228,9 +228,13 @@ def text_stats(text: bytes, memory: WordNumbers) -> tuple[int, ...]:
     words = text.split()
     if len(memory) > WORD_MEMORY:
         memory.clear()
-    ids = numbers_of(words, memory)
+    return stats_of(text, numbers_of(words, memory), len(set(words)))
+
+
+def stats_of(text: bytes, ids: np.ndarray, n_distinct: int) -> tuple[int, ...]:
+    """The counts of STAT_NAMES, from the numbers of the text's words and how many distinct ones there are."""
     chars = len(text) - count_of(text, CONTINUATION)
     upper = count_of(text, UPPER)
-    return (len(words), chars - count_of(text, SPACES), count_of(text, SYMBOLS), duplicate_lines(text),
-            repeated_words(ids), text.count(b"\n") + 1, len(set(words)), upper,
+    return (len(ids), chars - count_of(text, SPACES), count_of(text, SYMBOLS), duplicate_lines(text),
+            repeated_words(ids), text.count(b"\n") + 1, n_distinct, upper,
             count_of(text, LETTERS), count_of(text, DIGITS), text.count(b"!"))

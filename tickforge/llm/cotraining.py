@@ -45,6 +45,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
@@ -62,6 +63,7 @@ L2 = 1e-3
 UNIT = 1 << 24           # gradients are summed as whole numbers of 1 / UNIT
 MIN_Z, MIN_DOCS = 4.5, 6
 THRESHOLD = 0.5          # of the calibrated probability of being good
+SLICE_ROWS = 4 * C.ROWS_AT_ONCE  # texts whose words are told apart together
 METADATA = ("lang", "source", "n_chars")
 
 
@@ -99,6 +101,29 @@ def text_features(text: bytes, slots: WordSlots, memory: C.WordNumbers) -> np.nd
     return np.unique(np.concatenate([ids, np.array(extra, np.int64)]))
 
 
+def text_rows(texts: pa.Array) -> Rows:
+    """text_features of many binary texts without nulls: the words of all are told apart, lower-cased and hashed once."""
+    codes, distinct, sizes = C.split_words(texts)
+    codes = codes.astype(np.int64)
+    lower = pc.ascii_lower(pa.array(distinct, pa.binary()).view(pa.string())).view(pa.binary()).to_pylist()
+    hashed = np.fromiter((xxhash.xxh3_64_intdigest(w) & ((1 << BITS) - 1) for w in lower), np.int64, len(lower))
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    of = _distinct(owner * max(len(distinct), 1) + codes) // max(len(distinct), 1)
+    n_distinct = np.bincount(of, minlength=len(sizes)).tolist()
+    ends = np.cumsum(sizes)
+    extra = [_bins(dict(zip(C.STAT_NAMES, C.stats_of(t, codes[e - n:e], d), strict=True)))
+             for t, n, e, d in zip(texts.to_pylist(), sizes.tolist(), ends.tolist(), n_distinct, strict=True)]
+    extra = np.array(extra, np.int64).reshape(len(sizes), len(FEATURES)) + (np.arange(len(sizes)) << BITS)[:, None]
+    found = _distinct(np.append(owner << BITS | hashed[codes], extra))
+    return Rows((found & ((1 << BITS) - 1)).astype(np.int32), np.bincount(found >> BITS, minlength=len(sizes)))
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in order (by sorting: np.unique hashes, which is slower here)."""
+    keys = np.sort(keys)
+    return keys[np.diff(keys, prepend=-1) != 0]
+
+
 def metadata_features(values: dict) -> np.ndarray:
     """One slot per column: its value, numbers by quarter octaves."""
     out = []
@@ -470,12 +495,10 @@ def co_train(text_rows, meta_rows, y, metadata, pool=None) -> CoTrained:
 
 def _features(batches: Iterator[pa.RecordBatch], metadata: tuple[str, ...]):
     """(batch, text slots, metadata slots) of batches with __text and __meta."""
-    slots, memory = WordSlots(), C.WordNumbers()
-    for batch in C.slices(batches):
-        texts = batch.column("__text").to_pylist()
+    for batch in C.text_slices(batches, "__text", SLICE_ROWS):
         metas = batch.column("__meta").to_pylist()
-        yield (batch, [text_features(t, slots, memory) for t in texts],
-               [metadata_features({n: m[f"m{k}"] for k, n in enumerate(metadata)}) for m in metas])
+        yield (batch, text_rows(batch.column("__text")),
+               Rows.of([metadata_features({n: m[f"m{k}"] for k, n in enumerate(metadata)}) for m in metas]))
 
 
 def _meta_struct(docs: DataFrame, metadata: tuple[str, ...]):
@@ -525,7 +548,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch, texts, metas in _features(batches, metadata):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__id"),
-                 *(pa.array([r.astype(np.int32).tobytes() for r in rows], pa.binary()) for rows in (texts, metas))],
+                 *(pa.array(rows.bytes(), pa.binary()) for rows in (texts, metas))],
                 names=["id", "t", "m"])
 
     def features(of: DataFrame) -> DataFrame:
@@ -554,14 +577,12 @@ def score(docs: DataFrame, model: CoTrained, carry, text_col: str = "text") -> D
     def run(batches):
         m = shared.value
         weights = None if m.text is None else m.text.weights
-        slots, memory = WordSlots(), C.WordNumbers()
-        for batch in C.slices(batches):
+        made = _features(batches, m.metadata) if weights is not None else ((b, None, None) for b in C.slices(batches))
+        for batch, texts, metas in made:
             n = batch.num_rows
             lt, lm = np.zeros(n), np.zeros(n)
             if weights is not None:
-                texts, metas = batch.column("__text").to_pylist(), batch.column("__meta").to_pylist()
-                lt = m.text.logits([text_features(t, slots, memory) for t in texts])
-                lm = m.meta.logits([metadata_features({c: v[f"m{k}"] for k, c in enumerate(m.metadata)}) for v in metas])
+                lt, lm = m.text.logits(texts), m.meta.logits(metas)
             p = m.probability(lt, lm)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("__carry"), pa.array(_sigmoid(lt)), pa.array(_sigmoid(lm)), pa.array(p),
