@@ -452,6 +452,26 @@ def test_steps_in_parts_are_those_of_the_whole_batch(monkeypatch):
         assert a.any() and np.allclose(a, b, atol=1e-3, rtol=1e-4)
 
 
+def test_weights_on_the_way_to_a_leaf_are_near_each_other():
+    """The choices of ``LEVELS`` levels share one cache line for each feature, at spots of their own."""
+    rng = np.random.default_rng(7)
+    counts = np.sort(rng.zipf(1.2, 3000))[::-1].astype(float)
+    trees = maxent_lm.Trees(np.r_[0, 1, rng.integers(2, 6, 2998)], counts, 2, np.r_[1, 1, rng.random(4) + 1]).prepare()
+    leaves = np.arange(2, 3000)
+    hashes = rng.integers(0, 1 << 32, (3, len(leaves)), np.uint32)
+    token, place = trees.choices(leaves)
+    depth = np.bincount(token)
+    assert depth.max() > 2 * maxent_lm.LEVELS
+    for slots in maxent_lm.slots_of(hashes, token, place, trees, 1 << 16):
+        lines = np.unique(token << 16 | slots >> maxent_lm.LEVELS)
+        assert (np.bincount(lines >> 16) <= -(-depth // maxent_lm.LEVELS)).all() and slots.max() < 1 << 16
+        assert len(np.unique(slots >> maxent_lm.LEVELS)) > 1000
+    nodes = np.unique(trees.codes >> 1)
+    assert len(np.unique(trees.groups[nodes].astype(np.int64) * 16 + trees.spots[nodes])) == len(nodes)
+    chooser = maxent_lm.ChoiceTrainer(np.arange(4096, dtype=np.float32), trees)
+    assert chooser.weights.ctypes.data % 64 == chooser.total.ctypes.data % 64 == 0 and (chooser.weights == np.arange(4096)).all()
+
+
 def test_steps_use_numpys_own_dtype_objects():
     """np.add.at takes some fifty times as long with the dtype object of an array that was sent."""
     sent = pickle.loads(pickle.dumps((np.zeros(4096, np.float32), maxent_lm.Trees(np.r_[0, 1, 1], np.r_[3., 2, 1], 1, np.ones(2)))))

@@ -8,7 +8,8 @@ previous one alone (skip); each is hashed to one of ``BUCKETS`` rows of weights.
 The second factor is a product of two-way choices down a Huffman tree of the
 class's head words and one leaf for all its other words.  Each choice is a
 maximum-entropy model of the same three features, hashed together with the
-node to one of at most ``SLOTS`` weights (fewer for few tokens), and of a
+node to one of at most ``SLOTS`` weights (fewer for few tokens; those of
+nearby nodes side by side), and of a
 prior: the closed form without history, the smoothed relative frequency.  In
 the leaf of other words that closed form is all, with one place for the words
 not seen in training.  Frequent words are classes of their own; the others
@@ -60,6 +61,7 @@ ROUNDS, RATE, BATCH = 1, 1.0, 16384
 LARGE = 80                               # log scores beyond it have no 32-bit exponential
 BLOCK = 128                              # buckets sent together
 SLOTS, SLOT_BLOCK = 1 << 21, 1 << 13     # weights of the choices at most; slots sent together
+LEVELS = 4                               # of a tree, whose choices have their weights side by side: a cache line of 2 ** LEVELS
 CHOICE_RATE, CHOICE_BATCH = 0.2, 1 << 16  # step size; tokens of a step with SLOTS weights, fewer with fewer
 CHOICE_PART, DENSE_PART, CLASS_PART = 1 << 12, 1 << 15, 1 << 11   # tokens, weights and tokens handled at a time, in the processor's cache
 SALTS = 16
@@ -134,6 +136,21 @@ class _Packed(dict):
         return found
 
 
+def groups_of_choices(above: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each node (``above``: the choice above it, -1 for a root): the top node of its group of ``LEVELS`` levels,
+    whose weights for a feature lie side by side, and its spot there, from 1 to 2 ** LEVELS - 1."""
+    depth, at, up = np.zeros(len(above), np.int64), np.flatnonzero(above >= 0), above[above >= 0] >> 1
+    while len(at):
+        depth[at] += 1
+        at, up = at[above[up] >= 0], above[up][above[up] >= 0] >> 1
+    groups, spots = np.arange(len(above)), np.ones(len(above), np.int64)
+    for d in range(1, depth.max(initial=0) + 1):
+        if d % LEVELS:
+            at = np.flatnonzero(depth == d)
+            groups[at], spots[at] = groups[above[at] >> 1], 2 * spots[above[at] >> 1] + (above[at] & 1)
+    return groups.astype(np.int32), spots.astype(np.uint32)
+
+
 class Trees:
     """The Huffman tree of each class of many words: leaves are its head words and, numbered after all
     head words, one for the class's other words."""
@@ -167,6 +184,7 @@ class Trees:
                 above.append(-1)
                 odds.append(two[1] / two[0])
         above = np.array(above, np.int64)
+        self.groups, self.spots = groups_of_choices(above)
         self.odds = np.log(np.array(odds)).astype(np.float32)
         leaves, codes, at = [], [], np.flatnonzero(up >= 0)
         now = up[at]
@@ -185,19 +203,20 @@ class Trees:
         return np.where(ids < self.n, ids, self.n + cls)
 
     def prepare(self) -> Trees:
-        """Of each choice: the hash of its node, 1 or -1 for its side, and the prior's log odds of that side
-        (on the worker: they are not sent)."""
+        """Of each choice: the hash of its node's group and the node's spot there, 1 or -1 for its side, and the
+        prior's log odds of that side (on the worker: they are not sent)."""
         if not self.ready:
             node = self.codes >> 1
-            self.salts = node.astype(np.uint32) * np.uint32(0x9E3779B1)
+            self.salts = self.groups[node].astype(np.uint32) * np.uint32(0x9E3779B1)
             self.salts ^= self.salts >> np.uint32(15)
+            self.places = self.spots[node]
             self.signs = ((self.codes & 1) * 2 - 1).astype(np.float32)
             self.priors = self.odds[node] * self.signs
             self.ready = True
         return self
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("salts", "signs", "priors")} | {"ready": False}
+        return {k: v for k, v in self.__dict__.items() if k not in ("salts", "places", "signs", "priors")} | {"ready": False}
 
     def choices(self, leaves: np.ndarray):
         """(token, place in the tables of choices) of all choices on the ways to the tokens' leaves, token by token."""
@@ -219,13 +238,16 @@ def batch_for(slots: int) -> int:
     return max(1 << 10, CHOICE_BATCH * slots // SLOTS)
 
 
-def slots_of(hashes: np.ndarray, token: np.ndarray, salts: np.ndarray, slots: int):
-    """For each feature, the slot of each choice."""
+def slots_of(hashes: np.ndarray, token: np.ndarray, place: np.ndarray, trees: Trees, slots: int):
+    """For each feature, the slot of each choice: the feature and the group tell the 2 ** LEVELS slots side by side
+    (and their order), so that the choices on the way to a leaf are near each other in memory."""
+    salts, spots = np.take(trees.salts, place, mode="clip"), np.take(trees.places, place, mode="clip")
     for h in hashes:
         out = np.take(h, token, mode="clip")
         out ^= salts
         out *= np.uint32(0x85EBCA6B)
         out >>= np.uint32(32 - slots.bit_length() + 1)
+        out ^= spots
         yield out.astype(np.intp)
 
 
@@ -241,19 +263,27 @@ def chosen(weights: np.ndarray, trees: Trees, slots, place: np.ndarray):
     return z, signs
 
 
+def in_lines(weights: np.ndarray) -> np.ndarray:
+    """A copy whose groups of 2 ** LEVELS each are one cache line of 64 bytes."""
+    room = np.empty(len(weights) + 16, np.float32)
+    first = -(room.ctypes.data // 4) % 16
+    room[first:first + len(weights)] = weights
+    return room[first:first + len(weights)]
+
+
 class ChoiceTrainer:
     """Gradient steps on one task's choices, from the shared weights."""
 
     def __init__(self, weights: np.ndarray, trees: Trees, rate: float = CHOICE_RATE):
-        # astype, not copy: np.add.at is slow with the dtype object of an unpickled array, which its results would keep
-        self.weights, self.trees, self.rate = weights.astype(np.float32), trees.prepare(), rate
+        # new arrays, no plain copies: np.add.at is slow with the dtype object of an unpickled array, which its results would keep
+        self.weights, self.trees, self.rate = in_lines(weights), trees.prepare(), rate
         self.scale = np.ones(len(weights), np.float32)     # one and the sums of squared gradients
-        self.total = np.zeros(len(weights), np.float32)
+        self.total = in_lines(np.zeros(len(weights), np.float32))
 
     def step(self, hashes: np.ndarray, leaves: np.ndarray) -> None:
         for at in range(0, len(leaves), CHOICE_PART):
             token, place = self.trees.choices(leaves[at:at + CHOICE_PART])
-            slots = list(slots_of(hashes[:, at:at + CHOICE_PART], token, np.take(self.trees.salts, place, mode="clip"), len(self.weights)))
+            slots = list(slots_of(hashes[:, at:at + CHOICE_PART], token, place, self.trees, len(self.weights)))
             z, signs = chosen(self.weights, self.trees, slots, place)
             np.clip(z, -30, 30, out=z)
             np.exp(z, out=z)
@@ -277,7 +307,7 @@ def choice_log_probability(weights: np.ndarray, trees: Trees, hashes: np.ndarray
     for at in range(0, len(leaves), CHOICE_PART):
         part = leaves[at:at + CHOICE_PART]
         token, place = trees.choices(part)
-        z, _ = chosen(weights, trees, slots_of(hashes[:, at:at + CHOICE_PART], token, np.take(trees.salts, place, mode="clip"), len(weights)), place)
+        z, _ = chosen(weights, trees, slots_of(hashes[:, at:at + CHOICE_PART], token, place, trees, len(weights)), place)
         # log of 1 / (1 + exp(-z))
         logs = np.abs(z)
         np.negative(logs, out=logs)
@@ -386,7 +416,9 @@ class Trainer:
         touched, times = touched[ready], times[ready]
         self.scale[touched] += np.einsum("ij,ij->i", gradient, gradient)
         gradient *= (self.rate / np.sqrt(self.scale[touched]))[:, None]
-        self.weights[touched] -= gradient
+        now = np.take(self.weights, touched, axis=0, mode="clip")
+        now -= gradient
+        self.weights[touched] = now
         self.used[touched] += times
 
 
@@ -593,6 +625,7 @@ def score(docs: DataFrame, is_training, id_col: str = "doc_id", text_col: str =
     def run(batches):
         vocab = _vocabulary(key, shared_vocab)
         weights, bias, room, choices = model.value
+        choices = in_lines(choices)
         log_count = np.log10(vocab.counts + 1.0)
         rid = (TaskContext.get().partitionId()) << 33
         for batch, sizes, tokens, distinct, (numbers, classes, outside) in _texts(batches, "text", vocab):
